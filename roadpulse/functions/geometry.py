@@ -1,7 +1,10 @@
-"""Line geometry as native Column expressions.
+"""Line geometry as SQL expressions.
 
-A line is ``array<struct<x,y>>`` in lon/lat degrees. Everything here runs inside the JVM
-except the WKB codec, which needs IEEE doubles out of bytes and so uses an Arrow batch UDF.
+A line is ``array<struct<x,y>>`` in lon/lat degrees. Functions take column names or other
+expression text and give expression text, for ``F.expr``, ``selectExpr`` or ``spark.sql``;
+so they nest freely, and a long formula reaches the JVM in one call. All of it runs inside
+the JVM except the WKB codec, which needs IEEE doubles out of bytes and so uses an Arrow
+batch UDF.
 """
 
 from __future__ import annotations
@@ -19,119 +22,108 @@ WGS84_E2 = 0.0066943799901413165
 LINE_TYPE = "array<struct<x: double, y: double>>"
 
 
-def point(x: Column, y: Column) -> Column:
-    return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+def point(x: str, y: str) -> str:
+    return f"named_struct('x', cast({x} as double), 'y', cast({y} as double))"
 
 
-def two_point_line(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    return F.array(point(x1, y1), point(x2, y2))
+def two_point_line(x1: str, y1: str, x2: str, y2: str) -> str:
+    return f"array({point(x1, y1)}, {point(x2, y2)})"
 
 
-def links_to_line(links: Column) -> Column:
+def links_to_line(links: str) -> str:
     """Join the links of one feed location into a line.
 
     Each link after the first with points repeats the last point, so its first is left out.
     NULL points count as none; fewer than two points in all give NULL.
     """
-    def append(acc: Column, link: Column) -> Column:
-        pts = F.coalesce(link["points"], F.array().cast("array<struct<lat: double, lng: double>>"))
-        fresh = F.when(F.size(acc) > 0, F.slice(pts, F.lit(2), F.greatest(F.size(pts), F.lit(1)))).otherwise(pts)
-        return F.concat(acc, F.transform(fresh, lambda p: point(p["lng"], p["lat"])))
+    pts = "coalesce(link.points, cast(array() as array<struct<lat: double, lng: double>>))"
+    joined = f"""aggregate({links}, cast(array() as {LINE_TYPE}), (acc, link) -> concat(acc, transform(
+        slice({pts}, if(size(acc) > 0, 2, 1), greatest(size({pts}), 1)),
+        pt -> named_struct('x', pt.lng, 'y', pt.lat))), acc -> if(size(acc) >= 2, acc, null))"""
+    return joined
 
-    joined = F.aggregate(links, F.array().cast(LINE_TYPE), append)
-    return F.when(F.size(joined) >= 2, joined)
 
+def start_point(line: str) -> str:
+    return f"try_element_at({line}, 1)"
 
-def start_point(line: Column) -> Column:
-    return F.try_element_at(line, F.lit(1))
 
+def end_point(line: str) -> str:
+    return f"try_element_at({line}, -1)"
 
-def end_point(line: Column) -> Column:
-    return F.try_element_at(line, F.lit(-1))
 
-
-def azimuth(line: Column) -> Column:
+def azimuth(line: str) -> str:
     """Degrees clockwise from north between the end points, planar; NULL when they coincide."""
-    first, last = start_point(line), end_point(line)
-    return azimuth_of(last["x"] - first["x"], last["y"] - first["y"])
-
+    a, b = start_point(line), end_point(line)
+    dx, dy = f"({b}.x - {a}.x)", f"({b}.y - {a}.y)"
+    turn = f"degrees(atan2({dx}, {dy}))"
+    return f"case when {dx} = 0 and {dy} = 0 then null when {turn} < 0 then {turn} + 360 else {turn} end"
 
-def azimuth_of(dx: Column, dy: Column) -> Column:
-    turn = F.degrees(F.atan2(dx, dy))
-    return F.when((dx != 0) | (dy != 0), F.when(turn < 0, turn + 360.0).otherwise(turn))
 
+def angle_difference(a: str, b: str) -> str:
+    return f"least(abs({a} - {b}), 360 - abs({a} - {b}))"
 
-def angle_difference(a: Column, b: Column) -> Column:
-    gap = F.abs(a - b)
-    return F.least(gap, 360.0 - gap)
 
-
-def metres(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+def metres(x1: str, y1: str, x2: str, y2: str) -> str:
     """Length of one straight piece on the spheroid, by the radii at its middle latitude."""
-    mid = F.radians((y1 + y2) / 2)
-    w = 1.0 - WGS84_E2 * F.sin(mid) * F.sin(mid)
-    north = F.radians(y2 - y1) * (WGS84_A * (1.0 - WGS84_E2)) / (w * F.sqrt(w))
-    east = F.radians(x2 - x1) * F.cos(mid) * WGS84_A / F.sqrt(w)
-    return F.sqrt(north * north + east * east)
+    mid = f"radians((({y1}) + ({y2})) / 2)"
+    w = f"(1 - {WGS84_E2}D * sin({mid}) * sin({mid}))"
+    north = f"(radians(({y2}) - ({y1})) * {WGS84_A * (1 - WGS84_E2)!r}D / ({w} * sqrt({w})))"
+    east = f"(radians(({x2}) - ({x1})) * cos({mid}) * {WGS84_A}D / sqrt({w}))"
+    return f"sqrt({north} * {north} + {east} * {east})"
 
 
-def pieces(line: Column) -> Column:
+def pieces(line: str) -> str:
     """Straight pieces of a line in order: ``array<struct<x1,y1,x2,y2>>``."""
-    last = F.greatest(F.size(line) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(line, F.lit(1), last), F.slice(line, F.lit(2), last),
-        lambda p, q: F.struct(p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")),
-    )
+    last = f"greatest(size({line}) - 1, 0)"
+    return (f"zip_with(slice({line}, 1, {last}), slice({line}, 2, {last}), "
+            "(p, q) -> named_struct('x1', p.x, 'y1', p.y, 'x2', q.x, 'y2', q.y))")
 
 
-def line_metres(line: Column) -> Column:
-    return F.aggregate(pieces(line), F.lit(0.0),
-                       lambda acc, p: acc + metres(p["x1"], p["y1"], p["x2"], p["y2"]))
+def line_metres(line: str) -> str:
+    return f"aggregate({pieces(line)}, 0D, (acc, p) -> acc + {metres('p.x1', 'p.y1', 'p.x2', 'p.y2')})"
 
 
-def bounds(line: Column) -> Column:
-    xs, ys = F.transform(line, lambda p: p["x"]), F.transform(line, lambda p: p["y"])
-    return F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
-                    F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
+def bounds(line: str) -> str:
+    xs, ys = f"transform({line}, p -> p.x)", f"transform({line}, p -> p.y)"
+    return (f"named_struct('xmin', array_min({xs}), 'ymin', array_min({ys}), "
+            f"'xmax', array_max({xs}), 'ymax', array_max({ys}))")
 
 
-def running_length(line: Column) -> Column:
+def running_length(line: str) -> str:
     """Planar distance from the start to every point, first entry 0."""
-    return F.aggregate(
-        pieces(line), F.array(F.lit(0.0)),
-        lambda acc, p: F.array_append(acc, F.element_at(acc, -1) + F.hypot(p["x2"] - p["x1"], p["y2"] - p["y1"])),
-    )
+    return (f"aggregate({pieces(line)}, array(0D), (acc, p) -> "
+            "array_append(acc, element_at(acc, -1) + hypot(p.x2 - p.x1, p.y2 - p.y1)))")
 
 
-def _point_at(line: Column, run: Column, dist: Column) -> Column:
+def _point_at(line: str, run: str, dist: str) -> str:
     """The point ``dist`` along the line: on the first piece whose end is at least that far."""
-    at = F.greatest(F.array_position(F.transform(run, lambda c: c >= dist), F.lit(True)).cast("int"), F.lit(1))
-    before = F.greatest(at - 1, F.lit(1))
-    p, q = F.element_at(line, before), F.element_at(line, at)
-    low, high = F.element_at(run, before), F.element_at(run, at)
-    share = F.try_divide(dist - low, high - low)
-    inside = (at > 1) & (dist < high)
-    return F.when(inside, point(p["x"] + share * (q["x"] - p["x"]), p["y"] + share * (q["y"] - p["y"]))).otherwise(q)
+    at = f"greatest(int(array_position(transform({run}, c -> c >= {dist}), true)), 1)"
+    # Bound to names by a one-entry transform, so the search runs once.
+    share = "(s.d - s.lo) / nullif(s.hi - s.lo, 0)"
+    found = (f"transform(array({at}), i -> named_struct('d', {dist}, 'p', {line}[greatest(i - 2, 0)], 'q', {line}[i - 1], "
+             f"'lo', {run}[greatest(i - 2, 0)], 'hi', {run}[i - 1]))")
+    placed = (f"if(s.d < s.hi and s.hi > s.lo, named_struct('x', s.p.x + {share} * (s.q.x - s.p.x), "
+              f"'y', s.p.y + {share} * (s.q.y - s.p.y)), s.q)")
+    return f"transform({found}, s -> {placed})"
 
 
-def line_substring(line: Column, run: Column, begin: Column, end: Column) -> Column:
-    """The part between two fractions of the planar length; ``run`` is ``running_length(line)``."""
-    total = F.element_at(run, -1)
-    lo, hi = begin * total, F.least(end * total, total)
-    numbered = F.zip_with(line, run, lambda p, c: F.struct(p.alias("p"), c.alias("c")))
-    middle = F.transform(F.filter(numbered, lambda n: (n["c"] > lo) & (n["c"] < hi)), lambda n: n["p"])
-    return F.concat(F.array(_point_at(line, run, lo)), middle, F.array(_point_at(line, run, hi)))
+def line_substring(line: str, run: str, begin: str, end: str) -> str:
+    """The part between two fractions of the planar length; ``run`` holds ``running_length(line)``."""
+    total = f"element_at({run}, -1)"
+    lo, hi = f"({begin} * {total})", f"least({end} * {total}, {total})"
+    middle = (f"transform(filter(zip_with({line}, {run}, (p, c) -> named_struct('p', p, 'c', c)), "
+              f"n -> n.c > {lo} and n.c < {hi}), n -> n.p)")
+    return f"concat({_point_at(line, run, lo)}, {middle}, {_point_at(line, run, hi)})"
 
 
-def flip_coordinates(line: Column) -> Column:
-    return F.transform(line, lambda p: point(p["y"], p["x"]))
+def flip_coordinates(line: str) -> str:
+    return f"transform({line}, p -> named_struct('x', p.y, 'y', p.x))"
 
 
-def is_valid_line(line: Column) -> Column:
+def is_valid_line(line: str) -> str:
     """At least two different points, all finite and inside lon/lat range; NULL stays NULL."""
-    good = F.forall(line, lambda p: F.coalesce(
-        (F.abs(p["x"]) <= 180.0) & (F.abs(p["y"]) <= 90.0), F.lit(False)))
-    return good & (F.size(F.array_distinct(line)) >= 2)
+    return (f"(forall({line}, p -> coalesce(abs(p.x) <= 180 and abs(p.y) <= 90, false)) "
+            f"and size(array_distinct({line})) >= 2)")
 
 
 def envelope(x1: float, y1: float, x2: float, y2: float) -> tuple[float, float, float, float]:
@@ -139,71 +131,66 @@ def envelope(x1: float, y1: float, x2: float, y2: float) -> tuple[float, float,
     return min(x1, x2), min(y1, y2), max(x1, x2), max(y1, y2)
 
 
-def side(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column) -> Column:
+def side(ax: str, ay: str, bx: str, by: str, cx: str, cy: str) -> str:
     """Twice the signed area of a, b, c: positive when c lies left of a to b."""
-    return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
+    return f"(({bx} - {ax}) * ({cy} - {ay}) - ({by} - {ay}) * ({cx} - {ax}))"
 
 
-def piece_in_window(p: Column, window: tuple[float, float, float, float]) -> Column:
-    """Whether a straight piece meets a closed rectangle, without dividing.
+def line_in_window(line: str, window: tuple[float, float, float, float]) -> str:
+    """Whether a line meets a closed rectangle, without dividing.
 
-    The boxes must overlap and the rectangle's corners must not all lie strictly on one side.
+    For some piece the boxes must overlap and the rectangle's corners must not all lie
+    strictly on one side of it.
     """
-    xmin, ymin, xmax, ymax = (F.lit(float(v)) for v in window)
-    sides = [side(p["x1"], p["y1"], p["x2"], p["y2"], cx, cy) for cx in (xmin, xmax) for cy in (ymin, ymax)]
-    return (
-        (F.least(p["x1"], p["x2"]) <= xmax) & (F.greatest(p["x1"], p["x2"]) >= xmin)
-        & (F.least(p["y1"], p["y2"]) <= ymax) & (F.greatest(p["y1"], p["y2"]) >= ymin)
-        & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
-    )
-
-
-def line_in_window(line: Column, window: tuple[float, float, float, float]) -> Column:
-    return F.exists(pieces(line), lambda p: piece_in_window(p, window))
+    xmin, ymin, xmax, ymax = (f"{float(v)!r}D" for v in window)
+    sides = ", ".join(side("p.x1", "p.y1", "p.x2", "p.y2", cx, cy) for cx in (xmin, xmax) for cy in (ymin, ymax))
+    return (f"exists({pieces(line)}, p -> least(p.x1, p.x2) <= {xmax} and greatest(p.x1, p.x2) >= {xmin} "
+            f"and least(p.y1, p.y2) <= {ymax} and greatest(p.y1, p.y2) >= {ymin} "
+            f"and least({sides}) <= 0 and greatest({sides}) >= 0)")
 
 
 # --- text and binary forms -------------------------------------------------------------
 
-def to_wkt(line: Column) -> Column:
-    body = F.array_join(F.transform(line, lambda p: F.concat_ws(" ", p["x"], p["y"])), ", ")
-    return F.when(F.size(line) >= 2, F.concat(F.lit("LINESTRING("), body, F.lit(")")))
+def to_wkt(line: str) -> str:
+    body = f"array_join(transform({line}, p -> concat_ws(' ', p.x, p.y)), ', ')"
+    return f"if(size({line}) >= 2, concat('LINESTRING(', {body}, ')'), null)"
 
 
-def from_wkt(text: Column) -> Column:
+def from_wkt(text: str) -> str:
     """Parse ``LINESTRING(x y, ...)``; any other text, bad number or lone point gives NULL."""
-    body = F.regexp_extract(text, r"(?i)^\s*LINESTRING\s*\(([^()]*)\)\s*$", 1)
-    pairs = F.transform(F.split(body, ","), lambda t: F.split(F.trim(t), r"\s+"))
-    line = F.transform(pairs, lambda a: F.struct(
-        F.get(a, F.lit(0)).try_cast("double").alias("x"), F.get(a, F.lit(1)).try_cast("double").alias("y")))
-    whole = F.forall(line, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
-    return F.when((F.size(line) >= 2) & whole, line)
+    body = rf"regexp_extract({text}, r'(?i)^\s*LINESTRING\s*\(([^()]*)\)\s*$', 1)"
+    pairs = rf"transform(split({body}, ','), t -> split(trim(t), r'\s+'))"
+    line = f"transform({pairs}, a -> named_struct('x', try_cast(get(a, 0) as double), 'y', try_cast(get(a, 1) as double)))"
+    return (f"aggregate(array({line}), cast(null as {LINE_TYPE}), (acc, l) -> "
+            "if(size(l) >= 2 and forall(l, p -> p.x is not null and p.y is not null), l, acc))")
 
 
-def to_geojson(line: Column) -> Column:
+def to_geojson(line: str) -> str:
     """A GeoJSON LineString text; NULL stays NULL."""
-    coords = F.transform(line, lambda p: F.array(p["x"], p["y"]))
-    return F.when(line.isNotNull(), F.to_json(F.struct(F.lit("LineString").alias("type"), coords.alias("coordinates"))))
+    return f"if({line} is null, null, to_json({geojson_struct(line)}))"
+
+
+def geojson_struct(line: str) -> str:
+    return (f"if({line} is null, null, named_struct('type', 'LineString', "
+            f"'coordinates', transform({line}, p -> array(p.x, p.y))))")
 
 
-def geojson_lines(text: Column) -> Column:
+def geojson_lines(text: str) -> str:
     """All drawable lines of a GeoJSON geometry text: ``array<line>``.
 
     Multi lines give one entry per part; points with fewer than two numbers are left out,
     then lines of fewer than two points; other geometry types give an empty array.
     """
-    kind = F.get_json_object(text, "$.type")
-    coords = F.get_json_object(text, "$.coordinates")
-    single = F.array(F.from_json(coords, "array<array<double>>"))
-    multi = F.from_json(coords, "array<array<array<double>>>")
-    parts = (F.when(kind == "LineString", single).when(kind == "MultiLineString", multi)
-             .otherwise(F.array().cast("array<array<array<double>>>")))
-    lines = F.transform(parts, lambda part: F.transform(
-        F.filter(part, lambda c: F.size(c) >= 2), lambda c: point(F.get(c, F.lit(0)), F.get(c, F.lit(1)))))
-    return F.filter(lines, lambda part: F.size(part) >= 2)
+    kind, coords = f"get_json_object({text}, '$.type')", f"get_json_object({text}, '$.coordinates')"
+    parts = (f"case {kind} when 'LineString' then array(from_json({coords}, 'array<array<double>>')) "
+             f"when 'MultiLineString' then from_json({coords}, 'array<array<array<double>>>') "
+             "else cast(array() as array<array<array<double>>>) end")
+    lines = f"transform({parts}, part -> transform(filter(part, c -> size(c) >= 2), c -> named_struct('x', c[0], 'y', c[1])))"
+    return f"filter({lines}, l -> size(l) >= 2)"
 
 
-def from_geojson(text: Column) -> Column:
-    return F.try_element_at(geojson_lines(text), F.lit(1))
+def from_geojson(text: str) -> str:
+    return f"try_element_at({geojson_lines(text)}, 1)"
 
 
 # WKB geometry code of a line and the flag that says an SRID follows.
@@ -248,19 +235,19 @@ def _wkb_bytes(flat: pd.Series) -> pd.Series:
     return flat.map(_encode_wkb, na_action="ignore")
 
 
-def from_wkb(data: Column) -> Column:
+def from_wkb(data: Column | str) -> Column:
     """Decode a WKB or EWKB line; other geometry types and broken bytes give NULL."""
-    coords = _wkb_coords(data)
+    coords = _wkb_coords(F.col(data) if isinstance(data, str) else data)
     return F.arrays_zip(coords["x"], coords["y"]).cast(LINE_TYPE)
 
 
-def to_wkb(line: Column) -> Column:
-    return _wkb_bytes(F.flatten(F.transform(line, lambda p: F.array(p["x"], p["y"]))))
+def to_wkb(line: str) -> Column:
+    return _wkb_bytes(F.expr(f"flatten(transform({line}, p -> array(p.x, p.y)))"))
 
 
-def from_hex_wkb(text: Column) -> Column:
+def from_hex_wkb(text: Column | str) -> Column:
     return from_wkb(F.unhex(text))
 
 
-def to_hex_wkb(line: Column) -> Column:
+def to_hex_wkb(line: str) -> Column:
     return F.hex(to_wkb(line))

@@ -39,19 +39,18 @@ def distinct_edges(edges: DataFrame) -> DataFrame:
 def with_line(edges: DataFrame) -> DataFrame:
     """Decode a WKB geometry column; a line column stays as it is."""
     if isinstance(edges.schema["geometry"].dataType, T.BinaryType):
-        return edges.withColumn("geometry", geo.from_wkb(F.col("geometry")))
+        return edges.withColumn("geometry", geo.from_wkb("geometry"))
     return edges
 
 
 def build_road_network(edges: DataFrame) -> DataFrame:
     """The edge table with spheroidal length, azimuth and a numeric speed limit."""
-    line = F.col("geometry")
     return with_line(distinct_edges(edges)).select(
         "u", "v", "osmid", "name", "oneway", "highway",
         clean_speed_limit(F.col("maxspeed")).alias("speed_limit"),
         "lanes",
-        geo.line_metres(line).alias("length"),
-        geo.azimuth(line).alias("azimuth"),
+        F.expr(geo.line_metres("geometry")).alias("length"),
+        F.expr(geo.azimuth("geometry")).alias("azimuth"),
         "geometry",
     )
 
@@ -61,7 +60,7 @@ def chunk_plan(edges: DataFrame, chunk_m: float = 100.0) -> DataFrame:
 
     Fractions come from metres; a line of no length is one chunk from 0 to 1.
     """
-    measured = edges.withColumn("line_m", geo.line_metres(F.col("geometry")))
+    measured = edges.withColumn("line_m", F.expr(geo.line_metres("geometry")))
     count = F.greatest(F.ceil(F.col("line_m") / float(chunk_m)), F.lit(1)).cast("int")
     counted = measured.withColumn("chunks", count)
     rows = counted.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -82,20 +81,19 @@ def build_road_segments(edges: DataFrame, chunk_m: float = 100.0, id_scope: str
     if id_scope not in ("osmid", "edge"):
         raise ValueError("id_scope is 'osmid' or 'edge'")
     owner = F.col("osmid") if id_scope == "osmid" else F.concat_ws("_", "osmid", "u", "v")
-    lines = with_line(distinct_edges(edges)).withColumn("run", geo.running_length(F.col("geometry")))
+    lines = with_line(distinct_edges(edges)).withColumn("run", F.expr(geo.running_length("geometry")))
     cut = chunk_plan(lines, chunk_m).select(
         segment_id(owner, F.col("chunk")).alias("segment_id"),
         "osmid", "u", "v", "name", "oneway", "highway", "maxspeed", "lanes",
-        geo.line_substring(F.col("geometry"), F.col("run"), F.col("begin_at"), F.col("end_at")).alias("geometry"),
+        F.expr(geo.line_substring("geometry", "run", "begin_at", "end_at")).alias("geometry"),
     )
-    kept = one_row_per_key(cut, ["segment_id"], [F.col("u"), F.col("v"), F.struct(*[
-        c for c in cut.columns if c not in ("segment_id", "u", "v")])])
-    line = F.col("geometry")
+    # Edges are distinct on these three, so they decide alone.
+    kept = one_row_per_key(cut, ["segment_id"], [F.col("u"), F.col("v"), F.col("osmid")])
     return kept.select(
         "segment_id", "osmid", "u", "v", "name", "oneway", "highway",
         clean_speed_limit(F.col("maxspeed")).alias("speed_limit"),
         "lanes",
-        geo.azimuth(line).alias("azimuth"),
-        geo.line_metres(line).alias("length"),
+        F.expr(geo.azimuth("geometry")).alias("azimuth"),
+        F.expr(geo.line_metres("geometry")).alias("length"),
         "geometry",
     )

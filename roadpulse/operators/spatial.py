@@ -8,7 +8,7 @@ line ids, which also removes repeats from shared cells.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geometry as geo
@@ -28,106 +28,81 @@ MARGIN = 1e-9
 
 def line_pieces(lines: DataFrame, ids: list[str], line: str, keep: list[str] | None = None) -> DataFrame:
     """Straight pieces of every line: ids, kept columns, ``part`` (0-based), ``parts``, ``closed``, ends."""
-    geometry = F.col(line)
-    split = lines.select(
-        *ids, *(keep or []),
-        (F.size(geometry) - 1).alias("parts"),
-        (geo.start_point(geometry) == geo.end_point(geometry)).alias("closed"),
-        F.posexplode(geo.pieces(geometry)).alias("part", "p"),
-    )
-    return split.select(*ids, *(keep or []), "parts", "closed", "part", "p.x1", "p.y1", "p.x2", "p.y2")
+    carried = [*ids, *(keep or [])]
+    split = lines.selectExpr(
+        *carried, f"size({line}) - 1 as parts", f"{geo.start_point(line)} = {geo.end_point(line)} as closed",
+        f"posexplode({geo.pieces(line)}) as (part, p)")
+    return split.select(*carried, "parts", "closed", "part", "p.x1", "p.y1", "p.x2", "p.y2")
 
 
 def _with_box(pieces: DataFrame, prefix: str, grow: float) -> DataFrame:
-    named = pieces.select(*[F.col(c).alias(prefix + c) for c in pieces.columns])
-    x1, y1, x2, y2 = (F.col(prefix + c) for c in ("x1", "y1", "x2", "y2"))
-    return named.withColumns({
-        prefix + "xmin": F.least(x1, x2) - grow, prefix + "xmax": F.greatest(x1, x2) + grow,
-        prefix + "ymin": F.least(y1, y2) - grow, prefix + "ymax": F.greatest(y1, y2) + grow,
-    })
+    box = [f"{pick}({prefix}{axis}1, {prefix}{axis}2) {sign} {grow!r}D as {prefix}{axis}{end}"
+           for axis in "xy" for end, pick, sign in (("min", "least", "-"), ("max", "greatest", "+"))]
+    return pieces.selectExpr(*[f"{c} as {prefix}{c}" for c in pieces.columns]).selectExpr("*", *box)
 
 
-def _cell_of(value: Column, size: float) -> Column:
-    return F.floor(value / size)
-
-
-def _touched(prefix: str, grow: float, size: float, first: tuple[Column, Column] | None = None) -> Column:
+def _touched(prefix: str, grow: float, size: float, block: tuple[str, str] | None = None) -> str:
     """Cells of one size that a piece, grown by ``grow``, touches: ``array<struct<cx,cy>>``.
 
     Column by column, rows follow from the stretch of the piece over that column, so a long
-    slanted piece costs its length in cells and not its box. ``first`` limits the cells to
+    slanted piece costs its length in cells and not its box. ``block`` limits the cells to
     the FINER x FINER block that starts there.
     """
-    x1, y1, x2, y2 = (F.col(prefix + c) for c in ("x1", "y1", "x2", "y2"))
-    xmin, xmax = F.col(prefix + "xmin"), F.col(prefix + "xmax")
-    ymin, ymax = F.col(prefix + "ymin"), F.col(prefix + "ymax")
-    slope = F.try_divide(y2 - y1, x2 - x1)
-    c_lo, c_hi = _cell_of(xmin - MARGIN, size), _cell_of(xmax + MARGIN, size)
-    if first is not None:
-        c_lo, c_hi = F.greatest(c_lo, first[0]), F.least(c_hi, first[0] + FINER - 1)
-
-    def rows_of(cx: Column) -> Column:
-        left = F.greatest(xmin, cx * size - grow - MARGIN)
-        right = F.least(xmax, (cx + 1) * size + grow + MARGIN)
-        at_left, at_right = y1 + (left - x1) * slope, y1 + (right - x1) * slope
-        # Past the ends of the piece the straight rule overshoots; the box bounds it again.
-        low = F.coalesce(F.greatest(F.least(at_left, at_right) - grow, ymin), ymin)
-        high = F.coalesce(F.least(F.greatest(at_left, at_right) + grow, ymax), ymax)
-        r_lo, r_hi = _cell_of(low - MARGIN, size), _cell_of(high + MARGIN, size)
+    x1, y1, xmin, xmax, ymin, ymax = (prefix + c for c in ("x1", "y1", "xmin", "xmax", "ymin", "ymax"))
+    slope = f"(({prefix}y2 - {y1}) / nullif({prefix}x2 - {x1}, 0))"
+
+    def cell_range(low: str, high: str, first: str | None) -> str:
+        lo, hi = f"floor(({low} - {MARGIN}D) / {size!r}D)", f"floor(({high} + {MARGIN}D) / {size!r}D)"
         if first is not None:
-            r_lo, r_hi = F.greatest(r_lo, first[1]), F.least(r_hi, first[1] + FINER - 1)
-        cells = F.transform(F.sequence(r_lo, F.greatest(r_lo, r_hi)),
-                            lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))
-        return F.filter(cells, lambda c: c["cy"] <= r_hi)
+            lo, hi = f"greatest({lo}, {first})", f"least({hi}, {first} + {FINER - 1})"
+        return f"if({lo} <= {hi}, sequence({lo}, {hi}), array())"
 
-    columns = F.filter(F.sequence(c_lo, F.greatest(c_lo, c_hi)), lambda cx: cx <= c_hi)
-    return F.flatten(F.transform(columns, rows_of))
+    def y_at(x: str) -> str:
+        return f"{y1} + ({x} - {x1}) * {slope}"
+
+    left = f"greatest({xmin}, cx * {size!r}D - {grow + MARGIN!r}D)"
+    right = f"least({xmax}, (cx + 1) * {size!r}D + {grow + MARGIN!r}D)"
+    # Past the ends of the piece the straight rule overshoots; the box bounds it again.
+    low = f"coalesce(greatest(least({y_at(left)}, {y_at(right)}) - {grow!r}D, {ymin}), {ymin})"
+    high = f"coalesce(least(greatest({y_at(left)}, {y_at(right)}) + {grow!r}D, {ymax}), {ymax})"
+    rows = cell_range("b.low", "b.high", block and block[1])
+    return (f"flatten(transform({cell_range(xmin, xmax, block and block[0])}, cx -> flatten(transform("
+            f"array(named_struct('low', {low}, 'high', {high})), b -> transform({rows}, "
+            f"cy -> named_struct('cx', cx, 'cy', cy))))))")
 
 
 def _in_cells(boxed: DataFrame, prefix: str, grow: float, cell: float) -> DataFrame:
-    return boxed.withColumn("c", F.explode(_touched(prefix, grow, cell))).select(
-        *boxed.columns, F.col("c.cx").alias("cx"), F.col("c.cy").alias("cy"))
+    return boxed.selectExpr("*", f"inline({_touched(prefix, grow, cell)})")
 
 
 def hot_cells(left: DataFrame, right: DataFrame, hot_rows: int) -> DataFrame:
     """The largest cells of both sides with their numbers of salts; at most HOT_CELLS rows."""
-    tagged = left.select("cx", "cy", F.lit(1).alias("l"), F.lit(0).alias("r")).unionAll(
-        right.select("cx", "cy", F.lit(0).alias("l"), F.lit(1).alias("r")))
+    tagged = left.selectExpr("cx", "cy", "1 as l", "0 as r").unionAll(right.selectExpr("cx", "cy", "0 as l", "1 as r"))
     sizes = tagged.groupBy("cx", "cy").agg(F.sum("l").alias("l_rows"), F.sum("r").alias("r_rows"))
-    hot = sizes.filter(F.col("l_rows") + F.col("r_rows") >= hot_rows)
-    top = hot.orderBy(F.desc(F.col("l_rows") + F.col("r_rows")), "cx", "cy").limit(HOT_CELLS)
-
-    def salts(rows: str) -> Column:
-        return F.least(F.lit(MAX_SALTS), F.ceil(F.col(rows) / hot_rows), ).cast("int")
-
-    return top.select("cx", "cy", F.greatest(salts("l_rows"), F.lit(1)).alias("l_salts"),
-                      F.greatest(salts("r_rows"), F.lit(1)).alias("r_salts"))
+    top = (sizes.filter(f"l_rows + r_rows >= {hot_rows}")
+           .orderBy(F.expr("l_rows + r_rows").desc(), "cx", "cy").limit(HOT_CELLS))
+    salts = [f"int(greatest(least(ceil({side}_rows / {hot_rows}), {MAX_SALTS}), 1)) as {side}_salts" for side in "lr"]
+    return top.selectExpr("cx", "cy", *salts)
 
 
 def _spread(cells: DataFrame, prefix: str, ids: list[str], grow: float, cell: float, hot: DataFrame) -> DataFrame:
     """Give rows of hot cells finer cells and salts; all others keep their cell."""
     own, other = ("l_salts", "r_salts") if prefix == "l_" else ("r_salts", "l_salts")
     marked = cells.join(F.broadcast(hot), ["cx", "cy"], "left")
-    fine = _touched(prefix, grow, cell / FINER, (F.col("cx") * FINER, F.col("cy") * FINER))
-    mine = F.pmod(F.xxhash64(*[prefix + c for c in ids], prefix + "part"), F.col(own)).cast("int")
-
-    def key(c: Column, level: int, own_salt: Column, other_salt: Column) -> Column:
-        pair = (own_salt, other_salt) if prefix == "l_" else (other_salt, own_salt)
-        return F.struct(F.lit(level).alias("level"), c["cx"].alias("cx"), c["cy"].alias("cy"),
-                        pair[0].alias("sl"), pair[1].alias("sr"))
-
-    split = F.flatten(F.transform(fine, lambda c: F.transform(
-        F.sequence(F.lit(0), F.col(other) - 1), lambda s: key(c, 1, mine, s))))
-    plain = F.array(F.struct(F.lit(0).alias("level"), F.col("cx"), F.col("cy"),
-                             F.lit(0).alias("sl"), F.lit(0).alias("sr")))
-    keys = F.when(F.col(own).isNull(), plain).otherwise(split)
-    return marked.withColumn("k", F.explode(keys)).drop("cx", "cy", "l_salts", "r_salts").select(
-        "*", "k.level", "k.cx", "k.cy", "k.sl", "k.sr").drop("k")
+    fine = _touched(prefix, grow, cell / FINER, (f"cx * {FINER}", f"cy * {FINER}"))
+    hashed = ", ".join(prefix + c for c in [*ids, "part"])
+    mine = f"int(pmod(xxhash64({hashed}), {own}))"
+    sl, sr = (mine, "s") if prefix == "l_" else ("s", mine)
+    split = (f"flatten(transform({fine}, c -> transform(sequence(0, {other} - 1), s -> "
+             f"named_struct('level', 1, 'cx', c.cx, 'cy', c.cy, 'sl', {sl}, 'sr', {sr}))))")
+    plain = "array(named_struct('level', 0, 'cx', cx, 'cy', cy, 'sl', 0, 'sr', 0))"
+    kept = [c for c in cells.columns if c not in ("cx", "cy")]
+    return marked.selectExpr(*kept, f"inline(if({own} is null, {plain}, {split}))")
 
 
 def near_pieces(left: DataFrame, right: DataFrame, left_ids: list[str], right_ids: list[str],
                 grow: float = 0.0, cell: float = CELL_DEGREES, hot_rows: int | None = HOT_ROWS,
-                extra: Column | None = None) -> DataFrame:
+                extra: str | None = None) -> DataFrame:
     """Pairs of pieces whose boxes meet, the left one grown by ``grow``; columns ``l_*`` and ``r_*``.
 
     A pair may come once per shared cell. ``extra`` is one more join condition.
@@ -140,32 +115,23 @@ def near_pieces(left: DataFrame, right: DataFrame, left_ids: list[str], right_id
         cells_l = _spread(cells_l, "l_", left_ids, grow, cell, hot)
         cells_r = _spread(cells_r, "r_", right_ids, 0.0, cell, hot)
         on = ["level", "cx", "cy", "sl", "sr"]
-    a, b = cells_l.alias("a"), cells_r.alias("b")
-    meet = (
-        (F.col("l_xmin") <= F.col("r_xmax")) & (F.col("l_xmax") >= F.col("r_xmin"))
-        & (F.col("l_ymin") <= F.col("r_ymax")) & (F.col("l_ymax") >= F.col("r_ymin"))
-    )
-    for c in on:
-        meet = (F.col(f"a.{c}") == F.col(f"b.{c}")) & meet
-    if extra is not None:
-        meet = meet & extra
-    kept = [F.col("a." + c) for c in boxed_l.columns] + [F.col("b." + c) for c in boxed_r.columns]
-    return a.join(b, meet).select(*kept)
+    same = " and ".join(f"a.{c} = b.{c}" for c in on)
+    meet = "l_xmin <= r_xmax and l_xmax >= r_xmin and l_ymin <= r_ymax and l_ymax >= r_ymin"
+    condition = " and ".join([same, meet] + ([extra] if extra else []))
+    kept = [*["a." + c for c in boxed_l.columns], *["b." + c for c in boxed_r.columns]]
+    return cells_l.alias("a").join(cells_r.alias("b"), F.expr(condition)).select(*kept)
 
 
 def with_sides(pairs: DataFrame) -> DataFrame:
     """Orientation of each piece's ends against the other piece, and whether the pieces meet."""
-    l1, l2 = (F.col("l_x1"), F.col("l_y1")), (F.col("l_x2"), F.col("l_y2"))
-    r1, r2 = (F.col("r_x1"), F.col("r_y1")), (F.col("r_x2"), F.col("r_y2"))
-    sided = pairs.withColumns({
-        "s_r1": geo.side(*l1, *l2, *r1), "s_r2": geo.side(*l1, *l2, *r2),
-        "s_l1": geo.side(*r1, *r2, *l1), "s_l2": geo.side(*r1, *r2, *l2),
-    })
-    boxes = (
-        (F.least("l_x1", "l_x2") <= F.greatest("r_x1", "r_x2")) & (F.greatest("l_x1", "l_x2") >= F.least("r_x1", "r_x2"))
-        & (F.least("l_y1", "l_y2") <= F.greatest("r_y1", "r_y2")) & (F.greatest("l_y1", "l_y2") >= F.least("r_y1", "r_y2"))
-    )
-    return sided.withColumn("meets", boxes & (F.col("s_r1") * F.col("s_r2") <= 0) & (F.col("s_l1") * F.col("s_l2") <= 0))
+    left, right = ("l_x1", "l_y1", "l_x2", "l_y2"), ("r_x1", "r_y1", "r_x2", "r_y2")
+    sided = pairs.selectExpr(
+        "*",
+        f"{geo.side(*left, *right[:2])} as s_r1", f"{geo.side(*left, *right[2:])} as s_r2",
+        f"{geo.side(*right, *left[:2])} as s_l1", f"{geo.side(*right, *left[2:])} as s_l2")
+    boxes = " and ".join(f"least(l_{c}1, l_{c}2) <= greatest(r_{c}1, r_{c}2) and greatest(l_{c}1, l_{c}2) >= least(r_{c}1, r_{c}2)"
+                         for c in "xy")
+    return sided.selectExpr("*", f"{boxes} and s_r1 * s_r2 <= 0 and s_l1 * s_l2 <= 0 as meets")
 
 
 def intersecting_lines(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
@@ -183,83 +149,60 @@ def capsule_interval(pairs: DataFrame, radius: float) -> DataFrame:
     The points near a straight piece form a capsule: a slab along it and a circle at either
     end. A capsule is convex, so the three stretches make up one; NULL when there is none.
     """
-    c = F.col
+    def over(top: str, bottom: str) -> str:
+        return f"({top}) / nullif({bottom}, 0)"
+
+    step = pairs.selectExpr(
+        "*", "r_x1 - l_x1 as px", "r_y1 - l_y1 as py", "r_x2 - r_x1 as dx", "r_y2 - r_y1 as dy",
+        "l_x2 - l_x1 as ex", "l_y2 - l_y1 as ey")
+    step = step.selectExpr(
+        "*", "ex * ex + ey * ey as ee", "dx * dx + dy * dy as dd", "px * ex + py * ey as pe", "dx * ex + dy * ey as de",
+        "px * dx + py * dy as pd", "px * px + py * py as pp", "ex * py - ey * px as ep", "ex * dy - ey * dx as ed")
+    # The second circle is about the far end, so its start vector is p - e.
+    step = step.selectExpr(
+        "*", f"{over('pe', 'ee')} as s0", f"{over('de', 'ee')} as s1",
+        f"{over('ep', 'sqrt(ee)')} as h0", f"{over('ed', 'sqrt(ee)')} as h1",
+        "pd - de as qd", "pp - 2 * pe + ee as qq")
+    r, r2 = f"{radius!r}D", f"{radius * radius!r}D"
+    step = step.selectExpr("*", f"pd * pd - dd * (pp - {r2}) as disc1", f"qd * qd - dd * (qq - {r2}) as disc2")
+
+    def linear(base: str, rate: str, low: str, high: str, name: str) -> list[str]:
+        """Where low <= base + t * rate <= high."""
+        t1, t2 = over(f"{low} - {base}", rate), over(f"{high} - {base}", rate)
+        always = f"{base} between {low} and {high}"
+        return [f"case when {rate} <> 0 then {pick}({t1}, {t2}) when {always} then {still} end as {name}_{end}"
+                for end, pick, still in (("lo", "least", "0D"), ("hi", "greatest", "1D"))]
+
+    def circle(b: str, disc: str, name: str) -> list[str]:
+        return [over(f"-{b} {sign} sqrt(if({disc} >= 0, {disc}, null))", "dd") + f" as {name}_{end}"
+                for end, sign in (("lo", "-"), ("hi", "+"))]
+
+    step = step.selectExpr("*", *linear("h0", "h1", f"-{r}", r, "wide"), *linear("s0", "s1", "0D", "1D", "long"),
+                           *circle("pd", "disc1", "near"), *circle("qd", "disc2", "far"))
+    # greatest and least skip NULL, so a missing stretch is kept missing by hand.
+    step = step.selectExpr(
+        "*",
+        "if(wide_lo is null or long_lo is null, null, greatest(wide_lo, long_lo, 0D)) as slab_lo",
+        "if(wide_lo is null or long_lo is null, null, least(wide_hi, long_hi, 1D)) as slab_hi",
+        "if(near_lo is null, null, greatest(near_lo, 0D)) as one_lo", "if(near_lo is null, null, least(near_hi, 1D)) as one_hi",
+        "if(far_lo is null, null, greatest(far_lo, 0D)) as two_lo", "if(far_lo is null, null, least(far_hi, 1D)) as two_hi")
 
-    def over(top: Column, bottom: Column) -> Column:
-        return top / F.when(bottom != 0, bottom)
+    def real(end: str) -> str:
+        return ", ".join(f"if({n}_lo <= {n}_hi, {n}_{end}, null)" for n in ("slab", "one", "two"))
 
-    step = pairs.select(
-        "*",
-        (c("r_x1") - c("l_x1")).alias("px"), (c("r_y1") - c("l_y1")).alias("py"),
-        (c("r_x2") - c("r_x1")).alias("dx"), (c("r_y2") - c("r_y1")).alias("dy"),
-        (c("l_x2") - c("l_x1")).alias("ex"), (c("l_y2") - c("l_y1")).alias("ey"),
-    )
-    step = step.select(
-        "*",
-        (c("ex") * c("ex") + c("ey") * c("ey")).alias("ee"), (c("dx") * c("dx") + c("dy") * c("dy")).alias("dd"),
-        (c("px") * c("ex") + c("py") * c("ey")).alias("pe"), (c("dx") * c("ex") + c("dy") * c("ey")).alias("de"),
-        (c("px") * c("dx") + c("py") * c("dy")).alias("pd"), (c("px") * c("px") + c("py") * c("py")).alias("pp"),
-        (c("ex") * c("py") - c("ey") * c("px")).alias("ep"), (c("ex") * c("dy") - c("ey") * c("dx")).alias("ed"),
-    )
-    r2 = radius * radius
-    step = step.select(
-        "*",
-        over(c("pe"), c("ee")).alias("s0"), over(c("de"), c("ee")).alias("s1"),
-        over(c("ep"), F.sqrt("ee")).alias("h0"), over(c("ed"), F.sqrt("ee")).alias("h1"),
-        # The second circle is about the far end, so its start vector is p - e.
-        (c("pd") - c("de")).alias("qd"), (c("pp") - 2 * c("pe") + c("ee")).alias("qq"),
-    )
-    step = step.select(
-        "*",
-        (c("pd") * c("pd") - c("dd") * (c("pp") - r2)).alias("disc1"),
-        (c("qd") * c("qd") - c("dd") * (c("qq") - r2)).alias("disc2"),
-    )
+    return step.selectExpr(*pairs.columns, f"least({real('lo')}) as lo", f"greatest({real('hi')}) as hi")
 
-    def linear(base: str, rate: str, low: float, high: float) -> tuple[Column, Column]:
-        """Where low <= base + t * rate <= high."""
-        always = (c(rate) == 0) & c(base).between(low, high)
-        t1, t2 = over(F.lit(low) - c(base), c(rate)), over(F.lit(high) - c(base), c(rate))
-        moving = c(rate) != 0
-        return (F.when(moving, F.least(t1, t2)).when(always, 0.0), F.when(moving, F.greatest(t1, t2)).when(always, 1.0))
-
-    def circle(b: str, disc: str) -> tuple[Column, Column]:
-        root = F.sqrt(F.when(c(disc) >= 0, c(disc)))
-        return over(-c(b) - root, c("dd")), over(-c(b) + root, c("dd"))
-
-    wide, long = linear("h0", "h1", -radius, radius), linear("s0", "s1", 0.0, 1.0)
-    near, far = circle("pd", "disc1"), circle("qd", "disc2")
-    step = step.select("*", wide[0].alias("w_lo"), wide[1].alias("w_hi"), long[0].alias("g_lo"), long[1].alias("g_hi"),
-                       near[0].alias("n_lo"), near[1].alias("n_hi"), far[0].alias("f_lo"), far[1].alias("f_hi"))
-    in_slab = c("w_lo").isNotNull() & c("g_lo").isNotNull()
-    step = step.select(
-        "*",
-        F.when(in_slab, F.greatest("w_lo", "g_lo", F.lit(0.0))).alias("a_lo"),
-        F.when(in_slab, F.least("w_hi", "g_hi", F.lit(1.0))).alias("a_hi"),
-        F.when(c("n_lo").isNotNull(), F.greatest("n_lo", F.lit(0.0))).alias("b_lo"),
-        F.when(c("n_lo").isNotNull(), F.least("n_hi", F.lit(1.0))).alias("b_hi"),
-        F.when(c("f_lo").isNotNull(), F.greatest("f_lo", F.lit(0.0))).alias("c_lo"),
-        F.when(c("f_lo").isNotNull(), F.least("f_hi", F.lit(1.0))).alias("c_hi"),
-    )
-    full = [(F.when(c(n + "_lo") <= c(n + "_hi"), c(n + "_lo")), F.when(c(n + "_lo") <= c(n + "_hi"), c(n + "_hi")))
-            for n in "abc"]
-    return step.select(*pairs.columns, F.least(*[f[0] for f in full]).alias("lo"),
-                       F.greatest(*[f[1] for f in full]).alias("hi"))
-
-
-def covered_metres(stretches: Column) -> Column:
+
+def covered_metres(stretches: str) -> str:
     """Metres under a set of stretches, overlaps counted once.
 
     ``stretches`` is ``array<struct<part, lo, hi, x1, y1, x2, y2>>`` over the pieces of one
     line. Sorted, each adds what reaches past the furthest end so far on its piece.
     """
-    def add(acc: Column, s: Column) -> Column:
-        same = acc["part"] == s["part"]
-        start = F.when(same, F.greatest(acc["end"], s["lo"])).otherwise(s["lo"])
-        end = F.greatest(start, s["hi"])
-        x, y = s["x2"] - s["x1"], s["y2"] - s["y1"]
-        fresh = F.when(end > start, geo.metres(s["x1"] + start * x, s["y1"] + start * y,
-                                               s["x1"] + end * x, s["y1"] + end * y)).otherwise(0.0)
-        return F.struct(s["part"].alias("part"), end.alias("end"), (acc["total"] + fresh).alias("total"))
-
-    begin = F.struct(F.lit(-1).alias("part"), F.lit(0.0).alias("end"), F.lit(0.0).alias("total"))
-    return F.aggregate(F.array_sort(stretches), begin, add, lambda acc: acc["total"])
+    start = "if(acc.part = s.part, greatest(acc.end, s.lo), s.lo)"
+    at = [f"s.{c}1 + n.{end} * (s.{c}2 - s.{c}1)" for end in ("start", "end") for c in "xy"]
+    fresh = f"if(n.end > n.start, {geo.metres(*at)}, 0D)"
+    added = (f"transform(array(named_struct('start', {start}, 'end', greatest({start}, s.hi))), "
+             f"n -> named_struct('part', s.part, 'end', n.end, 'total', acc.total + {fresh}))[0]")
+    return (f"aggregate(array_sort({stretches}), named_struct('part', -1, 'end', 0D, 'total', 0D), "
+            f"(acc, s) -> {added}, acc -> acc.total)")
