@@ -60,4 +60,8 @@ def short_time(text: Column) -> Column:
 
 
 def one_decimal(value: Column) -> Column:
-    return F.format_string("%.1f", F.coalesce(value.cast("double"), F.lit(0.0)))
+    """One decimal place by the number's exact binary value, exact halves away from zero; NULL shows as 0.0."""
+    x = F.coalesce(value.cast("double"), F.lit(0.0))
+    # Only quarters can be exact halves; the formatter would round those to even.
+    nudged = F.when(x * 4 == F.floor(x * 4), x + F.signum(x) * 0.01).otherwise(x)
+    return F.call_function("format_number", nudged, F.lit("0.0"))
