@@ -110,7 +110,8 @@ def near_pieces(left: DataFrame, right: DataFrame, left_ids: list[str], right_id
     boxed_l, boxed_r = _with_box(left, "l_", grow), _with_box(right, "r_", 0.0)
     cells_l, cells_r = _in_cells(boxed_l, "l_", grow, cell), _in_cells(boxed_r, "r_", 0.0, cell)
     on = ["cx", "cy"]
-    if hot_rows is not None:
+    # A cell has no more rows than there are pieces, so few pieces need no look for hot cells.
+    if hot_rows is not None and left.count() + right.count() >= hot_rows:
         hot = hot_cells(cells_l, cells_r, hot_rows)
         cells_l = _spread(cells_l, "l_", left_ids, grow, cell, hot)
         cells_r = _spread(cells_r, "r_", right_ids, 0.0, cell, hot)
