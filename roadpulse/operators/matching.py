@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import geometry as geo
 from roadpulse.functions.traffic import congestion_level, kmh
+from roadpulse.operators.rows import salted_join
 from roadpulse.operators.spatial import capsule_interval, covered_metres, line_pieces, near_pieces, with_sides
 from roadpulse.session import cut_lineage
 
@@ -33,22 +34,22 @@ def _first_order(flow: DataFrame) -> Column:
     return F.xxhash64("timestamp", "speed", "jamFactor", "confidence", "freeFlowSpeed", "traversability", "traverse_length")
 
 
-def roll_up_lines(flow: DataFrame) -> DataFrame:
-    """Partial measures per distinct traffic line.
+def roll_up_lines(flow: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Partial measures per distinct traffic line, and per value of ``by``.
 
     The first aggregate has only fixed-width buffers (traversability is in the key), so it
     stays a hash aggregate with map-side combine over the whole history.
     """
     rows = with_flow_line(flow).filter(F.col("line").isNotNull()).withColumn("pick", _first_order(flow))
-    by_state = rows.groupBy("line", "traversability").agg(
+    by_state = rows.groupBy("line", *by, "traversability").agg(
         F.count("*").alias("n"),
         F.sum("speed").alias("speed_sum"), F.count("speed").alias("speed_n"), F.min("speed").alias("speed_min"),
-        F.max("jamFactor").alias("jam"), F.max("confidence").alias("confidence"), F.max("timestamp").alias("timestamp"),
+        F.max("jamFactor").alias("jam"), F.max("confidence").alias("confidence"), F.max("timestamp").alias("latest"),
         F.min("pick").alias("pick"),
         F.min_by("freeFlowSpeed", "pick").alias("freeFlowSpeed"),
         F.min_by("traverse_length", "pick").alias("traverse_length"),
     )
-    return by_state.groupBy("line").agg(*_combined("n"), _first_attributes())
+    return by_state.groupBy("line", *by).agg(*_combined("n"), _first_attributes())
 
 
 def _combined(*counts: str) -> list[Column]:
@@ -56,7 +57,7 @@ def _combined(*counts: str) -> list[Column]:
     return [
         *[F.sum(c).alias(c) for c in counts],
         F.sum("speed_sum").alias("speed_sum"), F.sum("speed_n").alias("speed_n"), F.min("speed_min").alias("speed_min"),
-        F.max("jam").alias("jam"), F.max("confidence").alias("confidence"), F.max("timestamp").alias("timestamp"),
+        F.max("jam").alias("jam"), F.max("confidence").alias("confidence"), F.max("latest").alias("latest"),
     ]
 
 
@@ -110,7 +111,7 @@ def overlap_stats(metrics: DataFrame) -> DataFrame:
     )
 
 
-_MEASURES = ["n", "speed_sum", "speed_n", "speed_min", "jam", "confidence", "timestamp", "first"]
+_MEASURES = ["n", "speed_sum", "speed_n", "speed_min", "jam", "confidence", "latest", "first"]
 
 
 def line_matches(flow: DataFrame, segments: DataFrame, buffer_deg: float = BUFFER_DEGREES,
@@ -124,14 +125,14 @@ def line_matches(flow: DataFrame, segments: DataFrame, buffer_deg: float = BUFFE
     return match_metrics(shapes, segments, "line_no", buffer_deg, candidate, keep=_MEASURES, **grid)
 
 
-def roll_up_segments(matches: DataFrame, speed_agg: str = "avg") -> DataFrame:
-    """Measures per segment out of the matched lines' partial measures; speed still in m/s."""
+def roll_up_segments(matches: DataFrame, speed_agg: str = "avg", by: tuple[str, ...] = ()) -> DataFrame:
+    """Measures per segment (and ``by``) out of the matched lines' partial measures; speed still in m/s."""
     if speed_agg not in ("avg", "min"):
         raise ValueError("speed_agg is 'avg' or 'min'")
-    merged = matches.groupBy("segment_id").agg(*_combined("n"), F.min("first").alias("first"))
+    merged = matches.groupBy("segment_id", *by).agg(*_combined("n"), F.min("first").alias("first"))
     speed = F.col("speed_min") if speed_agg == "min" else F.try_divide(F.col("speed_sum"), F.col("speed_n"))
     return merged.select(
-        "segment_id", "n", speed.alias("speed"), F.col("jam").alias("jamFactor"), "confidence", "timestamp",
+        "segment_id", "n", speed.alias("speed"), F.col("jam").alias("jamFactor"), "confidence", F.col("latest").alias("timestamp"),
         "first.freeFlowSpeed", "first.traversability", "first.traverse_length",
     )
 
@@ -156,6 +157,23 @@ def match_traffic(flow: DataFrame, segments: DataFrame, buffer_deg: float = BUFF
     return event_rows(roll_up_segments(matches, speed_agg))
 
 
+def match_snapshots(flow: DataFrame, segments: DataFrame, buffer_deg: float = BUFFER_DEGREES,
+                    max_angle: float = MAX_ANGLE, min_overlap_m: float = MIN_OVERLAP_M,
+                    speed_agg: str = "avg", candidate: str = "intersects", **grid) -> DataFrame:
+    """One traffic event per snapshot time and matched segment: matching every snapshot for itself.
+
+    Each distinct line is matched once for the whole history; what it matched is then joined
+    to the measures per line and snapshot.
+    """
+    lines = with_flow_line(flow).select("line").filter(F.col("line").isNotNull()).distinct()
+    shapes = cut_lineage(lines.withColumn("line_no", F.monotonically_increasing_id()))
+    found = apply_rules(match_metrics(shapes, segments, "line_no", buffer_deg, candidate, **grid), max_angle, min_overlap_m)
+    segments_of = found.select("line_no", "segment_id").join(shapes, "line_no").select("line", "segment_id")
+    measures = roll_up_lines(flow, by=("timestamp",))
+    joined = salted_join(measures, segments_of, "line")
+    return event_rows(roll_up_segments(joined, speed_agg, by=("timestamp",)))
+
+
 def with_road(rolled: DataFrame, segments: DataFrame) -> DataFrame:
     """Add the road's name, length and one-way flag to a rollup; both sides have one row per segment."""
     road = segments.select("segment_id", F.col("name").alias("street_name"), F.col("length").alias("segment_length"), "oneway")

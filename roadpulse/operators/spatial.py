@@ -16,11 +16,12 @@ from roadpulse.functions import geometry as geo
 CELL_DEGREES = 0.002
 # A hot cell is split into this many columns and rows of finer cells.
 FINER = 16
-# Cells are only treated as hot from this many rows on, and only the largest are; a cell
-# outside the list holds less than 1/HOT_CELLS of all rows. The list is broadcast, and this
-# number is the bound of its size.
-HOT_ROWS = 200_000
-HOT_CELLS = 1024
+# A cell is hot from this many rows on: below, the box tests of its pairs take one task
+# seconds at most. Only the largest cells are listed, and a cell outside the list holds less
+# than 1/HOT_CELLS of all rows. The list is broadcast; HOT_CELLS rows of four numbers, about
+# 2 MB, is the bound of its size.
+HOT_ROWS = 50_000
+HOT_CELLS = 65_536
 MAX_SALTS = 32
 # Margin in degrees against rounding at cell borders, about 0.1 mm.
 MARGIN = 1e-9

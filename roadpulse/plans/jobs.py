@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.functions.text import snapshot_key
 from roadpulse.model import ROAD_NETWORK, ROAD_SEGMENTS, TRAFFIC_EVENTS, conform
 from roadpulse.operators import clean, labels, matching, roads, summary
 from roadpulse.session import cut_lineage
@@ -21,12 +22,15 @@ def _store(df: DataFrame, target: str | Jdbc, schema: str, keep_table: bool = Tr
         tables.write_parquet(df, target, schema=schema)
 
 
+def _by_snapshot(df: DataFrame) -> DataFrame:
+    return df.withColumns({"day": F.to_date("timestamp"), "snapshot": snapshot_key(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))})
+
+
 def clean_traffic(spark: SparkSession, raw_path: str, silver_path: str,
                   min_confidence: float = clean.MIN_CONFIDENCE) -> DataFrame:
-    """Raw snapshots to stored clean flow, one partition per day; a day that comes again is replaced."""
+    """Raw snapshots to stored clean flow, partitioned by snapshot; one that comes again is replaced."""
     flow = clean.clean_flow(read_snapshots(spark, raw_path), min_confidence)
-    dated = flow.withColumn("day", F.to_date("timestamp"))
-    return tables.write_parquet(dated, silver_path, ["day"])
+    return tables.write_parquet(_by_snapshot(flow), silver_path, ["day", "snapshot"])
 
 
 def process_roads(spark: SparkSession, edges_path: str, network: str | Jdbc, segments: str | Jdbc,
@@ -50,31 +54,29 @@ def process_roads(spark: SparkSession, edges_path: str, network: str | Jdbc, seg
     return {"road_network": net_rows.get["rows"], "road_segments": count}
 
 
-def process_traffic(spark: SparkSession, silver_path: str, segments: str | Jdbc, events: str | Jdbc, **rules) -> dict[str, int]:
-    """Stored clean flow and segments to stored traffic events; returns the run summary.
+def process_traffic(spark: SparkSession, silver_path: str, segments: str | Jdbc, events: str | Jdbc,
+                    snapshot: str | None = None, **rules) -> dict[str, int]:
+    """Stored clean flow and segments to stored traffic events; returns row counts.
 
-    Counts are taken while the work runs. Events are added by day, so that time ranges see
-    the history; the latest state is a query.
+    Takes one snapshot, or all of the folder at once; either way each snapshot has its own
+    events, in its own partition, so a repeated run replaces them. Time ranges thus see the
+    history, and the latest state is a query. Counts are taken while the work runs.
     """
-    limits = {k: rules.pop(k) for k in ("max_angle", "min_overlap_m") if k in rules}
-    speed_agg = rules.pop("speed_agg", "avg")
-    flow, given = summary.counted(spark.read.parquet(silver_path), "input")
+    stored = spark.read.parquet(silver_path)
+    if snapshot is not None:
+        stored = stored.filter(F.col("snapshot") == snapshot)
     roads_in = tables.load_segments(spark, segments)
     if isinstance(segments, Jdbc):
-        # Two readers below; one pass over the database.
+        # Read by several steps below; one pass over the database.
         roads_in = cut_lineage(roads_in)
-    candidates = matching.line_matches(flow, roads_in, **rules)
-    seen = Observation("candidates")
-    candidates = candidates.observe(seen, F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    found = matching.event_rows(matching.roll_up_segments(matching.apply_rules(candidates, **limits), speed_agg))
-    final, final_rows = summary.counted(found, "final")
+    final, rows = summary.counted(matching.match_snapshots(stored, roads_in, **rules), "final")
     if isinstance(events, Jdbc):
         tables.write_jdbc(final, events, "append", stamp=True)
     else:
-        shaped = conform(final, TRAFFIC_EVENTS)
-        shaped.withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy("day").parquet(events)
-    counts = {"input_count": given.get["rows"], "candidate_count": seen.get["n"], "final_count": final_rows.get["rows"]}
-    return counts | {"match_rate": summary.match_rate(counts["final_count"], counts["input_count"])}
+        shaped = _by_snapshot(conform(final, TRAFFIC_EVENTS))
+        (shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "snapshot").parquet(events))
+    given, count = stored.count(), rows.get["rows"]
+    return {"input_count": given, "final_count": count, "match_rate": summary.match_rate(count, given)}
 
 
 def label_traffic(spark: SparkSession, silver_path: str, label_table: str | Jdbc, events_path: str) -> None:

@@ -240,6 +240,7 @@ def all_oracles() -> dict[str, str]:
         "overlap_stats": _sql("metrics", "SELECT round(min(overlap_length), 4) AS min_overlap_length, round(max(overlap_length), 4) AS max_overlap_length, round(avg(overlap_length), 4) AS avg_overlap_length FROM metrics WHERE meets"),
         "map_match": _sql("metrics", _MATCHED_EVENTS.format(speed="avg", rule="meets AND angle_diff <= 90 AND overlap_length > 5"), clean_only=True),
         "map_match_buffer": _sql("metrics", _MATCHED_EVENTS.format(speed="min", rule="lo IS NOT NULL AND angle_diff <= 90 AND overlap_length > 40"), clean_only=True),
+        "map_match_snapshots": _sql("metrics", _MATCHED_EVENTS.format(speed="avg", rule="meets AND angle_diff <= 90 AND overlap_length > 5") + ", timestamp", clean_only=True),
         "segment_rollup": _sql("metrics", """SELECT m.segment_id, count(*) AS records, max(timestamp) AS timestamp, arg_min(traversability, result_id) AS traversability,
             arg_min(traverse_length, result_id) AS traverse_length, any_value(s.name) AS street_name, any_value(s.oneway) AS oneway,
             round(any_value(s.length), 4) AS segment_length, round(avg(speed), 6) AS speed

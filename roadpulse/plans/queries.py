@@ -213,6 +213,11 @@ def map_match_buffer(spark, sf):
                                                   speed_agg="min", min_overlap_m=40.0))
 
 
+@query
+def map_match_snapshots(spark, sf):
+    return _rounded_events(matching.match_snapshots(_flow(spark, sf), _stored_segments(spark, sf)))
+
+
 @query
 def segment_rollup(spark, sf):
     segments = _stored_segments(spark, sf)

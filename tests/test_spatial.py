@@ -145,6 +145,16 @@ def test_rollup_per_line_equals_rollup_per_record(spark, sf):
     assert {r.street_id: r.speed for r in slow.collect()} == {r.segment_id: pytest.approx(r.slowest * 3.6) for r in plain.collect()}
 
 
+def test_snapshots_are_matched_one_by_one(spark, sf):
+    flow = clean.clean_flow(fx.flow_raw(spark, sf)).cache()
+    segments = roads.build_road_segments(fx.road_edges(spark, sf)).cache()
+    hours = [r[0] for r in flow.groupBy("timestamp").count().orderBy(F.desc("count"), "timestamp").limit(2).collect()]
+    every = matching.match_snapshots(flow, segments)
+    for hour in hours:
+        alone = matching.match_traffic(flow.filter(F.col("timestamp") == hour), segments)
+        assert sorted(map(str, every.filter(F.col("timestamp") == hour).collect())) == sorted(map(str, alone.collect()))
+
+
 def test_rollup_without_result_id_is_repeatable(spark, sf):
     flow = clean.clean_flow(fx.flow_raw(spark, sf)).drop("result_id")
     one, two = (sorted(map(str, matching.roll_up_lines(f).select("n", "first").collect())) for f in (flow, flow.repartition(5)))
