@@ -40,7 +40,7 @@ def roll_up_lines(flow: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     The first aggregate has only fixed-width buffers (traversability is in the key), so it
     stays a hash aggregate with map-side combine over the whole history.
     """
-    rows = with_flow_line(flow).filter(F.col("line").isNotNull()).withColumn("pick", _first_order(flow))
+    rows = with_flow_line(flow).withColumn("pick", _first_order(flow))
     by_state = rows.groupBy("line", *by, "traversability").agg(
         F.count("*").alias("n"),
         F.sum("speed").alias("speed_sum"), F.count("speed").alias("speed_n"), F.min("speed").alias("speed_min"),
@@ -48,8 +48,11 @@ def roll_up_lines(flow: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         F.min("pick").alias("pick"),
         F.min_by("freeFlowSpeed", "pick").alias("freeFlowSpeed"),
         F.min_by("traverse_length", "pick").alias("traverse_length"),
+        F.max(F.size("line")).alias("points"),
     )
-    return by_state.groupBy("line", *by).agg(*_combined("n"), _first_attributes())
+    # Rows without a line go here, by an aggregate: a test of the line itself would be moved
+    # below and build every line twice.
+    return by_state.filter("points >= 2").groupBy("line", *by).agg(*_combined("n"), _first_attributes())
 
 
 def _combined(*counts: str) -> list[Column]:
@@ -165,8 +168,8 @@ def match_snapshots(flow: DataFrame, segments: DataFrame, buffer_deg: float = BU
     Each distinct line is matched once for the whole history; what it matched is then joined
     to the measures per line and snapshot.
     """
-    lines = with_flow_line(flow).select("line").filter(F.col("line").isNotNull()).distinct()
-    shapes = cut_lineage(lines.withColumn("line_no", F.monotonically_increasing_id()))
+    lines = with_flow_line(flow).groupBy("line").agg(F.max(F.size("line")).alias("points")).filter("points >= 2")
+    shapes = cut_lineage(lines.select("line").withColumn("line_no", F.monotonically_increasing_id()))
     found = apply_rules(match_metrics(shapes, segments, "line_no", buffer_deg, candidate, **grid), max_angle, min_overlap_m)
     segments_of = found.select("line_no", "segment_id").join(shapes, "line_no").select("line", "segment_id")
     measures = roll_up_lines(flow, by=("timestamp",))

@@ -106,7 +106,9 @@ def near_pieces(left: DataFrame, right: DataFrame, left_ids: list[str], right_id
                 extra: str | None = None) -> DataFrame:
     """Pairs of pieces whose boxes meet, the left one grown by ``grow``; columns ``l_*`` and ``r_*``.
 
-    A pair may come once per shared cell. ``extra`` is one more join condition.
+    A pair may come once per shared cell. ``extra`` is one more join condition. Both sides
+    are read several times (size, hot cells, join), so inputs that are costly to compute
+    should be stored or checkpointed first.
     """
     boxed_l, boxed_r = _with_box(left, "l_", grow), _with_box(right, "r_", 0.0)
     cells_l, cells_r = _in_cells(boxed_l, "l_", grow, cell), _in_cells(boxed_r, "r_", 0.0, cell)

@@ -50,6 +50,10 @@ def _stored_segments(spark: SparkSession, sf: str) -> DataFrame:
     return cut_lineage(_segments(spark, sf))
 
 
+def _stored_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return cut_lineage(fx.flow_raw(spark, sf).select("result_id", "line"))
+
+
 def _at(line: str, index: int, axis: str, name: str) -> Column:
     return F.round(F.expr(f"{line}[{index}].{axis}"), 7).alias(name)
 
@@ -133,7 +137,7 @@ def speed_limit_clean(spark, sf):
 @query
 def list_text_items(spark, sf):
     items = text.list_text_items(F.col("maxspeed"))
-    return fx.road_edges(spark, sf).select("u", "v", F.array_join(items, "|").alias("items"), F.size(items).cast("bigint").alias("n"))
+    return fx.road_edges(spark, sf).select("u", "v", F.array_join(items, "|").alias("items"), F.when(items.isNotNull(), F.size(items)).cast("bigint").alias("n"))
 
 
 @query
@@ -180,20 +184,20 @@ def geometry_round_trip(spark, sf):
 
 @query
 def spatial_candidates(spark, sf):
-    return spatial.intersecting_lines(fx.flow_raw(spark, sf).select("result_id", "line"), _stored_segments(spark, sf),
+    return spatial.intersecting_lines(_stored_lines(spark, sf), _stored_segments(spark, sf),
                                       "result_id", "segment_id", left_line="line")
 
 
 @query
 def match_metrics(spark, sf):
-    metrics = matching.match_metrics(fx.flow_raw(spark, sf).select("result_id", "line"), _stored_segments(spark, sf), "result_id")
+    metrics = matching.match_metrics(_stored_lines(spark, sf), _stored_segments(spark, sf), "result_id")
     return metrics.select("result_id", "segment_id", F.round("angle_diff", 6).alias("angle_diff"),
                           F.round("overlap_length", 4).alias("overlap_length"))
 
 
 @query
 def overlap_stats(spark, sf):
-    metrics = matching.match_metrics(fx.flow_raw(spark, sf).select("result_id", "line"), _stored_segments(spark, sf), "result_id")
+    metrics = matching.match_metrics(_stored_lines(spark, sf), _stored_segments(spark, sf), "result_id")
     stats = matching.overlap_stats(metrics)
     return stats.select(*[F.round(c, 4).alias(c) for c in stats.columns])
 
@@ -440,12 +444,12 @@ def short_time(spark, sf):
 
 @query
 def road_overlap_kinds(spark, sf):
-    pairs = quality.line_relations(roads.distinct_edges(fx.road_edges(spark, sf)), ["osmid", "u", "v"])
+    pairs = quality.line_relations(cut_lineage(roads.distinct_edges(fx.road_edges(spark, sf))), ["osmid", "u", "v"])
     return pairs.select("osmid_1", "u_1", "v_1", "osmid_2", "u_2", "v_2", "kind")
 
 
 def _road_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.road_overlaps(roads.build_road_network(fx.road_edges(spark, sf)))
+    return quality.road_overlaps(cut_lineage(roads.build_road_network(fx.road_edges(spark, sf))))
 
 
 @query
