@@ -14,7 +14,7 @@ from roadpulse.functions import geometry as geo
 from roadpulse.functions.traffic import congestion_level, kmh
 from roadpulse.operators.rows import salted_join
 from roadpulse.operators.spatial import capsule_interval, covered_metres, line_pieces, near_pieces, with_sides
-from roadpulse.session import cut_lineage
+from roadpulse.session import cut_lineage, spread
 
 # Buffer in degrees, greatest angle in degrees, least overlap in metres.
 BUFFER_DEGREES = 0.00015
@@ -124,7 +124,7 @@ def line_matches(flow: DataFrame, segments: DataFrame, buffer_deg: float = BUFFE
     The rolled-up lines are written out once: both the look for hot cells and the join read
     them, and the line numbers must not change between the two.
     """
-    shapes = cut_lineage(roll_up_lines(flow).withColumn("line_no", F.monotonically_increasing_id()))
+    shapes = cut_lineage(spread(roll_up_lines(flow), "line").withColumn("line_no", F.monotonically_increasing_id()))
     return match_metrics(shapes, segments, "line_no", buffer_deg, candidate, keep=_MEASURES, **grid)
 
 
@@ -169,7 +169,7 @@ def match_snapshots(flow: DataFrame, segments: DataFrame, buffer_deg: float = BU
     to the measures per line and snapshot.
     """
     lines = with_flow_line(flow).groupBy("line").agg(F.max(F.size("line")).alias("points")).filter("points >= 2")
-    shapes = cut_lineage(lines.select("line").withColumn("line_no", F.monotonically_increasing_id()))
+    shapes = cut_lineage(spread(lines.select("line"), "line").withColumn("line_no", F.monotonically_increasing_id()))
     found = apply_rules(match_metrics(shapes, segments, "line_no", buffer_deg, candidate, **grid), max_angle, min_overlap_m)
     segments_of = found.select("line_no", "segment_id").join(shapes, "line_no").select("line", "segment_id")
     measures = roll_up_lines(flow, by=("timestamp",))

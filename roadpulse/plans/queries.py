@@ -47,11 +47,11 @@ def _segments(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stored_segments(spark: SparkSession, sf: str) -> DataFrame:
     """Segments written out once, as the matching jobs find them, since spatial joins read them twice."""
-    return cut_lineage(_segments(spark, sf))
+    return cut_lineage(_segments(spark, sf), ("segment_id",))
 
 
 def _stored_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return cut_lineage(fx.flow_raw(spark, sf).select("result_id", "line"))
+    return cut_lineage(fx.flow_raw(spark, sf).select("result_id", "line"), ("result_id",))
 
 
 def _at(line: str, index: int, axis: str, name: str) -> Column:
@@ -444,12 +444,12 @@ def short_time(spark, sf):
 
 @query
 def road_overlap_kinds(spark, sf):
-    pairs = quality.line_relations(cut_lineage(roads.distinct_edges(fx.road_edges(spark, sf))), ["osmid", "u", "v"])
+    pairs = quality.line_relations(cut_lineage(roads.distinct_edges(fx.road_edges(spark, sf)), ("osmid", "u", "v")), ["osmid", "u", "v"])
     return pairs.select("osmid_1", "u_1", "v_1", "osmid_2", "u_2", "v_2", "kind")
 
 
 def _road_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.road_overlaps(cut_lineage(roads.build_road_network(fx.road_edges(spark, sf))))
+    return quality.road_overlaps(cut_lineage(roads.build_road_network(fx.road_edges(spark, sf)), ("osmid", "u", "v")))
 
 
 @query

@@ -52,7 +52,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over at least as many partitions as there are cores.
+
+    For rows that are few in bytes but costly to work on, such as lines before a spatial
+    join: adaptive execution would put them into few partitions by their size.
+    """
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts, *keys)
+
+
+def cut_lineage(df: DataFrame, spread_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and go on from the written rows."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (spread(df, *spread_by) if spread_by else df).checkpoint(eager=True)
