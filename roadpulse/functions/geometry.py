@@ -69,7 +69,7 @@ def metres(x1: str, y1: str, x2: str, y2: str) -> str:
     w = f"(1 - {WGS84_E2}D * sin({mid}) * sin({mid}))"
     north = f"(radians(({y2}) - ({y1})) * {WGS84_A * (1 - WGS84_E2)!r}D / ({w} * sqrt({w})))"
     east = f"(radians(({x2}) - ({x1})) * cos({mid}) * {WGS84_A}D / sqrt({w}))"
-    return f"sqrt({north} * {north} + {east} * {east})"
+    return f"hypot({north}, {east})"
 
 
 def pieces(line: str) -> str:

@@ -88,11 +88,12 @@ def match_metrics(lines: DataFrame, segments: DataFrame, line_id: str, buffer_de
     clipped = capsule_interval(with_sides(near), buffer_deg)
     stretch = "named_struct('part', r_part, 'lo', lo, 'hi', hi, 'x1', r_x1, 'y1', r_y1, 'x2', r_x2, 'y2', r_y2)"
     found = "bool_or(meets)" if candidate == "intersects" else "count(lo) > 0"
-    # The set of stretches of one pair is no longer than its two lines have pieces.
+    # The list of one pair grows with the pieces of its two lines only; repeats from shared
+    # cells do no harm to the length.
     pairs = clipped.groupBy(F.col("l_" + line_id).alias(line_id), F.col("r_segment_id").alias("segment_id")).agg(
         F.any_value("l_angle").alias("line_angle"), F.any_value("r_angle").alias("segment_angle"),
         *[F.any_value("l_" + c).alias(c) for c in keep],
-        F.expr(f"collect_set(if(lo is null, null, {stretch}))").alias("stretches"),
+        F.expr(f"collect_list(if(lo is null, null, {stretch}))").alias("stretches"),
         F.expr(found).alias("found"),
     )
     return pairs.filter("found").select(

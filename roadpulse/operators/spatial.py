@@ -101,10 +101,20 @@ def _spread(cells: DataFrame, prefix: str, ids: list[str], grow: float, cell: fl
     return marked.selectExpr(*kept, f"inline(if({own} is null, {plain}, {split}))")
 
 
+def _in_reach(one: str, other: str, grow: float) -> str:
+    """Whether the other piece comes within ``grow`` of the straight line that carries the one piece."""
+    ends = [f"{one}{c}" for c in ("x1", "y1", "x2", "y2")]
+    sides = ", ".join(geo.side(*ends, f"{other}x{i}", f"{other}y{i}") for i in (1, 2))
+    reach = f"{grow + MARGIN!r}D * hypot({one}x2 - {one}x1, {one}y2 - {one}y1)"
+    return f"least({sides}) <= {reach} and greatest({sides}) >= -({reach})"
+
+
 def near_pieces(left: DataFrame, right: DataFrame, left_ids: list[str], right_ids: list[str],
                 grow: float = 0.0, cell: float = CELL_DEGREES, hot_rows: int | None = HOT_ROWS,
                 extra: str | None = None) -> DataFrame:
-    """Pairs of pieces whose boxes meet, the left one grown by ``grow``; columns ``l_*`` and ``r_*``.
+    """Pairs of pieces that may come within ``grow`` of each other; columns ``l_*`` and ``r_*``.
+
+    The boxes meet, the left one grown, and neither piece lies wholly to one side of the other.
 
     A pair may come once per shared cell. ``extra`` is one more join condition. Both sides
     are read several times (size, hot cells, join), so inputs that are costly to compute
@@ -121,7 +131,8 @@ def near_pieces(left: DataFrame, right: DataFrame, left_ids: list[str], right_id
         on = ["level", "cx", "cy", "sl", "sr"]
     same = " and ".join(f"a.{c} = b.{c}" for c in on)
     meet = "l_xmin <= r_xmax and l_xmax >= r_xmin and l_ymin <= r_ymax and l_ymax >= r_ymin"
-    condition = " and ".join([same, meet] + ([extra] if extra else []))
+    reach = [_in_reach("l_", "r_", grow), _in_reach("r_", "l_", grow)]
+    condition = " and ".join([same, meet, *reach] + ([extra] if extra else []))
     kept = [*["a." + c for c in boxed_l.columns], *["b." + c for c in boxed_r.columns]]
     return cells_l.alias("a").join(cells_r.alias("b"), F.expr(condition)).select(*kept)
 
