@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geometry as geo
+from roadpulse.session import cut_lineage
 
 CELL_DEGREES = 0.002
 # A hot cell is split into this many columns and rows of finer cells.
@@ -125,10 +126,12 @@ def near_pieces(left: DataFrame, right: DataFrame, left_ids: list[str], right_id
     on = ["cx", "cy"]
     # A cell has no more rows than there are pieces, so few pieces need no look for hot cells.
     if hot_rows is not None and left.count() + right.count() >= hot_rows:
-        hot = hot_cells(cells_l, cells_r, hot_rows)
-        cells_l = _spread(cells_l, "l_", left_ids, grow, cell, hot)
-        cells_r = _spread(cells_r, "r_", right_ids, 0.0, cell, hot)
-        on = ["level", "cx", "cy", "sl", "sr"]
+        # Counted once for both sides; without a hot cell the plain join is all there is to do.
+        hot = cut_lineage(hot_cells(cells_l, cells_r, hot_rows))
+        if not hot.isEmpty():
+            cells_l = _spread(cells_l, "l_", left_ids, grow, cell, hot)
+            cells_r = _spread(cells_r, "r_", right_ids, 0.0, cell, hot)
+            on = ["level", "cx", "cy", "sl", "sr"]
     same = " and ".join(f"a.{c} = b.{c}" for c in on)
     meet = "l_xmin <= r_xmax and l_xmax >= r_xmin and l_ymin <= r_ymax and l_ymax >= r_ymin"
     reach = [_in_reach("l_", "r_", grow), _in_reach("r_", "l_", grow)]
