@@ -28,6 +28,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Scratch:
     """Intermediate tables of one job, as Parquet below the shared folder the session names.
 
@@ -107,6 +115,38 @@ def shingles(h: np.ndarray, size: int = 5) -> np.ndarray:
     return np.unique(mixed(g))
 
 
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """First code point and end of each word."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = np.r_[False, ~((codes == 32) | ((codes >= 9) & (codes <= 13))), False]
+    return np.flatnonzero(inside[1:-1] & ~inside[:-2]), np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+
+
+def run_hashes(h: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of all runs of ``width`` words, by differences of one running polynomial."""
+    n = len(h) - width + 1
+    if n <= 0:
+        return h[:0]
+    base, inverse = int(MIX_A), pow(int(MIX_A), -1, 1 << 64)
+    powers = np.full(len(h), base, np.uint64)
+    powers[0] = 1
+    powers = np.cumprod(powers, dtype=np.uint64)
+    back = np.full(n, inverse, np.uint64)
+    back[0] = 1
+    sums = np.r_[np.uint64(0), np.cumsum(h * powers, dtype=np.uint64)]
+    return mixed((sums[width:] - sums[:n]) * np.cumprod(back, dtype=np.uint64) + np.uint64(width))
+
+
+def sliding(x: np.ndarray, width: int, least: bool) -> np.ndarray:
+    """Least or greatest value of each run of ``width`` values."""
+    pick, have = np.minimum if least else np.maximum, 1
+    while have < width:
+        step = min(have, width - have)
+        x = pick(x[:-step], x[step:])
+        have += step
+    return x
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
@@ -137,7 +177,7 @@ def _linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def run_links(scratch: Scratch, rows: DataFrame) -> DataFrame:
     """Links (a, b) that join all values v of each key k, found by sorting and looking at neighbours.
 
-    ``rows`` (k, v: long) must be stored. They are range-sorted by (k, v), so a key with any share
+    ``rows`` (k, v: long) are read twice, so they must be stored or cheaply made from a stored table. They are range-sorted by (k, v), so a key with any share
     of the rows lies in as many tasks as it needs; each row is linked to the first of its run in
     that task, and runs that a task border cuts are joined through one row per border.
     """

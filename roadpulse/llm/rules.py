@@ -2,7 +2,8 @@
 
 Words are runs of other than ASCII white space. Rows: NULL text has no words and an empty one neither, so both
 fail; NULL ``doc_id`` stays NULL; equal rows give equal rows; an empty table gives no rows; very long texts cost
-a sort of their own words. Extra columns are kept unless they have the name of a result column, which then wins.
+a sort of their own words. Extra columns are kept, unless they have the name of a result
+column, which then wins, or a name that begins with ``_r_``.
 """
 
 from __future__ import annotations
@@ -45,28 +46,28 @@ def measures(docs: DataFrame) -> DataFrame:
     neighbour, sorted again, tell how many words they cover.
     """
     stop = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
-    split = (docs.withColumn("_text", F.coalesce(F.col("text"), F.lit("")))
-             .withColumn("_words", F.expr(rf"filter(split(_text, r'{SPACE}+'), x -> x <> '')"))
-             .withColumn("_lines", F.expr(rf"filter(split(_text, '\n'), x -> x rlike r'[^\x20\x09-\x0D]')"))
-             .withColumn("n_words", F.size("_words").cast("long")))
+    split = (docs.withColumn("_r_text", F.coalesce(F.col("text"), F.lit("")))
+             .withColumn("_r_words", F.expr(rf"filter(split(_r_text, r'{SPACE}+'), x -> x <> '')"))
+             .withColumn("_r_lines", F.expr(rf"filter(split(_r_text, '\n'), x -> x rlike r'[^\x20\x09-\x0D]')"))
+             .withColumn("n_words", F.size("_r_words").cast("long")))
     counted = (split
-               .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
-               .withColumn("n_symbols", F.regexp_count("_text", F.lit(SYMBOLS)).cast("long"))
-               .withColumn("n_exclamations", F.regexp_count("_text", F.lit("!")).cast("long"))
-               .withColumn("n_stop", F.expr(f"size(filter(_words, x -> lower(x) IN ({stop})))").cast("long"))
-               .withColumn("n_lines", F.size("_lines").cast("long"))
-               .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-               .withColumn("_runs", F.expr(
-                   "CASE WHEN n_words < 3 THEN array() ELSE sort_array(transform(sequence(0, size(_words) - 3), "
-                   "i -> struct(xxhash64(_words[i], _words[i + 1], _words[i + 2]) AS h, i AS i))) END"))
-               .withColumn("_same", F.expr(
-                   "sort_array(transform(filter(sequence(0, size(_runs)), j -> j < size(_runs) AND ("
-                   "(j > 0 AND _runs[greatest(j - 1, 0)].h = _runs[j].h) OR "
-                   "(j < size(_runs) - 1 AND _runs[least(j + 1, size(_runs) - 1)].h = _runs[j].h))), j -> _runs[j].i))"))
+               .withColumn("word_chars", F.length(F.array_join("_r_words", "")).cast("long"))
+               .withColumn("n_symbols", F.regexp_count("_r_text", F.lit(SYMBOLS)).cast("long"))
+               .withColumn("n_exclamations", F.regexp_count("_r_text", F.lit("!")).cast("long"))
+               .withColumn("n_stop", F.expr(f"size(filter(_r_words, x -> lower(x) IN ({stop})))").cast("long"))
+               .withColumn("n_lines", F.size("_r_lines").cast("long"))
+               .withColumn("n_dup_lines", (F.size("_r_lines") - F.size(F.array_distinct("_r_lines"))).cast("long"))
+               .withColumn("_r_runs", F.expr(
+                   "CASE WHEN n_words < 3 THEN array() ELSE sort_array(transform(sequence(0, size(_r_words) - 3), "
+                   "i -> struct(xxhash64(_r_words[i], _r_words[i + 1], _r_words[i + 2]) AS h, i AS i))) END"))
+               .withColumn("_r_same", F.expr(
+                   "sort_array(transform(filter(sequence(0, size(_r_runs)), j -> j < size(_r_runs) AND ("
+                   "(j > 0 AND _r_runs[greatest(j - 1, 0)].h = _r_runs[j].h) OR "
+                   "(j < size(_r_runs) - 1 AND _r_runs[least(j + 1, size(_r_runs) - 1)].h = _r_runs[j].h))), j -> _r_runs[j].i))"))
                .withColumn("n_repeat_words", F.expr(
-                   "CASE WHEN size(_same) = 0 THEN 0L ELSE aggregate(sequence(0, size(_same) - 1), 3L, "
-                   "(n, k) -> n + CASE WHEN k = 0 THEN 0 ELSE least(3, _same[k] - _same[greatest(k - 1, 0)]) END) END")))
-    return (counted.drop("_text", "_words", "_lines", "_runs", "_same")
+                   "CASE WHEN size(_r_same) = 0 THEN 0L ELSE aggregate(sequence(0, size(_r_same) - 1), 3L, "
+                   "(n, k) -> n + CASE WHEN k = 0 THEN 0 ELSE least(3, _r_same[k] - _r_same[greatest(k - 1, 0)]) END) END")))
+    return (counted.drop("_r_text", "_r_words", "_r_lines", "_r_runs", "_r_same")
             .withColumn("mean_word_chars", _ratio("word_chars", "n_words"))
             .withColumn("symbol_ratio", _ratio("n_symbols", "word_chars"))
             .withColumn("exclamation_ratio", _ratio("n_exclamations", "n_words"))
