@@ -59,6 +59,11 @@ def azimuth(line: str) -> str:
     return f"case when {dx} = 0 and {dy} = 0 then null when {turn} < 0 then {turn} + 360 else {turn} end"
 
 
+def bearing(line: str) -> str:
+    """The azimuth, and 0 for closed lines of three points or more, so that the angle rule can pass them."""
+    return f"coalesce({azimuth(line)}, if(size({line}) > 2, 0D, null))"
+
+
 def angle_difference(a: str, b: str) -> str:
     return f"least(abs({a} - {b}), 360 - abs({a} - {b}))"
 
@@ -193,23 +198,46 @@ def from_geojson(text: str) -> str:
     return f"try_element_at({geojson_lines(text)}, 1)"
 
 
-# WKB geometry code of a line and the flag that says an SRID follows.
-_WKB_LINE = 2
-_WKB_SRID_FLAG = 0x20000000
+# WKB geometry codes, the flags of an SRID and of Z and M values, and the thousands that ISO adds for those.
+_WKB_LINE, _WKB_MULTI_LINE = 2, 5
+_WKB_SRID_FLAG, _WKB_Z_FLAG, _WKB_M_FLAG = 0x20000000, 0x80000000, 0x40000000
+_ISO_EXTRA = {0: 0, 1: 1, 2: 1, 3: 2}
+_PLAIN_HEAD = b"\x01\x02\x00\x00\x00"
 
 
 def _decode_wkb(data: bytes | None) -> np.ndarray | None:
-    if data is None or len(data) < 9:
+    """x and y in turn of a line, or of a multi line of one part; Z and M values are left out, anything else is None."""
+    if data is None or len(data) < 9 or data[0] > 1:
         return None
     order = "<" if data[0] == 1 else ">"
     code = int(np.frombuffer(data, order + "u4", 1, 1)[0])
     head = 9 if code & _WKB_SRID_FLAG else 5
-    if code & 0xFF != _WKB_LINE or len(data) < head + 4:
+    extra = bool(code & _WKB_Z_FLAG) + bool(code & _WKB_M_FLAG)
+    iso, kind = divmod(code & 0x0FFFFFFF, 1000)
+    if iso not in _ISO_EXTRA or len(data) < head + 4:
         return None
     count = int(np.frombuffer(data, order + "u4", 1, head)[0])
-    if len(data) != head + 4 + 16 * count:
+    if kind == _WKB_MULTI_LINE:
+        return _decode_wkb(data[head + 4:]) if count == 1 else None
+    width = 2 + extra + _ISO_EXTRA[iso]
+    if kind != _WKB_LINE or len(data) != head + 4 + 8 * width * count:
         return None
-    return np.frombuffer(data, order + "f8", 2 * count, head + 4).astype("f8")
+    return np.frombuffer(data, order + "f8", width * count, head + 4).astype("f8").reshape(count, width)[:, :2].ravel()
+
+
+def _decode_batch(data: pd.Series) -> list[np.ndarray | None]:
+    """Lines of a batch. Plain little-endian ones, the usual kind, are joined and read as one array."""
+    values = data.tolist()
+    plain = [i for i, v in enumerate(values) if v is not None and v[:5] == _PLAIN_HEAD and len(v) % 16 == 9
+             and int.from_bytes(v[5:9], "little") * 16 == len(v) - 9]
+    known = set(plain)
+    out: list[np.ndarray | None] = [None if i in known else _decode_wkb(v) for i, v in enumerate(values)]
+    if plain:
+        coords = np.frombuffer(b"".join([values[i][9:] for i in plain]), "<f8")
+        ends = np.cumsum([len(values[i]) // 8 - 1 for i in plain])
+        for i, own in zip(plain, np.split(coords, ends[:-1])):
+            out[i] = own
+    return out
 
 
 def _encode_wkb(values: np.ndarray | None) -> bytes | None:
@@ -225,9 +253,9 @@ _COORDS = T.StructType([T.StructField("x", T.ArrayType(T.DoubleType())), T.Struc
 
 @F.pandas_udf(_COORDS)
 def _wkb_coords(data: pd.Series) -> pd.DataFrame:
-    flat = data.map(_decode_wkb, na_action="ignore")
-    return pd.DataFrame({"x": flat.map(lambda v: v[0::2], na_action="ignore"),
-                         "y": flat.map(lambda v: v[1::2], na_action="ignore")})
+    flat = _decode_batch(data)
+    return pd.DataFrame({"x": pd.Series([None if v is None else v[0::2] for v in flat], dtype=object),
+                         "y": pd.Series([None if v is None else v[1::2] for v in flat], dtype=object)})
 
 
 @F.pandas_udf(T.BinaryType())
@@ -236,7 +264,7 @@ def _wkb_bytes(flat: pd.Series) -> pd.Series:
 
 
 def from_wkb(data: Column | str) -> Column:
-    """Decode a WKB or EWKB line; other geometry types and broken bytes give NULL."""
+    """Decode a WKB or EWKB line, without Z and M; other geometry types, multi lines of several parts and broken bytes give NULL."""
     coords = _wkb_coords(F.col(data) if isinstance(data, str) else data)
     return F.arrays_zip(coords["x"], coords["y"]).cast(LINE_TYPE)
 

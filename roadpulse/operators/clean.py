@@ -12,8 +12,9 @@ MIN_CONFIDENCE = 0.7
 
 
 def flatten_snapshots(snapshots: DataFrame) -> DataFrame:
-    """One row per measured location; snapshots without results give no rows."""
-    item = snapshots.select("sourceUpdated", F.explode("results").alias("item"))
+    """One row per measured location; snapshots without results give no rows. A delivery key stays with its rows."""
+    key = [c for c in ("delivery",) if c in snapshots.columns]
+    item = snapshots.select("sourceUpdated", *key, F.explode("results").alias("item"))
     place, flow = F.col("item.location"), F.col("item.currentFlow")
     return item.select(
         F.col("sourceUpdated").cast("timestamp").alias("timestamp"),
@@ -25,6 +26,7 @@ def flatten_snapshots(snapshots: DataFrame) -> DataFrame:
         flow["confidence"].alias("confidence"),
         flow["traversability"].alias("traversability"),
         flow["freeFlow"].alias("freeFlowSpeed"),
+        *key,
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions import geometry as geo
 from roadpulse.functions.traffic import congestion_level
 from roadpulse.operators.matching import with_flow_line
-from roadpulse.operators.rows import numbered, salted_join
+from roadpulse.operators.rows import keyed_join, numbered
 
 # Columns of the older fact.
 LABELLED_COLUMNS = ["timestamp", "street_id", "traverse_length", "speed", "jamFactor", "confidence",
@@ -26,14 +26,14 @@ def new_streets(flow: DataFrame, labels: DataFrame) -> DataFrame:
 
 def extend_labels(flow: DataFrame, labels: DataFrame) -> DataFrame:
     """Known labels and new ones, numbered by name after the greatest known id."""
-    top = labels.agg(F.coalesce(F.max("street_id"), F.lit(0))).first()[0]
-    fresh = numbered(new_streets(flow, labels), ["street_name"], "street_id", start=top + 1)
+    top = labels.agg(F.coalesce(F.max("street_id"), F.lit(0)) + 1).scalar()
+    fresh = numbered(new_streets(flow, labels), ["street_name"], "street_id", start=top)
     return labels.select("street_id", "street_name").unionByName(fresh.select("street_id", "street_name"))
 
 
 def attach_labels(flow: DataFrame, labels: DataFrame) -> DataFrame:
-    """Left join of the label id; names may be hot and NULL, so the join is salted."""
-    return salted_join(flow.drop("street_id"), labels.select("street_id", "street_name"), "street_name", how="left")
+    """Left join of the label id; names may be hot and NULL, which is left to Spark to split."""
+    return keyed_join(flow.drop("street_id"), labels.select("street_id", "street_name"), "street_name", how="left")
 
 
 def label_streets(flow: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:

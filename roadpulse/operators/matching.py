@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import geometry as geo
 from roadpulse.functions.traffic import congestion_level, kmh
-from roadpulse.operators.rows import salted_join
 from roadpulse.operators.spatial import capsule_interval, covered_metres, line_pieces, near_pieces, with_sides
 from roadpulse.session import cut_lineage, spread
 
@@ -22,6 +21,11 @@ MAX_ANGLE = 90.0
 MIN_OVERLAP_M = 5.0
 
 
+def line_key(line: str = "line") -> Column:
+    """A 128-bit text key of a line's points."""
+    return F.concat(F.hex(F.xxhash64(line)), F.hex(F.xxhash64(F.lit(1), line)))
+
+
 def with_flow_line(flow: DataFrame) -> DataFrame:
     """Add ``line`` from the feed's links unless the flow already carries one."""
     return flow if "line" in flow.columns else flow.withColumn("line", F.expr(geo.links_to_line("links")))
@@ -30,7 +34,7 @@ def with_flow_line(flow: DataFrame) -> DataFrame:
 def _first_order(flow: DataFrame) -> Column:
     """What decides which row's attributes a rollup keeps: the result id, else the row's own values."""
     if "result_id" in flow.columns:
-        return F.col("result_id").cast("bigint")
+        return F.coalesce(F.expr("try_cast(result_id AS BIGINT)"), F.xxhash64("result_id"))
     return F.xxhash64("timestamp", "speed", "jamFactor", "confidence", "freeFlowSpeed", "traversability", "traverse_length")
 
 
@@ -79,7 +83,7 @@ def match_metrics(lines: DataFrame, segments: DataFrame, line_id: str, buffer_de
     if candidate not in ("intersects", "buffer"):
         raise ValueError("candidate is 'intersects' or 'buffer'")
     keep = keep or []
-    angled = lines.withColumn("angle", F.expr(geo.azimuth("line")))
+    angled = lines.withColumn("angle", F.expr(geo.bearing("line")))
     roads = segments.select("segment_id", F.col("azimuth").alias("angle"), "geometry")
     near = near_pieces(
         line_pieces(angled, [line_id], "line", ["angle", *keep]),
@@ -107,8 +111,9 @@ def apply_rules(metrics: DataFrame, max_angle: float = MAX_ANGLE, min_overlap_m:
     return metrics.filter((F.col("angle_diff") <= max_angle) & (F.col("overlap_length") > min_overlap_m))
 
 
-def overlap_stats(metrics: DataFrame) -> DataFrame:
+def overlap_stats(metrics: DataFrame, *more: Column) -> DataFrame:
     return metrics.agg(
+        *more,
         F.min("overlap_length").alias("min_overlap_length"),
         F.max("overlap_length").alias("max_overlap_length"),
         F.avg("overlap_length").alias("avg_overlap_length"),
@@ -122,11 +127,12 @@ def line_matches(flow: DataFrame, segments: DataFrame, buffer_deg: float = BUFFE
                  candidate: str = "intersects", **grid) -> DataFrame:
     """Candidate pairs of distinct lines and segments with the partial measures of each line.
 
-    The rolled-up lines are written out once: both the look for hot cells and the join read
-    them, and the line numbers must not change between the two.
+    The rolled-up lines are written out once, since several steps read them. Only keys and lines go
+    through the spatial join; the measures meet the matches by key.
     """
-    shapes = cut_lineage(spread(roll_up_lines(flow), "line").withColumn("line_no", F.monotonically_increasing_id()))
-    return match_metrics(shapes, segments, "line_no", buffer_deg, candidate, keep=_MEASURES, **grid)
+    shapes = cut_lineage(spread(roll_up_lines(flow).withColumn("line_key", line_key()), "line_key"))
+    found = match_metrics(shapes.select("line_key", "line"), segments, "line_key", buffer_deg, candidate, **grid)
+    return found.join(shapes.drop("line"), "line_key")
 
 
 def roll_up_segments(matches: DataFrame, speed_agg: str = "avg", by: tuple[str, ...] = ()) -> DataFrame:
@@ -166,15 +172,25 @@ def match_snapshots(flow: DataFrame, segments: DataFrame, buffer_deg: float = BU
                     speed_agg: str = "avg", candidate: str = "intersects", **grid) -> DataFrame:
     """One traffic event per snapshot time and matched segment: matching every snapshot for itself.
 
-    Each distinct line is matched once for the whole history; what it matched is then joined
-    to the measures per line and snapshot.
+    The history is rolled up per line and snapshot and stored; each distinct line of that is matched
+    once, and what it matched is joined back to its rows by the line's key.
     """
-    lines = with_flow_line(flow).groupBy("line").agg(F.max(F.size("line")).alias("points")).filter("points >= 2")
-    shapes = cut_lineage(spread(lines.select("line"), "line").withColumn("line_no", F.monotonically_increasing_id()))
-    found = apply_rules(match_metrics(shapes, segments, "line_no", buffer_deg, candidate, **grid), max_angle, min_overlap_m)
-    segments_of = found.select("line_no", "segment_id").join(shapes, "line_no").select("line", "segment_id")
-    measures = roll_up_lines(flow, by=("timestamp",))
-    joined = salted_join(measures, segments_of, "line")
+    measures, metrics = snapshot_matches(flow, segments, buffer_deg, candidate, **grid)
+    return snapshot_events(measures, apply_rules(metrics, max_angle, min_overlap_m), speed_agg)
+
+
+def snapshot_matches(flow: DataFrame, segments: DataFrame, buffer_deg: float = BUFFER_DEGREES,
+                     candidate: str = "intersects", **grid) -> tuple[DataFrame, DataFrame]:
+    """Measures per line and snapshot, and the candidate pairs of distinct lines and segments."""
+    # The only pass over the history; a line has one row per time here, so its key is not hot.
+    measures = cut_lineage(roll_up_lines(flow, by=("timestamp",)).withColumn("line_key", line_key()))
+    lines = measures.groupBy("line_key").agg(F.any_value("line").alias("line"))
+    shapes = cut_lineage(spread(lines, "line_key"))
+    return measures, match_metrics(shapes, segments, "line_key", buffer_deg, candidate, **grid)
+
+
+def snapshot_events(measures: DataFrame, matches: DataFrame, speed_agg: str = "avg") -> DataFrame:
+    joined = measures.drop("line").join(matches.select("line_key", "segment_id"), "line_key")
     return event_rows(roll_up_segments(joined, speed_agg, by=("timestamp",)))
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from roadpulse.functions import geometry as geo
 from roadpulse.operators.spatial import line_pieces, near_pieces, with_sides
+from roadpulse.session import cut_lineage
 
 _EDGE_IDS = ["osmid", "u", "v"]
 # Fractions of a piece within this of 0 and 1 count as its ends.
@@ -157,11 +159,26 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return sizes.agg(F.count_if(F.col("n") > 1).alias("repeated_keys"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra_rows"))
 
 
-def flag_outliers(df: DataFrame, column: str, reach: float = 1.5, accuracy: int = 10000) -> DataFrame:
-    """Add ``is_outlier``: outside the quartile fences, which come from a distributed sketch."""
-    quartiles = df.agg(F.percentile_approx(column, [0.25, 0.75], accuracy).alias("q")).first()["q"]
-    if quartiles is None:
-        return df.withColumn("is_outlier", F.lit(None).cast("boolean"))
-    low, high = quartiles
-    spread = reach * (high - low)
-    return df.withColumn("is_outlier", ~F.col(column).between(low - spread, high + spread))
+def exact_quantiles(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
+    """One row with ``q0``, ``q1``, ...: the least value that at least that share of the non-NULL values do not exceed.
+
+    Values are counted, the counts range-sorted and summed up within each task and then over the tasks.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    kept = cut_lineage(counts.repartitionByRange("value").withColumn("_part", F.spark_partition_id()))
+    # One row for each task.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = kept.groupBy("_part").agg(F.sum("n").alias("_n"))
+    offsets = sums.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(
+        Window.partitionBy(F.lit(1))).alias("_all"))
+    within = Window.partitionBy("_part").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = kept.join(F.broadcast(offsets), "_part").withColumn("_upto", F.col("_before") + F.sum("n").over(within))
+    return placed.agg(*[F.min(F.when(F.col("_upto") >= s * F.col("_all"), F.col("value"))).alias(f"q{i}") for i, s in enumerate(shares)])
+
+
+def flag_outliers(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
+    """Add ``is_outlier``: outside the fences about the exact quartiles; NULL where there are none."""
+    quartiles = exact_quantiles(df, column, [0.25, 0.75])
+    low = quartiles.selectExpr(f"q0 - {reach!r}D * (q1 - q0)").scalar()
+    high = quartiles.selectExpr(f"q1 + {reach!r}D * (q1 - q0)").scalar()
+    return df.withColumn("is_outlier", ~F.col(column).between(low, high))

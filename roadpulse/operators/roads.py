@@ -50,7 +50,7 @@ def build_road_network(edges: DataFrame) -> DataFrame:
         clean_speed_limit(F.col("maxspeed")).alias("speed_limit"),
         "lanes",
         F.expr(geo.line_metres("geometry")).alias("length"),
-        F.expr(geo.azimuth("geometry")).alias("azimuth"),
+        F.expr(geo.bearing("geometry")).alias("azimuth"),
         "geometry",
     )
 
@@ -72,6 +72,13 @@ def chunk_plan(edges: DataFrame, chunk_m: float = 100.0) -> DataFrame:
     })
 
 
+def edge_report(edges: DataFrame, chunk_m: float = 100.0) -> DataFrame:
+    """One row about distinct edges: chunks they are cut into, and edges without a usable line."""
+    chunks = F.greatest(F.ceil(F.expr(geo.line_metres("geometry")) / float(chunk_m)), F.lit(1))
+    return edges.agg(F.coalesce(F.sum(chunks), F.lit(0)).cast("bigint").alias("chunks"),
+                     F.count_if(F.col("geometry").isNull()).alias("edges_without_line"))
+
+
 def build_road_segments(edges: DataFrame, chunk_m: float = 100.0, id_scope: str = "osmid") -> DataFrame:
     """Roads cut into pieces of about ``chunk_m`` metres, one row per segment id.
 
@@ -87,13 +94,13 @@ def build_road_segments(edges: DataFrame, chunk_m: float = 100.0, id_scope: str
         "osmid", "u", "v", "name", "oneway", "highway", "maxspeed", "lanes",
         F.expr(geo.line_substring("geometry", "run", "begin_at", "end_at")).alias("geometry"),
     )
-    # Edges are distinct on these three, so they decide alone.
-    kept = one_row_per_key(cut, ["segment_id"], [F.col("u"), F.col("v"), F.col("osmid")])
+    # Edges are distinct on these three, so they decide alone; per edge, ids are distinct already.
+    kept = cut if id_scope == "edge" else one_row_per_key(cut, ["segment_id"], [F.col("u"), F.col("v"), F.col("osmid")])
     return kept.select(
         "segment_id", "osmid", "u", "v", "name", "oneway", "highway",
         clean_speed_limit(F.col("maxspeed")).alias("speed_limit"),
         "lanes",
-        F.expr(geo.azimuth("geometry")).alias("azimuth"),
+        F.expr(geo.bearing("geometry")).alias("azimuth"),
         F.expr(geo.line_metres("geometry")).alias("length"),
         "geometry",
     )

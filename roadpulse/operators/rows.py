@@ -26,25 +26,16 @@ def drop_copies(df: DataFrame, keys: list[str]) -> DataFrame:
     return one_row_per_key(df, keys, [F.col(c) for c in df.columns if c not in keys])
 
 
-def salted_join(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None,
-                how: str = "inner", salts: int = 16) -> DataFrame:
+def keyed_join(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None, how: str = "inner") -> DataFrame:
     """Join a large fact side to a keyed table whose keys may be hot (or NULL) in the facts.
 
-    The rows of one key spread over ``salts`` partitions and the keyed side is repeated that
-    often. The salt comes from the row's values and its input partition, so a re-run task
-    gives the same salts, and plain copies of a row spread too. Output columns: those of
-    ``fact``, then those of ``dim`` but its key.
+    A plain join: Spark broadcasts the keyed side when its size is below the session's bound, and otherwise adaptive
+    execution splits the partitions that hot keys make large, as many ways as their size asks for.
+    Nothing is repeated when no key is hot. Output columns: those of ``fact``, then those of ``dim`` but its key.
     """
-    dim_key = dim_key or key
-    # Rows are hashed as they are but for maps, which cannot be hashed.
-    hashed = [f.name for f in fact.schema.fields if f.dataType.typeName() in (
-        "long", "integer", "double", "string", "timestamp", "boolean", "date")]
-    spread = F.pmod(F.xxhash64(*hashed) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    left = fact.withColumn("_salt", spread)
-    right = dim.withColumnRenamed(dim_key, "_dim_key").withColumn(
-        "_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = left.join(right, (left[key] == right["_dim_key"]) & (left["_salt"] == right["_dim_salt"]), how)
-    return joined.drop("_salt", "_dim_key", "_dim_salt")
+    right = dim.withColumnRenamed(dim_key or key, "_dim_key")
+    joined = fact.join(right, fact[key] == right["_dim_key"], how)
+    return joined.drop("_dim_key")
 
 
 def numbered(df: DataFrame, order: list[str], name: str, start: Column | int = 1) -> DataFrame:

@@ -6,11 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from roadpulse.functions import geometry as geo
 from roadpulse.functions.traffic import DEFAULT_COLOURS, classes_at_zoom
-from roadpulse.operators.rows import one_row_per_key, salted_join
+from roadpulse.operators.rows import one_row_per_key
 
 # Zoom when none is given, and row limits.
 DEFAULT_ZOOM = 13
@@ -80,12 +79,16 @@ def latest_traffic(events: DataFrame, segments: DataFrame, bbox: Sequence[float
                    zoom: float | None = None, limit: int | None = None) -> DataFrame:
     """Newest state of each visible street, newest first.
 
-    Events shrink to one per street before they meet the segments, so a street with a third
-    of all events costs one row per task. The visible set depends on the street alone, so
-    the order of the two steps does not change the result.
+    With a map window, events of other streets are left out first. Events then shrink to one per
+    street before they meet the segments, so a street with a third of all events costs one row per
+    task. The visible set depends on the street alone, so the order of the steps does not change the result.
     """
-    size = limit or (WINDOW_LIMIT if usable_window(bbox) else DEFAULT_LIMIT)
-    rows = with_roads(latest_per_street(events), visible_segments(segments, bbox, zoom))
+    window = usable_window(bbox)
+    size = limit or (WINDOW_LIMIT if window else DEFAULT_LIMIT)
+    shown = visible_segments(segments, bbox, zoom)
+    if window is not None:
+        events = events.join(shown.select(F.col("segment_id").alias("street_id")), "street_id", "left_semi")
+    rows = with_roads(latest_per_street(events), shown)
     return newest_first(rows, size).select(*_EVENT_COLUMNS, *_ROAD_COLUMNS)
 
 
@@ -96,21 +99,16 @@ def in_time(events: DataFrame, start, end) -> DataFrame:
     return events.filter(F.col("timestamp").between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
 
 
-def newest_of_each(events: DataFrame, limit: int) -> DataFrame:
-    """At most ``limit`` newest events per street: no more of one street can be among the newest ``limit``.
-
-    Spark cuts each street down inside every input task before the shuffle.
-    """
-    order = Window.partitionBy("street_id").orderBy(F.desc("timestamp"), *[c.desc() for c in _tie_break(events, ["street_id", "timestamp"])])
-    return events.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= limit).drop("_nth")
-
-
 def traffic_range(events: DataFrame, segments: DataFrame, start, end,
                   bbox: Sequence[float | None] | None = None, zoom: float | None = None,
                   limit: int | None = None) -> DataFrame:
-    """All events of visible streets in a time range, newest first, up to the row limit."""
+    """All events of visible streets in a time range, newest first, up to the row limit.
+
+    Events meet the visible segments first. The limit with its order is then one bounded list per task and a
+    merge of those, whatever the limit; a hot street's join is left to Spark to split.
+    """
     size = row_limit(limit, usable_window(bbox) is not None)
-    rows = with_roads(newest_of_each(in_time(events, start, end), size), visible_segments(segments, bbox, zoom))
+    rows = with_roads(in_time(events, start, end), visible_segments(segments, bbox, zoom))
     keep = ["event_id"] if "event_id" in events.columns else []
     return newest_first(rows, size).select(*keep, *_EVENT_COLUMNS, *_ROAD_COLUMNS)
 
@@ -126,7 +124,9 @@ def traffic_stats(events: DataFrame) -> DataFrame:
 
 
 def speeds_descending(events: DataFrame) -> DataFrame:
-    return events.select("speed").orderBy(F.desc("speed"))
+    """Speeds from high to low; ties go by event, so that a common speed spreads over tasks."""
+    tie = ["event_id"] if "event_id" in events.columns else ["street_id", "timestamp"]
+    return events.select("speed", *tie).orderBy(F.desc("speed"), *tie).select("speed")
 
 
 def orphan_streets(events: DataFrame, segments: DataFrame) -> DataFrame:
@@ -136,10 +136,8 @@ def orphan_streets(events: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def drop_orphans(events: DataFrame, segments: DataFrame) -> DataFrame:
-    """Events whose street has a segment. Streets are tested once each, then events join salted."""
-    known = (events.select("street_id").distinct()
-             .join(segments.select(F.col("segment_id").alias("street_id")), "street_id", "left_semi"))
-    return salted_join(events, known, "street_id")
+    """Events whose street has a segment; segment ids are distinct, so the join repeats nothing."""
+    return events.join(segments.select(F.col("segment_id").alias("street_id")), "street_id", "left_semi").select(*events.columns)
 
 
 # --- labelled events, the older form of the store ---------------------------------------
@@ -163,7 +161,8 @@ def latest_labelled(events: DataFrame, labels: DataFrame, bbox: Sequence[float |
 
 def labelled_range(events: DataFrame, labels: DataFrame, start, end) -> DataFrame:
     shaped = in_time(events.filter(F.col("wkt_shape").isNotNull()), start, end)
-    rows = _labelled(newest_of_each(shaped, MAX_LIMIT), labels)
+    # Every event stays in the join with labels, so the newest can be taken before it.
+    rows = _labelled(newest_first(shaped, MAX_LIMIT), labels)
     keep = ["event_id"] if "event_id" in events.columns else []
     return newest_first(rows, MAX_LIMIT).select(*keep, *_EVENT_COLUMNS, "street_name", "geometry")
 
@@ -200,9 +199,10 @@ def geojson_features(rows: DataFrame) -> DataFrame:
 
 def feature_collection(limited: DataFrame, zoom: float | None = None, bbox: Sequence[float | None] | None = None,
                        time_range: tuple[str, str] | None = None, query_limit: int | None = None,
-                       colours: dict[str, str] | None = None) -> DataFrame:
-    """One FeatureCollection text out of rows that a map query has already limited."""
+                       colours: dict[str, str] | None = None, limit: int = MAX_LIMIT) -> DataFrame:
+    """One FeatureCollection text out of the rows of a map query: the newest ``limit`` of them, ``MAX_LIMIT`` at most."""
     window = usable_window(bbox)
+    limited = newest_first(limited, min(limit, MAX_LIMIT))
     # A negative time sorts newest first, as the map queries do.
     order = F.struct((-F.unix_micros("timestamp")).alias("newest"), F.col("street_id"))
     ordered = F.array_sort(F.collect_list(F.struct(order.alias("at"), _feature(limited).alias("f"))))

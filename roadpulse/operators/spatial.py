@@ -1,4 +1,4 @@
-"""Spatial join of lines on a grid, with hot cells split and salted.
+"""Spatial join of lines on a grid, with crowded cells split into blocks.
 
 Lines are taken apart into straight pieces. Each piece goes to the grid cells it touches,
 pieces meet by equality of the cell, and a box test in the join condition keeps pairs of
@@ -12,18 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geometry as geo
-from roadpulse.session import cut_lineage
 
 CELL_DEGREES = 0.002
-# A hot cell is split into this many columns and rows of finer cells.
-FINER = 16
-# A cell is hot from this many rows on: below, the box tests of its pairs take one task
-# seconds at most. Only the largest cells are listed, and a cell outside the list holds less
-# than 1/HOT_CELLS of all rows. The list is broadcast; HOT_CELLS rows of four numbers, about
-# 2 MB, is the bound of its size.
-HOT_ROWS = 50_000
-HOT_CELLS = 65_536
-MAX_SALTS = 32
+# Rows of one side that meet those of the other in one task, in one cell: some seconds of box tests at most.
+CELL_ROWS = 10_000
 # Margin in degrees against rounding at cell borders, about 0.1 mm.
 MARGIN = 1e-9
 
@@ -43,20 +35,17 @@ def _with_box(pieces: DataFrame, prefix: str, grow: float) -> DataFrame:
     return pieces.selectExpr(*[f"{c} as {prefix}{c}" for c in pieces.columns]).selectExpr("*", *box)
 
 
-def _touched(prefix: str, grow: float, size: float, block: tuple[str, str] | None = None) -> str:
+def _touched(prefix: str, grow: float, size: float) -> str:
     """Cells of one size that a piece, grown by ``grow``, touches: ``array<struct<cx,cy>>``.
 
     Column by column, rows follow from the stretch of the piece over that column, so a long
-    slanted piece costs its length in cells and not its box. ``block`` limits the cells to
-    the FINER x FINER block that starts there.
+    slanted piece costs its length in cells and not its box.
     """
     x1, y1, xmin, xmax, ymin, ymax = (prefix + c for c in ("x1", "y1", "xmin", "xmax", "ymin", "ymax"))
     slope = f"(({prefix}y2 - {y1}) / nullif({prefix}x2 - {x1}, 0))"
 
-    def cell_range(low: str, high: str, first: str | None) -> str:
+    def cell_range(low: str, high: str) -> str:
         lo, hi = f"floor(({low} - {MARGIN}D) / {size!r}D)", f"floor(({high} + {MARGIN}D) / {size!r}D)"
-        if first is not None:
-            lo, hi = f"greatest({lo}, {first})", f"least({hi}, {first} + {FINER - 1})"
         return f"if({lo} <= {hi}, sequence({lo}, {hi}), array())"
 
     def y_at(x: str) -> str:
@@ -67,8 +56,8 @@ def _touched(prefix: str, grow: float, size: float, block: tuple[str, str] | Non
     # Past the ends of the piece the straight rule overshoots; the box bounds it again.
     low = f"coalesce(greatest(least({y_at(left)}, {y_at(right)}) - {grow!r}D, {ymin}), {ymin})"
     high = f"coalesce(least(greatest({y_at(left)}, {y_at(right)}) + {grow!r}D, {ymax}), {ymax})"
-    rows = cell_range("b.low", "b.high", block and block[1])
-    return (f"flatten(transform({cell_range(xmin, xmax, block and block[0])}, cx -> flatten(transform("
+    rows = cell_range("b.low", "b.high")
+    return (f"flatten(transform({cell_range(xmin, xmax)}, cx -> flatten(transform("
             f"array(named_struct('low', {low}, 'high', {high})), b -> transform({rows}, "
             f"cy -> named_struct('cx', cx, 'cy', cy))))))")
 
@@ -77,29 +66,26 @@ def _in_cells(boxed: DataFrame, prefix: str, grow: float, cell: float) -> DataFr
     return boxed.selectExpr("*", f"inline({_touched(prefix, grow, cell)})")
 
 
-def hot_cells(left: DataFrame, right: DataFrame, hot_rows: int) -> DataFrame:
-    """The largest cells of both sides with their numbers of salts; at most HOT_CELLS rows."""
+def crowded_cells(left: DataFrame, right: DataFrame, cell_rows: int) -> DataFrame:
+    """Cells with more than ``cell_rows`` rows of either side, and the number of salts of each side there.
+
+    A distributed aggregate that Spark joins back as it sees fit: no list, no limit. Cells that only one side has are left out.
+    """
     tagged = left.selectExpr("cx", "cy", "1 as l", "0 as r").unionAll(right.selectExpr("cx", "cy", "0 as l", "1 as r"))
     sizes = tagged.groupBy("cx", "cy").agg(F.sum("l").alias("l_rows"), F.sum("r").alias("r_rows"))
-    top = (sizes.filter(f"l_rows + r_rows >= {hot_rows}")
-           .orderBy(F.expr("l_rows + r_rows").desc(), "cx", "cy").limit(HOT_CELLS))
-    salts = [f"int(greatest(least(ceil({side}_rows / {hot_rows}), {MAX_SALTS}), 1)) as {side}_salts" for side in "lr"]
-    return top.selectExpr("cx", "cy", *salts)
+    return sizes.filter(f"l_rows > 0 and r_rows > 0 and greatest(l_rows, r_rows) > {cell_rows}").selectExpr(
+        "cx", "cy", f"ceil(l_rows / {cell_rows}) as l_salts", f"ceil(r_rows / {cell_rows}) as r_salts")
 
 
-def _spread(cells: DataFrame, prefix: str, ids: list[str], grow: float, cell: float, hot: DataFrame) -> DataFrame:
-    """Give rows of hot cells finer cells and salts; all others keep their cell."""
+def _salted(cells: DataFrame, prefix: str, ids: list[str], crowded: DataFrame) -> DataFrame:
+    """Rows of crowded cells with their own side's salt, once for each salt of the other side; all others as they are."""
     own, other = ("l_salts", "r_salts") if prefix == "l_" else ("r_salts", "l_salts")
-    marked = cells.join(F.broadcast(hot), ["cx", "cy"], "left")
-    fine = _touched(prefix, grow, cell / FINER, (f"cx * {FINER}", f"cy * {FINER}"))
     hashed = ", ".join(prefix + c for c in [*ids, "part"])
-    mine = f"int(pmod(xxhash64({hashed}), {own}))"
+    mine = f"pmod(xxhash64({hashed}), coalesce({own}, 1))"
     sl, sr = (mine, "s") if prefix == "l_" else ("s", mine)
-    split = (f"flatten(transform({fine}, c -> transform(sequence(0, {other} - 1), s -> "
-             f"named_struct('level', 1, 'cx', c.cx, 'cy', c.cy, 'sl', {sl}, 'sr', {sr}))))")
-    plain = "array(named_struct('level', 0, 'cx', cx, 'cy', cy, 'sl', 0, 'sr', 0))"
-    kept = [c for c in cells.columns if c not in ("cx", "cy")]
-    return marked.selectExpr(*kept, f"inline(if({own} is null, {plain}, {split}))")
+    marked = cells.join(crowded, ["cx", "cy"], "left")
+    spread = marked.selectExpr("*", f"explode(sequence(0L, coalesce({other}, 1) - 1)) as s")
+    return spread.selectExpr(*cells.columns, f"{sl} as sl", f"{sr} as sr")
 
 
 def _in_reach(one: str, other: str, grow: float) -> str:
@@ -111,27 +97,21 @@ def _in_reach(one: str, other: str, grow: float) -> str:
 
 
 def near_pieces(left: DataFrame, right: DataFrame, left_ids: list[str], right_ids: list[str],
-                grow: float = 0.0, cell: float = CELL_DEGREES, hot_rows: int | None = HOT_ROWS,
+                grow: float = 0.0, cell: float = CELL_DEGREES, cell_rows: int = CELL_ROWS,
                 extra: str | None = None) -> DataFrame:
     """Pairs of pieces that may come within ``grow`` of each other; columns ``l_*`` and ``r_*``.
 
     The boxes meet, the left one grown, and neither piece lies wholly to one side of the other.
 
-    A pair may come once per shared cell. ``extra`` is one more join condition. Both sides
-    are read several times (size, hot cells, join), so inputs that are costly to compute
-    should be stored or checkpointed first.
+    A pair may come once per shared cell. ``extra`` is one more join condition. The rows of a cell are
+    dealt to blocks of about ``cell_rows`` of each side, whatever their number, and each two blocks meet in one
+    task. Both sides are read twice (sizes and join), so inputs that are costly to compute should be stored or checkpointed first.
     """
     boxed_l, boxed_r = _with_box(left, "l_", grow), _with_box(right, "r_", 0.0)
     cells_l, cells_r = _in_cells(boxed_l, "l_", grow, cell), _in_cells(boxed_r, "r_", 0.0, cell)
-    on = ["cx", "cy"]
-    # A cell has no more rows than there are pieces, so few pieces need no look for hot cells.
-    if hot_rows is not None and left.count() + right.count() >= hot_rows:
-        # Counted once for both sides; without a hot cell the plain join is all there is to do.
-        hot = cut_lineage(hot_cells(cells_l, cells_r, hot_rows))
-        if not hot.isEmpty():
-            cells_l = _spread(cells_l, "l_", left_ids, grow, cell, hot)
-            cells_r = _spread(cells_r, "r_", right_ids, 0.0, cell, hot)
-            on = ["level", "cx", "cy", "sl", "sr"]
+    crowded = crowded_cells(cells_l, cells_r, cell_rows)
+    cells_l, cells_r = _salted(cells_l, "l_", left_ids, crowded), _salted(cells_r, "r_", right_ids, crowded)
+    on = ["cx", "cy", "sl", "sr"]
     same = " and ".join(f"a.{c} = b.{c}" for c in on)
     meet = "l_xmin <= r_xmax and l_xmax >= r_xmin and l_ymin <= r_ymax and l_ymax >= r_ymin"
     reach = [_in_reach("l_", "r_", grow), _in_reach("r_", "l_", grow)]

@@ -68,11 +68,32 @@ SELECT CAST(ROW_NUMBER() OVER (ORDER BY street_name) AS BIGINT) AS street_id, st
 FROM (SELECT DISTINCT CONCAT('street_', CAST(user_id % 20 AS STRING)) AS street_name FROM events WHERE user_id % 20 < 12) x
 """
 
+# Roads of three pieces: loops, bends, and straight ones that reach into the next.
+BENT_ROADS_FX = """
+SELECT u, CASE WHEN u % 5 IN (1, 2) THEN CAST(u - u % 5 AS BIGINT) ELSE u END AS way, bx AS x0, b_y AS y0,
+       bx + CASE u % 5 WHEN 0 THEN 600 WHEN 1 THEN 500 WHEN 2 THEN 300 ELSE 700 END AS x1,
+       b_y + CASE WHEN u % 5 IN (0, 1, 2) THEN 0 ELSE 300 END AS y1,
+       bx + CASE u % 5 WHEN 0 THEN 300 WHEN 1 THEN 1500 WHEN 2 THEN 900 ELSE 1400 END AS x2,
+       b_y + CASE u % 5 WHEN 0 THEN 500 WHEN 1 THEN 0 WHEN 2 THEN 0 ELSE -200 END AS y2,
+       bx + CASE u % 5 WHEN 0 THEN 0 WHEN 1 THEN 2400 WHEN 2 THEN 1500 ELSE 2100 END AS x3,
+       b_y + CASE WHEN u % 5 IN (0, 1, 2) THEN 0 ELSE 100 END AS y3
+FROM (SELECT DISTINCT u, x1 AS bx, y1 AS b_y FROM road_edges_raw) r
+"""
+
+# Traffic lines of two pieces about those roads, one for each road and shift.
+BENT_FLOW_FX = """
+SELECT DISTINCT r.u * 7 + e.event_id % 7 AS result_id, r.x0 - 100 AS x0, r.y0 - 60 + 10 * (e.event_id % 7) AS y0,
+       r.x0 + 800 AS x1, r.y0 + 260 - 10 * (e.event_id % 7) AS y1, r.x0 + 1700 AS x2, r.y0 - 80 AS y2
+FROM events e JOIN bent_roads_fx r ON e.user_id = r.u
+"""
+
 CTES = {
     "road_edges_raw": ROAD_EDGES_RAW,
     "flow_raw": FLOW_RAW,
     "traffic_events_fx": TRAFFIC_EVENTS_FX,
     "street_labels_fx": STREET_LABELS_FX,
+    "bent_roads_fx": BENT_ROADS_FX,
+    "bent_flow_fx": BENT_FLOW_FX,
 }
 
 
@@ -131,6 +152,29 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.collect_list(item).alias("results")))
 
 
+def _bent_line(points: int) -> str:
+    return "array(" + ", ".join(geo.point(f"x{i} / 1e6D", f"y{i} / 1e6D") for i in range(points)) + ")"
+
+
+def bent_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of three pieces each; neighbours on one line have one way id."""
+    raw = _run(spark, sf_dir, "road_edges_raw", "bent_roads_fx")
+    return raw.select(F.col("way").cast("string").alias("osmid"), "u", (F.col("u") + 1).alias("v"), F.lit("bent").alias("name"),
+                      F.lit(False).alias("oneway"), F.lit("primary").alias("highway"), F.lit("50").alias("maxspeed"), F.lit("1").alias("lanes"),
+                      F.expr(_bent_line(4)).alias("geometry"))
+
+
+def bent_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole bent edges as segments, named by u."""
+    return bent_edges(spark, sf_dir).select(F.col("u").cast("string").alias("segment_id"), "osmid",
+                                            F.expr(geo.bearing("geometry")).alias("azimuth"), "geometry")
+
+
+def bent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _run(spark, sf_dir, "road_edges_raw", "bent_roads_fx", "bent_flow_fx")
+    return raw.select("result_id", F.expr(_bent_line(3)).alias("line"))
+
+
 def traffic_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored events over many hours; some street ids have no segment."""
     raw = _run(spark, sf_dir, "road_edges_raw", "flow_raw", "traffic_events_fx")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import warnings
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.functions.text import snapshot_key
@@ -10,7 +13,7 @@ from roadpulse.model import ROAD_NETWORK, ROAD_SEGMENTS, TRAFFIC_EVENTS, conform
 from roadpulse.operators import clean, labels, matching, roads, summary
 from roadpulse.session import cut_lineage
 from roadpulse.sources import tables
-from roadpulse.sources.snapshots import read_snapshots
+from roadpulse.sources.snapshots import distinct_deliveries, read_snapshots
 from roadpulse.sources.tables import Jdbc
 
 
@@ -28,14 +31,31 @@ def _by_snapshot(df: DataFrame) -> DataFrame:
 
 def clean_traffic(spark: SparkSession, raw_path: str, silver_path: str,
                   min_confidence: float = clean.MIN_CONFIDENCE) -> DataFrame:
-    """Raw snapshots to stored clean flow, partitioned by snapshot; one that comes again is replaced."""
-    flow = clean.clean_flow(read_snapshots(spark, raw_path), min_confidence)
-    return tables.write_parquet(_by_snapshot(flow), silver_path, ["day", "snapshot"])
+    """Raw snapshots to stored clean flow, one partition for each delivery; one that comes again is replaced.
+
+    A delivery is a payload by content, so areas of one time, and payloads without a time, stay beside each other.
+    One whose rows are now all filtered out loses its old partition.
+    """
+    given = cut_lineage(distinct_deliveries(read_snapshots(spark, raw_path)))
+    keys = ["day", "snapshot", "delivery"]
+    flow = _by_snapshot(clean.clean_flow(given, min_confidence))
+    # As many rows as payloads in the run, and of those only the ones without rows are named here.
+    named = _by_snapshot(given.select(F.col("sourceUpdated").cast("timestamp").alias("timestamp"), "delivery")).select(*keys)
+    gone = named.join(flow.select(*keys).distinct(), [named[k].eqNullSafe(flow[k]) for k in keys], "left_anti")
+    for row in gone.toLocalIterator():
+        tables.drop_partition(spark, silver_path, row.asDict())
+    return tables.write_parquet(flow.repartition(*[F.col(k) for k in keys], _small_salt()), silver_path, keys)
+
+
+def _small_salt(parts: int = 4) -> Column:
+    """Spreads one large partition over a few tasks and files; from the row, so a task run again gives the same."""
+    return F.pmod(F.xxhash64("timestamp", "speed", "jamFactor", "confidence"), F.lit(parts))
 
 
 def process_roads(spark: SparkSession, edges_path: str, network: str | Jdbc, segments: str | Jdbc,
                   chunk_m: float = 100.0, id_scope: str = "osmid") -> dict[str, int]:
-    """Raw edges to the stored road network and segments; returns the row counts.
+    """Raw edges to the stored road network and segments; returns row counts, chunks that shared an id and so were dropped,
+    and edges without a usable line.
 
     Both tables are refreshed whole. The distinct edges feed two writes, so they are kept.
     """
@@ -51,44 +71,70 @@ def process_roads(spark: SparkSession, edges_path: str, network: str | Jdbc, seg
         # Range partitioning looks at its input once more, which an observed count would add
         # up; the count of the stored files comes from their footers.
         count = tables.write_segments(cut, segments).count()
-    return {"road_network": net_rows.get["rows"], "road_segments": count}
+    report = roads.edge_report(edges, chunk_m).first()
+    return {"road_network": net_rows.get["rows"], "road_segments": count, "dropped_chunks": report["chunks"] - count,
+            "edges_without_line": report["edges_without_line"]}
+
+
+def _store_events(final: DataFrame, target: str | Jdbc) -> None:
+    if isinstance(target, Jdbc):
+        tables.write_jdbc(final, target, "append", stamp=True)
+        return
+    shaped = _by_snapshot(conform(final, TRAFFIC_EVENTS))
+    dealt = shaped.repartition("day", "snapshot", F.pmod(F.xxhash64("street_id"), F.lit(4)))
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "snapshot").parquet(target)
 
 
-def process_traffic(spark: SparkSession, silver_path: str, segments: str | Jdbc, events: str | Jdbc,
-                    snapshot: str | None = None, **rules) -> dict[str, int]:
-    """Stored clean flow and segments to stored traffic events; returns row counts.
+def process_traffic(spark: SparkSession, silver_path: str, segments: str | Jdbc, events: str | Jdbc | Sequence[str | Jdbc],
+                    snapshot: str | None = None, segment_scan: dict | None = None, max_angle: float = matching.MAX_ANGLE,
+                    min_overlap_m: float = matching.MIN_OVERLAP_M, speed_agg: str = "avg", **grid) -> dict[str, float]:
+    """Stored clean flow and segments to stored traffic events, in one target or several; returns counts and overlap lengths.
 
     Takes one snapshot, or all of the folder at once; either way each snapshot has its own
     events, in its own partition, so a repeated run replaces them. Time ranges thus see the
-    history, and the latest state is a query. Counts are taken while the work runs.
+    history, and the latest state is a query. ``segment_scan`` has the column, bounds and number of partitions of
+    a database scan. Warns when no candidate pair is found.
     """
     stored = spark.read.parquet(silver_path)
     if snapshot is not None:
         stored = stored.filter(F.col("snapshot") == snapshot)
-    roads_in = tables.load_segments(spark, segments)
+    roads_in = tables.load_segments(spark, segments, **(segment_scan or {}))
     if isinstance(segments, Jdbc):
         # Read by several steps below; one pass over the database.
         roads_in = cut_lineage(roads_in)
-    final, rows = summary.counted(matching.match_snapshots(stored, roads_in, **rules), "final")
-    if isinstance(events, Jdbc):
-        tables.write_jdbc(final, events, "append", stamp=True)
-    else:
-        shaped = _by_snapshot(conform(final, TRAFFIC_EVENTS))
-        (shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "snapshot").parquet(events))
-    given, count = stored.count(), rows.get["rows"]
-    return {"input_count": given, "final_count": count, "match_rate": summary.match_rate(count, given)}
-
-
-def label_traffic(spark: SparkSession, silver_path: str, label_table: str | Jdbc, events_path: str) -> None:
-    """The older job: give street names ids, and store the flow keyed by them with its shape as text."""
+    measures, metrics = matching.snapshot_matches(stored, roads_in, **grid)
+    metrics = cut_lineage(metrics)
+    final = cut_lineage(matching.snapshot_events(measures, matching.apply_rules(metrics, max_angle, min_overlap_m), speed_agg))
+    for target in [events] if isinstance(events, (str, Jdbc)) else events:
+        _store_events(final, target)
+    found = matching.overlap_stats(metrics, F.count("*").alias("candidate_count")).first().asDict()
+    if not found["candidate_count"]:
+        warnings.warn("no traffic line meets a road segment", stacklevel=2)
+    given, count = stored.count(), final.count()
+    return {"input_count": given, "static_count": roads_in.count(), "final_count": count,
+            "match_rate": summary.match_rate(count, given), **found}
+
+
+def label_traffic(spark: SparkSession, silver_path: str, label_table: str | Jdbc, events: str | Jdbc | Sequence[str | Jdbc],
+                  labelled_path: str | None = None) -> None:
+    """The older job: give street names ids, and store the flow keyed by them with its shape as text, in one target or several.
+
+    New labels are appended, so a run that breaks off leaves the known ones. ``labelled_path`` also keeps the labelled flow itself.
+    """
     flow = spark.read.parquet(silver_path)
     known = tables.read_table(spark, label_table)
     extended = cut_lineage(labels.extend_labels(flow, known))
+    fresh = extended.join(known.select("street_name"), "street_name", "left_anti").select("street_id", "street_name")
     if isinstance(label_table, Jdbc):
-        fresh = extended.join(known.select("street_name"), "street_name", "left_anti").select("street_id", "street_name")
         tables.write_jdbc(fresh, label_table, "append")
     else:
-        # The written checkpoint is read here, so the folder can be replaced.
-        extended.write.mode("overwrite").parquet(label_table)
+        fresh.write.mode("append").parquet(label_table)
     levelled = flow.withColumn("congestion_level", matching.congestion_level(F.col("jamFactor")))
-    tables.write_parquet(labels.labelled_events(labels.attach_labels(levelled, extended)), events_path)
+    attached = cut_lineage(labels.attach_labels(levelled, extended))
+    if labelled_path is not None:
+        tables.write_parquet(attached, labelled_path)
+    for target in [events] if isinstance(events, (str, Jdbc)) else events:
+        if isinstance(target, Jdbc):
+            tables.write_jdbc(labels.labelled_events(attached), target, "append")
+        else:
+            tables.write_parquet(labels.labelled_events(attached), target)

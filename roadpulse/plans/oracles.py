@@ -6,6 +6,7 @@ line pieces, so that the two sides share no more than the formulas of the geomet
 
 from __future__ import annotations
 
+from roadpulse.functions.traffic import DEFAULT_COLOURS
 from roadpulse.plans.fixtures import CTES
 from roadpulse.plans.queries import END, START, WINDOW
 
@@ -131,11 +132,32 @@ _SEG_PAIRS = """SELECT a.segment_id AS segment_id_1, b.segment_id AS segment_id_
  a.sx AS ax1, a.sy AS ay1, a.ex AS ax2, a.ey AS ay2, b.sx AS bx1, b.sy AS by1, b.ex AS bx2, b.ey AS by2
 FROM segs a JOIN segs b ON a.sx <= b.ex AND a.ex >= b.sx AND a.sy <= b.ey AND a.ey >= b.sy AND a.segment_id < b.segment_id"""
 
+# Bent lines piece by piece; a closed line has angle 0, as atan2(0, 0).
+_BENT_SEGS = " UNION ALL ".join(
+    f"SELECT CAST(u AS VARCHAR) AS segment_id, way, {i} AS part, x{i} / 1e6::DOUBLE AS sx, y{i} / 1e6::DOUBLE AS sy, x{i + 1} / 1e6::DOUBLE AS ex, "
+    f"y{i + 1} / 1e6::DOUBLE AS ey, {_azimuth('x0', 'y0', 'x3', 'y3')} AS azimuth, x{i} AS ix1, y{i} AS iy1, x{i + 1} AS ix2, y{i + 1} AS iy2 FROM bent_roads_fx" for i in range(3))
+_BENT_LINES = " UNION ALL ".join(
+    f"SELECT result_id, x{i} / 1e6::DOUBLE AS sx, y{i} / 1e6::DOUBLE AS sy, x{i + 1} / 1e6::DOUBLE AS ex, y{i + 1} / 1e6::DOUBLE AS ey, "
+    f"{_azimuth('x0', 'y0', 'x2', 'y2')} AS angle FROM bent_flow_fx" for i in range(2))
+_BENT_NEAR = (_NEAR.replace(f"{_azimuth('l.sx', 'l.sy', 'l.ex', 'l.ey')} AS line_angle", "l.angle AS line_angle, s.part")
+              .replace("FROM lines l JOIN segs s", "FROM bent_l l JOIN bent_s s"))
+# Stretches of one road piece in order; each adds what reaches past the furthest end so far.
+_BENT_RUNS = """SELECT *, greatest(lo, coalesce(max(hi) OVER (PARTITION BY result_id, segment_id, part ORDER BY lo, hi
+ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS since FROM bent_clip4 WHERE lo IS NOT NULL"""
+_BENT_METRICS = f"""SELECT m.result_id, m.segment_id, m.angle_diff, coalesce(r.metres, 0) AS overlap_length FROM
+ (SELECT result_id, segment_id, any_value(least(abs(line_angle - seg_angle), 360 - abs(line_angle - seg_angle))) AS angle_diff
+  FROM bent_clip4 GROUP BY result_id, segment_id HAVING bool_or(meets)) m LEFT JOIN
+ (SELECT result_id, segment_id, sum(CASE WHEN hi > since THEN {_metres('sx + since*dx', 'sy + since*dy', 'sx + hi*dx', 'sy + hi*dy')} ELSE 0 END) AS metres
+  FROM bent_runs GROUP BY result_id, segment_id) r ON m.result_id = r.result_id AND m.segment_id = r.segment_id"""
+
 _PARTS = {
     **CTES,
     "edges": _EDGES, "plan": _PLAN, "fractions": _FRACTIONS, "segs": _SEGS,
     "clean": _CLEAN, "lines": _LINES.format(rows="flow_raw"), "clean_lines": _LINES.format(rows="clean"),
     "near": _NEAR, "clip1": _CLIP1, "clip2": _CLIP2, "clip3": _CLIP3, "clip4": _CLIP4, "metrics": _METRICS,
+    "bent_s": _BENT_SEGS, "bent_l": _BENT_LINES, "bent_near": _BENT_NEAR, "bent_clip1": _CLIP1.replace("FROM near", "FROM bent_near"),
+    "bent_clip2": _CLIP2.replace("FROM clip1", "FROM bent_clip1"), "bent_clip3": _CLIP3.replace("FROM clip2", "FROM bent_clip2"),
+    "bent_clip4": _CLIP4.replace("FROM clip3", "FROM bent_clip3"), "bent_runs": _BENT_RUNS, "bent_metrics": _BENT_METRICS,
     "ev": _EVENTS, "latest": _LATEST,
     "road_pairs": _ROAD_PAIRS, "road_contacts": _CONTACT.format(pairs="road_pairs"), "road_kinds": f"SELECT *, {_KIND} FROM road_contacts",
     "seg_pairs": _SEG_PAIRS, "seg_contacts": _CONTACT.format(pairs="seg_pairs"), "seg_kinds": f"SELECT *, {_KIND} FROM seg_contacts",
@@ -143,6 +165,9 @@ _PARTS = {
 _NEEDS = {
     "flow_raw": ["road_edges_raw"], "traffic_events_fx": ["flow_raw", "road_edges_raw"], "edges": ["road_edges_raw"], "plan": ["edges"],
     "fractions": ["plan"], "segs": ["fractions"], "clean": ["flow_raw"], "lines": ["flow_raw"], "clean_lines": ["clean"],
+    "bent_roads_fx": ["road_edges_raw"], "bent_flow_fx": ["bent_roads_fx"], "bent_s": ["bent_roads_fx"], "bent_l": ["bent_flow_fx"],
+    "bent_near": ["bent_l", "bent_s"], "bent_clip1": ["bent_near"], "bent_clip2": ["bent_clip1"], "bent_clip3": ["bent_clip2"],
+    "bent_clip4": ["bent_clip3"], "bent_runs": ["bent_clip4"], "bent_metrics": ["bent_runs"],
     "near": ["lines", "segs"], "clip1": ["near"], "clip2": ["clip1"], "clip3": ["clip2"], "clip4": ["clip3"], "metrics": ["clip4"],
     "ev": ["traffic_events_fx"], "latest": ["ev"], "road_pairs": ["edges"], "road_contacts": ["road_pairs"], "road_kinds": ["road_contacts"],
     "seg_pairs": ["segs"], "seg_contacts": ["seg_pairs"], "seg_kinds": ["seg_contacts"],
@@ -249,6 +274,28 @@ def all_oracles() -> dict[str, str]:
         "run_summary": _sql("metrics", """SELECT i AS input_count, st AS static_count, c AS candidate_count, f AS final_count, coalesce(f * 100 // nullif(i, 0), 0) AS match_rate FROM (SELECT
             (SELECT count(*) FROM clean) AS i, (SELECT count(*) FROM segs) AS st, count(*) FILTER (WHERE meets) AS c,
             count(DISTINCT CASE WHEN meets AND angle_diff <= 90 AND overlap_length > 5 THEN segment_id END) AS f FROM metrics) t""", clean_only=True),
+        "bent_split": _sql("bent_s", f"SELECT CAST(segment_id AS BIGINT) AS u, CAST(greatest(ceil(sum(m) / 60), 1) AS BIGINT) AS pieces, round(sum(m), 3) AS total FROM (SELECT segment_id, {_metres('sx', 'sy', 'ex', 'ey')} AS m FROM bent_s) t GROUP BY segment_id"),
+        "bent_candidates": _sql("bent_l bent_s", f"SELECT DISTINCT l.result_id, s.segment_id FROM bent_l l JOIN bent_s s ON {_meets('l', 's')}"),
+        "bent_metrics": _sql("bent_metrics", "SELECT result_id, segment_id, round(angle_diff, 6) AS angle_diff, round(overlap_length, 4) AS overlap_length FROM bent_metrics"),
+        "bent_match": _sql("bent_metrics", "SELECT segment_id, count(*) AS n, round(sum(overlap_length), 3) AS metres FROM bent_metrics WHERE angle_diff <= 90 AND overlap_length > 20 GROUP BY segment_id"),
+        "bent_same_way": _sql("bent_s", """SELECT DISTINCT a.segment_id AS segment_id_1, b.segment_id AS segment_id_2 FROM bent_s a JOIN bent_s b ON a.way = b.way AND a.segment_id < b.segment_id
+            AND a.iy1 = a.iy2 AND b.iy1 = b.iy2 AND a.iy1 = b.iy1 AND least(a.ix2, b.ix2) > greatest(a.ix1, b.ix1)"""),
+        "snapshot_deliveries": _sql("clean", "SELECT timestamp, count(*) AS n, count(DISTINCT confidence >= 0.8) AS deliveries FROM clean GROUP BY timestamp"),
+        "geojson_features": _sql("latest segs", f"""SELECT 'Feature' AS type, street_id, s.name AS street_name, s.highway, s.oneway, congestion_level, confidence, traversability,
+            round(speed, 6) AS speed, round("jamFactor", 6) AS jamfactor, round("freeFlowSpeed", 6) AS freeflowspeed, {_ENDS} FROM latest e JOIN segs s ON e.street_id = s.segment_id"""),
+        "feature_collection": _sql("latest segs", f"""SELECT 'FeatureCollection' AS type, count(*) AS count, 13.0::DOUBLE AS zoom, {_XMIN} AS xmin, {_YMIN} AS ymin, {_XMAX} AS xmax, {_YMAX} AS ymax,
+            {len(DEFAULT_COLOURS)}::BIGINT AS colours, string_agg(street_id, ',' ORDER BY timestamp DESC, street_id) AS streets FROM (SELECT street_id, timestamp FROM latest e JOIN segs s ON e.street_id = s.segment_id
+            WHERE highway IN ({_TIER_13}) AND {_IN_WINDOW} ORDER BY timestamp DESC, street_id LIMIT 500) t"""),
+        "overlap_locations": _sql("road_kinds", """SELECT osmid_1, u_1, v_1, osmid_2, u_2, v_2, kind, points, round(least(px, qx) / 1e6::DOUBLE, 7) AS xmin, round(least(py, qy) / 1e6::DOUBLE, 7) AS ymin,
+            round(greatest(px, qx) / 1e6::DOUBLE, 7) AS xmax, round(greatest(py, qy) / 1e6::DOUBLE, 7) AS ymax FROM (SELECT *, CASE WHEN kind = 'crosses' THEN 1 ELSE 2 END::BIGINT AS points,
+             CASE WHEN kind = 'crosses' THEN CASE WHEN ax1 = ax2 THEN ax1 ELSE bx1 END ELSE ax1 + lo / dda::DOUBLE * (ax2 - ax1) END AS px,
+             CASE WHEN kind = 'crosses' THEN CASE WHEN ay1 = ay2 THEN ay1 ELSE by1 END ELSE ay1 + lo / dda::DOUBLE * (ay2 - ay1) END AS py,
+             CASE WHEN kind = 'crosses' THEN CASE WHEN ax1 = ax2 THEN ax1 ELSE bx1 END ELSE ax1 + hi / dda::DOUBLE * (ax2 - ax1) END AS qx,
+             CASE WHEN kind = 'crosses' THEN CASE WHEN ay1 = ay2 THEN ay1 ELSE by1 END ELSE ay1 + hi / dda::DOUBLE * (ay2 - ay1) END AS qy
+             FROM road_kinds WHERE kind <> 'touches') t"""),
+        "speed_outliers": _sql("ev", """SELECT speed NOT BETWEEN q0 - 1.5 * (q1 - q0) AND q1 + 1.5 * (q1 - q0) AS is_outlier, count(*) AS n FROM ev, (SELECT
+             min(CASE WHEN upto >= 0.25 * total THEN speed END) AS q0, min(CASE WHEN upto >= 0.75 * total THEN speed END) AS q1 FROM
+             (SELECT speed, sum(n) OVER (ORDER BY speed) AS upto, sum(n) OVER () AS total FROM (SELECT speed, count(*) AS n FROM ev WHERE speed IS NOT NULL GROUP BY speed) a) b) c GROUP BY 1"""),
         "new_streets": _sql("clean street_labels_fx", "SELECT DISTINCT street_name FROM clean WHERE trim(street_name) <> '' AND street_name NOT IN (SELECT street_name FROM street_labels_fx)"),
         "extend_labels": _sql("clean street_labels_fx", """SELECT street_id, street_name FROM street_labels_fx UNION ALL
             SELECT (SELECT max(street_id) FROM street_labels_fx) + row_number() OVER (ORDER BY street_name), street_name FROM

@@ -16,7 +16,7 @@ from roadpulse.functions import text, traffic
 from roadpulse.operators import clean, gold, labels, matching, quality, roads, serving, spatial, style, summary
 from roadpulse.plans import fixtures as fx
 from roadpulse.session import cut_lineage
-from roadpulse.sources.snapshots import land_key
+from roadpulse.sources.snapshots import distinct_deliveries, land_key
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +102,17 @@ def snapshot_key(spark, sf):
             .select(land_key(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).alias("snapshot"), "results"))
 
 
+@query
+def snapshot_deliveries(spark, sf):
+    """Each time delivered in two areas, and all of it twice: areas stay beside each other, repeats count once."""
+    sure = "coalesce(r.currentFlow.confidence >= 0.8D, false)"
+    east, west = (fx.snapshots(spark, sf).withColumn("results", F.expr(f"filter(results, r -> {test})")).filter("size(results) > 0")
+                  for test in (sure, f"not {sure}"))
+    areas = east.unionAll(west)
+    flow = clean.clean_flow(distinct_deliveries(areas.unionAll(areas)))
+    return flow.groupBy("timestamp").agg(F.count("*").alias("n"), F.count_distinct("delivery").alias("deliveries"))
+
+
 @query
 def polyline_wkt(spark, sf):
     lines = matching.with_flow_line(clean.flatten_snapshots(fx.snapshots(spark, sf)))
@@ -239,6 +250,44 @@ def run_summary(spark, sf):
     return summary.run_summary(flow, segments, matches, final)
 
 
+# --- bent and closed lines ----------------------------------------------------------------
+
+@query
+def bent_split(spark, sf):
+    segments = roads.build_road_segments(fx.bent_edges(spark, sf), chunk_m=60.0, id_scope="edge")
+    return segments.groupBy("u").agg(F.count("*").alias("pieces"), F.round(F.sum("length"), 3).alias("total"))
+
+
+@query
+def bent_candidates(spark, sf):
+    return spatial.intersecting_lines(cut_lineage(fx.bent_lines(spark, sf)), cut_lineage(fx.bent_segments(spark, sf)),
+                                      "result_id", "segment_id", left_line="line")
+
+
+def _bent_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return matching.match_metrics(cut_lineage(fx.bent_lines(spark, sf)), cut_lineage(fx.bent_segments(spark, sf)), "result_id")
+
+
+@query
+def bent_metrics(spark, sf):
+    return _bent_metrics(spark, sf).select("result_id", "segment_id", F.round("angle_diff", 6).alias("angle_diff"),
+                                           F.round("overlap_length", 4).alias("overlap_length"))
+
+
+@query
+def bent_match(spark, sf):
+    """Matches per road by the rules; closed roads have some."""
+    kept = matching.apply_rules(_bent_metrics(spark, sf), min_overlap_m=20.0)
+    return kept.groupBy("segment_id").agg(F.count("*").alias("n"), F.round(F.sum("overlap_length"), 3).alias("metres"))
+
+
+@query
+def bent_same_way(spark, sf):
+    """Pairs of roads of one way that share a stretch."""
+    pairs = quality.segment_overlaps(cut_lineage(fx.bent_segments(spark, sf)), same_way=True)
+    return pairs.filter("kind in ('overlaps', 'other')").select("segment_id_1", "segment_id_2")
+
+
 # --- labels -------------------------------------------------------------------------------
 
 @query
@@ -348,14 +397,34 @@ def labelled_range(spark, sf):
 
 @query
 def geojson_features(spark, sf):
+    """The feature texts read back to typed columns."""
     rows = serving.latest_per_street(fx.traffic_events(spark, sf))
-    return serving.geojson_features(serving.with_roads(rows, _segments(spark, sf)))
+    texts = serving.geojson_features(serving.with_roads(rows, _segments(spark, sf)))
+    back = texts.select(F.from_json("value", _FEATURE).alias("f"))
+    p = "f.properties."
+    ends = [F.round(F.expr(f"element_at(f.geometry.coordinates, {at})[{i}]"), 7).alias(f"{name}_{axis}")
+            for name, at in (("start", 1), ("end", -1)) for i, axis in enumerate("xy")]
+    return back.select("f.type", *[f"{p}{c}" for c in ("street_id", "street_name", "highway", "oneway", "congestion_level", "confidence",
+                                                      "traversability")],
+                       *[F.round(f"{p}{c}", 6).alias(c) for c in ("speed", "jamfactor", "freeflowspeed")], *ends)
+
+
+_FEATURE = ("type string, geometry struct<type: string, coordinates: array<array<double>>>, properties struct<street_id: string, "
+            "street_name: string, highway: string, oneway: boolean, timestamp: string, congestion_level: string, speed: double, "
+            "jamfactor: double, confidence: double, traversability: string, freeflowspeed: double>")
 
 
 @query
 def feature_collection(spark, sf):
+    """The collection text read back: its metadata, and its features in order."""
     rows = serving.latest_traffic(fx.traffic_events(spark, sf), _segments(spark, sf), WINDOW, ZOOM)
-    return serving.feature_collection(rows, ZOOM, WINDOW)
+    feature = "struct<" + _FEATURE.replace("type string, geometry struct", "type: string, geometry: struct").replace(", properties struct", ", properties: struct") + ">"
+    schema = (f"type string, features array<{feature}>, metadata struct<count: bigint, zoom: double, bbox: array<double>, "
+              "color_config: map<string, string>>")
+    back = serving.feature_collection(rows, ZOOM, WINDOW).select(F.from_json("value", schema).alias("c"))
+    return back.select("c.type", "c.metadata.count", "c.metadata.zoom", *[F.expr(f"c.metadata.bbox[{i}]").alias(n) for i, n in enumerate(("xmin", "ymin", "xmax", "ymax"))],
+                       F.expr("cardinality(c.metadata.color_config)").cast("bigint").alias("colours"),
+                       F.expr("array_join(transform(c.features, f -> f.properties.street_id), ',')").alias("streets"))
 
 
 @query
@@ -464,7 +533,12 @@ def overlap_pairs(spark, sf):
 
 @query
 def overlap_locations(spark, sf):
-    return _road_pairs(spark, sf)
+    """The location texts read back: how many points they name, and their box."""
+    numbers = "transform(regexp_extract_all(location, '(-?[0-9]+[.][0-9]+(?:E-?[0-9]+)?)', 1), t -> cast(t as double))"
+    pairs = _road_pairs(spark, sf).withColumn("n", F.expr(numbers))
+    axis = {a: f"filter(n, (t, i) -> i % 2 = {i})" for i, a in enumerate("xy")}
+    box = [F.round(F.expr(f"array_{end}({axis[a]})"), 7).alias(f"{a}{end}") for end in ("min", "max") for a in "xy"]
+    return pairs.select("osmid_1", "u_1", "v_1", "osmid_2", "u_2", "v_2", "kind", F.expr("cast(size(n) / 2 as bigint)").alias("points"), *box)
 
 
 @query

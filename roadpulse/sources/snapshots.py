@@ -17,18 +17,36 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SNAPSHOT).option("mode", "PERMISSIVE").json(path)
 
 
+def broken_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Documents that do not parse, or not whole, as they are: column ``value``."""
+    parsed = F.from_json("value", SNAPSHOT + ", broken string", {"columnNameOfCorruptRecord": "broken"})
+    return spark.read.text(path).filter(parsed["broken"].isNotNull())
+
+
+def with_delivery(snapshots: DataFrame) -> DataFrame:
+    """Add ``delivery``, a key of a snapshot's content: areas of one time differ, a repeat does not."""
+    return snapshots.withColumn("delivery", F.lower(F.hex(F.xxhash64("sourceUpdated", "results"))))
+
+
+def distinct_deliveries(snapshots: DataFrame) -> DataFrame:
+    """Each delivery once, with its key."""
+    keyed = snapshots if "delivery" in snapshots.columns else with_delivery(snapshots)
+    return keyed.dropDuplicates(["sourceUpdated", "delivery"])
+
+
 def land_key(source_updated: Column) -> Column:
     return snapshot_key(source_updated)
 
 
 def land_payloads(payloads: DataFrame, path: str, text: str = "value") -> None:
-    """Write raw JSON documents as they are, in one folder per snapshot time.
+    """Write raw JSON documents as they are, in one folder per snapshot time and content.
 
-    Folders are replaced whole, so landing a snapshot twice leaves it once.
+    Folders are replaced whole, so landing a payload twice leaves it once, while other payloads of
+    the same time, or without a time, have folders of their own.
     """
     key = land_key(F.get_json_object(text, "$.sourceUpdated"))
-    (payloads.select(F.col(text).alias("value"), key.alias("snapshot"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot").text(path))
+    (payloads.select(F.col(text).alias("value"), key.alias("snapshot"), F.md5(text).alias("delivery")).distinct()
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot", "delivery").text(path))
 
 
 def layer_path(raw_path: str, layer: str) -> str:

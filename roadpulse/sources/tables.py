@@ -85,6 +85,13 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return read_back(df.sparkSession, path, shaped.columns)
 
 
+def drop_partition(spark: SparkSession, path: str, keys: dict) -> None:
+    """Remove one partition folder of a stored table, if it is there."""
+    parts = [f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in keys.items()]
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([path, *parts]))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_back(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Open what was written and check that every column is there."""
     stored = spark.read.parquet(path)
@@ -103,7 +110,9 @@ def write_segments(segments: DataFrame, path: str, tile_degrees: float = 0.1) ->
     """Segments with box columns, near ones in the same files, so map windows read few files."""
     boxed = with_box_columns(segments)
     tile = [F.floor(F.col(c) / tile_degrees).alias(f"_{c}") for c in ("xmin", "ymin")]
-    placed = boxed.select("*", *tile).repartitionByRange("_xmin", "_ymin").sortWithinPartitions("_xmin", "_ymin")
+    # The place inside the tile lets a dense tile spread over several tasks and sorts its row groups.
+    order = ["_xmin", "_ymin", "xmin", "ymin"]
+    placed = boxed.select("*", *tile).repartitionByRange(*order).sortWithinPartitions(*order)
     return write_parquet(placed.drop("_xmin", "_ymin"), path)
 
 

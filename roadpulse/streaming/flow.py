@@ -5,6 +5,7 @@ The transformations are the batch ones; only sources, watermarks and sinks diffe
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from roadpulse.model import SNAPSHOT
 from roadpulse.operators.clean import MIN_CONFIDENCE, clean_flow
 from roadpulse.operators.gold import jam_episodes, windowed_congestion
 from roadpulse.operators.serving import latest_per_street
+from roadpulse.sources.snapshots import with_delivery
+from roadpulse.sources.tables import drop_partition
 
 
 def snapshot_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -22,9 +25,13 @@ def snapshot_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
     return spark.readStream.schema(SNAPSHOT).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
-def unrepeated(snapshots: DataFrame, delay: str = "2 days", keys: tuple[str, ...] = ("sourceUpdated",)) -> DataFrame:
-    """Drop snapshots delivered again; state for a key is kept no longer than the delay."""
-    return snapshots.withWatermark("sourceUpdated", delay).dropDuplicatesWithinWatermark(list(keys))
+def unrepeated(snapshots: DataFrame, delay: str = "2 days", keys: tuple[str, ...] = ("sourceUpdated", "delivery")) -> DataFrame:
+    """Drop snapshots delivered again; state for a key is kept no longer than the delay.
+
+    The key has the content in it, so two areas of one time both stay.
+    """
+    keyed = snapshots if "delivery" in snapshots.columns else with_delivery(snapshots)
+    return keyed.withWatermark("sourceUpdated", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def clean_stream(snapshots: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -55,12 +62,14 @@ def to_parquet(stream: DataFrame, path: str, checkpoint: str, mode: str = "appen
 def latest_writer(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body that keeps the newest event per street of each batch.
 
-    A batch is one row per changed street in a partition of its own, so a repeated batch
-    replaces itself and no batch rewrites the whole state.
+    A batch is one row per changed street in a partition of its own, named by the query and the batch, so a
+    repeated batch replaces itself, no batch rewrites the whole state, and a query that starts anew
+    with another checkpoint does not touch what an earlier one wrote.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        (latest_per_street(batch).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        (latest_per_street(batch).withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id)})
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "batch_id").parquet(path))
 
     return write
 
@@ -72,9 +81,18 @@ def keep_latest(events: DataFrame, path: str, checkpoint: str, every: str | None
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """The newest event per street over all batches."""
-    return latest_per_street(spark.read.parquet(path).drop("batch_id"))
+    return latest_per_street(spark.read.parquet(path).drop("run", "batch_id"))
 
 
-def compact_latest(spark: SparkSession, path: str, target: str) -> None:
-    """Write the state as one batch into a new folder, so that reading it stays cheap."""
-    read_latest(spark, path).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy("batch_id").parquet(target)
+def compact_latest(spark: SparkSession, path: str) -> int:
+    """Merge the batches that are there into one partition and remove them; returns how many there were.
+
+    The merged rows are written before anything goes, and a row that is there twice changes no
+    result, so readers are right at each moment, and a run that breaks off is finished by the next.
+    """
+    merged = [r.asDict() for r in spark.read.parquet(path).select("run", "batch_id").distinct().collect()]
+    (read_latest(spark, path).withColumns({"run": F.lit(f"merged-{uuid.uuid4().hex}"), "batch_id": F.lit(0)})
+     .write.mode("append").partitionBy("run", "batch_id").parquet(path))
+    for keys in merged:
+        drop_partition(spark, path, keys)
+    return len(merged)

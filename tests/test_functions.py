@@ -148,6 +148,22 @@ def test_from_wkt(spark, given, size):
     assert (None if got is None else len(got)) == size
 
 
+def test_wkb_with_more_values(spark):
+    """Z and M values are left out, a multi line of one part is that part."""
+    import struct
+
+    def line(code, *rows, order="<"):
+        flat = [v for r in rows for v in r]
+        return (b"\x01" if order == "<" else b"\x00") + struct.pack(f"{order}II{len(flat)}d", code, len(rows), *flat)
+
+    two = line(2, (1, 2), (3, 4))
+    values = [line(0x80000002, (1, 2, 9), (3, 4, 9)), line(1002, (1, 2, 9), (3, 4, 9)), line(3002, (1, 2, 9, 8), (3, 4, 9, 8), order=">"), two, None,
+              struct.pack("<BII", 1, 5, 1) + two, struct.pack("<BII", 1, 5, 2) + two + two, two[:-1], b"\x01\x02"]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v binary").coalesce(1)
+    got = {r[0]: r[1] and [tuple(p) for p in r[1]] for r in rows.select("i", geo.from_wkb("v")).collect()}
+    assert [got[i] for i in range(len(values))] == [[(1, 2), (3, 4)]] * 4 + [None, [(1, 2), (3, 4)], None, None, None]
+
+
 def test_wkb_forms(spark):
     pts = [1.0, 2.0, 3.0, 4.0]
     little = b"\x01" + struct.pack("<II4d", 2, 2, *pts)

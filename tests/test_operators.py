@@ -81,12 +81,12 @@ def test_normalise_edges(spark):
     assert row.asDict() == {"osmid": "[1, 2]", "u": 1, "v": 2, "name": "['a', 'b']", "oneway": True, "lanes": None}
 
 
-def test_salted_join_keeps_all_rows(spark):
+def test_keyed_join_keeps_all_rows(spark):
     fact = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 'hot', if(id % 3 = 1, null, concat('k', id % 7))) as k")
     dim = spark.sql("select 'hot' k, 1 a union all select 'k1', 2 union all select 'k2', 3")
     for how in ("left", "inner"):
         want = fact.join(dim, "k", how).select("id", "k", "a").collect()
-        assert sorted(rows.salted_join(fact, dim, "k", how=how).select("id", "k", "a").collect(), key=str) == sorted(want, key=str)
+        assert sorted(rows.keyed_join(fact, dim, "k", how=how).select("id", "k", "a").collect(), key=str) == sorted(want, key=str)
 
 
 def test_numbered_is_consecutive(spark):
@@ -173,7 +173,7 @@ def test_style_features(spark):
 
 def relations(spark, lines):
     df = spark.createDataFrame([(i, i, i, pts) for i, pts in enumerate(lines)], f"osmid int, u int, v int, geometry {LINE}")
-    return {(r.osmid_1, r.osmid_2): (r.kind, r.location) for r in quality.line_relations(df, ["osmid", "u", "v"], hot_rows=None).collect()}
+    return {(r.osmid_1, r.osmid_2): (r.kind, r.location) for r in quality.line_relations(df, ["osmid", "u", "v"]).collect()}
 
 
 def test_line_relations(spark):

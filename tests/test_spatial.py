@@ -60,10 +60,10 @@ def tables(spark):
     return (spark.createDataFrame(LEFT, f"i bigint, line {LINE}").cache(), spark.createDataFrame(RIGHT, f"j bigint, geometry {LINE}").cache())
 
 
-@pytest.mark.parametrize("hot_rows", [None, 200_000, 10, 1])
-def test_grid_join_equals_brute_force(tables, hot_rows):
+@pytest.mark.parametrize("cell_rows", [10_000, 10, 1])
+def test_grid_join_equals_brute_force(tables, cell_rows):
     wanted = {(i, j) for i, p in LEFT for j, q in RIGHT if cross(p, q)}
-    got = [tuple(r) for r in spatial.intersecting_lines(*tables, "i", "j", left_line="line", hot_rows=hot_rows).collect()]
+    got = [tuple(r) for r in spatial.intersecting_lines(*tables, "i", "j", left_line="line", cell_rows=cell_rows).collect()]
     assert len(got) == len(set(got)) and set(got) == wanted
 
 
@@ -73,22 +73,35 @@ def test_grid_size_does_not_matter(tables, cell):
     assert {tuple(r) for r in spatial.intersecting_lines(*tables, "i", "j", left_line="line", cell=cell).collect()} == wanted
 
 
-def test_hot_cells_are_bounded_and_split(tables):
-    boxed = spatial._with_box(spatial.line_pieces(tables[0], ["i"], "line"), "l_", 0.0)
-    cells = spatial._in_cells(boxed, "l_", 0.0, 0.002)
-    hot = spatial.hot_cells(cells, cells.limit(0), 20)
-    assert 0 < hot.count() <= spatial.HOT_CELLS
-    spread = spatial._spread(cells, "l_", ["i"], 0.0, 0.002, hot)
-    largest = lambda df, *keys: df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    assert largest(spread, "level", "cx", "cy", "sl", "sr") < largest(cells, "cx", "cy")
-    assert spread.select("l_i", "l_part").distinct().count() == cells.select("l_i", "l_part").distinct().count()
-
-
-@pytest.mark.parametrize("hot_rows", [None, 5])
-def test_overlap_length_against_sampling(spark, tables, hot_rows):
+def test_one_place_spreads_over_blocks(spark):
+    """All lines in one cell: blocks stay small whatever their number, and each two rows meet in one block."""
+    place = [(i, [(105.811 + i * 1e-7, 21.0101), (105.8111 + i * 1e-7, 21.0103)]) for i in range(300)]
+    lines = spark.createDataFrame(place, f"i bigint, line {LINE}")
+    cells = [spatial._in_cells(spatial._with_box(spatial.line_pieces(lines, ["i"], "line"), p, 0.0), p, 0.0, 0.002) for p in ("l_", "r_")]
+    crowded = spatial.crowded_cells(*cells, 20)
+    left, right = (spatial._salted(c, p, ["i"], crowded) for c, p in zip(cells, ("l_", "r_")))
+    keys = ["cx", "cy", "sl", "sr"]
+    largest = max(r["count"] for df in (left, right) for r in df.groupBy(*keys).count().collect())
+    assert largest < 60 and left.select(*keys).distinct().count() >= 225
+    pairs = left.join(right, keys).groupBy("l_i", "r_i").count()
+    assert pairs.count() == 300 * 300 and pairs.agg(F.max("count")).first()[0] == 1
+
+
+def test_closed_roads_match(spark):
+    """A loop has azimuth 0, so the angle rule can pass."""
+    loop = [(105.81, 21.01), (105.8102, 21.01), (105.8102, 21.0102), (105.81, 21.0102), (105.81, 21.01)]
+    segments = spark.createDataFrame([("s", loop)], f"segment_id string, geometry {LINE}").selectExpr(
+        "segment_id", f"{spatial.geo.bearing('geometry')} as azimuth", "geometry")
+    lines = spark.createDataFrame([(1, [(105.8099, 21.00995), (105.8103, 21.0103)])], f"i bigint, line {LINE}")
+    kept = matching.apply_rules(matching.match_metrics(lines, segments, "i")).collect()
+    assert [r.segment_id for r in kept] == ["s"] and kept[0].overlap_length > 20
+
+
+@pytest.mark.parametrize("cell_rows", [10_000, 5])
+def test_overlap_length_against_sampling(spark, tables, cell_rows):
     segments = tables[1].selectExpr("cast(j as string) as segment_id", "0D as azimuth", "geometry")
     got = {(r.i, int(r.segment_id)): r.overlap_length for r in matching.match_metrics(
-        tables[0], segments, "i", RADIUS * 4, candidate="buffer", hot_rows=hot_rows).collect()}
+        tables[0], segments, "i", RADIUS * 4, candidate="buffer", cell_rows=cell_rows).collect()}
     rng, steps, checked = random.Random(3), 400, 0
     lines, segs = dict(LEFT), dict(RIGHT)
     for key in rng.sample(sorted(got), 60):
@@ -139,7 +152,7 @@ def test_rollup_per_line_equals_rollup_per_record(spark, sf):
     plain = pairs.join(flow, "result_id").groupBy("segment_id").agg(
         F.avg("speed").alias("speed"), F.min("speed").alias("slowest"), F.max("jamFactor").alias("jam"), F.min_by("traversability", "result_id").alias("t"))
     wanted = {r.segment_id: (pytest.approx(r.speed * 3.6), r.jam, r.t) for r in plain.collect()}
-    got = matching.match_traffic(flow, segments, hot_rows=20)
+    got = matching.match_traffic(flow, segments, cell_rows=20)
     assert {r.street_id: (r.speed, r.jamFactor, r.traversability) for r in got.collect()} == wanted
     slow = matching.match_traffic(flow, segments, speed_agg="min")
     assert {r.street_id: r.speed for r in slow.collect()} == {r.segment_id: pytest.approx(r.slowest * 3.6) for r in plain.collect()}
