@@ -1,7 +1,8 @@
 """Supervised quality classifier over hashed subwords (operator 8).
 
-Words and their letter 3- and 4-grams are hashed to learned vectors, a text is the mean of its vectors,
-and a softmax over the two labels scores it. Trained by stochastic gradient descent in numpy, in one task, on a bounded
+Words, their letter 3- and 4-grams and pairs of neighbouring words are hashed to learned vectors. A word is the mean of its own
+vector and those of its n-grams, a text the mean of its words and pairs, and a softmax over the two labels scores it. All pairs of a
+word with itself share one vector, as repeating says more than the word. Trained by stochastic gradient descent in numpy, in one task, on a bounded
 sample: ``SAMPLE`` labelled rows of each class, chosen by a hash of the id, whole texts. Scoring needs one number for
 each bucket, as a sum of logits is the logit of the mean.
 
@@ -19,26 +20,44 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Scratch, read_table, text_chunks
+from roadpulse.llm.common import MIX_A, Scratch, mixed, read_table, text_chunks
 from roadpulse.llm.grams import code_points, hashed_grams
 
-BUCKETS, DIM = 1 << 16, 8
+# The first buckets are for words and n-grams, the others for pairs, the last for pairs of a word with itself.
+SUBWORDS, PAIRS = 1 << 16, 1 << 15
+BUCKETS, DIM = SUBWORDS + PAIRS + 1, 8
 SAMPLE = 2000
 EPOCHS, RATE, SEED = 6, 0.5, 11
 GRAMS = (3, 4)
 KEEP = 0.7
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and word number of each feature: the whole word and its n-grams."""
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket and word number of each feature (the whole word and its n-grams), and a 64-bit hash of each word."""
     codes, numbers = code_points(words)
-    found = [hashed_grams(codes, numbers, size, BUCKETS) for size in GRAMS]
-    starts = np.flatnonzero(codes == 10)[:-1]
-    spread = (codes ^ (codes << np.uint64(17))) * np.uint64(0x9E3779B97F4A7C15)
-    at = np.arange(len(codes), dtype=np.uint64) - starts[np.minimum(numbers, len(words) - 1)].astype(np.uint64)
-    whole = np.add.reduceat(spread * (at * np.uint64(2) + np.uint64(1)), starts)
-    whole = ((whole ^ (whole >> np.uint64(29))) % np.uint64(BUCKETS)).astype(np.int64)
-    return np.concatenate([whole, *(b for b, _ in found)]), np.concatenate([np.arange(len(words)), *(w for _, w in found)])
+    found = [hashed_grams(codes, numbers, size, SUBWORDS) for size in GRAMS]
+    starts, letters = np.flatnonzero(codes == 10)[:-1], codes[:-1]  # without the line end after the last word
+    spread = (letters ^ (letters << np.uint64(17))) * MIX_A
+    at = np.arange(len(letters), dtype=np.uint64) - starts[numbers[:-1]].astype(np.uint64)
+    whole = mixed(np.add.reduceat(spread * (at * np.uint64(2) + np.uint64(1)), starts))
+    own = (whole % np.uint64(SUBWORDS)).astype(np.int64)
+    return np.concatenate([own, *(b for b, _ in found)]), np.concatenate([np.arange(len(words)), *(w for _, w in found)]), whole
+
+
+def pair_buckets(code: np.ndarray, whole: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and text number of each pair of neighbouring words; ``code`` has the words' numbers in texts of these lengths."""
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    at = np.flatnonzero(text[1:] == text[:-1])
+    a, b = code[at], code[at + 1]
+    bucket = SUBWORDS + (mixed(whole[a] * MIX_A + whole[b]) % np.uint64(PAIRS)).astype(np.int64)
+    return np.where(a == b, BUCKETS - 1, bucket), text[at]
+
+
+def numbered(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """Distinct words, and the number of each word among them."""
+    unique = list(dict.fromkeys(words))
+    number = dict(zip(unique, range(len(unique))))
+    return unique, np.fromiter(map(number.__getitem__, words), np.int64, len(words))
 
 
 def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -46,9 +65,13 @@ def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     words = text.split()
     if not words:
         return np.zeros(0, np.int64), np.zeros(0)
-    counts = np.bincount(features(words)[0], minlength=BUCKETS)
-    at = np.flatnonzero(counts)
-    return at, counts[at] / counts.sum()
+    unique, code = numbered(words)
+    bucket, word, whole = features(unique)
+    each = np.bincount(code, minlength=len(unique)) / np.bincount(word, minlength=len(unique))
+    pairs, _ = pair_buckets(code, whole, np.array([len(words)]))
+    total = np.bincount(bucket, each[word], BUCKETS) + np.bincount(pairs, minlength=BUCKETS)
+    at = np.flatnonzero(total)
+    return at, total[at] / total.sum()
 
 
 def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
@@ -120,14 +143,13 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
             flat = [w for own in words for w in own]
             logit = np.full(len(texts), bias)
             if flat:
-                unique = list(dict.fromkeys(flat))
-                number = dict(zip(unique, range(len(unique))))
-                bucket, word = features(unique)
-                sums = np.bincount(word, weights[bucket], len(unique))
-                sizes = np.bincount(word, minlength=len(unique))
-                code = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+                unique, code = numbered(flat)
+                bucket, word, whole = features(unique)
+                mean = np.bincount(word, weights[bucket], len(unique)) / np.bincount(word, minlength=len(unique))
+                pairs, of = pair_buckets(code, whole, lengths)
                 doc = np.repeat(np.arange(len(texts)), lengths)
-                logit += np.bincount(doc, sums[code], len(texts)) / np.maximum(1, np.bincount(doc, sizes[code], len(texts)))
+                total = np.bincount(doc, mean[code], len(texts)) + np.bincount(of, weights[pairs], len(texts))
+                logit += total / np.maximum(1, lengths + np.maximum(0, lengths - 1))
             out.append(1 / (1 + np.exp(-np.clip(logit, -50, 50))))
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 

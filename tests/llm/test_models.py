@@ -95,16 +95,16 @@ def test_quality_of_hard_rows(spark, extra):
     assert quality.score(frame(spark, []), model).count() == 0
 
 
-def test_scores_equal_the_mean_of_the_features():
+def test_scores_equal_the_mean_of_the_features(spark):
     rng = np.random.default_rng(2)
     weights = rng.normal(size=quality.BUCKETS).astype(np.float32)
-    text = "some words and some more words é%%%"
-    at, share = quality._bag(text)
-    bucket, word = quality.features(list(dict.fromkeys(text.split())))
-    sums = np.bincount(word, weights[bucket])
-    sizes = np.bincount(word)
-    order = [list(dict.fromkeys(text.split())).index(w) for w in text.split()]
-    assert (weights[at] * share).sum() == pytest.approx(sums[order].sum() / sizes[order].sum(), rel=1e-6)
+    texts = ["some words and some more words é%%%", "", "one", "same same same other", "two words"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, (weights, 0.25)).collect()}
+    for i, t in enumerate(texts):
+        at, share = quality._bag(t)
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-0.25 - float((weights[at] * share).sum()))), rel=1e-5)
+    assert quality.BUCKETS - 1 in quality._bag("same same")[0] and quality.BUCKETS - 1 not in quality._bag("same other")[0]
 
 
 def make_lm(spark, tmp_path):
