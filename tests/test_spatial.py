@@ -182,3 +182,28 @@ def test_plan_stays_small(spark, sf):
     assert len(plan) < 120_000 and "CartesianProduct" not in plan
     physical = found._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in physical and "Cartesian" not in physical
+
+
+def test_ranges_need_no_window(spark, sf):
+    """The newest rows come from one bounded list per task, at any limit."""
+    from roadpulse.operators import serving
+
+    events, segments = fx.traffic_events(spark, sf), roads.build_road_segments(fx.road_edges(spark, sf))
+    for limit in (10, 4000):
+        found = serving.traffic_range(events, segments, "2024-01-10 00:00:00", "2024-01-20 12:00:00", None, 17, limit=limit)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrderedAndProject" in plan and "Window" not in plan
+
+
+def test_segment_files_split_a_dense_tile(spark, sf, tmp_path):
+    from roadpulse.sources import tables as stored
+
+    segments = roads.build_road_segments(fx.road_edges(spark, sf), id_scope="edge")
+    near = segments.selectExpr("segment_id", "geometry").limit(400)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stored.write_segments(near, str(tmp_path / "s"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = spark.read.parquet(str(tmp_path / "s")).selectExpr("_metadata.file_name as f").groupBy("f").count().collect()
+    assert len(files) >= 3
