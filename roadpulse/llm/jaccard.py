@@ -9,6 +9,7 @@ threshold allows cannot be alike; each pair of blocks is compared in one task an
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,14 +29,15 @@ def size_bin(column: str, threshold: float) -> F.Column:
     return F.floor(F.log(F.greatest(F.col(column), F.lit(1))) / -math.log(threshold) + 1e-9).cast("int")
 
 
-def signatures(sets: list[np.ndarray], count: int, seed: int) -> np.ndarray:
-    """MinHash values of non-empty sets of 64-bit hashes, one row for each set."""
+def signatures(sets: list[np.ndarray], count: int, seed: int, starts: np.ndarray | None = None) -> np.ndarray:
+    """MinHash values of non-empty sets of 64-bit hashes, one row for each set; ``starts`` tells where they begin in one array."""
     rng = np.random.default_rng(seed)
     factors = rng.integers(1, 1 << 63, count, dtype=np.uint64) | np.uint64(1)
     shifts = rng.integers(0, 1 << 63, count, dtype=np.uint64)
     flat = np.concatenate(sets)
-    starts = np.r_[0, np.cumsum([len(s) for s in sets])[:-1]]
-    out = np.empty((len(sets), count), np.uint64)
+    if starts is None:
+        starts = np.r_[0, np.cumsum([len(s) for s in sets])[:-1]]
+    out = np.empty((len(starts), count), np.uint64)
     for k in range(count):
         out[:, k] = np.minimum.reduceat(flat * factors[k] + shifts[k], starts)
     return out
@@ -54,35 +56,33 @@ def joined_keys(signature: np.ndarray, groups: int, width: int) -> np.ndarray:
     return out
 
 
-def compare_blocks(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Links between the items of two blocks, or within one: for each item its links' weight and one linked neighbour's root.
+def compare_items(side: np.ndarray, item: np.ndarray, weight: np.ndarray, keys: list[bytes], shingles: list[bytes],
+                  threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links between the items of two blocks, or within one: items, their links' weight, and one item they are joined with.
 
     ``side`` is 0 for the block of the lower name and 1 for the other; with one side only, the block is compared with itself.
     """
-    rows = rows.sort_values(["side", "item"], kind="stable").drop_duplicates(["side", "item"])
-    sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
-    keys = np.stack([np.frombuffer(k, np.uint64) for k in rows["keys"]])
-    side, item, weight = rows["side"].to_numpy(), rows["item"].to_numpy(), rows["weight"].to_numpy()
+    sets = [np.frombuffer(s, np.uint64) for s in shingles]
+    own = np.frombuffer(b"".join(keys), np.uint64).reshape(len(keys), -1)
     alone = side[0] == side[-1]
-    left = np.arange(len(rows)) if alone else np.flatnonzero(side == 0)
+    left = np.arange(len(item)) if alone else np.flatnonzero(side == 0)
     right = left if alone else np.flatnonzero(side == 1)
     may = np.zeros((len(left), len(right)), bool)
-    for k in range(keys.shape[1]):
-        may |= keys[left, k][:, None] == keys[right, k][None, :]
+    for k in range(own.shape[1]):
+        may |= own[left, k][:, None] == own[right, k][None, :]
     if alone:
-        may &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
-    size = np.array([len(s) for s in sets])
-    smaller = np.minimum(size[left][:, None], size[right][None, :])
-    may &= smaller >= threshold * np.maximum(size[left][:, None], size[right][None, :]) - 1e-9
-    used = np.flatnonzero(np.bincount(np.r_[left[may.any(1)], right[may.any(0)]], minlength=len(rows)))
+        may &= left[:, None] < right[None, :]
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    may &= np.minimum(size[left][:, None], size[right][None, :]) >= threshold * np.maximum(size[left][:, None], size[right][None, :]) - 1e-9
+    used = np.union1d(left[may.any(1)], right[may.any(0)])
     if not len(used):
-        return pd.DataFrame({"item": item[:0], "links": weight[:0], "other": item[:0]})
+        return item[:0], weight[:0], item[:0]
     linked = _linked(sets, size, left, right, may, threshold, used)
-    total = np.zeros(len(rows), np.int64)
+    total = np.zeros(len(item), np.int64)
     np.add.at(total, left, linked @ weight[right])
     np.add.at(total, right, linked.T @ weight[left])
-    # Items joined here get the least item of what they are joined with as root.
-    root = np.arange(len(rows))
+    # Items joined here get the first item of what they are joined with as root.
+    root = np.arange(len(item))
     a, b = np.nonzero(linked)
     a, b = left[a], right[b]
     while len(a):
@@ -94,7 +94,44 @@ def compare_blocks(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
         if (root == before).all():
             break
     got = np.flatnonzero(total)
-    return pd.DataFrame({"item": item[got], "links": total[got], "other": item[root[got]]})
+    return item[got], total[got], item[root[got]]
+
+
+def compare_runs(threshold: float):
+    """Compares each run of rows of one cell, in rows sorted by cell, side and item. A run is a pair of blocks, so of bounded size."""
+    cell = ["root", "b1", "s1", "b2", "s2"]
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for last, b in _with_last(batches):
+            rows = pd.concat([*held, b], ignore_index=True) if held else b
+            if rows.empty:
+                continue
+            names = rows[cell].to_numpy(np.int64)
+            cuts = np.r_[0, np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1, len(rows)]
+            side, item, weight = (rows[c].to_numpy(np.int64) for c in ("side", "item", "weight"))
+            keys, sets = rows["keys"].tolist(), rows["shingles"].tolist()
+            out = []
+            for lo, hi in zip(cuts[:-1], cuts[1:] if last else cuts[1:-1]):
+                same = names[lo, 1] == names[lo, 3] and names[lo, 2] == names[lo, 4]
+                if hi - lo > 1 and (same or side[lo] != side[hi - 1]):
+                    out.append(compare_items(side[lo:hi], item[lo:hi], weight[lo:hi], keys[lo:hi], sets[lo:hi], threshold))
+            if out:
+                yield pd.DataFrame({n: np.concatenate([o[i] for o in out]) for i, n in enumerate(("item", "links", "other"))})
+            held = [] if last else [rows.iloc[cuts[-2]:]]
+
+    return compare
+
+
+def _with_last(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[bool, pd.DataFrame]]:
+    """Batches, and whether each is the last."""
+    before = None
+    for b in batches:
+        if before is not None:
+            yield False, before
+        before = b
+    if before is not None:
+        yield True, before
 
 
 def _linked(sets, size, left, right, may, threshold, used) -> np.ndarray:
@@ -138,7 +175,8 @@ def verified_links(scratch: Scratch, items: DataFrame, regions: DataFrame, sets_
         blocks.select("root", "bin"), ["root", "bin"], "right").select("root", "bin", F.coalesce("above", F.lit(0)).alias("above"))
     below = blocks.select("root", (F.col("bin") + 1).alias("bin"), F.col("blocks").alias("below")).join(
         blocks.select("root", "bin"), ["root", "bin"], "right").select("root", "bin", F.coalesce("below", F.lit(0)).alias("below"))
-    plan = blocks.join(beside, ["root", "bin"]).join(below, ["root", "bin"])
+    # Stored, so that the join of a hot region's items is a plain one that Spark can split.
+    plan = scratch.store(blocks.join(beside, ["root", "bin"]).join(below, ["root", "bin"]), "blocks")
     dealt = own.join(plan, ["root", "bin"]).withColumn("block", F.expr("pmod(xxhash64(item), blocks)"))
     # Each item goes to the pairs its block takes part in: with blocks of its bin, of the next one, and of the one before.
     pairs = sets_of(dealt).withColumn("pair", F.explode(F.expr("""
@@ -151,16 +189,9 @@ def verified_links(scratch: Scratch, items: DataFrame, regions: DataFrame, sets_
                     'b2', bin, 's2', block, 'side', 1)))""")))
     cells = pairs.select("root", "pair.b1", "pair.s1", "pair.b2", "pair.s2", "pair.side", "item", "weight", "keys", "shingles")
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        if len(rows) < 2:
-            return pd.DataFrame({"item": [], "links": [], "other": []}).astype("int64")
-        if rows["b1"].iloc[0] != rows["b2"].iloc[0] or rows["s1"].iloc[0] != rows["s2"].iloc[0]:
-            if rows["side"].nunique() < 2:
-                return pd.DataFrame({"item": [], "links": [], "other": []}).astype("int64")
-        return compare_blocks(rows, threshold)
-
-    return scratch.store(cells.groupBy("root", "b1", "s1", "b2", "s2").applyInPandas(compare, "item long, links long, other long"),
-                         "verified")
+    cell = ["root", "b1", "s1", "b2", "s2"]
+    return scratch.store(cells.repartition(*cell).sortWithinPartitions(*cell, "side", "item").mapInPandas(
+        compare_runs(threshold), "item long, links long, other long"), "verified")
 
 
 def classes(scratch: Scratch, verified: DataFrame) -> DataFrame:

@@ -20,9 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import (Scratch, components, hash_words, mixed, read_table, run_links, shingles, signed, sliding, split_words,
-                                  text_chunks, word_places)
-from roadpulse.llm.forest import SIZE, grouped, set_digest
+from roadpulse.llm.common import (MIX_A, MIX_B, Scratch, components, hash_words, mixed, read_table, run_links, signed, sliding, split_words,
+                                  text_chunks)
+from roadpulse.llm.forest import SIZE, grouped
 from roadpulse.llm.jaccard import THRESHOLD, joined_keys, signatures
 
 RECALL, ROWS, SEED = 0.995, 3, 5
@@ -35,70 +35,101 @@ def bands(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS
     return math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows))
 
 
-def cuts(h: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """Places whose hash is the strict least of ``reach`` words on either side, all of which the line has."""
-    if len(h) < 2 * reach + 1:
-        return np.zeros(0, np.int64)
-    low = sliding(h, reach, True)
-    own = h[reach:len(h) - reach]
-    return np.flatnonzero((own < low[:len(own)]) & (own < low[reach + 1:reach + 1 + len(own)])) + reach
+class Lines:
+    """The words of several texts with the lines they stand in; code points count from each text's start."""
+
+    def __init__(self, texts: list[str]):
+        codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+        inside = np.r_[False, ~((codes == 32) | ((codes >= 9) & (codes <= 13))), False]
+        begin, stop = np.flatnonzero(inside[1:-1] & ~inside[:-2]), np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+        starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+        text = np.searchsorted(starts, begin, "right") - 1
+        self.h = hash_words(split_words(texts)[0])
+        self.begin, self.stop, self.text = begin - starts[text], stop - starts[text], text
+        number = np.searchsorted(np.flatnonzero(codes == 10), begin)
+        #: First word of each line and the word after its last.
+        self.first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(number) else number
+        self.after = np.r_[self.first[1:], len(number)]
+
+    def pieces(self, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
+        """First words of pieces and the words after their last: between words of a line whose hash is the strict least
+        of ``reach`` words on either side, all of which the line has."""
+        h, n = self.h, len(self.h)
+        if n < 2 * reach + 1:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        low, own = sliding(h, reach, True), h[reach:n - reach]
+        at = np.flatnonzero((own < low[:len(own)]) & (own < low[reach + 1:reach + 1 + len(own)])) + reach
+        line = np.searchsorted(self.first, at, "right") - 1
+        fit = (at - reach >= self.first[line]) & (at + reach < self.after[line])
+        at, line = at[fit], line[fit]
+        same = line[1:] == line[:-1]
+        return at[:-1][same], at[1:][same]
+
+
+def run_shingles(h: np.ndarray, first: np.ndarray, after: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of runs of words, sorted within each run, and where each run's begin; as ``shingles`` gives them."""
+    lengths = after - first
+    parts, owners = [], []
+    for width in range(1, size + 1):
+        runs = np.flatnonzero(lengths == width if width < size else lengths >= size)
+        if not len(runs):
+            continue
+        count = lengths[runs] - width + 1
+        owner = np.repeat(runs, count)
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + first[owner]
+        g = np.full(len(at), width, np.uint64)
+        for k in range(width):
+            g = g * MIX_A + h[at + k] * MIX_B
+        parts.append(mixed(g))
+        owners.append(owner)
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(len(first) + 1, np.int64)
+    g, owner = np.concatenate(parts), np.concatenate(owners)
+    order = np.lexsort((g, owner))
+    g, owner = g[order], owner[order]
+    fresh = np.r_[True, (g[1:] != g[:-1]) | (owner[1:] != owner[:-1])]
+    g, owner = g[fresh], owner[fresh]
+    return g, np.searchsorted(owner, np.arange(len(first) + 1))
+
+
+def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of non-empty runs, wrapping at 64 bits, as signed numbers."""
+    return signed(np.add.reduceat(values, starts)) if len(starts) else np.zeros(0, np.int64)
 
 
 def units(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """row, doc_id, start, end (code points), hi, lo (digest of the words' shingle set), n_shingles; keys for lines, NULL for pieces."""
+    """row, doc_id, start, end (code points), hi, lo (digest of a line's shingle set or a piece's words), n_shingles; keys for lines, NULL for pieces."""
     count = bands(threshold)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for part, texts in text_chunks(b["text"]):
-                words, offsets = split_words(texts)
-                h = hash_words(words)
-                owner, start, end, sets, line = [], [], [], [], []
-                for i, (text, lo, hi) in enumerate(zip(texts, offsets, offsets[1:])):
-                    if lo == hi:
-                        continue
-                    own = h[lo:hi]
-                    begin, stop = word_places(text)
-                    # Number of the line that each word stands in, then the first word of each line.
-                    ends = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4") == 10)
-                    number = np.searchsorted(ends, begin)
-                    heads = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
-                    for a, z in zip(heads, np.r_[heads[1:], hi - lo]):
-                        owner.append(i)
-                        start.append(begin[a])
-                        end.append(stop[z - 1])
-                        sets.append(shingles(own[a:z], SIZE))
-                        line.append(True)
-                        edges = cuts(own[a:z]) + a
-                        for p, q in zip(edges, edges[1:]):
-                            owner.append(i)
-                            start.append(begin[p])
-                            end.append(stop[q - 1])
-                            sets.append(own[p:q])
-                            line.append(False)
-                if not owner:
+                own = Lines(texts)
+                if not len(own.h):
                     continue
-                line = np.array(line)
-                keys = np.full(len(owner), None, object)
-                at = np.flatnonzero(line)
-                for i, k in zip(at, joined_keys(signatures([sets[i] for i in at], count * ROWS, SEED), count, ROWS)):
-                    keys[i] = k.tobytes()
-                digest = [set_digest(s) if own else _sequence_digest(s) for s, own in zip(sets, line)]
-                yield pd.DataFrame({
-                    "row": b["row"].iloc[part].to_numpy()[owner], "doc_id": b["doc_id"].iloc[part].array[owner], "start": start, "end": end,
-                    "hi": [d[0] for d in digest], "lo": [d[1] for d in digest], "n_shingles": [len(s) for s in sets],
-                    "keys": keys}).astype({"doc_id": "Int64"})
+                rows, docs_of = b["row"].iloc[part].to_numpy(), b["doc_id"].iloc[part].array
+
+                def frame(first: np.ndarray, after: np.ndarray, hi, lo, size, keys) -> pd.DataFrame:
+                    text = own.text[first]
+                    return pd.DataFrame({"row": rows[text], "doc_id": docs_of[text], "start": own.begin[first], "end": own.stop[after - 1],
+                                         "hi": hi, "lo": lo, "n_shingles": size, "keys": keys}).astype({"doc_id": "Int64"})
+
+                flat, offsets = run_shingles(own.h, own.first, own.after)
+                keys = joined_keys(signatures([flat], count * ROWS, SEED, offsets[:-1]), count, ROWS)
+                yield frame(own.first, own.after, _sums(mixed(flat), offsets[:-1]), _sums(mixed(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5)), offsets[:-1]),
+                            np.diff(offsets), [k.tobytes() for k in keys])
+                first, after = own.pieces()
+                if len(first):
+                    size = after - first
+                    starts = np.cumsum(size) - size
+                    place = np.arange(size.sum()) - np.repeat(starts, size)
+                    h, place = own.h[place + np.repeat(first, size)], (place + 1).astype(np.uint64)
+                    yield frame(first, after, _sums(mixed(h + place * MIX_A), starts), _sums(mixed(h + place * MIX_B), starts), size, None)
 
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text").mapInPandas(
         cut, "row long, doc_id long, start long, end long, hi long, lo long, n_shingles long, keys binary")
 
 
-def _sequence_digest(h: np.ndarray) -> tuple[int, int]:
-    """128 bits of a sequence of word hashes."""
-    place = np.arange(1, len(h) + 1, dtype=np.uint64)
-    return tuple(int(mixed(h + place * np.uint64(f)).sum(dtype=np.uint64).view(np.int64)) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
-
-
 def paragraph_clusters(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Paragraphs and pieces that are in clusters of two or more: row, doc_id, kind, start, end, cluster_doc_id, n_links, keep.
 
@@ -113,9 +144,9 @@ def paragraph_clusters(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
             for b in batches:
                 for part, texts in text_chunks(b["line"]):
                     words, offsets = split_words(texts)
-                    h = hash_words(words)
-                    yield b.iloc[part].drop(columns="line").assign(
-                        shingles=[shingles(h[x:y], SIZE).tobytes() for x, y in zip(offsets, offsets[1:])])
+                    flat, cuts = run_shingles(hash_words(words), offsets[:-1], offsets[1:])
+                    raw, cuts = flat.tobytes(), (8 * cuts).tolist()
+                    yield b.iloc[part].drop(columns="line").assign(shingles=[raw[x:y] for x, y in zip(cuts, cuts[1:])])
 
         places = lines.select(F.col("rid").alias("item"), "row", "start", "end").join(candidates, "item")
         texts = docs.select(F.monotonically_increasing_id().alias("row"), "text")
