@@ -49,6 +49,8 @@ class Scratch:
         self.count = 0
         # A batch of rows sent to Python holds a bounded number of bytes, however long the texts are.
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        # Bounded tables that are collected come as columns, not as a Python object for each row.
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1
