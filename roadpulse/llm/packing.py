@@ -120,9 +120,10 @@ def project(ids: list[np.ndarray], seed: int = 7, dims: int = DIMS, bits: int =
     at = np.zeros((len(ids), dims))
     for i, own in enumerate(ids):
         hashed = (own.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(20)
-        weight = np.log1p(np.bincount(hashed, minlength=FEATURES))
-        used = np.flatnonzero(weight)
-        at[i] = weight[used] @ matrix[used] / max(1e-9, np.linalg.norm(weight[used]))
+        counts = np.bincount(hashed, minlength=FEATURES)
+        used = np.flatnonzero(counts)
+        weight = np.log1p(counts[used])
+        at[i] = weight @ matrix[used] / max(1e-9, np.linalg.norm(weight))
     return np.minimum((1 << bits) - 1, (1 << bits) / (1 + np.exp(-1.7 * at))).astype(np.int64)
 
 
