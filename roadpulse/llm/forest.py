@@ -131,7 +131,8 @@ def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
 
         texts = docs.select(F.monotonically_increasing_id().alias("item"), "text")
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in candidates.schema) + ", shingles binary"
-        return texts.join(candidates, "item").select(*candidates.columns, "text").mapInPandas(make, schema)
+        # Candidates grow with the documents, so they are never broadcast.
+        return texts.join(candidates.hint("merge"), "item").select(*candidates.columns, "text").mapInPandas(make, schema)
 
     return grouped(scratch, scratch.store(sketch(docs, length=prefix_length(threshold)), "sketches"), sets_of, threshold)
 
@@ -141,7 +142,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     kept = Scratch(docs.sparkSession, "forest").store(similarity_classes(docs, threshold).where("keep").select("rid"), "kept")
     rid = fresh(docs, "rid")
     return docs.withColumn(rid, F.monotonically_increasing_id()).join(
-        kept.withColumnRenamed("rid", rid), rid, "left_semi").select(*docs.columns)
+        kept.withColumnRenamed("rid", rid).hint("merge"), rid, "left_semi").select(*docs.columns)
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
