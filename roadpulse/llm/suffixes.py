@@ -81,8 +81,7 @@ def _windows(passage: int, anchor: int):
                 words, offsets = split_words(texts)
                 h = hash_words(words)
                 out = []
-                for rid, doc, places, text, lo, hi in zip(b["rid"].iloc[part], b["doc_id"].iloc[part], b["places"].iloc[part], texts,
-                                                          offsets, offsets[1:]):
+                for rid, places, text, lo, hi in zip(b["rid"].iloc[part], b["places"].iloc[part], texts, offsets, offsets[1:]):
                     g = run_hashes(h[lo:hi], anchor)
                     matched = np.zeros(len(g), bool)
                     matched[np.asarray(places)] = True
@@ -97,29 +96,83 @@ def _windows(passage: int, anchor: int):
                     starts = np.flatnonzero(np.cumsum(edge)[:n] > 0)
                     begin, end = word_places(text)
                     out.append(pd.DataFrame({
-                        "k": signed(run_hashes(h[lo:hi], passage)[starts]), "rid": rid, "doc_id": doc, "word": starts,
+                        "k": signed(run_hashes(h[lo:hi], passage)[starts]), "rid": rid, "word": starts,
                         "start": begin[starts], "end": end[starts + passage - 1]}))
                 if out:
-                    yield pd.concat(out, ignore_index=True).astype({"doc_id": "Int64"})
+                    yield pd.concat(out, ignore_index=True)
 
     return extend
 
 
+def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of windows sorted by (k, rid, word), those that two documents have, with the first of these.
+
+    A run of one k may be cut by a task border. Its rows carry their k then, as the first document may be in an earlier task,
+    and are ``open`` if only one document of the run is in this task; a last run that is settled leaves
+    a row without a place for later tasks. Only rows of one document are ever held.
+    """
+    def out(rows: pd.DataFrame, first, k, is_open: bool = False) -> pd.DataFrame:
+        return rows[["rid", "word", "start", "end"]].assign(first_rid=first, k=k, open=is_open).astype(
+            {"word": "Int64", "start": "Int64", "end": "Int64", "k": "Int64"})
+
+    key = first = None
+    shared = outer = False
+    held: list[pd.DataFrame] = []
+    for b in batches:
+        if b.empty:
+            continue
+        b = b.reset_index(drop=True)
+        k, rid = b["k"].to_numpy(), b["rid"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        ends = np.r_[starts[1:], len(k)]
+        goes_on = key is not None and k[0] == key
+        if not goes_on and outer and held:  # the task's first run ended with its batch
+            yield out(pd.concat(held, ignore_index=True), first, key, True)
+        outer = key is None or (goes_on and outer)
+        firsts, lasts = rid[starts].copy(), rid[ends - 1]
+        if goes_on:
+            firsts[0] = first
+        else:
+            held = []
+        both = firsts != lasts
+        both[0] |= goes_on and shared
+        if both[0] and held:
+            yield out(pd.concat(held, ignore_index=True), first, k[0] if outer else None)
+            held = []
+        run = np.repeat(np.arange(len(starts)), ends - starts)
+        tell = both[run]
+        if tell.any():
+            names = pd.array(k[tell], "Int64")
+            names[run[tell] > (0 if outer else -1)] = None
+            yield out(b[tell], firsts[run][tell], names)
+        if len(starts) > 1:
+            if outer and not both[0]:
+                yield out(pd.concat([*held, b.iloc[:ends[0]]], ignore_index=True), firsts[0], k[0], True)
+            held, outer = [], False
+        if not both[-1]:
+            held.append(b.iloc[starts[-1]:])
+        key, first, shared = int(k[-1]), int(firsts[-1]), bool(both[-1])
+    if held:
+        yield out(pd.concat(held, ignore_index=True), first, key, True)
+    elif key is not None and not outer:
+        yield out(pd.DataFrame({"rid": [first], "word": [None], "start": [None], "end": [None]}), first, key, True)
+
+
 def _spans(passage: int):
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Windows sorted by (rid, word) joined where they overlap or touch."""
         def close(rows: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
             last = np.r_[cuts[1:], len(rows)] - 1
+            take = {c: rows[c].to_numpy() for c in ("rid", "word", "start", "end", "first_rid")}
             return pd.DataFrame({
-                "rid": rows["rid"].to_numpy()[cuts], "doc_id": rows["doc_id"].array[cuts], "start": rows["start"].to_numpy()[cuts],
-                "end": rows["end"].to_numpy()[last], "n_words": rows["word"].to_numpy()[last] - rows["word"].to_numpy()[cuts] + passage,
-                "first_rid": np.minimum.reduceat(rows["first_rid"].to_numpy(), cuts), "first_doc_id": rows["first_doc_id"].array[cuts]})
+                "rid": take["rid"][cuts], "start": take["start"][cuts], "end": take["end"][last],
+                "n_words": take["word"][last] - take["word"][cuts] + passage, "first_rid": take["first_rid"][cuts],
+                "k": rows["k"].astype("Int64").array[cuts]})
 
         held = None
         for b in batches:
             if b.empty:
                 continue
-            b = b.astype({"doc_id": "Int64", "first_doc_id": "Int64"})
             rows = b if held is None else pd.concat([held, b], ignore_index=True)
             rid, word = rows["rid"].to_numpy(), rows["word"].to_numpy()
             cuts = np.flatnonzero(np.r_[True, (rid[1:] != rid[:-1]) | (word[1:] > word[:-1] + passage)])
@@ -135,24 +188,34 @@ def _spans(passage: int):
 def repeated_passages(docs: DataFrame, passage: int = PASSAGE, anchor: int = ANCHOR) -> DataFrame:
     """Maximal spans all of whose windows of ``passage`` words stand in another document too.
 
-    rid, doc_id, start, end (code points), n_words, first_doc_id (least id of a document with the span's first window),
-    is_first (whether no earlier row has any of its windows).
+    rid, doc_id, start, end (code points), n_words, first_doc_id (id of the first row with the span's first window),
+    is_first (whether no earlier row has that window).
     """
     scratch = Scratch(docs.sparkSession, "suffixes")
     sparse = scratch.store(suffixes(docs, passage, anchor), "suffixes")
     matched = sparse.repartitionByRange("k", "rid", "place").sortWithinPartitions("k", "rid", "place").mapInPandas(
         _with_equal_neighbour, "rid long, place int")
     of_doc = matched.groupBy("rid").agg(F.collect_set("place").alias("places"))
-    texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), "text")
+    texts = docs.select(F.monotonically_increasing_id().alias("rid"), "text")
     windows = scratch.store(texts.join(of_doc, "rid").mapInPandas(
-        _windows(passage, anchor), "k long, rid long, doc_id long, word int, start int, end int"), "windows")
+        _windows(passage, anchor), "k long, rid long, word int, start int, end int"), "windows")
     scratch.drop(sparse)
-    many = windows.groupBy("k").agg(F.min("rid").alias("first_rid"), F.max("rid").alias("last_rid"), F.min("doc_id").alias("first_doc_id"))
-    found = windows.join(many.where("first_rid <> last_rid").drop("last_rid"), "k").drop("k")
-    return found.repartition("rid").sortWithinPartitions("rid", "word").mapInPandas(
-        _spans(passage), "rid long, doc_id long, start int, end int, n_words int, first_rid long, first_doc_id long").select(
-        "rid", "doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"),
-        F.col("n_words").cast("long").alias("n_words"), "first_doc_id", (F.col("rid") == F.col("first_rid")).alias("is_first"))
+    order = ["k", "rid", "word"]
+    told = scratch.store(windows.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
+        _shared, "rid long, word int, start int, end int, first_rid long, k long, open boolean"), "shared")
+    scratch.drop(windows)
+    # As many k as task borders.
+    cut = told.where("k IS NOT NULL").groupBy("k").agg(
+        F.least(F.min("first_rid"), F.min("rid")).alias("first"), F.min("rid").alias("low"), F.max("rid").alias("high"))
+    cut = scratch.store(cut, "cut")
+    late = told.where("open AND word IS NOT NULL").join(cut.where("low <> high").select("k"), "k", "left_semi")
+    kept = told.where("NOT open").unionByName(late.select(*told.columns)).drop("open")
+    spans = kept.repartition("rid").sortWithinPartitions("rid", "word").mapInPandas(
+        _spans(passage), "rid long, start long, end long, n_words long, first_rid long, k long")
+    spans = spans.join(cut.select("k", "first"), "k", "left").withColumn("first_rid", F.coalesce("first", "first_rid"))
+    ids = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"))
+    return spans.join(ids, "rid").join(ids.select(F.col("rid").alias("first_rid"), F.col("doc_id").alias("first_doc_id")), "first_rid").select(
+        "rid", "doc_id", "start", "end", "n_words", "first_doc_id", (F.col("rid") == F.col("first_rid")).alias("is_first"))
 
 
 def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:

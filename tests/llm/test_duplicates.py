@@ -207,3 +207,26 @@ def test_set_in_passages_share_pieces(spark, tmp_path):
     got = paragraphs.paragraph_clusters(stored(spark, frame(spark, rows), tmp_path))
     assert {r["doc_id"] for r in got.select("doc_id").distinct().collect()} == {r[0] for r in rows}
     assert paragraphs.paragraph_clusters(stored(spark, frame(spark, []), tmp_path, "none")).count() == 0
+
+
+def test_windows_of_two_documents_are_told_over_batches_and_tasks():
+    import pandas as pd
+
+    rng = np.random.default_rng(0)
+    for _ in range(150):
+        n = rng.integers(1, 40)
+        df = pd.DataFrame({"k": rng.integers(0, rng.integers(1, 12), n), "rid": rng.integers(0, 4, n)}).sort_values(["k", "rid"], ignore_index=True)
+        df["word"] = df["start"] = df["end"] = np.arange(n)
+        tasks, told = [0, *np.sort(rng.integers(0, n + 1, 3)), n], []
+        for a, b in zip(tasks, tasks[1:]):
+            batches = [a, *np.sort(rng.integers(a, b + 1, 3)), b]
+            told += list(suffixes._shared(df.iloc[x:y].reset_index(drop=True) for x, y in zip(batches, batches[1:])))
+        told = pd.concat(told)
+        cut = told[told["k"].notna()].groupby("k").agg(first=("first_rid", "min"), low=("rid", "min"), high=("rid", "max"))
+        late = told[told["open"] & told["word"].notna()]
+        late = late[late["k"].isin(cut.index[cut["low"] != cut["high"]])]
+        kept = pd.concat([told[~told["open"]], late])
+        first = [f if pd.isna(k) else min(cut["first"][k], cut["low"][k]) for f, k in zip(kept["first_rid"], kept["k"])]
+        ends = df.groupby("k")["rid"].agg(["min", "max"])
+        want = sorted((w, ends["min"][k]) for w, k in zip(df["word"], df["k"]) if ends["min"][k] != ends["max"][k])
+        assert sorted(zip(kept["word"], first)) == want
