@@ -65,7 +65,8 @@ def pairs_of(ids: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarra
 def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text and ``target``: whether the id is labelled good."""
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().withColumn("_good", F.lit(True))
-    return docs.select("doc_id", "text").join(good, "doc_id", "left").select(
+    # Labels grow with the documents, so they are never broadcast; texts move once here and are stored.
+    return docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left").select(
         "doc_id", "text", F.coalesce("_good", F.lit(False)).alias("target"))
 
 
