@@ -2,9 +2,11 @@
 
 A target model (documents labelled good) and a background model (all other documents) are interpolated word bigram
 models of one form and smoothing over one vocabulary. The mean difference of their losses on a token scores each document; lower
-means more like the target. Counts are taken over all documents. The vocabulary is the ``VOCABULARY`` most frequent words,
-each other word is one of a few classes by length, and bigrams are counted in ``BUCKETS`` hashed buckets,
-so the shared tables have a fixed size at any input.
+means more like the target. Every word of every document is in the vocabulary, and words, predecessors and pairs of words are
+counted exactly, up to equal 64-bit hashes: no word or pair is left out or shares a counter, and the tables grow with the input.
+
+The counts never meet in one place. Documents lie in blocks of bounded size; each block sends the counts of its distinct keys, which are
+summed by key, and gets back the sums that differ from its own counts. A key comes once from each block, so no key is hot.
 
 Rows: NULL, empty and blank texts have no tokens and scores of 0; NULL ``doc_id`` rows count as background; repeated ids and equal
 rows count each; an id with several labels is target if one of them is 1; an empty table gives no rows; without any target document the target model is
@@ -18,19 +20,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import MIX_A, MIX_B, Scratch, mixed, read_table, text_chunks
+from roadpulse.llm.common import MIX_A, MIX_B, Scratch, hash_words, mixed, read_table, signed, text_chunks
 
-VOCABULARY, BUCKETS = 20_000, 1 << 20
-RARE = 16
+# Characters of a block's texts, but for a single longer text.
+BLOCK_CHARS = 8_000_000
+SEND_ROWS = 200_000
+BUCKETS, RARE = 1 << 20, 16
 BIGRAM_WEIGHT, SMOOTHING = 0.6, 0.5
 
 
 @dataclass
 class Models:
-    """Log-linear parts of both models: words (by length class for rare ones, then the text's start) and bigram buckets, columns target and background."""
+    """A small form of the models, held in memory over a given number of words; the query does not use it.
+
+    Log-linear parts of both models: words (by length class for rare ones, then the text's start) and bigram buckets, columns target and background."""
 
     words: dict[str, int]
     single: np.ndarray
@@ -70,14 +77,14 @@ def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "doc_id", "text", F.coalesce("_good", F.lit(False)).alias("target"))
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
+def vocabulary(docs: DataFrame, size: int) -> list[str]:
     """The most frequent words of all documents, ties by name."""
     counts = docs.select(F.explode(F.split(F.lower(F.trim("text")), r"\s+")).alias("w")).where("w <> ''").groupBy("w").count()
     return [r["w"] for r in counts.orderBy(F.desc("count"), "w").limit(size).collect()]
 
 
-def train(docs: DataFrame, size: int = VOCABULARY) -> Models:
-    """Both models from rows (text, target)."""
+def train(docs: DataFrame, size: int) -> Models:
+    """Both models in their small form from rows (text, target)."""
     spark = docs.sparkSession
     words = {w: i for i, w in enumerate(vocabulary(docs, size))}
     shared, total = spark.sparkContext.broadcast(words), len(words) + RARE
@@ -117,22 +124,110 @@ def losses(models: Models, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return lengths, sums / np.maximum(1, lengths)[:, None]
 
 
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """doc_id, n_tokens, loss_target, loss_background and their difference ``score``, negative for texts like the target."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def in_blocks(docs: DataFrame, most: int) -> DataFrame:
+    """block, doc_id, text, target: runs of rows of one task with about ``most`` characters. Blocks depend on the task, so they must be stored."""
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, total = TaskContext.get().partitionId() << 32, 0
         for b in batches:
-            for part, texts in text_chunks(b["text"]):
-                n, loss = losses(shared.value, texts)
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[part].to_numpy(), "n_tokens": n, "loss_target": loss[:, 0],
-                                    "loss_background": loss[:, 1], "score": loss[:, 0] - loss[:, 1]}).astype({"doc_id": "Int64"})
+            names = []
+            for n in (len(t) if isinstance(t, str) else 0 for t in b["text"]):
+                if total and total + n > most:
+                    block, total = block + 1, 0
+                total += n
+                names.append(block)
+            yield b.assign(block=names)
+
+    return docs.select("doc_id", "text", "target").mapInPandas(number, "doc_id long, text string, target boolean, block long")
+
+
+def token_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of each token as a word, of its predecessor, and of the two (rows), and each text's number of tokens."""
+    cut = [t.lower().split() for t in texts]
+    lengths = np.array([len(own) for own in cut], np.int64)
+    h = hash_words([w.encode("utf-8", "surrogatepass") for own in cut for w in own])
+    before = np.r_[np.zeros(1, np.uint64), h[:-1]] if len(h) else h
+    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0  # a text's start
+    at = mixed(before * MIX_A + np.uint64(2))
+    return np.stack([mixed(h * MIX_A + np.uint64(1)), at, mixed(at * MIX_A + h * MIX_B)]), lengths
 
-    return docs.select("doc_id", "text").mapInPandas(
+
+def counted(keys: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, their counts in target and background, and each key's number; ``target`` holds for the columns of ``keys``."""
+    unique, number = np.unique(keys, return_inverse=True)
+    number = number.reshape(keys.shape)
+    flag = np.broadcast_to(target, keys.shape).ravel()
+    good = np.bincount(number.ravel()[flag], minlength=len(unique))
+    return unique, np.stack([good, np.bincount(number.ravel(), minlength=len(unique)) - good], 1), number
+
+
+def block_counts(docs: DataFrame, words_only: bool = False) -> DataFrame:
+    """block, k, target, background: counts of each key in each block."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        now = None
+
+        def sent() -> Iterator[pd.DataFrame]:
+            k, number = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+            sums = np.concatenate([h[1] for h in held])
+            sums = np.stack([np.bincount(number, sums[:, c], len(k)).astype(np.int64) for c in (0, 1)], 1)
+            for i in range(0, len(k), SEND_ROWS):
+                own = slice(i, i + SEND_ROWS)
+                yield pd.DataFrame({"block": now, "k": signed(k[own]), "target": sums[own, 0], "background": sums[own, 1]})
+
+        for b in batches:
+            for block, rows in b.groupby("block", sort=False):
+                if held and block != now:
+                    yield from sent()
+                    held = []
+                now = block
+                flags = rows["target"].to_numpy(bool)
+                for part, texts in text_chunks(rows["text"]):
+                    keys, lengths = token_keys(texts)
+                    held.append(counted(keys[:1] if words_only else keys, np.repeat(flags[part], lengths))[:2])
+        if held:
+            yield from sent()
+
+    return docs.select("block", "text", "target").mapInPandas(count, "block long, k long, target long, background long")
+
+
+def totals(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """Number of distinct words, and of tokens in target and background."""
+    row = block_counts(docs, True).groupBy("k").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).agg(
+        F.count("*"), F.sum("target"), F.sum("background")).first()
+    return row[0], np.array([row[1] or 0, row[2] or 0], np.float64)
+
+
+def score(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, loss_target, loss_background and their difference ``score``, negative for texts like the target.
+
+    ``docs``: stored rows (block, doc_id, text, target), which both models are made of.
+    """
+    size, tokens = totals(docs)
+    key = Window.partitionBy("k")
+    sums = block_counts(docs).withColumns({"all_target": F.sum("target").over(key), "all_background": F.sum("background").over(key)}).where(
+        "all_target <> target OR all_background <> background").select("block", "k", "all_target", "all_background")
+
+    def rate(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return pd.DataFrame({"doc_id": pd.array([], "Int64"), "n_tokens": np.zeros(0, np.int64), "loss_target": np.zeros(0),
+                                 "loss_background": np.zeros(0), "score": np.zeros(0)})
+        parts = [token_keys(texts) for _, texts in text_chunks(rows["text"])]
+        keys, lengths = np.concatenate([k for k, _ in parts], 1), np.concatenate([n for _, n in parts])
+        own, counts, (word, before, pair) = counted(keys, np.repeat(rows["target"].to_numpy(bool), lengths))
+        counts = counts.astype(np.float64)
+        counts[np.searchsorted(own, others["k"].to_numpy(np.int64).view(np.uint64))] = others[["all_target", "all_background"]].to_numpy()
+        single = (counts[word] + SMOOTHING) / (tokens + SMOOTHING * size)
+        p = BIGRAM_WEIGHT * counts[pair] / np.maximum(1.0, counts[before]) + (1 - BIGRAM_WEIGHT) * single
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        loss = np.stack([np.bincount(text, -np.log(p[:, c]), len(lengths)) for c in (0, 1)], 1) / np.maximum(1, lengths)[:, None]
+        return pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "n_tokens": lengths, "loss_target": loss[:, 0],
+                             "loss_background": loss[:, 1], "score": loss[:, 0] - loss[:, 1]}).astype({"doc_id": "Int64"})
+
+    return docs.groupBy("block").cogroup(sums.groupBy("block")).applyInPandas(
         rate, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
 
 
 def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "lm")
-    docs = scratch.store(with_target(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")), "documents")
-    return score(docs, train(docs))
+    docs = with_target(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return score(scratch.store(in_blocks(docs, BLOCK_CHARS), "documents"))

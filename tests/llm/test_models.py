@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -157,3 +158,26 @@ def test_lm_of_an_empty_table(spark, tmp_path):
     stored(spark, frame(spark, []), tmp_path, "documents")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert lm.op3_lm(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("most", [2_000, 8_000_000])
+def test_lm_counts_every_word_and_pair(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(lm, "BLOCK_CHARS", most)  # many blocks, or few
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{int(30_000 * rng.random() ** 3)}" for _ in range(rng.randrange(1, 700))), None, None, 1) for i in range(300)]
+    rows += [(1000, " ".join(f"once{i}" for i in range(25_000)), None, None, 1)]
+    stored(spark, frame(spark, rows + hard_rows()[:3]), tmp_path, "documents")
+    spark.createDataFrame([(i, 1, 0) for i in range(0, 300, 3)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["doc_id"]: r for r in lm.op3_lm(spark, str(tmp_path)).where("n_tokens > 0").collect()}
+    texts = {r[0]: r[1].split() for r in rows}
+    size, want = len({w for t in texts.values() for w in t}), {}
+    for good, column in ((True, "loss_target"), (False, "loss_background")):
+        own = [t for i, t in texts.items() if (i < 300 and i % 3 == 0) == good]
+        single, pairs = Counter(w for t in own for w in t), Counter(p for t in own for p in zip(["", *t], t))
+        before, n = Counter(w for t in own for w in ["", *t[:-1]]), sum(map(len, own))
+        for i, t in texts.items():
+            p = [lm.BIGRAM_WEIGHT * pairs[a, w] / max(1, before[a]) + (1 - lm.BIGRAM_WEIGHT) * (single[w] + lm.SMOOTHING) / (n + lm.SMOOTHING * size)
+                 for a, w in zip(["", *t], t)]
+            want[i, column] = -sum(map(math.log, p)) / len(t)
+    assert size > 40_000 and got.keys() == texts.keys()
+    assert all(got[i][column] == pytest.approx(loss, rel=1e-9) for (i, column), loss in want.items())
