@@ -66,6 +66,11 @@ class Scratch:
                 path = jvm.org.apache.hadoop.fs.Path(file)
                 path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def clear(self) -> None:
+        """Removes all tables of this job."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def chunks(lengths: list[int], most: int = CHUNK_CHARS) -> Iterator[slice]:
     """Cuts a list of texts into runs of about ``most`` characters; a longer text is a run by itself."""

@@ -2,12 +2,14 @@
 
 A paragraph is a line with words. Bands of MinHash values over its five-word shingles, tuned for the target recall at the
 threshold, bring candidates together; exact Jaccard similarity confirms them; components are clusters, of which
-the first paragraph stays. A passage set into other paragraphs would not make them alike as wholes, so lines are also cut into
-pieces where the words' own hashes say so, which falls alike wherever a passage stands; pieces are alike when they are equal.
+the first paragraph stays. A passage set into other paragraphs would not make them alike as wholes, so runs of ``RUN`` words
+are also chosen by their hashes, from all words of a text, wherever its lines end. Of every ``PASSAGE`` words that stand in two places the same run is
+chosen in both. A run that others equal is extended to either side for as long as one of them has the same words; as the next chosen run is near,
+``CONTEXT`` words are enough, and spans that overlap or touch and have one cluster are reported as one, to the passage's ends.
 
-Rows: NULL and blank texts have no paragraphs; lines of fewer than five words are compared as wholes, shorter pieces not at all;
+Rows: NULL and blank texts have no paragraphs; lines of fewer than five words are compared as wholes, texts of fewer than ``PASSAGE`` words have no runs;
 NULL ``doc_id`` stays NULL; repeated ids and equal rows are separate documents; an empty table gives no rows; a long
-line is one paragraph and many pieces. Extra columns are not read.
+line is one paragraph and many runs. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -17,17 +19,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import (MIX_A, MIX_B, Scratch, components, hash_words, mixed, read_table, run_links, signed, sliding, split_words,
-                                  text_chunks)
+from roadpulse.llm.common import (MIX_A, MIX_B, Scratch, hash_words, mixed, read_table, run_hashes, signed, sliding, split_words, text_chunks,
+                                  word_places)
 from roadpulse.llm.forest import SIZE, grouped
 from roadpulse.llm.jaccard import THRESHOLD, joined_keys, signatures
+from roadpulse.llm.suffixes import _with_equal_neighbour
 
 RECALL, ROWS, SEED = 0.995, 3, 5
-# A line is cut before a word whose hash is the least of this many words on either side.
-REACH = 5
+PASSAGE, RUN = 24, 12
+CONTEXT = PASSAGE - RUN
 
 
 def bands(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -51,19 +55,18 @@ class Lines:
         self.first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(number) else number
         self.after = np.r_[self.first[1:], len(number)]
 
-    def pieces(self, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
-        """First words of pieces and the words after their last: between words of a line whose hash is the strict least
-        of ``reach`` words on either side, all of which the line has."""
-        h, n = self.h, len(self.h)
-        if n < 2 * reach + 1:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        low, own = sliding(h, reach, True), h[reach:n - reach]
-        at = np.flatnonzero((own < low[:len(own)]) & (own < low[reach + 1:reach + 1 + len(own)])) + reach
-        line = np.searchsorted(self.first, at, "right") - 1
-        fit = (at - reach >= self.first[line]) & (at + reach < self.after[line])
-        at, line = at[fit], line[fit]
-        same = line[1:] == line[:-1]
-        return at[:-1][same], at[1:][same]
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Chosen runs: number of the text, place among its words, hash. The least of each ``PASSAGE`` words' runs, with all that are equal to it."""
+        parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+        cuts = np.flatnonzero(np.r_[True, self.text[1:] != self.text[:-1], True]) if len(self.text) else np.zeros(1, np.int64)
+        for lo, hi in zip(cuts, cuts[1:]):
+            if hi - lo >= PASSAGE:
+                g = run_hashes(self.h[lo:hi], RUN)
+                low = sliding(g, CONTEXT + 1, True)
+                edge = np.zeros(CONTEXT, np.uint64)
+                at = np.flatnonzero(sliding(np.r_[edge, low, edge], CONTEXT + 1, False) == g)
+                parts.append((np.full(len(at), self.text[lo]), at, g[at]))
+        return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 def run_shingles(h: np.ndarray, first: np.ndarray, after: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +101,7 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def units(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """row, doc_id, start, end (code points), hi, lo (digest of a line's shingle set or a piece's words), n_shingles; keys for lines, NULL for pieces."""
+    """row, doc_id, start, end (code points), hi, lo (digest of a line's shingle set), n_shingles, keys; for runs hi is the hash, start the place, and keys NULL."""
     count = bands(threshold)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,26 +121,128 @@ def units(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 keys = joined_keys(signatures([flat], count * ROWS, SEED, offsets[:-1]), count, ROWS)
                 yield frame(own.first, own.after, _sums(mixed(flat), offsets[:-1]), _sums(mixed(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5)), offsets[:-1]),
                             np.diff(offsets), [k.tobytes() for k in keys])
-                first, after = own.pieces()
-                if len(first):
-                    size = after - first
-                    starts = np.cumsum(size) - size
-                    place = np.arange(size.sum()) - np.repeat(starts, size)
-                    h, place = own.h[place + np.repeat(first, size)], (place + 1).astype(np.uint64)
-                    yield frame(first, after, _sums(mixed(h + place * MIX_A), starts), _sums(mixed(h + place * MIX_B), starts), size, None)
+                text, place, g = own.runs()
+                yield pd.DataFrame({"row": rows[text], "doc_id": docs_of[text], "start": place, "end": 0, "hi": signed(g), "lo": 0,
+                                    "n_shingles": 0, "keys": None}).astype({"doc_id": "Int64"})
 
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text").mapInPandas(
         cut, "row long, doc_id long, start long, end long, hi long, lo long, n_shingles long, keys binary")
 
 
+def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Runs at the given places with the words on either side, outwards, and the code points where a span that takes in 0, 1, ... of these begins and ends."""
+    steps = np.arange(CONTEXT + 1)
+
+    def words(h: np.ndarray, at: np.ndarray) -> list[bytes]:
+        inside = (at >= 0) & (at < len(h))
+        return [w.tobytes() for w in np.where(inside, h[np.clip(at, 0, len(h) - 1)], np.uint32(0))]
+
+    for b in batches:
+        for part, texts in text_chunks(b["text"]):
+            flat, offsets = split_words(texts)
+            hashes = hash_words(flat)
+            out: list[list] = [[] for _ in range(6)]
+            places = [np.asarray(x, np.int64) for x in b["places"].iloc[part]]
+            for at, text, lo, hi in zip(places, texts, offsets, offsets[1:]):
+                h = hashes[lo:hi]
+                short = (h >> np.uint64(32)).astype(np.uint32)
+                begin, end = word_places(text)
+                out[0].append(signed(run_hashes(h, RUN)[at]))
+                out[1].append(at)
+                out[2] += words(short, at[:, None] - steps[1:])
+                out[3] += words(short, at[:, None] + RUN - 1 + steps[1:])
+                out[4] += [begin[max(0, x - CONTEXT):x + 1][::-1] for x in at.tolist()]
+                out[5] += [end[x + RUN - 1:x + RUN + CONTEXT] for x in at.tolist()]
+            if texts:
+                many = [len(x) for x in places]
+                yield pd.DataFrame({
+                    "k": np.concatenate(out[0]), "row": np.repeat(b["rid"].iloc[part].to_numpy(), many),
+                    "doc_id": b["doc_id"].iloc[part].array.repeat(many), "place": np.concatenate(out[1]), "before": out[2], "behind": out[3],
+                    "starts": out[4], "ends": out[5]}).astype({"doc_id": "Int64"})
+
+
+def _equal_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.cumprod(a == b, axis=1).sum(1)
+
+
+def _reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """In rows sorted by k and words: the most words that each has like another of its k, -1 without another. The outer rows of the task
+    come once more, with the task's number, as their neighbours are not seen here."""
+    def told(rows: pd.DataFrame, reach, task=None) -> pd.DataFrame:
+        own = pd.DataFrame({"run": rows["run"], "reach": reach, "task": task, "k": None, "words": None})
+        if task is not None:
+            own["k"], own["words"] = rows["k"], rows["words"]
+        return own.astype({"task": "Int64", "k": "Int64"})
+
+    task, held, before = TaskContext.get().partitionId(), None, -1
+    for b in batches:
+        if b.empty:
+            continue
+        if held is None:
+            yield told(b.iloc[:1], -1, 2 * task)
+        rows = b if held is None else pd.concat([held, b], ignore_index=True)
+        k, words = rows["k"].to_numpy(), np.frombuffer(b"".join(rows["words"]), np.uint32).reshape(len(rows), -1)
+        like = np.where(k[1:] == k[:-1], _equal_words(words[1:], words[:-1]), -1)
+        left = np.r_[before, like]
+        yield told(rows.iloc[:-1], np.maximum(left[:-1], like))
+        held, before = rows.iloc[-1:], int(left[-1])
+    if held is not None:
+        yield told(held, before)
+        yield told(held, -1, 2 * task + 1)
+
+
+def reaches(scratch: Scratch, runs: DataFrame, words: str) -> DataFrame:
+    """run, reach: the greatest reach of a run holds. Sorted, so that a hot run lies in as many tasks as it needs."""
+    found = scratch.store(
+        runs.select("run", "k", F.col(words).alias("words")).repartitionByRange("k", "words", "run").sortWithinPartitions("k", "words", "run")
+        .mapInPandas(_reach, "run long, reach int, task long, k long, words binary"), "reaches")
+    # Two rows of each task.
+    edge = found.where("task IS NOT NULL").orderBy("task").collect()
+    over = [(-1, -1)]
+    for a, b in zip(edge, edge[1:]):
+        if a["task"] // 2 != b["task"] // 2 and a["k"] == b["k"]:
+            n = int(_equal_words(*(np.frombuffer(x["words"], np.uint32)[None] for x in (a, b)))[0])
+            over += [(a["run"], n), (b["run"], n)]
+    return found.select("run", "reach").unionByName(scratch.spark.createDataFrame(over, "run long, reach int"))
+
+
+def passages(scratch: Scratch, docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """row, doc_id, start, end, class_id, n_links, keep: spans of equal runs extended as far as another place has the same words."""
+    order = ["k", "rid", "place"]
+    matched = chosen.select(F.col("hi").alias("k"), F.col("row").alias("rid"), F.col("start").cast("int").alias("place")).repartitionByRange(
+        *order).sortWithinPartitions(*order).mapInPandas(_with_equal_neighbour, "rid long, place int")
+    texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), "text")
+    runs = scratch.store(texts.join(matched.groupBy("rid").agg(F.collect_set("place").alias("places")).hint("merge"), "rid").mapInPandas(
+        _contexts, "k long, row long, doc_id long, place int, before binary, behind binary, starts array<int>, ends array<int>").withColumn(
+        "run", F.monotonically_increasing_id()), "runs")
+    reach = reaches(scratch, runs, "before").select("run", F.col("reach").alias("a"), F.lit(-1).alias("b")).unionByName(
+        reaches(scratch, runs, "behind").select("run", F.lit(-1).alias("a"), F.col("reach").alias("b"))).groupBy("run").agg(
+        F.max("a").alias("a"), F.max("b").alias("b"))
+    sizes = runs.groupBy("k").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("class_id"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "place")).alias("first")).where("n > 1")
+    spans = runs.drop("before", "behind").join(reach.where("a >= 0"), "run").join(sizes, "k").select(
+        "row", "doc_id", "place", "class_id", (F.col("n") - 1).alias("n_links"),
+        F.expr("row = first.row AND place = first.place").alias("keep"), "starts", "ends",
+        F.expr("least(a, size(starts) - 1)").alias("a"), F.expr("least(b, size(ends) - 1)").alias("b")).select(
+        "row", "doc_id", "class_id", "n_links", "keep", F.expr("place - a").alias("word"), F.expr(f"place + {RUN} + b").alias("after"),
+        F.expr("element_at(starts, a + 1)").alias("start"), F.expr("element_at(ends, b + 1)").alias("end"))
+    cluster = ["row", "doc_id", "class_id", "n_links", "keep"]
+    along = Window.partitionBy(*cluster).orderBy("word", "after")
+    cut = spans.withColumn("cut", (F.col("word") > F.max("after").over(along.rowsBetween(Window.unboundedPreceding, -1))).cast("int"))
+    return cut.withColumn("span", F.sum(F.coalesce("cut", F.lit(0))).over(along.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*cluster, "span").agg(
+        F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end")).drop("span")
+
+
 def paragraph_clusters(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Paragraphs and pieces that are in clusters of two or more: row, doc_id, kind, start, end, cluster_doc_id, n_links, keep.
+    """Paragraphs and passages that are in clusters of two or more: row, doc_id, kind, start, end, cluster_doc_id, n_links, keep.
 
-    ``cluster_doc_id``: the least id in the cluster; ``keep``: whether this is its first, by (doc_id, row, place).
+    ``cluster_doc_id``: the least id in the cluster; ``keep``: whether this is its first, by (doc_id, row, place). A passage's cluster is that
+    of its runs; where these differ along a passage, each cluster has its span.
     """
     scratch = Scratch(docs.sparkSession, "paragraphs")
     own = scratch.store(units(docs, threshold).withColumn("rid", F.monotonically_increasing_id()), "units")
-    lines, pieces = own.where("keys IS NOT NULL"), own.where("keys IS NULL")
+    lines, chosen = own.where("keys IS NOT NULL"), own.where("keys IS NULL")
 
     def sets_of(candidates: DataFrame) -> DataFrame:
         def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,18 +259,12 @@ def paragraph_clusters(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
         return texts.join(places, "row").select(
             *candidates.columns, F.expr("substring(text, CAST(start AS INT) + 1, CAST(end - start AS INT))").alias("line")).mapInPandas(make, schema)
 
-    of_lines = grouped(scratch, lines, sets_of, threshold).where("n_links > 0").select(
-        "rid", F.lit("paragraph").alias("kind"), "class_id", "n_links", "keep")
-    # Equal pieces: sorted by digest, each with its neighbours; a cluster is one digest.
-    links = run_links(scratch, pieces.select(F.expr("hi").alias("k"), F.col("rid").alias("v")))
-    roots = scratch.store(components(scratch, links), "piece-roots").withColumnRenamed("v", "rid")
-    joined = scratch.store(pieces.select("rid", "doc_id", "lo").join(roots, "rid"), "piece-rows")
-    sizes = joined.groupBy("root", "lo").agg(
-        F.count("*").alias("n"), F.min("doc_id").alias("class_id"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first"))
-    of_pieces = joined.join(sizes.where("n > 1"), ["root", "lo"]).select(
-        "rid", F.lit("piece").alias("kind"), "class_id", (F.col("n") - 1).alias("n_links"), (F.col("rid") == F.col("first.rid")).alias("keep"))
-    return own.select("rid", "row", "doc_id", "start", "end").join(of_lines.unionByName(of_pieces), "rid").select(
+    inner = Scratch(docs.sparkSession, "lines")
+    of_lines = scratch.store(grouped(inner, lines, sets_of, threshold).where("n_links > 0").select(
+        "rid", F.lit("paragraph").alias("kind"), "class_id", "n_links", "keep"), "of-lines")
+    inner.clear()
+    return own.select("rid", "row", "doc_id", "start", "end").join(of_lines, "rid").drop("rid").unionByName(
+        passages(scratch, docs, chosen).withColumn("kind", F.lit("passage"))).select(
         "row", "doc_id", "kind", "start", "end", F.col("class_id").alias("cluster_doc_id"), "n_links", "keep")
 
 

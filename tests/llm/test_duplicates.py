@@ -209,6 +209,42 @@ def test_set_in_passages_share_pieces(spark, tmp_path):
     assert paragraphs.paragraph_clusters(stored(spark, frame(spark, []), tmp_path, "none")).count() == 0
 
 
+def test_set_in_passages_are_covered_whole(spark, tmp_path):
+    rng = random.Random(12)
+    rows = []
+    for i in range(150):
+        shared = " ".join(f"s{i}_{rng.randrange(10_000)}" for _ in range(rng.choice((24, 30, 52, 60, 200))))
+        for doc in (2 * i, 2 * i + 1):
+            own = [" ".join(f"d{doc}_{rng.randrange(10_000)}" for _ in range(rng.randrange(1, 30))) for _ in range(2)]
+            rows.append((doc, f"{own[0]} {shared} {own[1]}".replace("5 ", "5\n"), "en", "s", 1))
+    rows += [(1000 + i, f"x{i} y{i} " + "same " * (30 + i) + f"z{i}", "en", "s", 1) for i in range(3)]
+    docs = stored(spark, frame(spark, rows).repartition(3), tmp_path)
+    covered, spans = defaultdict(set), Counter()
+    for r in paragraphs.paragraph_clusters(docs).where("kind = 'passage'").collect():
+        covered[r["doc_id"]].update(range(r["start"], r["end"]))
+        spans[r["doc_id"]] += 1
+        if r["doc_id"] < 1000:
+            assert r["cluster_doc_id"] == r["doc_id"] // 2 * 2 and r["n_links"] == 1 and r["keep"] == (r["doc_id"] % 2 == 0)
+    for doc, text, *_ in rows:
+        if doc < 1000:
+            at, end = text.index("s"), max(text.rindex(w) + len(w) for w in text.split() if w[0] == "s")
+            assert covered[doc] == set(range(at, end)) and spans[doc] == 1
+    texts = {r[0]: r[1] for r in rows}
+    assert all("same" not in "".join(c for i, c in enumerate(texts[d]) if i not in covered[d]) for d in (1000, 1001))
+
+
+@pytest.mark.parametrize("cuts", [(), (3, 3, 4), (1, 2, 5, 6)])
+def test_reach_over_batches(cuts, monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(paragraphs, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": lambda self: 4})())}))
+    rows = sorted([(1, (5, 5, 5)), (2, (1, 2, 3)), (2, (1, 2, 4)), (2, (1, 3, 3)), (2, (9, 9, 9)), (3, (1, 2, 3)), (3, (1, 2, 3))])
+    df = pd.DataFrame({"run": range(7), "k": [k for k, _ in rows], "words": [np.array(w, np.uint32).tobytes() for _, w in rows]})
+    got = pd.concat(list(paragraphs._reach(df.iloc[a:b].reset_index(drop=True) for a, b in zip((0, *cuts), (*cuts, 7)))))
+    assert got[got["task"].notna()][["run", "task"]].values.tolist() == [[0, 8], [6, 9]]
+    assert got[got["task"].isna()].groupby("run")["reach"].max().tolist() == [-1, 2, 2, 1, 0, 3, 3]
+
+
 def test_windows_of_two_documents_are_told_over_batches_and_tasks():
     import pandas as pd
 
