@@ -26,7 +26,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents without benchmark items."""
-    return templates.clean_of(docs, read_table(spark, sf_dir, "benchmark"))
+    return templates.clean_of(docs, read_table(spark, sf_dir, "benchmark"), whole=True)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 Texts become template tokens: lower-case words, and the placeholders for numbers, units after numbers, and names. Windows
 of tokens meet by hash; matched windows of one alignment form a run, and a run counts when its slots are consistent:
-each value of the benchmark item stands for one value of the document throughout, whether or not it is the same value.
+each value of the benchmark item stands for one value of the document throughout, whether or not it is the same value. An item's capitalised
+first word is a word in one set of windows and a name in another, as it may stand inside a sentence. Templates need words:
+items of fewer than ``MIN_TOKENS`` template tokens, and windows with less than ``WORD_SHARE`` words, have none. So every item
+of any length is also looked for as it stands, by a hash of all its tokens (words, numbers and signs, in lower case); with other values such items are not found.
 
-Rows: NULL and empty texts on either side match nothing; items of fewer than ``MIN_TOKENS`` template tokens are too
-short to tell and match nothing; NULL ids stay NULL; repeated items and documents are reported each; an empty table on either side gives
+Rows: NULL and empty texts on either side match nothing; NULL ids stay NULL; repeated items and documents are reported each; an empty table on either side gives
 no rows; long texts are cut into windows whole. Extra columns are not read.
 """
 
@@ -20,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import MIX_A, Scratch, fresh, mixed, read_table, signed, text_chunks
+from roadpulse.llm.common import MIX_A, MIX_B, Scratch, fresh, mixed, read_table, signed, text_chunks
 
 WINDOW = 8
 MIN_TOKENS = 5
@@ -28,6 +30,8 @@ MIN_TOKENS = 5
 WORD_SHARE, COVERAGE = 0.6, 0.5
 SALTS = 16
 FILTER_BITS = 23
+# Tokens of an item's beginning, by which its places are found before the whole is hashed.
+PREFIX = 8
 
 # Unit words that are slots when they follow a number.
 UNITS = frozenset((
@@ -37,6 +41,7 @@ UNITS = frozenset((
     "percent euro euros dollar dollars cent cents usd eur gbp mph kmh kph kw kwh w v a hz khz mhz ghz kb mb gb tb").split())
 
 _tokens = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:\n]|[%$€£°]").findall
+_all_tokens = re.compile(r"\d+|[^\W\d_]+|[^\w\s]|_").findall
 _ENDS = frozenset(".!?:\n")
 _SIGNS = frozenset("%$€£°")
 WORD, NUM, UNIT, NAME, END, UNIT_WORD = range(6)
@@ -61,7 +66,8 @@ class Templates:
     A capitalised word is a name unless a sentence or the text starts with it; names that follow each other are one slot.
     """
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], inside: bool = False):
+        """``inside``: the texts' first words stand inside sentences."""
         cut = [_tokens(t) for t in texts]
         self.raw = [t for own in cut for t in own]
         unique = list(dict.fromkeys(self.raw))
@@ -72,7 +78,7 @@ class Templates:
         kind = of_unique[code]
         text = np.repeat(np.arange(len(texts)), [len(own) for own in cut])
         first = np.r_[True, text[1:] != text[:-1]] if len(text) else np.zeros(0, bool)
-        before = np.where(first, END, np.r_[kind[:1], kind[:-1]])
+        before = np.where(first, WORD if inside else END, np.r_[kind[:1], kind[:-1]])
         kind = np.where((kind == NAME) & (before == END), WORD, kind)
         kind = np.where(kind == UNIT_WORD, np.where(before == NUM, UNIT, WORD), kind)
         previous = np.where(first, END, np.r_[kind[:1], kind[:-1]])
@@ -104,10 +110,11 @@ class Templates:
         return at, mixed(g[at])
 
 
-def _rows(name: str, texts: pd.Series, ids: pd.Series, widths: list[int] | None, bits: np.ndarray | None) -> Iterator[pd.DataFrame]:
+def _rows(name: str, texts: pd.Series, ids: pd.Series, widths: list[int] | None, bits: np.ndarray | None,
+          inside: bool = False) -> Iterator[pd.DataFrame]:
     """Windows of texts, of the given widths or, for items, of the usual one or as long as a shorter item."""
     for part, own in text_chunks(texts):
-        found, out, idents = Templates(own), [], ids.iloc[part].to_numpy()
+        found, out, idents = Templates(own, inside), [], ids.iloc[part].to_numpy()
         starts = np.searchsorted(found.text, np.arange(len(own) + 1))
         lengths = np.diff(starts)
         for width in widths or sorted({min(WINDOW, n) for n in lengths.tolist() if n >= MIN_TOKENS}):
@@ -127,11 +134,18 @@ def _rows(name: str, texts: pd.Series, ids: pd.Series, widths: list[int] | None,
         yield pd.DataFrame(out, columns=[name, "place", "h", "total", "width", "slots"])
 
 
-def item_windows(items: DataFrame) -> DataFrame:
-    """Windows of benchmark items: item_row, place, h, total, width, slots. Short items are one window."""
+def item_windows(items: DataFrame, inside: bool = False) -> DataFrame:
+    """Windows of benchmark items: item_row, place, h, total, width, slots. Short items are one window.
+
+    ``inside``: also windows of items inside a sentence, if these differ, under ``-1 - item_row``.
+    """
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield from _rows("item_row", b["text"], b["item_row"], None, None)
+            first = [next(iter(_tokens(t or "")), ".") for t in b["text"]] if inside else []
+            own = b[np.array([_class(t) == NAME for t in first], bool)] if inside else b[:0]
+            if len(own):
+                yield from _rows("item_row", own["text"], -1 - own["item_row"], None, None, True)
 
     return items.select("item_row", "text").mapInPandas(
         cut, "item_row long, place long, h long, total long, width int, slots array<string>")
@@ -156,16 +170,77 @@ def passes(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return ok
 
 
-def contamination(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+class Runs:
+    """Hashes of runs of all tokens of several texts, with the values kept. Equal runs have one hash wherever they stand."""
+
+    def __init__(self, texts: list[str]):
+        cut = [_all_tokens(t.lower()) for t in texts]
+        self.lengths = np.array([len(own) for own in cut], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        raw = [t for own in cut for t in own]
+        unique = list(dict.fromkeys(raw))
+        hashes = dict(zip(unique, (xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in unique)))
+        h = np.fromiter(map(hashes.__getitem__, raw), np.uint64, len(raw))
+        base, inverse = np.full(len(h), MIX_A), np.full(len(h), np.uint64(pow(int(MIX_A), -1, 1 << 64)))
+        base[:1] = inverse[:1] = 1
+        self.back = np.cumprod(inverse, dtype=np.uint64)
+        self.sums = np.r_[np.uint64(0), np.cumsum(mixed(h) * np.cumprod(base, dtype=np.uint64), dtype=np.uint64)]
+        self.text = np.repeat(np.arange(len(texts)), self.lengths)
+        self.left = np.repeat(self.starts + self.lengths, self.lengths) - np.arange(len(h))
+
+    def at(self, places: np.ndarray, width) -> np.ndarray:
+        return mixed((self.sums[places + width] - self.sums[places]) * self.back[places] + np.asarray(width).astype(np.uint64) * MIX_B)
+
+
+def copies(scratch: Scratch, docs: DataFrame, numbered: DataFrame) -> DataFrame:
+    """rid, item_row: documents that hold an item as it stands, in any case and white space, whatever the item is made of."""
+    spark = docs.sparkSession
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for part, texts in text_chunks(b["text"]):
+                own = Runs(texts)
+                full = np.flatnonzero(own.lengths)
+                n, at = own.lengths[full], own.starts[full]
+                yield pd.DataFrame({"item_row": b["item_row"].iloc[part].to_numpy()[full], "h": signed(own.at(at, n)), "n": n,
+                                    "prefix": signed(own.at(at, np.minimum(PREFIX, n)))})
+
+    theirs = scratch.store(numbered.select("item_row", "text").mapInPandas(whole, "item_row long, h long, n long, prefix long"), "item-runs")
+    shared = spark.sparkContext.broadcast((
+        hash_filter(theirs.select(F.col("prefix").alias("h"))), hash_filter(theirs), sorted(r[0] for r in theirs.select("n").distinct().collect())))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        starts, wholes, lengths = shared.value
+        for b in batches:
+            for part, texts in text_chunks(b["text"]):
+                own, ids = Runs(texts), b["rid"].iloc[part].to_numpy()
+                for width in sorted({min(PREFIX, n) for n in lengths}):
+                    begun = np.flatnonzero(own.left >= width)
+                    begun = begun[passes(starts, own.at(begun, width))]
+                    for n in lengths:
+                        if min(PREFIX, n) == width:
+                            at = begun[own.left[begun] >= n]
+                            h = own.at(at, n)
+                            hit = passes(wholes, h)
+                            yield pd.DataFrame({"rid": ids[own.text[at[hit]]], "h": signed(h[hit]), "n": n}).drop_duplicates()
+
+    found = docs.select(F.monotonically_increasing_id().alias("rid"), "text").mapInPandas(cut, "rid long, h long, n long").withColumn(
+        "salt", F.expr(f"CAST(pmod(rid, {SALTS}) AS INT)"))
+    return found.join(theirs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["h", "n", "salt"]).select(
+        "rid", "item_row").distinct()
+
+
+def contamination(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, whole: bool = False) -> DataFrame:
     """One row (rid, doc_id, item_id, n_windows, coverage, exact) for each document and benchmark item it holds.
 
     ``exact``: all matched slots have the item's own values. Document windows are first put through a bitmap of the items'
     window hashes, whose size does not grow; what passes is joined by hash, salted since a passage may be in any share of the documents.
+    ``whole``: also items inside a sentence, and items that only stand there word by word, with ``n_windows`` 0 and ``coverage`` 1.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "templates")
     numbered = scratch.store(items.select(F.monotonically_increasing_id().alias("item_row"), F.col("item_id").cast("long"), "text"), "items")
-    theirs = scratch.store(item_windows(numbered), "item-windows")
+    theirs = scratch.store(item_windows(numbered, whole), "item-windows")
     shared = spark.sparkContext.broadcast((hash_filter(theirs), sorted(r[0] for r in theirs.select("width").distinct().collect())))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,17 +263,24 @@ def contamination(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE)
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"), F.max("total").alias("total"),
         F.min(F.expr("forall(values, v -> v.a = v.b)")).alias("exact"))
     found = scratch.store(found.withColumn("coverage", F.col("n_windows") / F.col("total")).where(F.col("coverage") >= coverage), "found")
+    if whole:
+        # An item's own windows count before those inside a sentence, and these before the item as it stands.
+        found = found.select("rid", F.expr("if(item_row < 0, -1 - item_row, item_row)").alias("item_row"), F.expr(
+            "struct(if(item_row < 0, 1, 0) AS path, n_windows, coverage, exact)").alias("own")).unionByName(
+            copies(scratch, docs, numbered).withColumn("own", F.expr(
+                "struct(2 AS path, 0L AS n_windows, CAST(1 AS DOUBLE) AS coverage, true AS exact)"))).groupBy("rid", "item_row").agg(
+            F.min("own").alias("own")).select("rid", "item_row", "own.n_windows", "own.coverage", "own.exact")
     named = found.join(numbered.drop("text"), "item_row")
     return named.join(docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long")), "rid").select(
         "rid", "doc_id", "item_id", "n_windows", "coverage", "exact")
 
 
-def clean_of(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item."""
+def clean_of(docs: DataFrame, items: DataFrame, whole: bool = False) -> DataFrame:
+    """The documents that hold no benchmark item; ``whole`` as in ``contamination``."""
     rid = fresh(docs, "rid")
-    hit = Scratch(docs.sparkSession, "templates").store(contamination(docs, items).select(F.col("rid").alias(rid)).distinct(), "hits")
+    hit = Scratch(docs.sparkSession, "templates").store(contamination(docs, items, whole=whole).select(F.col("rid").alias(rid)).distinct(), "hits")
     return docs.withColumn(rid, F.monotonically_increasing_id()).join(hit, rid, "left_anti").select(*docs.columns)
 
 
 def op1_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("rid")
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), whole=True).drop("rid")

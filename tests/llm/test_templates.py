@@ -119,3 +119,19 @@ def test_bitmap_passes_its_hashes(spark):
     assert templates.passes(bits, np.array([r[0] for r in rows]).view(np.uint64)).all()
     other = np.random.default_rng(0).integers(0, 1 << 63, 1000).astype(np.uint64)
     assert templates.passes(bits, other).mean() < 0.05
+
+
+def test_items_of_any_kind_are_found_where_they_stand(spark, tmp_path):
+    rng = random.Random(11)
+    items = [(1, "What is 12 + 34 + 56?"), (2, "Compute 12 * 34 + 56 - 78."), (3, "What is the capital of France?"), (4, "only four"),
+             (5, " ".join(str(rng.randrange(99)) for _ in range(30))), (6, ITEM), (7, "Who was Anna Lee?"), (8, None), (9, " ")]
+    rows = [(100 + i, f"{sentence(rng, 20)} {t} {sentence(rng, 20)}", "en", "s", 1) for i, t in items if t]
+    rows += [(200, "we ask What is the capital of Spain? of all", "en", "s", 1), (201, "What is 12 - 34 - 56?", "en", "s", 1), *hard_rows()]
+    docs = stored(spark, frame(spark, rows), tmp_path, "documents")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r["doc_id"], r["item_id"]): r["exact"] for r in templates.op1_templates(spark, str(tmp_path)).collect()}
+    plain = {(d, i) for d, text, *_ in rows for i, t in items if t and t.strip() and t.lower() in (text or "").lower()}
+    assert plain <= got.keys() and all(got[k] for k in plain)
+    assert got.keys() - plain == {(200, 3)} and not got[200, 3]
+    kept = {r["doc_id"] for r in templates.clean_of(docs, spark.read.parquet(f"{tmp_path}/benchmark.parquet"), whole=True).collect()}
+    assert kept == {r[0] for r in rows} - {d for d, _ in got}
