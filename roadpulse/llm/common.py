@@ -36,6 +36,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Sets two things for the session: a batch of rows sent to Python holds a bounded number of bytes, however long the texts are,
+    and bounded tables that are collected come as columns, not as a Python object for each row."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+
+
 class Scratch:
     """Intermediate tables of one job, as Parquet below the shared folder the session names.
 
@@ -47,10 +54,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{checkpoint_dir(spark)}/{job}-{uuid.uuid4().hex}"
         self.count = 0
-        # A batch of rows sent to Python holds a bounded number of bytes, however long the texts are.
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-        # Bounded tables that are collected come as columns, not as a Python object for each row.
-        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+        bound_batches(spark)
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1

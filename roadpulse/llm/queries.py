@@ -16,9 +16,10 @@ from roadpulse.llm.quality import op8_quality
 from roadpulse.llm.rules import op10_rules, op10_sql
 from roadpulse.llm.suffixes import op5_suffixes
 from roadpulse.llm.templates import op1_templates
+from roadpulse.llm.tokens import op11_tokens
 
 _QUERIES = (op1_templates, op2_packing, op3_lm, op4_jaccard, op5_suffixes, op6_pii, op7_paragraphs, op8_quality, op9_language,
-            op10_rules)
+            op10_rules, op11_tokens)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
