@@ -28,6 +28,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents_of(docs: DataFrame) -> DataFrame:
+    """rid, doc_id (0 where there is none), no_id and text: without NULLs, which would make long ids doubles in pandas."""
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(F.monotonically_increasing_id().alias("rid"), F.coalesce(doc_id, F.lit(0)).alias("doc_id"),
+                       doc_id.isNull().alias("no_id"), "text")
+
+
+def nullable(doc_id, no_id) -> pd.Series:
+    """Ids as they are to be returned."""
+    return pd.Series(np.asarray(doc_id, np.int64)).astype("Int64").mask(np.asarray(no_id, bool))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

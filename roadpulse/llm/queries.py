@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roadpulse.llm.alignment import op12_alignment
 from roadpulse.llm.forest import op4_jaccard
 from roadpulse.llm.language import op9_language
 from roadpulse.llm.lm import op3_lm
@@ -19,7 +20,7 @@ from roadpulse.llm.templates import op1_templates
 from roadpulse.llm.tokens import op11_tokens
 
 _QUERIES = (op1_templates, op2_packing, op3_lm, op4_jaccard, op5_suffixes, op6_pii, op7_paragraphs, op8_quality, op9_language,
-            op10_rules, op11_tokens)
+            op10_rules, op11_tokens, op12_alignment)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -23,9 +23,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from roadpulse.llm.common import MIX_A, bound_batches, read_table, text_chunks
+from roadpulse.llm.common import MIX_A, bound_batches, documents_of, nullable, read_table, text_chunks
 
 LIMIT = 512
 LONG = 128
@@ -219,11 +218,11 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
             for part, texts in text_chunks(b["text"]):
                 n = np.array(counter.count(texts), np.int64)
                 yield pd.DataFrame({
-                    "doc_id": b["doc_id"].iloc[part].to_numpy(), "n_bytes": [len(t.encode("utf-8", "surrogatepass")) for t in texts],
-                    "n_tokens": n, "over_limit": n > limit}).astype({"doc_id": "Int64"})
+                    "doc_id": nullable(b["doc_id"].iloc[part], b["no_id"].iloc[part]), "n_bytes": [len(t.encode("utf-8", "surrogatepass")) for t in texts],
+                    "n_tokens": n, "over_limit": n > limit})
 
     bound_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+    return documents_of(docs).drop("rid").mapInPandas(
         count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 

@@ -54,7 +54,7 @@ def test_the_cache_is_bounded(monkeypatch):
 
 @pytest.mark.parametrize("extra", [False, True])
 def test_rows(spark, tmp_path, extra):
-    rows = hard_rows()
+    rows = [*hard_rows(), (2**60 + 1, "an id that no double holds", None, None, None)]
     got = tokens.count_tokens(stored(spark, frame(spark, rows, extra), tmp_path), PATH)
     assert got.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
     want = sorted(((r[0], len((r[1] or "").encode()), by_library(r[1]), by_library(r[1]) > 512) for r in rows), key=str)
