@@ -12,6 +12,7 @@ from roadpulse.llm.language import op9_language
 from roadpulse.llm.lm import op3_lm
 from roadpulse.llm.packing import op2_packing
 from roadpulse.llm.paragraphs import op7_paragraphs
+from roadpulse.llm.periodic import op13_periodic
 from roadpulse.llm.pii import op6_pii
 from roadpulse.llm.quality import op8_quality
 from roadpulse.llm.rules import op10_rules, op10_sql
@@ -20,7 +21,7 @@ from roadpulse.llm.templates import op1_templates
 from roadpulse.llm.tokens import op11_tokens
 
 _QUERIES = (op1_templates, op2_packing, op3_lm, op4_jaccard, op5_suffixes, op6_pii, op7_paragraphs, op8_quality, op9_language,
-            op10_rules, op11_tokens, op12_alignment)
+            op10_rules, op11_tokens, op12_alignment, op13_periodic)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
