@@ -6,9 +6,10 @@ period, so any two periods of a run lie whole in some tile. Every ``step`` words
 it. From the boundary two Z-functions tell how far the words behind c equal those behind c + p, and those before c
 those before c + p, for all p of the octave: together they give the stretch of period p about c.
 
-A boundary can only tell of a run where ``gram`` words at it equal those one period on, on one of its sides. These are found by hashes when documents are
-read, and only tiles with such a boundary are exploded, as rows of their own (word numbers and marked boundaries).
-Equal words have equal hashes, so none is missed. Tiles are dealt out by document, octave and place,
+A boundary can only tell of a run where ``gram`` words at it equal those one period on, on one of its sides. These marks, of a boundary and a
+period, are found by hashes when documents are read, and only tiles with a mark are exploded, as rows of their own (word numbers and
+marks). Equal words have equal hashes, so none is missed. Boundaries whose marks lie in stretches found from others are passed over.
+Tiles are dealt out by document, octave and place,
 solved by themselves, and their fragments are stitched: first those of neighbouring tiles in a task, then, after a shuffle by
 document and period, all that share a period or more. Multiples of a period give the same stretch, which keeps its least period.
 
@@ -33,6 +34,7 @@ from roadpulse.llm.common import MIX_A, MIX_B, Scratch, documents_of, mixed, nul
 
 SHORTEST = 12
 TILE_ROWS = 2_000
+TASK_TILES = 20_000
 _READ = "rid long, doc_id long, no_id boolean, n long, text binary, digest string, octave int, tile long, ids binary, marks binary"
 _DONE = "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string"
 
@@ -79,8 +81,8 @@ def _double(grams: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
-def marked_boundaries(ids: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each octave: document and place of the boundaries from which a run may be told.
+def marked_boundaries(ids: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each octave: document, place and period of the boundaries from which a run may be told.
 
     ``ids`` are the word numbers of all documents, one after another, from ``offsets``.
     """
@@ -104,7 +106,7 @@ def marked_boundaries(ids: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[in
             found = [(doc[cut], base[cut], at[cut], at[cut] + p) for p in range(1, hi)]
         else:
             found = [(doc, base, (at // step - 1) * step, at)]
-        docs, places = [], []
+        docs, places, periods = [], [], []
         for d, b, c, i in found:
             inside = (c >= 0) & (i < lengths[d])
             left, right = np.where(inside, b + c, 0), np.where(inside, b + i, 0)
@@ -114,29 +116,28 @@ def marked_boundaries(ids: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[in
             hit &= inside
             docs.append(d[hit])
             places.append(c[hit])
-        if sum(map(len, docs)):
-            pairs = np.unique(np.stack([np.concatenate(docs), np.concatenate(places)]), axis=1)
-            yield lo, pairs[0], pairs[1]
+            periods.append((i - c)[hit])
+        if any(map(len, docs)):
+            yield lo, np.concatenate(docs), np.concatenate(places), np.concatenate(periods)
 
 
 def tiles_of(ids: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, bytes, bytes]]:
-    """Document, octave, place, word numbers and boundaries (counted in the tile) of each tile with a marked boundary."""
+    """Document, octave, place, word numbers and marks (boundary in the tile, period) of each tile with a mark."""
     raw = ids.astype("<u4")
-    for lo, doc, place in marked_boundaries(ids, offsets):
+    for lo, doc, place, period in marked_boundaries(ids, offsets):
         size = octave(lo)[3]
         hop = size // 2
         tile = place // hop
-        doc, tile, place = np.r_[doc, doc], np.r_[tile, tile - 1], np.r_[place, place]
-        fits = (tile >= 0) & (place + lo < tile * hop + size)
-        doc, tile, place = doc[fits], tile[fits], place[fits]
-        order = np.lexsort((place, tile, doc))
-        doc, tile, place = doc[order], tile[order], place[order]
-        starts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (tile[1:] != tile[:-1])]) if len(doc) else []
+        doc, tile, place, period = np.r_[doc, doc], np.r_[tile, tile - 1], np.r_[place, place], np.r_[period, period]
+        order = np.flatnonzero((tile >= 0) & (place + period < tile * hop + size))
+        order = order[np.lexsort((place[order], tile[order], doc[order]))]
+        doc, tile = doc[order], tile[order]
+        marks = np.stack([place[order] - tile * hop, period[order]], axis=1).astype("<u4")
+        starts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (tile[1:] != tile[:-1])][:len(doc)]).tolist()
         for i, j in zip(starts, [*starts[1:], len(doc)]):
             d, t = int(doc[i]), int(tile[i]) * hop
             first = int(offsets[d]) + t
-            own = raw[first:min(first + size, int(offsets[d + 1]))]
-            yield d, lo, t, own.tobytes(), (place[i:j] - t).astype("<u4").tobytes()
+            yield d, lo, t, raw[first:min(first + size, int(offsets[d + 1]))].tobytes(), marks[i:j].tobytes()
 
 
 def _common(s: np.ndarray, i: int, k: int) -> int:
@@ -190,6 +191,21 @@ def stretches(words: np.ndarray, c: int, lo: int) -> list[tuple[int, int, int]]:
     return list(zip(period[long].tolist(), (c - behind[long]).tolist(), (c + period + ahead)[long].tolist()))
 
 
+def solve_tile(words: np.ndarray, marks: np.ndarray, lo: int) -> Iterator[tuple[int, int, int]]:
+    """(period, start, end) of the stretches in a tile, from its (boundary, period) marks by boundary."""
+    found: dict[int, list[tuple[int, int]]] = {}
+    done = -1
+    for c, p in marks.tolist():
+        if c == done or any(s <= c and c + p <= e for s, e in found.get(p, ())):
+            continue
+        done = c
+        for q, s, e in stretches(words, c, lo):
+            own = found.setdefault(q, [])
+            if (s, e) not in own:
+                own.append((s, e))
+                yield q, s, e
+
+
 def stitch(rid: np.ndarray, period: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
     """Joins fragments of one document and period that share a period of words or more."""
     order = np.lexsort((end, start, period, rid))
@@ -205,12 +221,11 @@ def stitch(rid: np.ndarray, period: np.ndarray, start: np.ndarray, end: np.ndarr
 
 def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        found = set()
+        found: list[tuple[int, int, int, int]] = []
         for rid, lo, tile, ids, marks in zip(b["rid"], b["octave"], b["tile"], b["ids"], b["marks"]):
             words = np.frombuffer(ids, "<u4").astype(np.int64)
-            for c in np.frombuffer(marks, "<u4").tolist():
-                found.update((rid, p, tile + s, tile + e) for p, s, e in stretches(words, c, lo))
-        yield pd.DataFrame(dict(zip(("rid", "period", "start", "end"), stitch(*np.array(sorted(found), np.int64).reshape(-1, 4).T))))
+            found += [(rid, p, tile + s, tile + e) for p, s, e in solve_tile(words, np.frombuffer(marks, "<u4").reshape(-1, 2), lo)]
+        yield pd.DataFrame(dict(zip(("rid", "period", "start", "end"), stitch(*np.array(found, np.int64).reshape(-1, 4).T))))
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -281,7 +296,9 @@ def _finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def runs_of(tiles: DataFrame) -> DataFrame:
     """rid, start, length and smallest period of each run, from exploded tiles (rid, octave, tile, ids, marks)."""
-    fragments = tiles.repartitionByRange("rid", "octave", "tile").sortWithinPartitions("rid", "octave", "tile").mapInPandas(
+    # Tiles are few in bytes but costly to solve, so tasks are made by their number.
+    tasks = max(tiles.sparkSession.sparkContext.defaultParallelism, -(-tiles.count() // TASK_TILES))
+    fragments = tiles.repartitionByRange(tasks, "rid", "octave", "tile").sortWithinPartitions("rid", "octave", "tile").mapInPandas(
         _solve, "rid long, period long, start long, end long")
     order = Window.partitionBy("rid", "period").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))

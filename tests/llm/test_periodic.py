@@ -50,10 +50,10 @@ def solved(documents):
     """Runs of each document through tiles, without Spark's shuffles."""
     offsets = np.cumsum([0, *map(len, documents)])
     ids = np.array([i for d in documents for i in d], np.int64)
-    found = {(d, p, t + s, t + e) for d, lo, t, own, marks in periodic.tiles_of(ids, offsets)
-             for c in np.frombuffer(marks, "<u4").tolist() for p, s, e in periodic.stretches(np.frombuffer(own, "<u4").astype(np.int64), c, lo)}
+    found = [(d, p, t + s, t + e) for d, lo, t, own, marks in periodic.tiles_of(ids, offsets) for p, s, e in
+             periodic.solve_tile(np.frombuffer(own, "<u4").astype(np.int64), np.frombuffer(marks, "<u4").reshape(-1, 2), lo)]
     out = [{} for _ in documents]
-    for d, p, s, e in zip(*periodic.stitch(*np.array(sorted(found), np.int64).reshape(-1, 4).T)):
+    for d, p, s, e in zip(*periodic.stitch(*np.array(found, np.int64).reshape(-1, 4).T)):
         out[d][s, e - s] = min(p, out[d].get((s, e - s), p))
     return [sorted((s, n, q) for (s, n), q in o.items()) for o in out]
 
