@@ -1,9 +1,12 @@
-"""Spatial join of lines on a grid, with crowded cells split into blocks.
+"""Spatial join of lines on a grid whose crowded cells are quartered.
 
-Lines are taken apart into straight pieces. Each piece goes to the grid cells it touches,
-pieces meet by equality of the cell, and a box test in the join condition keeps pairs of
-mere cell neighbours from leaving the join. Every user of the join then groups by the two
-line ids, which also removes repeats from shared cells.
+Lines are taken apart into straight pieces. Each piece goes to the grid cells it touches and pieces meet by equality of the cell. Where a
+cell would bring too many pieces together it is split into four, level by level, as long as that saves more pairs than it makes
+rows; so a dense place costs smaller cells instead of more pairs. What stays crowded at the last level,
+and where smaller cells do not help, as with many lines on top of each other, is dealt to blocks.
+
+Two pieces that touch several cells together meet in each, but leave the join in one only: the cell of the point
+of the right piece that is nearest to the left one. Every pair of pieces therefore comes once.
 """
 
 from __future__ import annotations
@@ -12,8 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geometry as geo
+from roadpulse.session import cut_lineage
 
 CELL_DEGREES = 0.002
+# A cell with more pairs of pieces than this may be split, and its quarters with a sixteenth of it, down to the least size in
+# degrees (about 2 m) or the reach of the join; a split has to save this many pairs for each row it makes.
+CELL_PAIRS = 4096
+ROW_PAIRS = 5
+LEAST_CELL = 2e-5
 # Rows of one side that meet those of the other in one task, in one cell: some seconds of box tests at most.
 CELL_ROWS = 10_000
 # Margin in degrees against rounding at cell borders, about 0.1 mm.
@@ -35,57 +44,114 @@ def _with_box(pieces: DataFrame, prefix: str, grow: float) -> DataFrame:
     return pieces.selectExpr(*[f"{c} as {prefix}{c}" for c in pieces.columns]).selectExpr("*", *box)
 
 
-def _touched(prefix: str, grow: float, size: float) -> str:
+def _touched(prefix: str, grow: float, size: float, parent: bool = False) -> str:
     """Cells of one size that a piece, grown by ``grow``, touches: ``array<struct<cx,cy>>``.
 
     Column by column, rows follow from the stretch of the piece over that column, so a long
-    slanted piece costs its length in cells and not its box.
+    slanted piece costs its length in cells and not its box. With ``parent`` only the quarters of the row's own cell count.
     """
     x1, y1, xmin, xmax, ymin, ymax = (prefix + c for c in ("x1", "y1", "xmin", "xmax", "ymin", "ymax"))
     slope = f"(({prefix}y2 - {y1}) / nullif({prefix}x2 - {x1}, 0))"
 
-    def cell_range(low: str, high: str) -> str:
+    def cell_range(low: str, high: str, own: str) -> str:
         lo, hi = f"floor(({low} - {MARGIN}D) / {size!r}D)", f"floor(({high} + {MARGIN}D) / {size!r}D)"
+        if parent:
+            lo, hi = f"greatest({lo}, 2 * {own})", f"least({hi}, 2 * {own} + 1)"
         return f"if({lo} <= {hi}, sequence({lo}, {hi}), array())"
 
     def y_at(x: str) -> str:
         return f"{y1} + ({x} - {x1}) * {slope}"
 
-    left = f"greatest({xmin}, cx * {size!r}D - {grow + MARGIN!r}D)"
-    right = f"least({xmax}, (cx + 1) * {size!r}D + {grow + MARGIN!r}D)"
+    left = f"greatest({xmin}, qx * {size!r}D - {grow + MARGIN!r}D)"
+    right = f"least({xmax}, (qx + 1) * {size!r}D + {grow + MARGIN!r}D)"
     # Past the ends of the piece the straight rule overshoots; the box bounds it again.
     low = f"coalesce(greatest(least({y_at(left)}, {y_at(right)}) - {grow!r}D, {ymin}), {ymin})"
     high = f"coalesce(least(greatest({y_at(left)}, {y_at(right)}) + {grow!r}D, {ymax}), {ymax})"
-    rows = cell_range("b.low", "b.high")
-    return (f"flatten(transform({cell_range(xmin, xmax)}, cx -> flatten(transform("
+    rows = cell_range("b.low", "b.high", "cy")
+    return (f"flatten(transform({cell_range(xmin, xmax, 'cx')}, qx -> flatten(transform("
             f"array(named_struct('low', {low}, 'high', {high})), b -> transform({rows}, "
-            f"cy -> named_struct('cx', cx, 'cy', cy))))))")
-
-
-def _in_cells(boxed: DataFrame, prefix: str, grow: float, cell: float) -> DataFrame:
-    return boxed.selectExpr("*", f"inline({_touched(prefix, grow, cell)})")
-
-
-def crowded_cells(left: DataFrame, right: DataFrame, cell_rows: int) -> DataFrame:
-    """Cells with more than ``cell_rows`` rows of either side, and the number of salts of each side there.
-
-    A distributed aggregate that Spark joins back as it sees fit: no list, no limit. Cells that only one side has are left out.
+            f"qy -> named_struct('cx', qx, 'cy', qy))))))")
+
+
+class _Side:
+    """One side's pieces with their boxes, and the cells they touch at each level."""
+
+    def __init__(self, pieces: DataFrame, prefix: str, ids: list[str], grow: float, cell: float):
+        self.boxed, self.prefix, self.ids, self.grow, self.cell = _with_box(pieces, prefix, grow), prefix, ids, grow, cell
+        self.columns = self.boxed.columns
+
+    def cells(self) -> DataFrame:
+        return self.boxed.selectExpr("*", "0 as level", f"inline({_touched(self.prefix, self.grow, self.cell)})")
+
+    def quarters(self, rows: DataFrame, level: int) -> DataFrame:
+        """Rows at ``level`` moved to the quarters they touch."""
+        inner = _touched(self.prefix, self.grow, self.cell / 2 ** (level + 1), True)
+        return rows.selectExpr(*self.columns, "level + 1 as level", "cx as px", "cy as py", f"inline({inner})")
+
+    def leaves(self, splits: list[DataFrame]) -> DataFrame:
+        """Rows in the cells that are left when those of ``splits``, one table a level, are quartered."""
+        rows, done = self.cells(), []
+        for level, split in enumerate(splits):
+            marked = rows.join(split.selectExpr("cx", "cy", "true as split"), ["cx", "cy"], "left")
+            done.append(marked.filter("split is null").select(rows.columns))
+            rows = self.quarters(marked.filter("split"), level).drop("px", "py")
+        for part in done:
+            rows = rows.unionByName(part)
+        return rows
+
+    def salted(self, rows: DataFrame, crowded: DataFrame | None) -> DataFrame:
+        """Rows of crowded cells with their own side's salt, once for each salt of the other side; all others as they are."""
+        if crowded is None:
+            return rows
+        own, other = ("l_salts", "r_salts") if self.prefix == "l_" else ("r_salts", "l_salts")
+        hashed = ", ".join(self.prefix + c for c in [*self.ids, "part"])
+        mine = f"pmod(xxhash64({hashed}), coalesce({own}, 1))"
+        sl, sr = (mine, "s") if self.prefix == "l_" else ("s", mine)
+        spread = rows.join(crowded, ["level", "cx", "cy"], "left").selectExpr("*", f"explode(sequence(0L, coalesce({other}, 1) - 1)) as s")
+        return spread.selectExpr(*rows.columns, f"{sl} as sl", f"{sr} as sr")
+
+
+def _sizes(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """How many rows of each side a cell has; cells that only one side has are left out."""
+    tagged = left.selectExpr(*keys, "1 as l", "0 as r").unionAll(right.selectExpr(*keys, "0 as l", "1 as r"))
+    return tagged.groupBy(*keys).agg(F.sum("l").alias("l_rows"), F.sum("r").alias("r_rows")).filter("l_rows > 0 and r_rows > 0")
+
+
+def meeting_cells(left: _Side, right: _Side, cell_rows: int = CELL_ROWS, cell_pairs: int = CELL_PAIRS) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides' rows in the cells where they meet, and the columns by which they do.
+
+    The cells to split are found by distributed counts, level by level; only crowded cells are counted again, and the tables
+    of cells are stored, so later steps see their size. A level with nothing to split ends the search.
     """
-    tagged = left.selectExpr("cx", "cy", "1 as l", "0 as r").unionAll(right.selectExpr("cx", "cy", "0 as l", "1 as r"))
-    sizes = tagged.groupBy("cx", "cy").agg(F.sum("l").alias("l_rows"), F.sum("r").alias("r_rows"))
-    return sizes.filter(f"l_rows > 0 and r_rows > 0 and greatest(l_rows, r_rows) > {cell_rows}").selectExpr(
-        "cx", "cy", f"ceil(l_rows / {cell_rows}) as l_salts", f"ceil(r_rows / {cell_rows}) as r_salts")
-
-
-def _salted(cells: DataFrame, prefix: str, ids: list[str], crowded: DataFrame) -> DataFrame:
-    """Rows of crowded cells with their own side's salt, once for each salt of the other side; all others as they are."""
-    own, other = ("l_salts", "r_salts") if prefix == "l_" else ("r_salts", "l_salts")
-    hashed = ", ".join(prefix + c for c in [*ids, "part"])
-    mine = f"pmod(xxhash64({hashed}), coalesce({own}, 1))"
-    sl, sr = (mine, "s") if prefix == "l_" else ("s", mine)
-    marked = cells.join(crowded, ["cx", "cy"], "left")
-    spread = marked.selectExpr("*", f"explode(sequence(0L, coalesce({other}, 1) - 1)) as s")
-    return spread.selectExpr(*cells.columns, f"{sl} as sl", f"{sr} as sr")
+    keys = ["level", "cx", "cy"]
+    heavy = "l_rows * r_rows > {} or greatest(l_rows, r_rows) > " + str(cell_rows)
+    rows, splits, kept = [s.cells() for s in (left, right)], [], []
+    crowded = cut_lineage(_sizes(*rows, keys).filter(heavy.format(cell_pairs)))
+    while not crowded.isEmpty():
+        level = len(splits)
+        if left.cell / 2 ** (level + 1) < max(LEAST_CELL, left.grow):
+            kept.append(crowded)
+            break
+        inner = [s.quarters(r.join(crowded.select("cx", "cy"), ["cx", "cy"], "left_semi"), level) for s, r in zip((left, right), rows)]
+        below = cut_lineage(_sizes(*inner, [*keys, "px", "py"]))
+        cost = below.groupBy(F.col("px").alias("cx"), F.col("py").alias("cy")).agg(
+            F.sum(F.expr(f"l_rows * r_rows + {ROW_PAIRS} * (l_rows + r_rows)")).alias("cost"))
+        judged = crowded.join(cost, ["cx", "cy"], "left").withColumn("split", F.expr("coalesce(cost, 0) <= l_rows * r_rows"))
+        kept.append(judged.filter("not split").select(crowded.columns))
+        splits.append(cut_lineage(judged.filter("split").select("cx", "cy")))
+        rows = [s.quarters(r.join(splits[-1], ["cx", "cy"], "left_semi"), level).drop("px", "py") for s, r in zip((left, right), rows)]
+        crowded = cut_lineage(below.join(splits[-1].selectExpr("cx as px", "cy as py"), ["px", "py"], "left_semi").select(
+            *keys, "l_rows", "r_rows").filter(heavy.format(cell_pairs // 16)))
+    salts = None
+    if kept:
+        whole = kept[0]
+        for more in kept[1:]:
+            whole = whole.unionByName(more)
+        salts = cut_lineage(whole.filter(f"greatest(l_rows, r_rows) > {cell_rows}").selectExpr(
+            *keys, f"ceil(l_rows / {cell_rows}) as l_salts", f"ceil(r_rows / {cell_rows}) as r_salts"))
+        salts = None if salts.isEmpty() else salts
+    sides = [s.salted(s.leaves(splits), salts) for s in (left, right)]
+    return *sides, [*keys, "sl", "sr"] if salts is not None else keys
 
 
 def _in_reach(one: str, other: str, grow: float) -> str:
@@ -98,35 +164,66 @@ def _in_reach(one: str, other: str, grow: float) -> str:
 
 def near_pieces(left: DataFrame, right: DataFrame, left_ids: list[str], right_ids: list[str],
                 grow: float = 0.0, cell: float = CELL_DEGREES, cell_rows: int = CELL_ROWS,
-                extra: str | None = None) -> DataFrame:
-    """Pairs of pieces that may come within ``grow`` of each other; columns ``l_*`` and ``r_*``.
+                cell_pairs: int = CELL_PAIRS, extra: str | None = None) -> DataFrame:
+    """Pairs of pieces that may come within ``grow`` of each other; columns ``l_*``, ``r_*``, and how they lie (``s_*``).
 
     The boxes meet, the left one grown, and neither piece lies wholly to one side of the other.
 
-    A pair may come once per shared cell. ``extra`` is one more join condition. The rows of a cell are
-    dealt to blocks of about ``cell_rows`` of each side, whatever their number, and each two blocks meet in one
-    task. Both sides are read twice (sizes and join), so inputs that are costly to compute should be stored or checkpointed first.
+    A pair comes once, from the cell of its nearest point. ``extra`` is one more join condition. Both sides are read several
+    times (sizes and join), so inputs that are costly to compute should be stored or checkpointed first.
     """
-    boxed_l, boxed_r = _with_box(left, "l_", grow), _with_box(right, "r_", 0.0)
-    cells_l, cells_r = _in_cells(boxed_l, "l_", grow, cell), _in_cells(boxed_r, "r_", 0.0, cell)
-    crowded = crowded_cells(cells_l, cells_r, cell_rows)
-    cells_l, cells_r = _salted(cells_l, "l_", left_ids, crowded), _salted(cells_r, "r_", right_ids, crowded)
-    on = ["cx", "cy", "sl", "sr"]
+    sides = _Side(left, "l_", left_ids, grow, cell), _Side(right, "r_", right_ids, 0.0, cell)
+    cells_l, cells_r, on = meeting_cells(*sides, cell_rows, cell_pairs)
     same = " and ".join(f"a.{c} = b.{c}" for c in on)
     meet = "l_xmin <= r_xmax and l_xmax >= r_xmin and l_ymin <= r_ymax and l_ymax >= r_ymin"
     reach = [_in_reach("l_", "r_", grow), _in_reach("r_", "l_", grow)]
-    condition = " and ".join([same, meet, *reach] + ([extra] if extra else []))
-    kept = [*["a." + c for c in boxed_l.columns], *["b." + c for c in boxed_r.columns]]
-    return cells_l.alias("a").join(cells_r.alias("b"), F.expr(condition)).select(*kept)
+    condition = " and ".join([same, meet, *reach, *([extra] if extra else [])])
+    kept = [*sides[0].columns, *sides[1].columns]
+    pairs = cells_l.alias("a").join(cells_r.alias("b"), F.expr(condition)).select(*kept, "a.level", "a.cx", "a.cy")
+    return _from_nearest_cell(pairs, cell).select(*kept, *_SIDES)
+
+
+_LEFT, _RIGHT = ("l_x1", "l_y1", "l_x2", "l_y2"), ("r_x1", "r_y1", "r_x2", "r_y2")
+# Orientation of each piece's ends against the other piece.
+_SIDES = {"s_r1": geo.side(*_LEFT, *_RIGHT[:2]), "s_r2": geo.side(*_LEFT, *_RIGHT[2:]),
+          "s_l1": geo.side(*_RIGHT, *_LEFT[:2]), "s_l2": geo.side(*_RIGHT, *_LEFT[2:])}
+
+
+def _bound(df: DataFrame, **columns: str) -> DataFrame:
+    """Columns that are computed once: a one-row generator keeps later filters from being moved below with copies of them."""
+    made = ", ".join(f"'{name}', {expression}" for name, expression in columns.items())
+    return df.selectExpr("*", f"inline(array(named_struct({made})))")
+
+
+def _from_nearest_cell(pairs: DataFrame, cell: float) -> DataFrame:
+    """Of a pair's rows the one of the cell that holds the point of the right piece nearest to the left one.
+
+    That point is where they cross, or belongs to one of the four ends: an end of the right piece, or the place on it nearest to an end
+    of the left piece. It lies on the right piece and in reach of the left one, so both have a row in its cell.
+    """
+    def share(p: str, a: str, b: str) -> str:
+        """Where on a to b the point nearest to p lies, 0 to 1."""
+        dx, dy = f"({b.format('x')} - {a.format('x')})", f"({b.format('y')} - {a.format('y')})"
+        along = f"(({p.format('x')} - {a.format('x')}) * {dx} + ({p.format('y')} - {a.format('y')}) * {dy})"
+        return f"coalesce(greatest(0D, least(1D, {along} / nullif({dx} * {dx} + {dy} * {dy}, 0))), 0D)"
+
+    def gap(p: str, a: str, b: str, at: str) -> str:
+        x, y = (f"({a.format(c)} + {at} * ({b.format(c)} - {a.format(c)}) - {p.format(c)})" for c in "xy")
+        return f"{x} * {x} + {y} * {y}"
+
+    l1, l2, r1, r2 = "l_{}1", "l_{}2", "r_{}1", "r_{}2"
+    found = _bound(pairs, **_SIDES, n_r1=share(r1, l1, l2), n_r2=share(r2, l1, l2), n_l1=share(l1, r1, r2), n_l2=share(l2, r1, r2))
+    found = _bound(found, g_r1=gap(r1, l1, l2, "n_r1"), g_r2=gap(r2, l1, l2, "n_r2"), g_l1=gap(l1, r1, r2, "n_l1"), g_l2=gap(l2, r1, r2, "n_l2"))
+    found = _bound(found, at="""case when s_r1 * s_r2 <= 0 and s_l1 * s_l2 <= 0 and s_r1 <> s_r2 then s_r1 / (s_r1 - s_r2)
+        when g_r1 <= least(g_r2, g_l1, g_l2) then 0D when g_r2 <= least(g_l1, g_l2) then 1D when g_l1 <= g_l2 then n_l1 else n_l2 end""")
+    here = [f"floor((r_{c}1 + at * (r_{c}2 - r_{c}1)) / ({cell!r}D / shiftleft(1, level))) = c{c}" for c in "xy"]
+    return found.filter(" and ".join(here))
 
 
 def with_sides(pairs: DataFrame) -> DataFrame:
-    """Orientation of each piece's ends against the other piece, and whether the pieces meet."""
-    left, right = ("l_x1", "l_y1", "l_x2", "l_y2"), ("r_x1", "r_y1", "r_x2", "r_y2")
-    sided = pairs.selectExpr(
-        "*",
-        f"{geo.side(*left, *right[:2])} as s_r1", f"{geo.side(*left, *right[2:])} as s_r2",
-        f"{geo.side(*right, *left[:2])} as s_l1", f"{geo.side(*right, *left[2:])} as s_l2")
+    """Adds the orientation of each piece's ends against the other piece, unless it is there, and whether the pieces meet."""
+    have = {c: e for c, e in _SIDES.items() if c not in pairs.columns}
+    sided = pairs.selectExpr("*", *[f"{e} as {c}" for c, e in have.items()])
     boxes = " and ".join(f"least(l_{c}1, l_{c}2) <= greatest(r_{c}1, r_{c}2) and greatest(l_{c}1, l_{c}2) >= least(r_{c}1, r_{c}2)"
                          for c in "xy")
     return sided.selectExpr("*", f"{boxes} and s_r1 * s_r2 <= 0 and s_l1 * s_l2 <= 0 as meets")
@@ -134,7 +231,7 @@ def with_sides(pairs: DataFrame) -> DataFrame:
 
 def intersecting_lines(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                        left_line: str = "geometry", right_line: str = "geometry", **grid) -> DataFrame:
-    """Pairs of line ids whose lines share a point: columns ``left_id``, ``right_id``."""
+    """Pairs of line ids whose lines share a point: columns ``left_id``, ``right_id``. Bent lines can meet by several pieces."""
     near = near_pieces(line_pieces(left, [left_id], left_line), line_pieces(right, [right_id], right_line),
                        [left_id], [right_id], **grid)
     met = with_sides(near).filter("meets")

@@ -60,10 +60,11 @@ def tables(spark):
     return (spark.createDataFrame(LEFT, f"i bigint, line {LINE}").cache(), spark.createDataFrame(RIGHT, f"j bigint, geometry {LINE}").cache())
 
 
-@pytest.mark.parametrize("cell_rows", [10_000, 10, 1])
-def test_grid_join_equals_brute_force(tables, cell_rows):
+@pytest.mark.parametrize("cell_rows,cell_pairs", [(10_000, 4096), (10, 4096), (1, 4096), (10_000, 1), (3, 1)])
+def test_grid_join_equals_brute_force(tables, cell_rows, cell_pairs):
     wanted = {(i, j) for i, p in LEFT for j, q in RIGHT if cross(p, q)}
-    got = [tuple(r) for r in spatial.intersecting_lines(*tables, "i", "j", left_line="line", cell_rows=cell_rows).collect()]
+    got = [tuple(r) for r in spatial.intersecting_lines(
+        *tables, "i", "j", left_line="line", cell_rows=cell_rows, cell_pairs=cell_pairs).collect()]
     assert len(got) == len(set(got)) and set(got) == wanted
 
 
@@ -73,20 +74,73 @@ def test_grid_size_does_not_matter(tables, cell):
     assert {tuple(r) for r in spatial.intersecting_lines(*tables, "i", "j", left_line="line", cell=cell).collect()} == wanted
 
 
+def cells_of(left, right, grow=0.0, **sizes):
+    sides = [spatial._Side(spatial.line_pieces(df, ["i"], "line"), p, ["i"], g, 0.002) for df, p, g in ((left, "l_", grow), (right, "r_", 0.0))]
+    return spatial.meeting_cells(*sides, **sizes)
+
+
 def test_one_place_spreads_over_blocks(spark):
-    """All lines in one cell: blocks stay small whatever their number, and each two rows meet in one block."""
-    place = [(i, [(105.811 + i * 1e-7, 21.0101), (105.8111 + i * 1e-7, 21.0103)]) for i in range(300)]
+    """All lines in one cell, and none to be told from another by place: blocks stay small, and each two rows meet in one block."""
+    place = [(i, [(105.811 + i * 1e-9, 21.0101), (105.8111 + i * 1e-9, 21.0103)]) for i in range(300)]
     lines = spark.createDataFrame(place, f"i bigint, line {LINE}")
-    cells = [spatial._in_cells(spatial._with_box(spatial.line_pieces(lines, ["i"], "line"), p, 0.0), p, 0.0, 0.002) for p in ("l_", "r_")]
-    crowded = spatial.crowded_cells(*cells, 20)
-    left, right = (spatial._salted(c, p, ["i"], crowded) for c, p in zip(cells, ("l_", "r_")))
-    keys = ["cx", "cy", "sl", "sr"]
+    left, right, keys = cells_of(lines, lines, cell_rows=20)
+    assert {"sl", "sr"} < set(keys)
     largest = max(r["count"] for df in (left, right) for r in df.groupBy(*keys).count().collect())
     assert largest < 60 and left.select(*keys).distinct().count() >= 225
     pairs = left.join(right, keys).groupBy("l_i", "r_i").count()
     assert pairs.count() == 300 * 300 and pairs.agg(F.max("count")).first()[0] == 1
 
 
+@pytest.mark.parametrize("grow", [0.0, RADIUS])
+def test_dense_cell_costs_few_pairs(spark, grow):
+    """Thousands of short lines in one cell of 0.002 degrees: the pairs that meet in smaller cells are few times the near ones."""
+    rng = random.Random(8)
+
+    def short(count):
+        rows = []
+        for i in range(count):
+            x, y, turn = 105.8101 + rng.random() * 0.0018, 21.0101 + rng.random() * 0.0018, rng.random() * 6.3
+            rows.append((i, [(x, y), (x + 0.00006 * math.cos(turn), y + 0.00006 * math.sin(turn))]))
+        return spark.createDataFrame(rows, f"i bigint, line {LINE}").repartition(4)
+
+    left, right = short(2_500), short(2_500)
+    a, b, keys = cells_of(left, right, grow)
+    met = a.join(b, keys).count()
+    near = spatial.near_pieces(*(spatial.line_pieces(df, ["i"], "line") for df in (left, right)), ["i"], ["i"], grow=grow)
+    clipped = spatial.capsule_interval(spatial.with_sides(near), grow or 1e-12)
+    true = clipped.filter("lo is not null" if grow else "meets").count()
+    assert true > 1_000 and met <= 20 * true and met < 2_500 * 2_500 / 8
+
+
+def test_no_pair_of_pieces_comes_twice(spark, tables):
+    left, right = (spatial.line_pieces(df, [i], c) for df, i, c in zip(tables, "ij", ("line", "geometry")))
+    for sizes in ({}, {"cell_pairs": 2}, {"cell_pairs": 2, "cell_rows": 3}, {"cell": 0.0005}):
+        near = spatial.near_pieces(left, right, ["i"], ["j"], grow=RADIUS, **sizes)
+        assert near.groupBy("l_i", "l_part", "r_j", "r_part").count().filter("count > 1").isEmpty()
+
+
+def test_stacked_lines_are_not_split(spark):
+    """Lines on top of each other over many cells: smaller cells would only repeat the pairs."""
+    rows = [(i, [(105.8101, 21.011 + i * 1e-8), (105.8119, 21.011 + i * 1e-8)]) for i in range(100)]
+    lines = spark.createDataFrame(rows, f"i bigint, line {LINE}")
+    left, right, keys = cells_of(lines, lines)
+    assert left.join(right, keys).count() == 100 * 100
+
+
+def test_touching_and_parallel_pieces_meet(spark):
+    """Shared ends, ends on the inside, common stretches, points, and borders of cells."""
+    base = (105.812, 21.012)  # a corner of cells
+    ends = [(dx * 0.001, dy * 0.001) for dx in (-2, -1, 0, 1, 2) for dy in (-2, 0, 1)]
+    lines = [(n, [(base[0] + a[0], base[1] + a[1]), (base[0] + b[0], base[1] + b[1])])
+             for n, (a, b) in enumerate((a, b) for a in ends for b in ends if (a[0] * 7 + b[1] * 11 + a[1]) * 1e3 % 3 < 1.6)]
+    df = spark.createDataFrame(lines, f"i bigint, line {LINE}")
+    met = {(r[0], r[1]) for r in spatial.intersecting_lines(
+        df, df.select(F.col("i").alias("j"), F.col("line").alias("geometry")), "i", "j", left_line="line", cell_pairs=50).collect()}
+    whole = df.alias("a").join(df.alias("b"), F.lit(True)).selectExpr(
+        "a.i", "b.i as j", *[f"{t}.line[{k}].{c} as {p}_{c}{k + 1}" for t, p in (("a", "l"), ("b", "r")) for k in (0, 1) for c in "xy"])
+    assert met == {(r.i, r.j) for r in spatial.with_sides(whole).filter("meets").collect()} and len(lines) > 60
+
+
 def test_closed_roads_match(spark):
     """A loop has azimuth 0, so the angle rule can pass."""
     loop = [(105.81, 21.01), (105.8102, 21.01), (105.8102, 21.0102), (105.81, 21.0102), (105.81, 21.01)]
@@ -97,11 +151,11 @@ def test_closed_roads_match(spark):
     assert [r.segment_id for r in kept] == ["s"] and kept[0].overlap_length > 20
 
 
-@pytest.mark.parametrize("cell_rows", [10_000, 5])
-def test_overlap_length_against_sampling(spark, tables, cell_rows):
+@pytest.mark.parametrize("cell_rows,cell_pairs", [(10_000, 4096), (5, 1)])
+def test_overlap_length_against_sampling(spark, tables, cell_rows, cell_pairs):
     segments = tables[1].selectExpr("cast(j as string) as segment_id", "0D as azimuth", "geometry")
     got = {(r.i, int(r.segment_id)): r.overlap_length for r in matching.match_metrics(
-        tables[0], segments, "i", RADIUS * 4, candidate="buffer", cell_rows=cell_rows).collect()}
+        tables[0], segments, "i", RADIUS * 4, candidate="buffer", cell_rows=cell_rows, cell_pairs=cell_pairs).collect()}
     rng, steps, checked = random.Random(3), 400, 0
     lines, segs = dict(LEFT), dict(RIGHT)
     for key in rng.sample(sorted(got), 60):
