@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from roadpulse.operators import clean, matching
 from roadpulse.plans import jobs
 from roadpulse.session import build_session
+from roadpulse.sources.snapshots import broken_documents
 from roadpulse.sources.tables import Jdbc
 
 
@@ -70,7 +71,8 @@ def main(given: Sequence[str] | None = None) -> dict | None:
     spark = build_session(f"roadpulse-{args.job}", args.master)
     report = None
     if args.job == "clean":
-        jobs.clean_traffic(spark, args.raw, args.silver, args.min_confidence)
+        stored = jobs.clean_traffic(spark, args.raw, args.silver, args.min_confidence)
+        report = {"stored_rows": stored.count(), "broken_documents": broken_documents(spark, args.raw).count()}
     elif args.job == "roads":
         report = jobs.process_roads(spark, args.edges, table(args.network), table(args.segments), args.chunk_metres, args.id_scope)
     elif args.job == "traffic":

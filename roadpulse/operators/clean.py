@@ -12,8 +12,8 @@ MIN_CONFIDENCE = 0.7
 
 
 def flatten_snapshots(snapshots: DataFrame) -> DataFrame:
-    """One row per measured location; snapshots without results give no rows. A delivery key stays with its rows."""
-    key = [c for c in ("delivery",) if c in snapshots.columns]
+    """One row per measured location; snapshots without results give no rows. Key and arrival of a delivery stay with its rows."""
+    key = [c for c in ("delivery", "arrived") if c in snapshots.columns]
     item = snapshots.select("sourceUpdated", *key, F.explode("results").alias("item"))
     place, flow = F.col("item.location"), F.col("item.currentFlow")
     return item.select(

@@ -5,15 +5,15 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.functions.text import snapshot_key
 from roadpulse.model import ROAD_NETWORK, ROAD_SEGMENTS, TRAFFIC_EVENTS, conform
 from roadpulse.operators import clean, labels, matching, roads, summary
 from roadpulse.session import cut_lineage
-from roadpulse.sources import tables
-from roadpulse.sources.snapshots import distinct_deliveries, read_snapshots
+from roadpulse.sources import deliveries, tables
+from roadpulse.sources.snapshots import distinct_deliveries, newest_rows, read_snapshots, with_location
 from roadpulse.sources.tables import Jdbc
 
 
@@ -31,25 +31,25 @@ def _by_snapshot(df: DataFrame) -> DataFrame:
 
 def clean_traffic(spark: SparkSession, raw_path: str, silver_path: str,
                   min_confidence: float = clean.MIN_CONFIDENCE) -> DataFrame:
-    """Raw snapshots to stored clean flow, one partition for each delivery; one that comes again is replaced.
+    """Raw snapshots to stored clean flow: of each time and place the rows of the newest delivery.
 
-    A delivery is a payload by content, so areas of one time, and payloads without a time, stay beside each other.
-    One whose rows are now all filtered out loses its old partition.
+    A delivery is a payload by content. Areas of one time stay beside each other, as their places differ; a payload that comes again
+    changes nothing; one that restates a place replaces what was known of it, also where its rows are now filtered out.
     """
-    given = cut_lineage(distinct_deliveries(read_snapshots(spark, raw_path)))
-    keys = ["day", "snapshot", "delivery"]
-    flow = _by_snapshot(clean.clean_flow(given, min_confidence))
-    # As many rows as payloads in the run, and of those only the ones without rows are named here.
-    named = _by_snapshot(given.select(F.col("sourceUpdated").cast("timestamp").alias("timestamp"), "delivery")).select(*keys)
-    gone = named.join(flow.select(*keys).distinct(), [named[k].eqNullSafe(flow[k]) for k in keys], "left_anti")
-    for row in gone.toLocalIterator():
-        tables.drop_partition(spark, silver_path, row.asDict())
-    return tables.write_parquet(flow.repartition(*[F.col(k) for k in keys], _small_salt()), silver_path, keys)
+    flat = flatten_deliveries(read_snapshots(spark, raw_path, arrival=True))
+    return store_flow(cut_lineage(newest_rows(flat)), silver_path, min_confidence)
 
 
-def _small_salt(parts: int = 4) -> Column:
-    """Spreads one large partition over a few tasks and files; from the row, so a task run again gives the same."""
-    return F.pmod(F.xxhash64("timestamp", "speed", "jamFactor", "confidence"), F.lit(parts))
+def flatten_deliveries(given: DataFrame) -> DataFrame:
+    """Flat rows of distinct deliveries with the keys of delivery and place."""
+    return with_location(clean.flatten_snapshots(distinct_deliveries(given)))
+
+
+def store_flow(flat: DataFrame, silver_path: str, min_confidence: float = clean.MIN_CONFIDENCE) -> DataFrame:
+    """Cleans flat rows and adds them to the stored flow, where they replace what their times and places had; returns the stored flow."""
+    key = snapshot_key(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+    rows = clean.clean_flow(flat, min_confidence).withColumn("snapshot", key).drop("arrived")
+    return deliveries.write(rows, flat, silver_path)
 
 
 def process_roads(spark: SparkSession, edges_path: str, network: str | Jdbc, segments: str | Jdbc,
@@ -76,10 +76,14 @@ def process_roads(spark: SparkSession, edges_path: str, network: str | Jdbc, seg
             "edges_without_line": report["edges_without_line"]}
 
 
-def _store_events(final: DataFrame, target: str | Jdbc) -> None:
+def _store_events(final: DataFrame, given: DataFrame, target: str | Jdbc) -> None:
+    """Events by snapshot; a snapshot of ``given`` (timestamps) that has none now loses those it had."""
     if isinstance(target, Jdbc):
         tables.write_jdbc(final, target, "append", stamp=True)
         return
+    # Only snapshots that match nothing any more are named here, one row each.
+    for row in _by_snapshot(given.join(final.select("timestamp").distinct(), "timestamp", "left_anti")).toLocalIterator():
+        tables.drop_partition(final.sparkSession, target, {"day": row["day"], "snapshot": row["snapshot"]})
     shaped = _by_snapshot(conform(final, TRAFFIC_EVENTS))
     dealt = shaped.repartition("day", "snapshot", F.pmod(F.xxhash64("street_id"), F.lit(4)))
     dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "snapshot").parquet(target)
@@ -95,7 +99,7 @@ def process_traffic(spark: SparkSession, silver_path: str, segments: str | Jdbc,
     history, and the latest state is a query. ``segment_scan`` has the column, bounds and number of partitions of
     a database scan. Warns when no candidate pair is found.
     """
-    stored = spark.read.parquet(silver_path)
+    stored = deliveries.read(spark, silver_path)
     if snapshot is not None:
         stored = stored.filter(F.col("snapshot") == snapshot)
     roads_in = tables.load_segments(spark, segments, **(segment_scan or {}))
@@ -106,7 +110,7 @@ def process_traffic(spark: SparkSession, silver_path: str, segments: str | Jdbc,
     metrics = cut_lineage(metrics)
     final = cut_lineage(matching.snapshot_events(measures, matching.apply_rules(metrics, max_angle, min_overlap_m), speed_agg))
     for target in [events] if isinstance(events, (str, Jdbc)) else events:
-        _store_events(final, target)
+        _store_events(final, stored.select("timestamp").distinct(), target)
     found = matching.overlap_stats(metrics, F.count("*").alias("candidate_count")).first().asDict()
     if not found["candidate_count"]:
         warnings.warn("no traffic line meets a road segment", stacklevel=2)
@@ -121,7 +125,7 @@ def label_traffic(spark: SparkSession, silver_path: str, label_table: str | Jdbc
 
     New labels are appended, so a run that breaks off leaves the known ones. ``labelled_path`` also keeps the labelled flow itself.
     """
-    flow = spark.read.parquet(silver_path)
+    flow = deliveries.read(spark, silver_path).drop("location", "delivery", "snapshot", "day")
     known = tables.read_table(spark, label_table)
     extended = cut_lineage(labels.extend_labels(flow, known))
     fresh = extended.join(known.select("street_name"), "street_name", "left_anti").select("street_id", "street_name")

@@ -1,6 +1,7 @@
 """Streams give what batches give; jobs write tables that read back."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from roadpulse.model import ROAD_EDGES, TRAFFIC_EVENTS, conform
 from roadpulse.operators import clean, gold, matching, roads, serving
 from roadpulse.plans import fixtures as fx
 from roadpulse.plans import jobs
-from roadpulse.sources import snapshots, tables
+from roadpulse.sources import deliveries, snapshots, tables
 from roadpulse.streaming import flow as stream
 
 
@@ -134,11 +135,11 @@ def test_landing_is_repeatable(spark, tmp_path):
     for _ in range(2):
         snapshots.land_payloads(payloads, str(tmp_path))
     back = spark.read.text(str(tmp_path))
-    assert {(r.value, r.snapshot) for r in back.collect()} == {(docs[0], "2024-01-01_05-00-00"), (docs[1], "unknown_time")} and back.count() == 2
+    assert {(r.value, str(r.day)) for r in back.collect()} == {(docs[0], "2024-01-01"), (docs[1], "unknown_time")} and back.count() == 2
 
 
-def area(name, time="2024-01-01 05:00:00", confidence=0.9):
-    flow = {"speed": 5.0, "speedUncapped": 5.0, "freeFlow": 9.0, "jamFactor": 1.0, "confidence": confidence, "traversability": "open"}
+def area(name, time="2024-01-01 05:00:00", confidence=0.9, speed=5.0):
+    flow = {"speed": speed, "speedUncapped": 5.0, "freeFlow": 9.0, "jamFactor": 1.0, "confidence": confidence, "traversability": "open"}
     links = [{"points": [{"lat": 21.0, "lng": 105.8}, {"lat": 21.1, "lng": 105.8}], "length": 5.0, "functionalClass": "3"}]
     location = {"description": name, "length": 5.0, "shape": {"links": links}}
     return json.dumps({**({"sourceUpdated": time} if time else {}), "results": [{"location": location, "currentFlow": flow}]})
@@ -152,7 +153,7 @@ def test_areas_of_one_time_stay_beside_each_other(spark, tmp_path, time):
         docs.write.mode("overwrite").text(raw)
         jobs.clean_traffic(spark, raw, silver)
         snapshots.land_payloads(docs, str(tmp_path / "landed"))
-    assert sorted(r.street_name for r in spark.read.parquet(silver).collect()) == ["east", "west"]
+    assert sorted(r.street_name for r in deliveries.read(spark, silver).collect()) == ["east", "west"]
     assert spark.read.text(str(tmp_path / "landed")).count() == 2
 
 
@@ -161,7 +162,97 @@ def test_a_run_without_rows_clears_its_partition(spark, tmp_path):
     spark.createDataFrame([(area("east", confidence=0.75),), (area("west"),)], "value string").write.text(raw)
     assert jobs.clean_traffic(spark, raw, silver).count() == 2
     jobs.clean_traffic(spark, raw, silver, min_confidence=0.8)
-    assert [r.street_name for r in spark.read.parquet(silver).collect()] == ["west"]
+    assert [r.street_name for r in deliveries.read(spark, silver).collect()] == ["west"]
+
+
+def arrive(spark, raw, *docs):
+    """Files that come one after the other; their times differ."""
+    for doc in docs:
+        spark.createDataFrame([(doc,)], "value string").coalesce(1).write.mode("append").text(raw)
+        time.sleep(0.05)
+
+
+RESTATED = [area("east"), area("west"), area("east", speed=7.0), area("west"), area("east", "2024-01-01 06:00:00")]
+
+
+def speeds(df):
+    return sorted((r.street_name, r.timestamp.hour, r.speed) for r in df.collect())
+
+
+def test_restated_payload_counts_once(spark, tmp_path):
+    """In one run and over several: areas apart, a correction wins, a repeat counts once, an older one does not come back."""
+    wanted = [("east", 5, 7.0), ("east", 6, 5.0), ("west", 5, 5.0)]
+    whole = str(tmp_path / "whole")
+    arrive(spark, whole, *RESTATED)
+    silver = str(tmp_path / "one")
+    assert speeds(jobs.clean_traffic(spark, whole, silver)) == wanted
+    assert speeds(jobs.clean_traffic(spark, whole, silver)) == wanted and speeds(deliveries.read(spark, silver)) == wanted
+    step = str(tmp_path / "steps")
+    for n, doc in enumerate(RESTATED):
+        raw = str(tmp_path / f"raw{n}")
+        arrive(spark, raw, doc)
+        got = jobs.clean_traffic(spark, raw, step)
+    assert speeds(got) == wanted
+    # A place that is now under the bound goes, as its newest delivery has no row for it.
+    arrive(spark, str(tmp_path / "low"), area("west", confidence=0.1))
+    assert speeds(jobs.clean_traffic(spark, str(tmp_path / "low"), step)) == wanted[:2]
+
+
+def test_files_grow_with_runs_and_compaction_merges_them(spark, tmp_path):
+    raw, silver = str(tmp_path / "raw"), str(tmp_path / "silver")
+    arrive(spark, raw, *[area(f"street {n}", f"2024-01-01 {n % 24:02d}:{n % 60:02d}:00") for n in range(8)])
+    docs = [(area(f"road {n}", f"2024-01-02 {n % 24:02d}:{n % 60:02d}:00"),) for n in range(300)]
+    spark.createDataFrame(docs, "value string").coalesce(2).write.mode("append").text(raw)
+    assert jobs.clean_traffic(spark, raw, silver).count() == 308
+    parquet = lambda: [p for p in (tmp_path / "silver" / "data").rglob("*.parquet")]
+    assert len(parquet()) <= 10
+    arrive(spark, str(tmp_path / "more"), area("street 1", "2024-01-01 01:01:00", speed=9.0))
+    before = speeds(jobs.clean_traffic(spark, str(tmp_path / "more"), silver))
+    assert len(before) == 308 and ("street 1", 1, 9.0) in before
+    assert deliveries.compact(spark, silver) == 2 and speeds(deliveries.read(spark, silver)) == before
+    assert deliveries.remove_unlisted(spark, silver) >= 2 and speeds(deliveries.read(spark, silver)) == before
+    assert deliveries.compact(spark, silver) == 0
+
+
+def test_a_run_that_breaks_off_is_not_seen(spark, tmp_path, monkeypatch):
+    raw, silver = str(tmp_path / "raw"), str(tmp_path / "silver")
+    arrive(spark, raw, area("east"))
+    before = speeds(jobs.clean_traffic(spark, raw, silver))
+    arrive(spark, str(tmp_path / "new"), area("east", speed=9.0))
+    with monkeypatch.context() as broken:
+        broken.setattr(deliveries, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            jobs.clean_traffic(spark, str(tmp_path / "new"), silver)
+    assert speeds(deliveries.read(spark, silver)) == before
+    version, runs = deliveries.manifest(spark, silver)
+    with pytest.raises(RuntimeError):
+        deliveries._commit(spark, silver, version, runs)
+
+
+def test_stream_of_restated_payloads_equals_batch(spark, tmp_path):
+    raw, silver = str(tmp_path / "raw"), str(tmp_path / "silver")
+    for n in range(0, len(RESTATED), 2):
+        arrive(spark, raw, *RESTATED[n:n + 2])
+        found = stream.arriving_rows(stream.snapshot_stream(spark, raw, 1, arrival=True), "2 days")
+        stream.keep_flow(found, silver, str(tmp_path / "cp")).awaitTermination()
+    batch = jobs.clean_traffic(spark, raw, str(tmp_path / "batch"))
+    got = deliveries.read(spark, silver)
+    assert speeds(got) == speeds(batch) == [("east", 5, 7.0), ("east", 6, 5.0), ("west", 5, 5.0)]
+    assert rows(got.select(batch.columns)) == rows(batch)
+
+
+def test_snapshots_that_match_nothing_lose_their_events(spark, tmp_path):
+    raw, silver, segments, events = (str(tmp_path / n) for n in ("raw", "silver", "segments", "events"))
+    line = "array(named_struct('x', 105.8D, 'y', 21.0D), named_struct('x', 105.8D, 'y', 21.05D))"
+    tables.write_segments(spark.sql(f"select 's' as segment_id, 0D as azimuth, {line} as geometry"), segments)
+    arrive(spark, raw, area("east"), area("west", "2024-01-01 07:00:00"))
+    jobs.clean_traffic(spark, raw, silver)
+    assert jobs.process_traffic(spark, silver, segments, events)["final_count"] == 2
+    away = "array(named_struct('x', 1D, 'y', 1D), named_struct('x', 1D, 'y', 2D))"
+    tables.write_segments(spark.sql(f"select 's' as segment_id, 0D as azimuth, {away} as geometry"), segments)
+    with pytest.warns(UserWarning):
+        assert jobs.process_traffic(spark, silver, segments, events)["final_count"] == 0
+    assert not [p for p in (tmp_path / "events").rglob("*.parquet")]
 
 
 def test_stream_keeps_areas_of_one_time(spark, tmp_path):
