@@ -44,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--segments", required=True)
     one.add_argument("--events", required=True, action="append")
     one.add_argument("--snapshot")
+    one.add_argument("--matches", help="folder of matched lines that later runs need not match again")
     one.add_argument("--scan-column")
     one.add_argument("--scan-bounds", type=int, nargs=2)
     one.add_argument("--scan-partitions", type=int, default=16)
@@ -79,7 +80,7 @@ def main(given: Sequence[str] | None = None) -> dict | None:
         scan = ({"partition_column": args.scan_column, "bounds": tuple(args.scan_bounds), "partitions": args.scan_partitions}
                 if args.scan_column else None)
         report = jobs.process_traffic(spark, args.silver, table(args.segments), [table(e) for e in args.events], args.snapshot, scan,
-                                      args.max_angle, args.min_overlap, args.speed)
+                                      args.max_angle, args.min_overlap, args.speed, args.matches)
     else:
         jobs.label_traffic(spark, args.silver, table(args.labels), [table(e) for e in args.events], args.labelled)
     if report is not None:

@@ -179,13 +179,18 @@ def match_snapshots(flow: DataFrame, segments: DataFrame, buffer_deg: float = BU
     return snapshot_events(measures, apply_rules(metrics, max_angle, min_overlap_m), speed_agg)
 
 
-def snapshot_matches(flow: DataFrame, segments: DataFrame, buffer_deg: float = BUFFER_DEGREES,
-                     candidate: str = "intersects", **grid) -> tuple[DataFrame, DataFrame]:
-    """Measures per line and snapshot, and the candidate pairs of distinct lines and segments."""
+def snapshot_lines(flow: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Measures per line and snapshot, and the distinct lines with their keys, both stored."""
     # The only pass over the history; a line has one row per time here, so its key is not hot.
     measures = cut_lineage(roll_up_lines(flow, by=("timestamp",)).withColumn("line_key", line_key()))
     lines = measures.groupBy("line_key").agg(F.any_value("line").alias("line"))
-    shapes = cut_lineage(spread(lines, "line_key"))
+    return measures, cut_lineage(spread(lines, "line_key"))
+
+
+def snapshot_matches(flow: DataFrame, segments: DataFrame, buffer_deg: float = BUFFER_DEGREES,
+                     candidate: str = "intersects", **grid) -> tuple[DataFrame, DataFrame]:
+    """Measures per line and snapshot, and the candidate pairs of distinct lines and segments."""
+    measures, shapes = snapshot_lines(flow)
     return measures, match_metrics(shapes, segments, "line_key", buffer_deg, candidate, **grid)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions.text import snapshot_key
 from roadpulse.model import ROAD_NETWORK, ROAD_SEGMENTS, TRAFFIC_EVENTS, conform
 from roadpulse.operators import clean, labels, matching, roads, summary
+from roadpulse.plans import matches
 from roadpulse.session import cut_lineage
 from roadpulse.sources import deliveries, tables
 from roadpulse.sources.snapshots import distinct_deliveries, newest_rows, read_snapshots, with_location
@@ -91,13 +92,15 @@ def _store_events(final: DataFrame, given: DataFrame, target: str | Jdbc) -> Non
 
 def process_traffic(spark: SparkSession, silver_path: str, segments: str | Jdbc, events: str | Jdbc | Sequence[str | Jdbc],
                     snapshot: str | None = None, segment_scan: dict | None = None, max_angle: float = matching.MAX_ANGLE,
-                    min_overlap_m: float = matching.MIN_OVERLAP_M, speed_agg: str = "avg", **grid) -> dict[str, float]:
+                    min_overlap_m: float = matching.MIN_OVERLAP_M, speed_agg: str = "avg", match_table: str | None = None,
+                    **grid) -> dict[str, float]:
     """Stored clean flow and segments to stored traffic events, in one target or several; returns counts and overlap lengths.
 
     Takes one snapshot, or all of the folder at once; either way each snapshot has its own
     events, in its own partition, so a repeated run replaces them. Time ranges thus see the
     history, and the latest state is a query. ``segment_scan`` has the column, bounds and number of partitions of
-    a database scan. Warns when no candidate pair is found.
+    a database scan. With ``match_table``, a folder, lines that an earlier run has matched with the same segments
+    are not matched again. Warns when no candidate pair is found.
     """
     stored = deliveries.read(spark, silver_path)
     if snapshot is not None:
@@ -106,7 +109,11 @@ def process_traffic(spark: SparkSession, silver_path: str, segments: str | Jdbc,
     if isinstance(segments, Jdbc):
         # Read by several steps below; one pass over the database.
         roads_in = cut_lineage(roads_in)
-    measures, metrics = matching.snapshot_matches(stored, roads_in, **grid)
+    if match_table is None:
+        measures, metrics = matching.snapshot_matches(stored, roads_in, **grid)
+    else:
+        measures, shapes = matching.snapshot_lines(stored)
+        metrics = matches.stored_metrics(shapes, roads_in, match_table, **grid)
     metrics = cut_lineage(metrics)
     final = cut_lineage(matching.snapshot_events(measures, matching.apply_rules(metrics, max_angle, min_overlap_m), speed_agg))
     for target in [events] if isinstance(events, (str, Jdbc)) else events:

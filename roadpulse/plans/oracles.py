@@ -281,6 +281,12 @@ def all_oracles() -> dict[str, str]:
         "bent_same_way": _sql("bent_s", """SELECT DISTINCT a.segment_id AS segment_id_1, b.segment_id AS segment_id_2 FROM bent_s a JOIN bent_s b ON a.way = b.way AND a.segment_id < b.segment_id
             AND a.iy1 = a.iy2 AND b.iy1 = b.iy2 AND a.iy1 = b.iy1 AND least(a.ix2, b.ix2) > greatest(a.ix1, b.ix1)"""),
         "snapshot_deliveries": _sql("clean", "SELECT timestamp, count(*) AS n, count(DISTINCT confidence >= 0.8) AS deliveries FROM clean GROUP BY timestamp"),
+        "restated_delivery": _sql("flow_raw", """SELECT timestamp, count(*) AS n, round(sum(speed), 6) AS speeds, count_if(came = 2) AS restated FROM (
+            SELECT source_updated AS timestamp, speed, traverse_length, free_flow, confidence, 1 AS came FROM flow_raw f WHERE NOT EXISTS (SELECT 1 FROM flow_raw r
+              WHERE hour(r.source_updated) % 3 = 0 AND r.confidence >= 0.8 AND r.source_updated = f.source_updated AND r.street_name IS NOT DISTINCT FROM f.street_name
+              AND (r.ax, r.ay, r.bx, r.by_) = (f.ax, f.ay, f.bx, f.by_))
+            UNION ALL SELECT source_updated, speed + 1, traverse_length, free_flow, confidence, 2 FROM flow_raw WHERE hour(source_updated) % 3 = 0 AND confidence >= 0.8) t
+            WHERE speed > 0 AND traverse_length > 0 AND free_flow > 0 AND confidence >= 0.7 GROUP BY timestamp"""),
         "geojson_features": _sql("latest segs", f"""SELECT 'Feature' AS type, street_id, s.name AS street_name, s.highway, s.oneway, congestion_level, confidence, traversability,
             round(speed, 6) AS speed, round("jamFactor", 6) AS jamfactor, round("freeFlowSpeed", 6) AS freeflowspeed, {_ENDS} FROM latest e JOIN segs s ON e.street_id = s.segment_id"""),
         "feature_collection": _sql("latest segs", f"""SELECT 'FeatureCollection' AS type, count(*) AS count, 13.0::DOUBLE AS zoom, {_XMIN} AS xmin, {_YMIN} AS ymin, {_XMAX} AS xmax, {_YMAX} AS ymax,

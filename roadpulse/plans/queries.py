@@ -16,7 +16,7 @@ from roadpulse.functions import text, traffic
 from roadpulse.operators import clean, gold, labels, matching, quality, roads, serving, spatial, style, summary
 from roadpulse.plans import fixtures as fx
 from roadpulse.session import cut_lineage
-from roadpulse.sources.snapshots import distinct_deliveries, land_key
+from roadpulse.sources.snapshots import distinct_deliveries, land_key, newest_rows, with_location
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,6 +113,18 @@ def snapshot_deliveries(spark, sf):
     return flow.groupBy("timestamp").agg(F.count("*").alias("n"), F.count_distinct("delivery").alias("deliveries"))
 
 
+@query
+def restated_delivery(spark, sf):
+    """Every third hour's surer places come again with another speed, and an older copy of all comes in between: the newest counts."""
+    flat = clean.flatten_snapshots(fx.snapshots(spark, sf))
+    again = flat.filter("hour(timestamp) % 3 = 0 and confidence >= 0.8").withColumn("speed", F.col("speed") + 1)
+    arrivals = [(flat, "first", 1), (again, "again", 3), (flat, "older", 0)]
+    come = [df.withColumns({"delivery": F.lit(name), "arrived": F.timestamp_seconds(F.lit(at))}) for df, name, at in arrivals]
+    newest = newest_rows(with_location(come[0].unionAll(come[1]).unionAll(come[2])))
+    return clean.clean_flow(newest).groupBy("timestamp").agg(
+        F.count("*").alias("n"), F.round(F.sum("speed"), 6).alias("speeds"), F.count_if(F.col("delivery") == "again").alias("restated"))
+
+
 @query
 def polyline_wkt(spark, sf):
     lines = matching.with_flow_line(clean.flatten_snapshots(fx.snapshots(spark, sf)))

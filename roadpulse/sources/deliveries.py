@@ -24,14 +24,15 @@ def _hadoop(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none where it is not there."""
     files, where = _hadoop(spark, path)
     return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
 
 
 def manifest(spark: SparkSession, path: str) -> tuple[int, list[dict]]:
     """The newest version (0 before the first) and its runs, each with ``run`` and whether it replaced rows."""
-    versions = [n for n in _names(spark, f"{path}/_manifest") if n.endswith(".json")]
+    versions = [n for n in names_in(spark, f"{path}/_manifest") if n.endswith(".json")]
     if not versions:
         return 0, []
     files, where = _hadoop(spark, f"{path}/_manifest/{versions[-1]}")
@@ -107,7 +108,7 @@ def _append(rows: DataFrame, path: str, run: str, keys: tuple[str, ...]) -> bool
     """Sorted files of one run, as many as its bytes ask for; whether there are any."""
     dated = rows.withColumn("day", F.to_date("timestamp")).repartitionByRange(*keys).sortWithinPartitions(*keys)
     dated.write.mode("overwrite").partitionBy("day").parquet(f"{path}/data/run={run}")
-    return any(n.startswith("day=") for n in _names(rows.sparkSession, f"{path}/data/run={run}"))
+    return any(n.startswith("day=") for n in names_in(rows.sparkSession, f"{path}/data/run={run}"))
 
 
 def compact(spark: SparkSession, path: str, keys: tuple[str, ...] = KEYS) -> int:
@@ -127,7 +128,7 @@ def remove_unlisted(spark: SparkSession, path: str) -> int:
     version, runs = manifest(spark, path)
     listed, removed = {f"run={r['run']}" for r in runs}, 0
     for kind in ("data", "gone"):
-        for name in _names(spark, f"{path}/{kind}"):
+        for name in names_in(spark, f"{path}/{kind}"):
             if name not in listed:
                 files, where = _hadoop(spark, f"{path}/{kind}/{name}")
                 removed += bool(files.delete(where, True))

@@ -26,7 +26,7 @@ def broken_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter(parsed["broken"].isNotNull())
 
 
-def content_key(*columns: str) -> Column:
+def content_key(*columns: str | Column) -> Column:
     """A 128-bit text key of the columns' values."""
     return F.lower(F.concat(F.hex(F.xxhash64(*columns)), F.hex(F.xxhash64(F.lit(1), *columns))))
 
@@ -47,8 +47,8 @@ def distinct_deliveries(snapshots: DataFrame) -> DataFrame:
 
 
 def with_location(flow: DataFrame) -> DataFrame:
-    """Add ``location``, a key of the measured place (name and shape) of flat flow rows."""
-    return flow.withColumn("location", content_key("street_name", "links"))
+    """Add ``location``, a key of the measured place (name and points of the shape) of flat flow rows."""
+    return flow.withColumn("location", content_key("street_name", F.expr("transform(links, l -> l.points)")))
 
 
 def newest_rows(flow: DataFrame) -> DataFrame:

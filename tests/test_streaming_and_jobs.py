@@ -255,6 +255,33 @@ def test_snapshots_that_match_nothing_lose_their_events(spark, tmp_path):
     assert not [p for p in (tmp_path / "events").rglob("*.parquet")]
 
 
+def test_known_lines_are_not_matched_again(spark, sf, tmp_path, monkeypatch):
+    from roadpulse.plans import matches
+
+    flow = clean.clean_flow(fx.flow_raw(spark, sf)).cache()
+    segments = roads.build_road_segments(fx.road_edges(spark, sf)).cache()
+    _, lines = matching.snapshot_lines(flow)
+    lines = lines.cache()
+    some, table = lines.filter("line_key < '8'"), str(tmp_path / "matches")
+    sent, real = [], matching.match_metrics
+    monkeypatch.setattr(matching, "match_metrics", lambda given, *a, **k: (sent.append(given.count()), real(given, *a, **k))[1])
+    wanted = rows(real(lines, segments, "line_key"))
+    assert 0 < some.count() < lines.count()
+    assert rows(matches.stored_metrics(some, segments, table)) == rows(real(some, segments, "line_key"))
+    assert rows(matches.stored_metrics(lines, segments, table).select("line_key", "segment_id", "angle_diff", "overlap_length")) == wanted
+    assert rows(matches.stored_metrics(lines, segments, table)) == wanted
+    assert sent == [some.count(), lines.count() - some.count()]
+    # Other segments, or another setting, are another version.
+    turned = segments.withColumn("azimuth", F.expr("pmod(azimuth + 180, 360)"))
+    assert rows(matches.stored_metrics(lines, turned, table)) == rows(real(lines, turned, "line_key"))
+    assert rows(matches.stored_metrics(lines, segments, table, 0.0003)) == rows(real(lines, segments, "line_key", 0.0003))
+    assert sent[2:] == [lines.count(), lines.count()]
+    # Pairs of a run that broke off before its lines were written do not count.
+    version = f"{table}/version={matches.segments_version(segments, matching.BUFFER_DEGREES, 'intersects')}"
+    real(lines, turned, "line_key").write.parquet(f"{version}/pairs/run=broken")
+    assert rows(matches.stored_metrics(lines, segments, table)) == wanted
+
+
 def test_stream_keeps_areas_of_one_time(spark, tmp_path):
     raw = str(tmp_path / "raw")
     for name in ("east", "west", "east"):
@@ -277,9 +304,11 @@ def test_command_lines(spark, landed, sf, tmp_path, monkeypatch):
     at = {n: str(tmp_path / n) for n in ("edges", "network", "segments", "silver", "events", "copy", "labels", "labelled")}
     fx.road_edges(spark, sf).withColumn("geometry", geo.to_wkb("geometry")).write.parquet(at["edges"])
     fx.street_labels(spark, sf).write.parquet(at["labels"])
-    lines.main(["clean", "--raw", landed, "--silver", at["silver"]])
+    assert lines.main(["clean", "--raw", landed, "--silver", at["silver"]])["broken_documents"] == 0
     assert lines.main(["roads", "--edges", at["edges"], "--network", at["network"], "--segments", at["segments"]])["road_segments"] > 0
-    report = lines.main(["traffic", "--silver", at["silver"], "--segments", at["segments"], "--events", at["events"], "--events", at["copy"]])
+    traffic = ["traffic", "--silver", at["silver"], "--segments", at["segments"], "--events", at["events"], "--events", at["copy"]]
+    report = lines.main(traffic)
+    assert [lines.main([*traffic, "--matches", str(tmp_path / "matches")]) for _ in range(2)] == [report] * 2
     assert report["final_count"] == spark.read.parquet(at["events"]).count() == spark.read.parquet(at["copy"]).count() > 0
     assert report["candidate_count"] > 0 and report["static_count"] > 0 and report["max_overlap_length"] > 5
     lines.main(["labels", "--silver", at["silver"], "--labels", at["labels"], "--events", at["labelled"]])
