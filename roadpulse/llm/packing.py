@@ -31,7 +31,7 @@ CACHE_ENTRIES = 500_000
 _L = "a-zß-öø-ÿ"
 _PLAIN = re.compile(f"[\\t\\n\\r -~{_L}]*").fullmatch
 # Fixed value: how the tokenizer file cuts lower-case text before merging.
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[0-9]|[^\\s{_L}0-9]+").findall
+_PIECE = re.compile(f"[{_L}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\\s{_L}0-9]+").findall
 _encoders: dict[str, Encoder] = {}
 
 
@@ -57,33 +57,30 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > CACHE_ENTRIES:
-            self.known.clear()
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         found = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
         words = np.array(found.word_ids)
         cuts = np.r_[np.flatnonzero(np.r_[True, words[1:] != words[:-1]]), len(words)]
         if len(cuts) - 1 != len(pieces):  # not a tokenizer of these cuts
-            self.known.update((p, self._whole(p)) for p in pieces)
-            return
+            return {p: self._whole(p) for p in pieces}
         raw, cuts = np.array(found.ids, "<u4").tobytes(), (cuts * 4).tolist()
-        self.known.update(zip(pieces, (raw[i:j] for i, j in zip(cuts, cuts[1:]))))
+        return dict(zip(pieces, (raw[i:j] for i, j in zip(cuts, cuts[1:]))))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         low = [t.lower() for t in texts]
         cut = [_PIECE(z) if _PLAIN(z) and "<|" not in z else None for z in low]
-        seen: set[str] = set()
-        for p in cut:
-            if p:
-                seen.update(p)
-        new = list(seen.difference(self.known))
-        if new:
-            self._learn(new)
-            new = list(seen.difference(self.known))  # the cache was emptied for the last ones
-            if new:
-                self._learn(new)
-        take = self.known.__getitem__
-        return [self._whole(t) if p is None else b"".join(map(take, p)) for t, p in zip(texts, cut)]
+        get = self.known.get
+        own = [None if p is None else list(map(get, p)) for p in cut]
+        lacking = [i for i, found in enumerate(own) if found and None in found]
+        if lacking:
+            new = list({p for i in lacking for p, ids in zip(cut[i], own[i]) if ids is None})
+            if len(self.known) + len(new) > CACHE_ENTRIES:
+                self.known.clear()
+            learnt = self._learn(new)
+            self.known.update(learnt)
+            for i in lacking:
+                own[i] = [learnt[p] if ids is None else ids for p, ids in zip(cut[i], own[i])]
+        return [self._whole(t) if ids is None else b"".join(ids) for t, ids in zip(texts, own)]
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -118,12 +115,17 @@ def project(ids: list[np.ndarray], seed: int = 7, dims: int = DIMS, bits: int =
     """Grid points of documents: log counts of hashed ids times a fixed normal matrix, squashed to the grid."""
     matrix = np.random.default_rng(seed).standard_normal((FEATURES, dims))
     at = np.zeros((len(ids), dims))
-    for i, own in enumerate(ids):
-        hashed = (own.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(20)
-        counts = np.bincount(hashed, minlength=FEATURES)
-        used = np.flatnonzero(counts)
-        weight = np.log1p(counts[used])
-        at[i] = weight @ matrix[used] / max(1e-9, np.linalg.norm(weight))
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    if sizes.sum():
+        # One sorted list of (document, bucket) for all documents, whose runs are the counts.
+        hashed = (np.concatenate(ids).astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(20)
+        key = np.sort(np.repeat(np.arange(len(ids)) * FEATURES, sizes) + hashed)
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        doc, weight = key[starts] // FEATURES, np.log1p(np.diff(np.r_[starts, len(key)]))
+        norm = np.maximum(1e-9, np.sqrt(np.bincount(doc, weight * weight, len(ids))))
+        rows = matrix[key[starts] % FEATURES]
+        for k in range(dims):
+            at[:, k] = np.bincount(doc, weight * rows[:, k], len(ids)) / norm
     return np.minimum((1 << bits) - 1, (1 << bits) / (1 + np.exp(-1.7 * at))).astype(np.int64)
 
 
