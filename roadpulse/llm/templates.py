@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,11 +41,12 @@ UNITS = frozenset((
     "mile miles foot feet inch inches gram grams kilogram kilograms pound pounds ounce ounces liter liters litre litres "
     "percent euro euros dollar dollars cent cents usd eur gbp mph kmh kph kw kwh w v a hz khz mhz ghz kb mb gb tb").split())
 
-_tokens = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:\n]|[%$€£°]").findall
-_all_tokens = re.compile(r"\d+|[^\W\d_]+|[^\w\s]|_").findall
+_tokens = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,]\d+)*|[^\w\s]|_|\n").findall
+_parts = re.compile(r"\d+|[^\W\d_]+|[^\w\s]|_").findall
+VOCABULARY = 400_000
 _ENDS = frozenset(".!?:\n")
 _SIGNS = frozenset("%$€£°")
-WORD, NUM, UNIT, NAME, END, UNIT_WORD = range(6)
+WORD, NUM, UNIT, NAME, END, UNIT_WORD, OTHER = range(7)
 
 
 def _class(token: str) -> int:
@@ -55,28 +57,75 @@ def _class(token: str) -> int:
         return NUM
     if token in _SIGNS:
         return UNIT
+    if not token[0].isalpha():
+        return OTHER
     if token.lower() in UNITS:
         return UNIT_WORD
     return NAME if len(token) > 1 and token[0].isupper() and token[1:].islower() else WORD
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+
+
+class Vocabulary(dict):
+    """Numbers of tokens in the order they come, with what each is by itself; one for a worker, begun anew when it is full."""
+
+    own: Vocabulary | None = None
+
+    def __init__(self):
+        self.tokens, self.kind, self.h = [], np.zeros(0, np.int8), np.zeros(0, np.uint64)
+        self.first, self.parts = np.zeros(1, np.int64), np.zeros(0, np.uint64)
+
+    def __missing__(self, token: str) -> int:
+        number = self[token] = len(self.tokens)
+        self.tokens.append(token)
+        return number
+
+    @classmethod
+    def numbers(cls, cut: list[list[str]]) -> tuple[Vocabulary, np.ndarray]:
+        if cls.own is None or len(cls.own) > VOCABULARY:
+            cls.own = cls()
+        raw = list(chain.from_iterable(cut))
+        code = np.fromiter(map(cls.own.__getitem__, raw), np.int64, len(raw))
+        cls.own._settle()
+        return cls.own, code
+
+    def _settle(self) -> None:
+        """Classes, hashes in lower case, and the hashes of the smallest parts (words, numbers and signs) of new tokens."""
+        new = self.tokens[len(self.kind):]
+        low = [t.lower() for t in new]
+        h = [_hash(t) for t in low]
+        parts = [[k] if t.isalpha() else [_hash(p) for p in _parts(t)] for t, k in zip(low, h)]
+        self.kind = np.r_[self.kind, np.fromiter(map(_class, new), np.int8, len(new))]
+        self.h = np.r_[self.h, np.array(h, np.uint64)]
+        self.first = np.r_[self.first, self.first[-1] + np.cumsum([len(p) for p in parts], dtype=np.int64)]
+        self.parts = np.r_[self.parts, np.fromiter(chain.from_iterable(parts), np.uint64)]
+
+
+class Tokens:
+    """Tokens of several texts: number in the vocabulary and number of the text."""
+
+    def __init__(self, texts: list[str]):
+        cut = [_tokens(t) for t in texts]
+        self.count = len(texts)
+        self.vocabulary, self.code = Vocabulary.numbers(cut)
+        self.text = np.repeat(np.arange(len(texts)), np.fromiter(map(len, cut), np.int64, len(cut)))
+
+
 class Templates:
     """Template tokens of several texts: ``kind``, ``h`` (hash of the lower-case word, or of the slot's kind), ``text`` (number of the text).
 
     A capitalised word is a name unless a sentence or the text starts with it; names that follow each other are one slot.
     """
 
-    def __init__(self, texts: list[str], inside: bool = False):
+    def __init__(self, tokens: Tokens, inside: bool = False):
         """``inside``: the texts' first words stand inside sentences."""
-        cut = [_tokens(t) for t in texts]
-        self.raw = [t for own in cut for t in own]
-        unique = list(dict.fromkeys(self.raw))
-        number = dict(zip(unique, range(len(unique))))
-        code = np.fromiter(map(number.__getitem__, self.raw), np.int64, len(self.raw))
-        of_unique = np.fromiter(map(_class, unique), np.int8, len(unique))
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(t.lower().encode("utf-8", "surrogatepass")) for t in unique), np.uint64, len(unique))
-        kind = of_unique[code]
-        text = np.repeat(np.arange(len(texts)), [len(own) for own in cut])
+        words = tokens.vocabulary
+        kind = words.kind[tokens.code]
+        used = kind != OTHER
+        code, kind, text = tokens.code[used], kind[used], tokens.text[used]
+        self.names, self.code = words.tokens, code
         first = np.r_[True, text[1:] != text[:-1]] if len(text) else np.zeros(0, bool)
         before = np.where(first, WORD if inside else END, np.r_[kind[:1], kind[:-1]])
         kind = np.where((kind == NAME) & (before == END), WORD, kind)
@@ -85,17 +134,17 @@ class Templates:
         kept = (kind != END) & ~((kind == NAME) & (previous == NAME))
         self.at = np.flatnonzero(kept)
         self.kind, self.text = kind[self.at], text[self.at]
-        self.h = mixed(np.where(self.kind == WORD, hashes[code[self.at]], self.kind.astype(np.uint64)))
+        self.h = mixed(np.where(self.kind == WORD, words.h[code[self.at]], self.kind.astype(np.uint64)))
         self.all_kinds = kind
 
     def value(self, i: int) -> str:
         """The text of a slot."""
         end = self.at[i] + 1
         if self.kind[i] == NAME:
-            stop = self.at[i + 1] if i + 1 < len(self.at) else len(self.raw)
+            stop = self.at[i + 1] if i + 1 < len(self.at) else len(self.code)
             while end < stop and self.all_kinds[end] == NAME:
                 end += 1
-        return " ".join(self.raw[self.at[i]:end])
+        return " ".join([self.names[c] for c in self.code[self.at[i]:end].tolist()])
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """First token and hash of each window of ``width`` tokens of one text that has enough words."""
@@ -110,28 +159,28 @@ class Templates:
         return at, mixed(g[at])
 
 
-def _rows(name: str, texts: pd.Series, ids: pd.Series, widths: list[int] | None, bits: np.ndarray | None,
-          inside: bool = False) -> Iterator[pd.DataFrame]:
+def _rows(name: str, tokens: Tokens, idents: np.ndarray, widths: list[int] | None, bits: np.ndarray | None,
+          inside: bool = False) -> pd.DataFrame:
     """Windows of texts, of the given widths or, for items, of the usual one or as long as a shorter item."""
-    for part, own in text_chunks(texts):
-        found, out, idents = Templates(own, inside), [], ids.iloc[part].to_numpy()
-        starts = np.searchsorted(found.text, np.arange(len(own) + 1))
-        lengths = np.diff(starts)
-        for width in widths or sorted({min(WINDOW, n) for n in lengths.tolist() if n >= MIN_TOKENS}):
-            at, h = found.windows(width)
-            fit = lengths[found.text[at]] >= MIN_TOKENS
-            if widths is None:
-                fit &= np.minimum(WINDOW, lengths[found.text[at]]) == width
-            at, h = at[fit], h[fit]
-            total = np.bincount(found.text[at], minlength=len(own))
-            if bits is not None:
-                hit = passes(bits, h)
-                at, h = at[hit], h[hit]
-            for i, k in zip(at.tolist(), signed(h).tolist()):
-                slots = [found.value(j) for j in range(i, i + width) if found.kind[j] != WORD]
-                t = found.text[i]
-                out.append((idents[t], i - starts[t], k, total[t], width, slots))
-        yield pd.DataFrame(out, columns=[name, "place", "h", "total", "width", "slots"])
+    found, out = Templates(tokens, inside), []
+    starts = np.searchsorted(found.text, np.arange(tokens.count + 1))
+    lengths = np.diff(starts)
+    for width in widths or sorted({min(WINDOW, n) for n in lengths.tolist() if n >= MIN_TOKENS}):
+        at, h = found.windows(width)
+        total = np.zeros(tokens.count, np.int64)
+        if bits is not None:
+            hit = passes(bits, h)
+            at, h = at[hit], h[hit]
+        fit = lengths[found.text[at]] >= MIN_TOKENS
+        if widths is None:
+            fit &= np.minimum(WINDOW, lengths[found.text[at]]) == width
+            total = np.bincount(found.text[at[fit]], minlength=tokens.count)
+        at, h = at[fit], h[fit]
+        for i, k in zip(at.tolist(), signed(h).tolist()):
+            slots = [found.value(j) for j in range(i, i + width) if found.kind[j] != WORD]
+            t = found.text[i]
+            out.append((idents[t], i - starts[t], k, total[t], width, slots))
+    return pd.DataFrame(out, columns=[name, "place", "h", "total", "width", "slots"])
 
 
 def item_windows(items: DataFrame, inside: bool = False) -> DataFrame:
@@ -141,11 +190,12 @@ def item_windows(items: DataFrame, inside: bool = False) -> DataFrame:
     """
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield from _rows("item_row", b["text"], b["item_row"], None, None)
-            first = [next(iter(_tokens(t or "")), ".") for t in b["text"]] if inside else []
-            own = b[np.array([_class(t) == NAME for t in first], bool)] if inside else b[:0]
-            if len(own):
-                yield from _rows("item_row", own["text"], -1 - own["item_row"], None, None, True)
+            for part, texts in text_chunks(b["text"]):
+                ids = b["item_row"].iloc[part].to_numpy()
+                yield _rows("item_row", Tokens(texts), ids, None, None)
+                named = [i for i, t in enumerate(texts) if _class(next((w for w in _tokens(t) if _class(w) != OTHER), ".")) == NAME]
+                if inside and named:
+                    yield _rows("item_row", Tokens([texts[i] for i in named]), -1 - ids[named], None, None, True)
 
     return items.select("item_row", "text").mapInPandas(
         cut, "item_row long, place long, h long, total long, width int, slots array<string>")
@@ -171,63 +221,56 @@ def passes(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 class Runs:
-    """Hashes of runs of all tokens of several texts, with the values kept. Equal runs have one hash wherever they stand."""
-
-    def __init__(self, texts: list[str]):
-        cut = [_all_tokens(t.lower()) for t in texts]
-        self.lengths = np.array([len(own) for own in cut], np.int64)
+    """Hashes of runs of the smallest parts of tokens, with the values kept. Equal runs have one hash wherever they stand."""
+
+    def __init__(self, tokens: Tokens):
+        words = tokens.vocabulary
+        first, size = words.first[tokens.code], words.first[tokens.code + 1] - words.first[tokens.code]
+        if len(size) and (size != 1).any():
+            ends = np.cumsum(size)
+            h = words.parts[np.repeat(first - ends + size, size) + np.arange(ends[-1])]
+            self.text = np.repeat(tokens.text, size)
+        else:
+            h, self.text = words.parts[first], tokens.text
+        self.lengths = np.bincount(self.text, minlength=tokens.count)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        raw = [t for own in cut for t in own]
-        unique = list(dict.fromkeys(raw))
-        hashes = dict(zip(unique, (xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in unique)))
-        h = np.fromiter(map(hashes.__getitem__, raw), np.uint64, len(raw))
         base, inverse = np.full(len(h), MIX_A), np.full(len(h), np.uint64(pow(int(MIX_A), -1, 1 << 64)))
         base[:1] = inverse[:1] = 1
         self.back = np.cumprod(inverse, dtype=np.uint64)
         self.sums = np.r_[np.uint64(0), np.cumsum(mixed(h) * np.cumprod(base, dtype=np.uint64), dtype=np.uint64)]
-        self.text = np.repeat(np.arange(len(texts)), self.lengths)
         self.left = np.repeat(self.starts + self.lengths, self.lengths) - np.arange(len(h))
 
     def at(self, places: np.ndarray, width) -> np.ndarray:
         return mixed((self.sums[places + width] - self.sums[places]) * self.back[places] + np.asarray(width).astype(np.uint64) * MIX_B)
 
 
-def copies(scratch: Scratch, docs: DataFrame, numbered: DataFrame) -> DataFrame:
-    """rid, item_row: documents that hold an item as it stands, in any case and white space, whatever the item is made of."""
-    spark = docs.sparkSession
-
+def item_runs(numbered: DataFrame) -> DataFrame:
+    """item_row, h (hash of the whole item as it stands), n (its parts), prefix (hash of its beginning)."""
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for part, texts in text_chunks(b["text"]):
-                own = Runs(texts)
+                own = Runs(Tokens(texts))
                 full = np.flatnonzero(own.lengths)
                 n, at = own.lengths[full], own.starts[full]
                 yield pd.DataFrame({"item_row": b["item_row"].iloc[part].to_numpy()[full], "h": signed(own.at(at, n)), "n": n,
                                     "prefix": signed(own.at(at, np.minimum(PREFIX, n)))})
 
-    theirs = scratch.store(numbered.select("item_row", "text").mapInPandas(whole, "item_row long, h long, n long, prefix long"), "item-runs")
-    shared = spark.sparkContext.broadcast((
-        hash_filter(theirs.select(F.col("prefix").alias("h"))), hash_filter(theirs), sorted(r[0] for r in theirs.select("n").distinct().collect())))
+    return numbered.select("item_row", "text").mapInPandas(whole, "item_row long, h long, n long, prefix long")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        starts, wholes, lengths = shared.value
-        for b in batches:
-            for part, texts in text_chunks(b["text"]):
-                own, ids = Runs(texts), b["rid"].iloc[part].to_numpy()
-                for width in sorted({min(PREFIX, n) for n in lengths}):
-                    begun = np.flatnonzero(own.left >= width)
-                    begun = begun[passes(starts, own.at(begun, width))]
-                    for n in lengths:
-                        if min(PREFIX, n) == width:
-                            at = begun[own.left[begun] >= n]
-                            h = own.at(at, n)
-                            hit = passes(wholes, h)
-                            yield pd.DataFrame({"rid": ids[own.text[at[hit]]], "h": signed(h[hit]), "n": n}).drop_duplicates()
-
-    found = docs.select(F.monotonically_increasing_id().alias("rid"), "text").mapInPandas(cut, "rid long, h long, n long").withColumn(
-        "salt", F.expr(f"CAST(pmod(rid, {SALTS}) AS INT)"))
-    return found.join(theirs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["h", "n", "salt"]).select(
-        "rid", "item_row").distinct()
+
+def _copies(tokens: Tokens, ids: np.ndarray, starts: np.ndarray, wholes: np.ndarray, lengths: list[int]) -> pd.DataFrame:
+    """rid, h and n of the runs of texts that may be a whole item."""
+    own, out = Runs(tokens), []
+    for width in sorted({min(PREFIX, n) for n in lengths}):
+        begun = np.flatnonzero(own.left >= width)
+        begun = begun[passes(starts, own.at(begun, width))]
+        for n in lengths:
+            if min(PREFIX, n) == width:
+                at = begun[own.left[begun] >= n]
+                h = own.at(at, n)
+                hit = passes(wholes, h)
+                out.append(pd.DataFrame({"rid": ids[own.text[at[hit]]], "h": signed(h[hit]), "n": n}))
+    return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"rid": [], "h": [], "n": []}, dtype=np.int64)
 
 
 def contamination(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, whole: bool = False) -> DataFrame:
@@ -241,19 +284,31 @@ def contamination(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE,
     scratch = Scratch(spark, "templates")
     numbered = scratch.store(items.select(F.monotonically_increasing_id().alias("item_row"), F.col("item_id").cast("long"), "text"), "items")
     theirs = scratch.store(item_windows(numbered, whole), "item-windows")
-    shared = spark.sparkContext.broadcast((hash_filter(theirs), sorted(r[0] for r in theirs.select("width").distinct().collect())))
+    runs_of = scratch.store(item_runs(numbered), "item-runs") if whole else None
+    shared = spark.sparkContext.broadcast((
+        hash_filter(theirs), sorted(r[0] for r in theirs.select("width").distinct().collect()),
+        *((hash_filter(runs_of.select(F.col("prefix").alias("h"))), hash_filter(runs_of),
+           sorted(r[0] for r in runs_of.select("n").distinct().collect())) if whole else (None, None, []))))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits, widths = shared.value
-        if widths:
-            for b in batches:
-                yield from _rows("rid", b["text"], b["rid"], widths, bits)
-
-    own = docs.select(F.monotonically_increasing_id().alias("rid"), "text").mapInPandas(
-        cut, "rid long, place long, h long, total long, width int, slots array<string>").select(
-        "rid", F.col("place").alias("doc_place"), "h", "width", F.col("slots").alias("doc_slots"),
-        F.expr(f"CAST(pmod(rid, {SALTS}) AS INT)").alias("salt"))
-    pairs = own.join(theirs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["h", "width", "salt"]).where(
+        bits, widths, starts, wholes, lengths = shared.value
+        for b in batches:
+            for part, texts in text_chunks(b["text"]):
+                tokens, ids = Tokens(texts), b["rid"].iloc[part].to_numpy()
+                if widths:
+                    yield _rows("rid", tokens, ids, widths, bits).assign(n=pd.Series(dtype="Int64"))
+                if lengths:
+                    hit = _copies(tokens, ids, starts, wholes, lengths)
+                    yield hit.assign(place=pd.Series(dtype="Int64"), total=pd.Series(dtype="Int64"), width=pd.Series(dtype="Int64"),
+                                     slots=None)[["rid", "place", "h", "total", "width", "slots", "n"]]
+
+    # One reading of the documents for both: windows of templates, and runs that may be a whole item (those have n).
+    seen = scratch.store(docs.select(F.monotonically_increasing_id().alias("rid"), "text").mapInPandas(
+        cut, "rid long, place long, h long, total long, width int, slots array<string>, n long").withColumn(
+        "salt", F.expr(f"CAST(pmod(rid, {SALTS}) AS INT)")), "seen")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    own = seen.where("n IS NULL").select("rid", F.col("place").alias("doc_place"), "h", "width", F.col("slots").alias("doc_slots"), "salt")
+    pairs = own.join(theirs.withColumn("salt", salts), ["h", "width", "salt"]).where(
         "size(doc_slots) = size(slots)")
     runs = pairs.groupBy("rid", "item_row", (F.col("doc_place") - F.col("place")).alias("shift")).agg(
         F.collect_set("place").alias("places"), F.max("total").alias("total"),
@@ -265,9 +320,11 @@ def contamination(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE,
     found = scratch.store(found.withColumn("coverage", F.col("n_windows") / F.col("total")).where(F.col("coverage") >= coverage), "found")
     if whole:
         # An item's own windows count before those inside a sentence, and these before the item as it stands.
+        copies = seen.where("n IS NOT NULL").select("rid", "h", "n", "salt").join(
+            runs_of.withColumn("salt", salts), ["h", "n", "salt"]).select("rid", "item_row").distinct()
         found = found.select("rid", F.expr("if(item_row < 0, -1 - item_row, item_row)").alias("item_row"), F.expr(
             "struct(if(item_row < 0, 1, 0) AS path, n_windows, coverage, exact)").alias("own")).unionByName(
-            copies(scratch, docs, numbered).withColumn("own", F.expr(
+            copies.withColumn("own", F.expr(
                 "struct(2 AS path, 0L AS n_windows, CAST(1 AS DOUBLE) AS coverage, true AS exact)"))).groupBy("rid", "item_row").agg(
             F.min("own").alias("own")).select("rid", "item_row", "own.n_windows", "own.coverage", "own.exact")
     named = found.join(numbered.drop("text"), "item_row")
