@@ -9,7 +9,7 @@ executor's tasks be run again.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -88,6 +88,19 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keep_alone(name: str, clear: Callable[[], None] = lambda: None) -> None:
+    """Says whose tasks a Python worker runs now; what other operators have kept in it is let go.
+
+    Workers serve one task after another, so without this a pipeline would add up the caches of all its stages.
+    """
+    for other in [k for k in _kept if k != name]:
+        _kept.pop(other)()
+    _kept[name] = clear
+
+
 def chunks(lengths: list[int], most: int = CHUNK_CHARS) -> Iterator[slice]:
     """Cuts a list of texts into runs of about ``most`` characters; a longer text is a run by itself."""
     start = total = 0

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import (Scratch, components, fresh, hash_words, mixed, read_table, run_links, shingles, signed, split_words,
+from roadpulse.llm.common import (Scratch, components, fresh, keep_alone, hash_words, mixed, read_table, run_links, shingles, signed, split_words,
                                   text_chunks)
 from roadpulse.llm.jaccard import THRESHOLD, classes, joined_keys, signatures, verified_links
 
@@ -53,6 +53,7 @@ def sketch(docs: DataFrame, trees: int = TREES, length: int | None = None) -> Da
     width = length or prefix_length(trees=trees)
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_alone("forest")
         for b in batches:
             for part, texts in text_chunks(b["text"]):
                 sets = text_sets(texts)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Scratch, fresh, read_table, text_chunks
+from roadpulse.llm.common import Scratch, fresh, keep_alone, read_table, text_chunks
 from roadpulse.llm.grams import code_points, hashed_grams
 
 BUCKETS = 1 << 15
@@ -32,8 +32,22 @@ UNKNOWN = "und"
 # Documents of which less is in any one language are rejected.
 LEAST_SHARE = 0.5
 
-_words = re.compile(r"[^\W\d_]+").findall
-_places = re.compile(r"[^\W\d_]+").finditer
+_word_signs = re.compile(r"[^\W\d_]+")
+
+
+def letter_words(text: str) -> list[str]:
+    """Runs of letters. Number signs such as fractions and Roman numeral signs are word characters, but no letters."""
+    found = _word_signs.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for part in found for w in "".join(c if c.isalpha() else " " for c in part).split()]
+
+
+def word_starts(text: str) -> list[int]:
+    """Where each run of letters begins."""
+    return [m.start() + i for m in _word_signs.finditer(text) for i, c in enumerate(m.group())
+            if c.isalpha() and not (i and m.group()[i - 1].isalpha())]
+
 
 # First code points of blocks, and the script from there on.
 SCRIPTS = ((0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -70,7 +84,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for lang, own in b.groupby("lang")["text"]:
             total = grams.setdefault(lang, np.zeros(BUCKETS + len(_NAMES), np.int64))
             for _, texts in text_chunks(own):
-                seen = Counter(w for t in texts for w in _words(t.lower()))
+                seen = Counter(w for t in texts for w in letter_words(t.lower()))
                 if not seen:
                     continue
                 weights = np.fromiter(seen.values(), np.int64, len(seen))
@@ -142,7 +156,7 @@ def viterbi(scores: np.ndarray, code: np.ndarray, lengths: np.ndarray, switch: f
 
 def label_texts(model: Model, texts: list[str]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
     """Words of each text, the number of words, and all words' labels in sequence."""
-    words = [_words(t.lower()) for t in texts]
+    words = [letter_words(t.lower()) for t in texts]
     lengths = np.array([len(w) for w in words])
     flat = [w for own in words for w in own]
     if not flat or not model.langs:
@@ -160,9 +174,9 @@ def _spans(langs: list[str], text: str, labels: np.ndarray) -> list[dict]:
     cuts = np.flatnonzero(labels[1:] != labels[:-1]) + 1
     if not len(cuts):
         return [{"lang": langs[labels[0]], "start": 0, "end": len(text)}]
-    places = [m.start() for m in _places(text)]
+    places = word_starts(text)
     if len(places) != len(labels):  # lower case changed the number of words
-        places = [m.start() for m in _places(text.lower())]
+        places = word_starts(text.lower())
     edges = [0, *(min(places[c], len(text)) for c in cuts), len(text)]
     return [{"lang": langs[labels[c]], "start": a, "end": b} for c, a, b in zip([0, *cuts], edges, edges[1:])]
 
@@ -174,6 +188,7 @@ def _labels(docs: DataFrame, model: Model, with_spans: bool, name: str) -> DataF
 
     @F.pandas_udf("struct<lang_pred:string,score:double,spans:array<struct<lang:string,start:int,end:int>>>")
     def label(column: pd.Series) -> pd.DataFrame:
+        keep_alone("language")
         own, out = shared.value, []
         count = max(1, len(own.langs))
         for _, texts in text_chunks(column):

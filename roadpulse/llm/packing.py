@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Scratch, text_chunks
+from roadpulse.llm.common import Scratch, keep_alone, text_chunks
 
 SEQUENCE = 4096
 END_ID = 2
@@ -50,6 +50,7 @@ class Encoder:
     @staticmethod
     def of(path: str) -> Encoder:
         """One for each worker process and file."""
+        keep_alone("packing", _encoders.clear)
         if path not in _encoders:
             _encoders[path] = Encoder(path)
         return _encoders[path]

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Scratch, read_table, text_chunks
+from roadpulse.llm.common import Scratch, keep_alone, read_table, text_chunks
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("iban", "ssn")
@@ -31,9 +31,19 @@ _DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Further kinds.
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]{1,4}){3,8}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=[\x20]?[A-Z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
+# Characters of an account number by country.
+IBAN_LENGTHS = dict(part.split(":") for part in (
+    "AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BR:29 BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 DK:18 DO:28 EE:20 EG:29 ES:24 "
+    "FI:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HR:21 HU:28 IE:22 IL:23 IQ:23 IS:26 IT:27 JO:30 KW:30 KZ:20 LB:28 LC:32 "
+    "LI:21 LT:20 LU:20 LV:21 LY:25 MC:27 MD:24 ME:22 MK:19 MR:27 MT:31 MU:30 NL:18 NO:15 PK:24 PL:28 PS:29 PT:25 QA:29 RO:24 RS:22 "
+    "SA:24 SC:31 SE:24 SI:19 SK:24 SM:27 ST:25 SV:28 TL:23 TN:24 TR:26 UA:29 VA:22 VG:24 XK:20").split())
+# The rest of a number of each length, and of any length for other countries, with single spaces between.
+_IBAN_REST = {n: re.compile(rf"(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in range(15, 35)}
+_IBAN_OTHER = re.compile(r"(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+
 # Score of a span that its validator accepts, and the words that raise it when near.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "ssn": 0.4}
 CONTEXT_WORDS = {
@@ -61,6 +71,19 @@ def mod97(iban: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers, as long as their country's are, from left to right."""
+    start = _IBAN.search(text)
+    while start:
+        length = IBAN_LENGTHS.get(start.group()[:2])
+        rest = (_IBAN_REST[int(length)] if length else _IBAN_OTHER).match(text, start.end())
+        end = start.end()
+        if rest and mod97(text[start.start():rest.end()]):
+            end = rest.end()
+            yield start.start(), end
+        start = _IBAN.search(text, end)
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Addresses from left to right. Each holds one @, so the search goes from @ to @."""
     last = 0
@@ -108,7 +131,7 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
         for m in _PHONE.finditer(text):
             if 9 <= len(digits(m.group())) <= 15:
                 yield "phone", *m.span()
-    yield from (("iban", *m.span()) for m in _IBAN.finditer(text) if mod97(m.group()))
+    yield from (("iban", *s) for s in ibans(text))
     yield from (("ssn", *m.span()) for m in _SSN.finditer(text)
                 if m.group()[:3] not in ("000", "666") and m.group()[0] != "9" and m.group()[4:6] != "00" and m.group()[7:] != "0000")
 
@@ -133,6 +156,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf(SPAN_TYPE)
     def spans(texts: pd.Series) -> pd.Series:
+        keep_alone("pii")
         return pd.Series([[{"kind": k, "start": a, "end": b, "score": s} for k, a, b, s in scored(t)]
                           for _, own in text_chunks(texts) for t in own], dtype=object)
 
@@ -156,6 +180,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def cleaned(texts: pd.Series) -> pd.Series:
+        keep_alone("pii")
         return texts.map(lambda t: clean(t) if isinstance(t, str) else None)
 
     out = docs.withColumn("text", cleaned("text"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import MIX_A, MIX_B, Scratch, fresh, mixed, read_table, signed, text_chunks
+from roadpulse.llm.common import MIX_A, MIX_B, Scratch, fresh, keep_alone, mixed, read_table, signed, text_chunks
 
 WINDOW = 8
 MIN_TOKENS = 5
@@ -43,7 +43,7 @@ UNITS = frozenset((
 
 _tokens = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,]\d+)*|[^\w\s]|_|\n").findall
 _parts = re.compile(r"\d+|[^\W\d_]+|[^\w\s]|_").findall
-VOCABULARY = 400_000
+VOCABULARY = 300_000
 _ENDS = frozenset(".!?:\n")
 _SIGNS = frozenset("%$€£°")
 WORD, NUM, UNIT, NAME, END, UNIT_WORD, OTHER = range(7)
@@ -82,8 +82,13 @@ class Vocabulary(dict):
         self.tokens.append(token)
         return number
 
+    @classmethod
+    def forget(cls) -> None:
+        cls.own = None
+
     @classmethod
     def numbers(cls, cut: list[list[str]]) -> tuple[Vocabulary, np.ndarray]:
+        keep_alone("templates", cls.forget)
         if cls.own is None or len(cls.own) > VOCABULARY:
             cls.own = cls()
         raw = list(chain.from_iterable(cut))

@@ -58,126 +58,3 @@ def test_scripts_narrow_candidates():
     assert [language._NAMES[i] for i in language.scripts(codes)] == ["latin", "latin", "cyrillic", "kana", "han", "hangul"]
     uses = np.zeros((len(language._NAMES), 2), bool)
     uses[language._NAMES.index("latin"), 0] = uses[language._NAMES.index("cyrillic"), 1] = True
-    model = language.Model(["en", "ru"], np.zeros((language.BUCKETS, 2), np.float32), uses)
-    scores = language.word_scores(model, ["word", "слово", "漢字"])
-    assert scores[0, 0] > scores[0, 1] and scores[1, 1] > scores[1, 0] and scores[2, 0] == scores[2, 1] and "latin" in names
-
-
-@pytest.mark.parametrize("extra", [False, True])
-def test_language_of_hard_rows(spark, extra):
-    docs = frame(spark, hard_rows(), extra)
-    got = {r["doc_id"]: r for r in language.identify(docs, language.train(language.training_rows(docs))).collect()}
-    assert got[0]["lang_pred"] == got[1]["lang_pred"] == got[13]["lang_pred"] == "und"
-    assert language.identify(docs, language.train(docs.limit(0))).where("lang_pred <> 'und'").count() == 0
-    kept = language.keep_identified(docs, language.train(docs.where("lang IS NOT NULL")))
-    assert kept.columns == docs.columns and kept.where("text IS NULL").count() == 0
-    assert language.identify(frame(spark, []), language.train(docs.where("lang IS NOT NULL"))).count() == 0
-
-
-def test_quality_of_held_out_documents(spark):
-    labels = pd.read_parquet(f"{SF}/labels.parquet").set_index("doc_id")["quality"]
-    got = quality.op8_quality(spark, SF).toPandas().set_index("doc_id")
-    held = got[got["held_out"]].join(labels, how="inner")
-    good, bad = held[held["quality"] == 1]["score"].to_numpy(), held[held["quality"] == 0]["score"].to_numpy()
-    auc = (good[:, None] > bad[None, :]).mean()
-    assert len(bad) >= 5 and auc > 0.9
-    assert (held["predicted"] == (held["score"] >= 0.7)).all() and held[held["quality"] == 1]["predicted"].mean() > 0.9
-
-
-@pytest.mark.parametrize("extra", [False, True])
-def test_quality_of_hard_rows(spark, extra):
-    docs = frame(spark, hard_rows(), extra)
-    labels = spark.createDataFrame([(5, 1, 0), (9, 0, 0), (None, 0, 0), (5, 1, 0), (77, 1, 0)], "doc_id long, quality int, toxic int")
-    model = quality.train(docs, labels)
-    rows = quality.score(docs, model).collect()
-    assert len(rows) == len(hard_rows()) and all(0 <= r["score"] <= 1 for r in rows)
-    empty = quality.train(docs, labels.limit(0))
-    assert {r["score"] for r in quality.score(docs, empty).collect()} == {0.5}
-    assert quality.score(frame(spark, []), model).count() == 0
-
-
-def test_scores_equal_the_mean_of_the_features(spark):
-    rng = np.random.default_rng(2)
-    weights = rng.normal(size=quality.BUCKETS).astype(np.float32)
-    texts = ["some words and some more words é%%%", "", "one", "same same same other", "two words"]
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
-    got = {r["doc_id"]: r["score"] for r in quality.score(docs, (weights, 0.25)).collect()}
-    for i, t in enumerate(texts):
-        at, share = quality._bag(t)
-        assert got[i] == pytest.approx(1 / (1 + math.exp(-0.25 - float((weights[at] * share).sum()))), rel=1e-5)
-    assert quality.BUCKETS - 1 in quality._bag("same same")[0] and quality.BUCKETS - 1 not in quality._bag("same other")[0]
-
-
-def make_lm(spark, tmp_path):
-    rng = random.Random(3)
-    kinds = {True: ["the cat sat", "on a warm mat", "and slept all day"], False: ["buy cheap pills", "click here now", "free money fast"]}
-    rows = [(i, " ".join(rng.choice(kinds[i % 4 == 0]) for _ in range(30)), None, None, 1) for i in range(200)]
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 120, 4)] + [(1, 0, 0)], "doc_id long, quality int, toxic int")
-    labels.write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
-    stored(spark, frame(spark, rows + hard_rows()), tmp_path, "documents")
-    return rows
-
-
-def test_lm_scores(spark, tmp_path):
-    rows = make_lm(spark, tmp_path)
-    got = lm.op3_lm(spark, str(tmp_path)).toPandas()
-    assert len(got) == len(rows) + len(hard_rows()) and np.isfinite(got["score"]).all()
-    unseen = got[got["doc_id"].between(120, 199)]
-    like = unseen["doc_id"] % 4 == 0
-    assert unseen[like]["score"].max() < unseen[~like]["score"].min()
-    none = got[got["n_tokens"] == 0]
-    assert len(none) >= 3 and (none["score"] == 0).all()
-
-
-def test_lm_losses_equal_a_plain_count(spark, tmp_path):
-    rows = [(0, "a b a b c", None, None, 1), (1, "b c c a", None, None, 1), (2, "c a b", None, None, 1)]
-    docs = frame(spark, rows).selectExpr("doc_id", "text", "doc_id = 0 AS target")
-    models = lm.train(docs, size=2)
-    words = sorted("abc", key=lambda w: (-sum(r[1].split().count(w) for r in rows), w))[:2]
-    assert list(models.words) == words
-
-    def token(w):
-        return w if w in words else "rare1"
-
-    vocab = 2 + lm.RARE
-    for target, column in ((True, 0), (False, 1)):
-        texts = [[token(w) for w in r[1].split()] for r in rows if (r[0] == 0) == target]
-        flat = [w for t in texts for w in t]
-        pairs = [p for t in texts for p in zip(["<s>", *t], t)]
-        before = [p[0] for p in pairs]
-        own, loss = [token(w) for w in "b a c".split()], 0.0
-        for p, w in zip(["<s>", *own], own):
-            single = (flat.count(w) + lm.SMOOTHING) / (len(flat) + lm.SMOOTHING * vocab)
-            share = pairs.count((p, w)) / max(1, before.count(p))
-            loss -= math.log(lm.BIGRAM_WEIGHT * share + (1 - lm.BIGRAM_WEIGHT) * single)
-        n, got = lm.losses(models, ["b a c"])
-        assert n[0] == 3 and got[0, column] == pytest.approx(loss / 3, rel=1e-4)
-
-
-def test_lm_of_an_empty_table(spark, tmp_path):
-    stored(spark, frame(spark, []), tmp_path, "documents")
-    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    assert lm.op3_lm(spark, str(tmp_path)).count() == 0
-
-
-@pytest.mark.parametrize("most", [2_000, 8_000_000])
-def test_lm_counts_every_word_and_pair(spark, tmp_path, monkeypatch, most):
-    monkeypatch.setattr(lm, "BLOCK_CHARS", most)  # many blocks, or few
-    rng = random.Random(8)
-    rows = [(i, " ".join(f"w{int(30_000 * rng.random() ** 3)}" for _ in range(rng.randrange(1, 700))), None, None, 1) for i in range(300)]
-    rows += [(1000, " ".join(f"once{i}" for i in range(25_000)), None, None, 1)]
-    stored(spark, frame(spark, rows + hard_rows()[:3]), tmp_path, "documents")
-    spark.createDataFrame([(i, 1, 0) for i in range(0, 300, 3)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    got = {r["doc_id"]: r for r in lm.op3_lm(spark, str(tmp_path)).where("n_tokens > 0").collect()}
-    texts = {r[0]: r[1].split() for r in rows}
-    size, want = len({w for t in texts.values() for w in t}), {}
-    for good, column in ((True, "loss_target"), (False, "loss_background")):
-        own = [t for i, t in texts.items() if (i < 300 and i % 3 == 0) == good]
-        single, pairs = Counter(w for t in own for w in t), Counter(p for t in own for p in zip(["", *t], t))
-        before, n = Counter(w for t in own for w in ["", *t[:-1]]), sum(map(len, own))
-        for i, t in texts.items():
-            p = [lm.BIGRAM_WEIGHT * pairs[a, w] / max(1, before[a]) + (1 - lm.BIGRAM_WEIGHT) * (single[w] + lm.SMOOTHING) / (n + lm.SMOOTHING * size)
-                 for a, w in zip(["", *t], t)]
-            want[i, column] = -sum(map(math.log, p)) / len(t)
-    assert size > 40_000 and got.keys() == texts.keys()
-    assert all(got[i][column] == pytest.approx(loss, rel=1e-9) for (i, column), loss in want.items())

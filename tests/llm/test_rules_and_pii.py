@@ -111,3 +111,20 @@ def test_redaction(spark, extra):
     got = {r["doc_id"]: r for r in out.collect()}
     assert got[90]["text"] == "mail [EMAIL] or [IP] end" and got[90]["n_chars"] == len(got[90]["text"])
     assert got[0]["text"] is None and got[1]["text"] == ""
+
+
+@pytest.mark.parametrize("text,number", [
+    ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "DE89 3704 0044 0532 0130 00"), ("IBAN DE89370400440532013000 OK", "DE89370400440532013000"),
+    ("GB82 WEST 1234 5698 7654 32 AND", "GB82 WEST 1234 5698 7654 32"), ("see DE89370400440532013000.", "DE89370400440532013000"),
+    ("IBAN DE89 3704 0044 0532 0130 01 BIC", None), ("XDE89370400440532013000", None), ("DE893704004405320130001", None)])
+def test_account_numbers_end_by_country(text, number):
+    assert [text[a:b] for kind, a, b in pii.proposals(text) if kind == "iban"] == ([number] if number else [])
+
+
+def test_long_upper_case_words_are_linear():
+    import time
+
+    text = "AB12 " + ("AB12" + "X" * 40 + " ") * 20_000
+    start = time.perf_counter()
+    list(pii.proposals(text))
+    assert time.perf_counter() - start < 5
