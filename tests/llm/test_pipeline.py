@@ -16,7 +16,7 @@ def make(spark, folder, rows):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(n[2:].split("_")[0]) for n in all_queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
