@@ -1,8 +1,9 @@
-"""N-gram Jaccard join by a MinHash LSH forest (operator 4).
+"""N-gram Jaccard join by MinHash bands (operator 4).
 
-Each text's set of five-word shingles gets a label of MinHash values in each of several trees. A tree is the sorted
-prefix trie of its labels; texts below one node are candidates. The matched prefix starts at the label's full depth and
-is shortened until pairs at the threshold meet in some tree with the target recall. Candidates are then verified exactly.
+Each text's set of five-word shingles gets a label of MinHash values in each of several trees. The length of the labels
+is the most with which pairs at the threshold meet in some tree with the target recall; it follows from the threshold, the recall and the
+number of trees. This is fixed banding: no tries are built, and nothing is shortened by what was matched. Texts with an equal
+label in a tree are candidates, which are then verified exactly.
 
 Rows: texts of one to four words have one shingle of all their words; NULL, empty and blank texts have none, are linked to
 nothing and form classes of their own; texts of equal shingle sets count as copies, linked to each other; NULL ``doc_id`` values are

@@ -1,8 +1,8 @@
-"""Repeated passages by sparse suffix arrays (operator 5).
+"""Repeated passages by hashed anchors at minimisers (operator 5).
 
-Only suffixes at minimisers are kept: the places whose run of ``ANCHOR`` words has the least hash among the runs that begin
-within a window. Two texts that share ``PASSAGE`` words share such a place in them. The suffixes are range-sorted by that run and
-compared with their neighbours; around each that has an equal neighbour, the match is extended left and right, by sliding a
+Only places at minimisers are kept: those whose run of ``ANCHOR`` words has the least hash among the runs that begin
+within a window. Two texts that share ``PASSAGE`` words share such a place in them. The places are range-sorted by the hash of that run,
+which stands in for the order of suffixes; around each whose neighbour has an equal hash, the match is extended left and right, by sliding a
 window of ``PASSAGE`` words over it for as long as the window is found in another document too.
 
 Rows: NULL texts and those of fewer than ``PASSAGE`` words have no passages; NULL ``doc_id`` stays NULL, and rows with one id
