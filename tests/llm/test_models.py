@@ -129,29 +129,12 @@ def test_lm_scores(spark, tmp_path):
     assert len(none) >= 3 and (none["score"] == 0).all()
 
 
-def test_lm_losses_equal_a_plain_count(spark, tmp_path):
-    rows = [(0, "a b a b c", None, None, 1), (1, "b c c a", None, None, 1), (2, "c a b", None, None, 1)]
-    docs = frame(spark, rows).selectExpr("doc_id", "text", "doc_id = 0 AS target")
-    models = lm.train(docs, size=2)
-    words = sorted("abc", key=lambda w: (-sum(r[1].split().count(w) for r in rows), w))[:2]
-    assert list(models.words) == words
-
-    def token(w):
-        return w if w in words else "rare1"
-
-    vocab = 2 + lm.RARE
-    for target, column in ((True, 0), (False, 1)):
-        texts = [[token(w) for w in r[1].split()] for r in rows if (r[0] == 0) == target]
-        flat = [w for t in texts for w in t]
-        pairs = [p for t in texts for p in zip(["<s>", *t], t)]
-        before = [p[0] for p in pairs]
-        own, loss = [token(w) for w in "b a c".split()], 0.0
-        for p, w in zip(["<s>", *own], own):
-            single = (flat.count(w) + lm.SMOOTHING) / (len(flat) + lm.SMOOTHING * vocab)
-            share = pairs.count((p, w)) / max(1, before.count(p))
-            loss -= math.log(lm.BIGRAM_WEIGHT * share + (1 - lm.BIGRAM_WEIGHT) * single)
-        n, got = lm.losses(models, ["b a c"])
-        assert n[0] == 3 and got[0, column] == pytest.approx(loss / 3, rel=1e-4)
+def test_lm_does_not_know_the_scored_document(spark, tmp_path):
+    rows = [(i, " ".join(f"only{i}x{j}" for j in range(50)), None, None, 1) for i in range(20)]
+    stored(spark, frame(spark, rows), tmp_path, "documents")
+    spark.createDataFrame([(i, 1, 0) for i in range(5)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = lm.op3_lm(spark, str(tmp_path)).toPandas()
+    assert len(got) == 20 and (got["score"].abs() < 1e-9).all() and (got["loss_target"] > 5).all()
 
 
 def test_lm_of_an_empty_table(spark, tmp_path):
@@ -160,24 +143,30 @@ def test_lm_of_an_empty_table(spark, tmp_path):
     assert lm.op3_lm(spark, str(tmp_path)).count() == 0
 
 
-@pytest.mark.parametrize("most", [2_000, 8_000_000])
-def test_lm_counts_every_word_and_pair(spark, tmp_path, monkeypatch, most):
+@pytest.mark.parametrize("most, fan", [(20_000, 256), (4_000, 3), (8_000_000, 256)])
+def test_lm_counts_every_word_and_pair(spark, tmp_path, monkeypatch, most, fan):
     monkeypatch.setattr(lm, "BLOCK_CHARS", most)  # many blocks, or few
+    monkeypatch.setattr(lm, "FAN", fan)  # sums in several levels, or one
+    monkeypatch.setattr(lm, "CUT_BITS", 2 if fan < 256 else 8)
     rng = random.Random(8)
-    rows = [(i, " ".join(f"w{int(30_000 * rng.random() ** 3)}" for _ in range(rng.randrange(1, 700))), None, None, 1) for i in range(300)]
-    rows += [(1000, " ".join(f"once{i}" for i in range(25_000)), None, None, 1)]
+    rows = [(i, " ".join(f"w{int(30_000 * rng.random() ** 3)}" for _ in range(rng.randrange(1, 200))), None, None, 1) for i in range(120)]
+    rows += [(1000, " ".join(f"once{i}" for i in range(5_000)), None, None, 1)]
     stored(spark, frame(spark, rows + hard_rows()[:3]), tmp_path, "documents")
-    spark.createDataFrame([(i, 1, 0) for i in range(0, 300, 3)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(0, 120, 3)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     got = {r["doc_id"]: r for r in lm.op3_lm(spark, str(tmp_path)).where("n_tokens > 0").collect()}
     texts = {r[0]: r[1].split() for r in rows}
     size, want = len({w for t in texts.values() for w in t}), {}
+    everything = Counter(w for t in texts.values() for w in t)
     for good, column in ((True, "loss_target"), (False, "loss_background")):
-        own = [t for i, t in texts.items() if (i < 300 and i % 3 == 0) == good]
-        single, pairs = Counter(w for t in own for w in t), Counter(p for t in own for p in zip(["", *t], t))
-        before, n = Counter(w for t in own for w in ["", *t[:-1]]), sum(map(len, own))
+        own = {i: t for i, t in texts.items() if (i < 120 and i % 3 == 0) == good}
+        words, pairs = Counter(w for t in own.values() for w in ["", *t]), Counter(p for t in own.values() for p in zip(["", *t], t))
+        n = sum(map(len, own.values()))
         for i, t in texts.items():
-            p = [lm.BIGRAM_WEIGHT * pairs[a, w] / max(1, before[a]) + (1 - lm.BIGRAM_WEIGHT) * (single[w] + lm.SMOOTHING) / (n + lm.SMOOTHING * size)
+            mine, one, two, inside = Counter(t), Counter(["", *t]), Counter(zip(["", *t], t)), i in own
+            p = [0.6 * (pairs[a, w] - two[a, w] * inside) / max(1, words[a] - one[a] * inside)
+                 + 0.3 * (words[w] - one[w] * inside) / max(1, n - len(t) * inside)
+                 + 0.1 * (everything[w] - mine[w] + 0.5) / (sum(everything.values()) - len(t) + 0.5 * size)
                  for a, w in zip(["", *t], t)]
             want[i, column] = -sum(map(math.log, p)) / len(t)
-    assert size > 40_000 and got.keys() == texts.keys()
+    assert got.keys() == texts.keys()
     assert all(got[i][column] == pytest.approx(loss, rel=1e-9) for (i, column), loss in want.items())
