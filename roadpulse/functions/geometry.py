@@ -240,6 +240,32 @@ def _decode_batch(data: pd.Series) -> list[np.ndarray | None]:
     return out
 
 
+def _decode_parts(data: bytes | None) -> list[np.ndarray] | None:
+    """All parts of a line or a multi line that have two points or more; None if there is none, or any byte is not as it should be."""
+    single = _decode_wkb(data)
+    if single is not None or data is None or len(data) < 9 or data[0] > 1:
+        return None if single is None or len(single) < 4 else [single]
+    order = "<" if data[0] == 1 else ">"
+    code = int(np.frombuffer(data, order + "u4", 1, 1)[0])
+    at = 9 if code & _WKB_SRID_FLAG else 5
+    if (code & 0x0FFFFFFF) % 1000 != _WKB_MULTI_LINE or len(data) < at + 4:
+        return None
+    count, at, found = int(np.frombuffer(data, order + "u4", 1, at)[0]), at + 4, []
+    for _ in range(count):
+        if len(data) < at + 9 or data[at] > 1:
+            return None
+        inner = "<" if data[at] == 1 else ">"
+        kind, points = (int(v) for v in np.frombuffer(data, inner + "u4", 2, at + 1))
+        width = 2 + bool(kind & _WKB_Z_FLAG) + bool(kind & _WKB_M_FLAG) + _ISO_EXTRA.get((kind & 0x0FFFFFFF) // 1000, 0)
+        end = at + 9 + 8 * width * points
+        part = _decode_wkb(data[at:end])
+        if part is None:
+            return None
+        found.append(part)
+        at = end
+    return [part for part in found if len(part) >= 4] or None if at == len(data) else None
+
+
 def _encode_wkb(values: np.ndarray | None) -> bytes | None:
     if values is None:
         return None
@@ -258,6 +284,15 @@ def _wkb_coords(data: pd.Series) -> pd.DataFrame:
                          "y": pd.Series([None if v is None else v[1::2] for v in flat], dtype=object)})
 
 
+_PARTS = T.StructType([T.StructField(c, T.ArrayType(T.ArrayType(T.DoubleType()))) for c in ("x", "y")])
+
+
+@F.pandas_udf(_PARTS)
+def _wkb_parts(data: pd.Series) -> pd.DataFrame:
+    parts = [_decode_parts(v) for v in data.tolist()]
+    return pd.DataFrame({c: pd.Series([None if v is None else [p[i::2] for p in v] for v in parts], dtype=object) for i, c in enumerate("xy")})
+
+
 @F.pandas_udf(T.BinaryType())
 def _wkb_bytes(flat: pd.Series) -> pd.Series:
     return flat.map(_encode_wkb, na_action="ignore")
@@ -269,6 +304,12 @@ def from_wkb(data: Column | str) -> Column:
     return F.arrays_zip(coords["x"], coords["y"]).cast(LINE_TYPE)
 
 
+def lines_from_wkb(data: Column | str) -> Column:
+    """All parts of two points or more of a WKB or EWKB line or multi line, in order: ``array<line>``; anything else gives NULL."""
+    parts = _wkb_parts(F.col(data) if isinstance(data, str) else data)
+    return F.zip_with(parts["x"], parts["y"], lambda x, y: F.arrays_zip(x, y)).cast(f"array<{LINE_TYPE}>")
+
+
 def to_wkb(line: str) -> Column:
     return _wkb_bytes(F.expr(f"flatten(transform({line}, p -> array(p.x, p.y)))"))
 

@@ -32,19 +32,29 @@ def normalise_edges(edges: DataFrame) -> DataFrame:
 
 
 def distinct_edges(edges: DataFrame) -> DataFrame:
-    """Edges without self-loops, one per (osmid, u, v)."""
-    return drop_copies(edges.filter(F.col("u") != F.col("v")), ["osmid", "u", "v"])
+    """Edges without self-loops, one per (osmid, u, v), or for each of its parts where ``with_line`` has told them apart."""
+    part = ["part"] if "part" in edges.columns else []
+    return drop_copies(edges.filter(F.col("u") != F.col("v")), ["osmid", "u", "v", *part])
 
 
 def with_line(edges: DataFrame) -> DataFrame:
-    """Decode a WKB geometry column; a line column stays as it is."""
-    if isinstance(edges.schema["geometry"].dataType, T.BinaryType):
-        return edges.withColumn("geometry", geo.from_wkb("geometry"))
-    return edges
+    """Decode a WKB geometry column, one row for each part of a multi line; a line column stays as it is.
+
+    ``part`` numbers the parts of an edge from 0, ``earlier`` has the metres of those before it. An edge without a
+    usable line stays as one row with a NULL geometry. Copies of an edge must be left out before.
+    """
+    if not isinstance(edges.schema["geometry"].dataType, T.BinaryType):
+        return edges
+    lines = edges.withColumn("_lines", geo.lines_from_wkb("geometry")).withColumn(
+        "_metres", F.expr(f"transform(_lines, l -> {geo.line_metres('l')})"))
+    rest = [c for c in edges.columns if c != "geometry"]
+    return lines.select(*rest, "_metres", F.posexplode_outer("_lines").alias("_place", "geometry")).select(
+        *rest, F.coalesce("_place", F.lit(0)).alias("part"),
+        F.expr("coalesce(slice(_metres, 1, _place), cast(array() as array<double>))").alias("earlier"), "geometry")
 
 
 def build_road_network(edges: DataFrame) -> DataFrame:
-    """The edge table with spheroidal length, azimuth and a numeric speed limit."""
+    """The edge table with spheroidal length, azimuth and a numeric speed limit; a row for each part of a multi line."""
     return with_line(distinct_edges(edges)).select(
         "u", "v", "osmid", "name", "oneway", "highway",
         clean_speed_limit(F.col("maxspeed")).alias("speed_limit"),
@@ -83,14 +93,16 @@ def build_road_segments(edges: DataFrame, chunk_m: float = 100.0, id_scope: str
     """Roads cut into pieces of about ``chunk_m`` metres, one row per segment id.
 
     ``id_scope="osmid"`` numbers chunks per way id, so edges of one way share ids and the
-    lowest (u, v) keeps each; ``"edge"`` numbers them per edge and keeps every piece.
+    lowest (u, v) keeps each; ``"edge"`` numbers them per edge and keeps every piece. Chunks of a multi line
+    are numbered on from part to part; none spans two parts.
     """
     if id_scope not in ("osmid", "edge"):
         raise ValueError("id_scope is 'osmid' or 'edge'")
     owner = F.col("osmid") if id_scope == "osmid" else F.concat_ws("_", "osmid", "u", "v")
     lines = with_line(distinct_edges(edges)).withColumn("run", F.expr(geo.running_length("geometry")))
+    before = F.expr(f"aggregate(earlier, 0, (n, m) -> n + int(greatest(ceil(m / {float(chunk_m)}D), 1)))") if "earlier" in lines.columns else F.lit(0)
     cut = chunk_plan(lines, chunk_m).select(
-        segment_id(owner, F.col("chunk")).alias("segment_id"),
+        segment_id(owner, F.col("chunk") + before).alias("segment_id"),
         "osmid", "u", "v", "name", "oneway", "highway", "maxspeed", "lanes",
         F.expr(geo.line_substring("geometry", "run", "begin_at", "end_at")).alias("geometry"),
     )

@@ -60,7 +60,7 @@ def process_roads(spark: SparkSession, edges_path: str, network: str | Jdbc, seg
 
     Both tables are refreshed whole. The distinct edges feed two writes, so they are kept.
     """
-    edges = cut_lineage(roads.distinct_edges(roads.with_line(tables.read_table(spark, edges_path))), ("osmid", "u", "v"))
+    edges = cut_lineage(roads.with_line(roads.distinct_edges(tables.read_table(spark, edges_path))), ("osmid", "u", "v"))
     net, net_rows = summary.counted(roads.build_road_network(edges), "road_network")
     _store(net, network, ROAD_NETWORK)
     cut = roads.build_road_segments(edges, chunk_m, id_scope)

@@ -257,6 +257,7 @@ def all_oracles() -> dict[str, str]:
             round({_azimuth('sx', 'sy', 'ex', 'ey')}, 6) AS azimuth FROM edges"""),
         "segment_plan": _sql("fractions", "SELECT osmid, u, v, chunks, chunk, round(begin_at, 9) AS begin_at, round(end_at, 9) AS end_at FROM fractions"),
         "segment_split": _sql("segs", f"SELECT segment_id, osmid, u, v, name, oneway, highway, speed_limit, lanes, round(azimuth, 6) AS azimuth, round(length, 4) AS length, {_ENDS} FROM segs"),
+        "multi_line_segments": _sql("plan", "SELECT osmid, u, v, 2 * n AS pieces, 0::BIGINT AS first, 2 * n - 1 AS last, 2 * n AS ids, round(2 * line_m, 3) AS total FROM (SELECT *, CAST(greatest(ceil(line_m / 100), 1) AS BIGINT) AS n FROM plan)"),
         "segment_split_by_edge": _sql("plan", "SELECT osmid, u, v, CAST(greatest(ceil(line_m / 250), 1) AS BIGINT) AS pieces, round(line_m, 3) AS total FROM plan"),
         "geometry_round_trip": _sql("road_edges_raw", """SELECT u, round(x1 / 1e6::DOUBLE, 7) AS start_x, round(y1 / 1e6::DOUBLE, 7) AS start_y, round(x2 / 1e6::DOUBLE, 7) AS end_x,
             round(y2 / 1e6::DOUBLE, 7) AS end_y, round(y1 / 1e6::DOUBLE, 7) AS flip_x, true AS same FROM road_edges_raw"""),

@@ -507,6 +507,19 @@ def multi_line_split(spark, sf):
     return parts.select("u", *_ends())
 
 
+@query
+def multi_line_segments(spark, sf):
+    """Each road and its way back as a stored multi line, cut into segments that are numbered on from part to part."""
+    edges = roads.distinct_edges(fx.road_edges(spark, sf)).withColumn("_back", F.expr("reverse(geometry)"))
+    head = F.unhex(F.lit("010500000002000000"))  # a multi line of two parts
+    multi = edges.withColumn("geometry", F.concat(head, geo.to_wkb("geometry"), geo.to_wkb("_back"))).drop("_back")
+    pieces = roads.build_road_segments(multi, id_scope="edge").withColumn(
+        "number", F.substring_index("segment_id", "_", -1).cast("bigint"))
+    return pieces.groupBy("osmid", "u", "v").agg(
+        F.count("*").alias("pieces"), F.min("number").alias("first"), F.max("number").alias("last"),
+        F.count_distinct("segment_id").alias("ids"), F.round(F.sum("length"), 3).alias("total"))
+
+
 @query
 def lenient_flags(spark, sf):
     flow = fx.flow_raw(spark, sf)

@@ -164,6 +164,23 @@ def test_wkb_with_more_values(spark):
     assert [got[i] for i in range(len(values))] == [[(1, 2), (3, 4)]] * 4 + [None, [(1, 2), (3, 4)], None, None, None]
 
 
+def test_wkb_parts(spark):
+    """All parts of two points or more, in their own byte orders; a broken part spoils the whole."""
+    def line(order, code, *rows):
+        flat = [v for r in rows for v in r]
+        return (b"\x01" if order == "<" else b"\x00") + struct.pack(f"{order}II{len(flat)}d", code, len(rows), *flat)
+
+    one, other = line("<", 2, (1, 2), (3, 4)), line(">", 0x80000002, (5, 6, 9), (7, 8, 9), (9, 9, 9))
+    dot, point = line("<", 2, (1, 2)), b"\x01" + struct.pack("<I2d", 1, 1.0, 2.0)
+    values = [one, struct.pack("<BII", 1, 5, 2) + one + other, struct.pack(">BII", 0, 5, 3) + other + dot + one,
+              struct.pack("<BIII", 1, 5 | 0x20000000, 4326, 1) + one, struct.pack("<BII", 1, 5, 1) + dot,
+              struct.pack("<BII", 1, 5, 2) + one + other[:-1], struct.pack("<BII", 1, 5, 1) + one + one, struct.pack("<BII", 1, 5, 0), point, dot, b"\x01", None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v binary").coalesce(1)
+    got = {r[0]: r[1] and [[tuple(p) for p in l] for l in r[1]] for r in rows.select("i", geo.lines_from_wkb("v")).collect()}
+    a, b = [(1, 2), (3, 4)], [(5, 6), (7, 8), (9, 9)]
+    assert [got[i] for i in range(len(values))] == [[a], [a, b], [b, a], [a]] + [None] * 8
+
+
 def test_wkb_forms(spark):
     pts = [1.0, 2.0, 3.0, 4.0]
     little = b"\x01" + struct.pack("<II4d", 2, 2, *pts)
