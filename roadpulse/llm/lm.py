@@ -124,19 +124,39 @@ def wide(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, f"<u{max(1, len(data) // max(1, n))}").astype(np.int64)
 
 
+def key_bytes(keys: np.ndarray) -> bytes:
+    """Sorted distinct keys: bytes of a gap, the first key, and the gaps in that many bytes."""
+    if not len(keys):
+        return b""
+    gaps = np.diff(keys)
+    size = (int(gaps.max(initial=1)).bit_length() + 7) // 8
+    return bytes([size]) + keys[:1].tobytes() + gaps.view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def keys_of(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.uint64)
+    gaps = np.frombuffer(data, np.uint8, offset=9).reshape(-1, data[0])
+    every = np.zeros((len(gaps) + 1, 8), np.uint8)
+    every[1:, :data[0]] = gaps
+    keys = every.view(np.uint64).ravel()
+    keys[0] = np.frombuffer(data, np.uint64, 1, 1)[0]
+    return np.cumsum(keys, dtype=np.uint64)
+
+
 def cuts(node: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> pd.DataFrame:
     """Rows of a node, one for each value of the first ``bits`` bits of its sorted keys."""
     top = (keys >> np.uint64(64 - bits)).astype(np.int64)
     starts = np.flatnonzero(np.r_[True, top[1:] != top[:-1]]) if len(top) else np.zeros(0, np.int64)
     runs = [slice(a, b) for a, b in zip(starts, np.r_[starts[1:], len(top)])]
-    return pd.DataFrame({"node": np.full(len(runs), node, np.int64), "part": top[starts], "k": [keys[r].tobytes() for r in runs],
+    return pd.DataFrame({"node": np.full(len(runs), node, np.int64), "part": top[starts], "k": [key_bytes(keys[r]) for r in runs],
                          "target": [narrow(counts[0, r]) for r in runs], "background": [narrow(counts[1, r]) for r in runs]})
 
 
 def read_cuts(rows: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
     found = []
     for k, target, background in zip(rows["k"], rows["target"], rows["background"]):
-        keys = np.frombuffer(k, "<u8")
+        keys = keys_of(k)
         found.append((keys, np.stack([wide(target, len(keys)), wide(background, len(keys))])))
     return found
 

@@ -137,6 +137,16 @@ def test_lm_does_not_know_the_scored_document(spark, tmp_path):
     assert len(got) == 20 and (got["score"].abs() < 1e-9).all() and (got["loss_target"] > 5).all()
 
 
+def test_lm_keys_come_back_from_their_gaps():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 2, 1000):
+        for top in (1 << 12, 1 << 64):
+            keys = np.unique(rng.integers(0, top - 1, n, np.uint64, endpoint=True))
+            assert (lm.keys_of(lm.key_bytes(keys)) == keys).all()
+    ends = np.array([0, (1 << 64) - 1], np.uint64)
+    assert (lm.keys_of(lm.key_bytes(ends)) == ends).all()
+
+
 def test_lm_of_an_empty_table(spark, tmp_path):
     stored(spark, frame(spark, []), tmp_path, "documents")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
