@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -106,17 +106,28 @@ def merged_palette(config: Column) -> Column:
 
     Names are lower-cased, bad colours are ignored, and of equal names the last one counts.
     """
+    # A name that Python repeats is worked out again at each place, and in a lambda for each entry; so both steps are bound.
     pairs = F.filter(
         F.transform(F.map_entries(config), lambda e: F.struct(F.lower(e["key"]).alias("k"), hex_colour(e["value"]).alias("v"))),
         lambda e: e["v"].isNotNull(),
     )
-    def is_last(pair: Column, i: Column) -> Column:
-        later = F.slice(pairs, i + 2, F.greatest(F.size(pairs) - i - 1, F.lit(0)))
-        return ~F.exists(later, lambda other: other["k"] == pair["k"])
 
-    chosen = F.map_from_entries(F.filter(pairs, is_last))
-    kept = F.map_filter(default_palette(), lambda k, v: ~F.map_contains_key(chosen, k))
-    return F.when(config.isNull(), default_palette()).otherwise(F.map_concat(kept, chosen))
+    def last_ones(pairs: Column) -> Column:
+        def is_last(pair: Column, i: Column) -> Column:
+            later = F.slice(pairs, i + 2, F.greatest(F.size(pairs) - i - 1, F.lit(0)))
+            return ~F.exists(later, lambda other: other["k"] == pair["k"])
+        return F.map_from_entries(F.filter(pairs, is_last))
+
+    def over_defaults(chosen: Column) -> Column:
+        kept = F.map_filter(default_palette(), lambda k, v: ~F.map_contains_key(chosen, k))
+        return F.map_concat(kept, chosen)
+
+    return F.when(config.isNull(), default_palette()).otherwise(_bound(_bound(pairs, last_ones), over_defaults))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def colour_of(palette: Column, display: Column) -> Column:

@@ -89,6 +89,12 @@ def test_palette_last_equal_name_counts(spark):
     assert p[0]["low"] == 0xFF000002 and p[0]["high"] == 0xFFE91E63 and p[1]["low"] == 0xFF00BCD4
 
 
+def test_palette_is_worked_out_once(spark):
+    df = spark.sql("select map('Low', '#000001') c").select(traffic.merged_palette(F.col("c")).alias("p"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.lower().count("map_entries(") == 1
+
+
 @pytest.mark.parametrize("zoom, count", [(11.9, 3), (12, 7), (13.9, 7), (14, 9), (16, None)])
 def test_zoom_tiers(zoom, count):
     classes = traffic.classes_at_zoom(zoom)
