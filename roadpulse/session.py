@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +69,14 @@ def cut_lineage(df: DataFrame, spread_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and go on from the written rows."""
     checkpoint_dir(df.sparkSession)
     return (spread(df, *spread_by) if spread_by else df).checkpoint(eager=True)
+
+
+def keep_small(df: DataFrame) -> DataFrame:
+    """Write ``df`` to Parquet below the checkpoint folder and go on from there.
+
+    Rows of a checkpoint still count as many as what they were made from was thought to be; files have their own size, by which
+    Spark decides on broadcasts. For tables that are much smaller than those they are joined to.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

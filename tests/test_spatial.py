@@ -261,3 +261,24 @@ def test_segment_files_split_a_dense_tile(spark, sf, tmp_path):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     files = spark.read.parquet(str(tmp_path / "s")).selectExpr("_metadata.file_name as f").groupBy("f").count().collect()
     assert len(files) >= 3
+
+
+def test_pairs_run_as_compiled_code(spark, tables):
+    """The JVM compiles methods of up to 8,000 bytes only; what Spark makes of the steps of a pair stays below."""
+    segments = tables[1].selectExpr("string(j) as segment_id", "0D as azimuth", "geometry")
+    metrics = matching.match_metrics(tables[0], segments, "i")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        made = metrics.select("*")._jdf.queryExecution().debug().codegenToSeq()
+        largest = max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert 0 < largest < 8000
+
+
+def test_pieces_without_a_coordinate_are_left_out(spark):
+    rows = [(1, [(105.81, 21.01), (105.811, 21.011)]), (2, [(105.81, 21.01), (None, 21.011)])]
+    lines = spark.createDataFrame(rows, f"i bigint, line {LINE}")
+    found = spatial.intersecting_lines(lines, lines.withColumnsRenamed({"i": "j"}), "i", "j", left_line="line", right_line="line")
+    assert [tuple(r) for r in found.collect()] == [(1, 1)]
