@@ -55,11 +55,26 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
 
 
+def without_shuffles(df: DataFrame) -> DataFrame:
+    """The same rows, as a frame to be run once: Spark removes its shuffle files when that run ends, not when the driver happens to collect garbage.
+
+    Spark takes the setting when a frame is made, so other frames of the session keep their own.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return df.select("*")
+    finally:
+        conf.set(name, before)
+
+
 class Scratch:
     """Intermediate tables of one job, as Parquet below the shared folder the session names.
 
     Every table is written whole before it is read, so what follows does not depend on the
-    executors that made it. ``drop`` removes a table that no later step reads.
+    executors that made it, and the shuffle files of its making go as soon as it is written.
+    ``drop`` removes a table that no later step reads.
     """
 
     def __init__(self, spark: SparkSession, job: str):
@@ -72,7 +87,7 @@ class Scratch:
         self.count += 1
         path = f"{self.root}/{self.count}-{name}"
         schema = df.schema
-        df.write.parquet(path)
+        without_shuffles(df).write.parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, df: DataFrame) -> None:

@@ -83,8 +83,8 @@ def explode_keys(items: DataFrame) -> DataFrame:
     return items.select("item", "keys").mapInPandas(spread, "k long, v long")
 
 
-def grouped(scratch: Scratch, rows: DataFrame, sets_of, threshold: float = THRESHOLD) -> DataFrame:
-    """rid, doc_id, class_id, copy_id, n_links, keep for stored rows (rid, doc_id, hi, lo, n_shingles, keys).
+def grouped(scratch: Scratch, rows: DataFrame, sets_of, threshold: float = THRESHOLD, also: tuple[str, ...] = ()) -> DataFrame:
+    """rid, doc_id, class_id, copy_id, n_links, keep and the columns ``also`` for stored rows (rid, doc_id, hi, lo, n_shingles, keys).
 
     Rows of one digest are one item, so copies cost no links. Candidates come from equal keys, links from exact verification;
     ``sets_of(frame)`` adds ``shingles`` to a frame with ``item``, the rid of an item's first row.
@@ -99,22 +99,18 @@ def grouped(scratch: Scratch, rows: DataFrame, sets_of, threshold: float = THRES
     verified = verified_links(scratch, keyed, regions, sets_of, threshold)
     joined = classes(scratch, verified)
     links = verified.groupBy("item").agg(F.sum("links").alias("links"))
-    named = scratch.store(
-        items.join(links, "item", "left").join(joined.withColumnRenamed("v", "item"), "item", "left")
-        .withColumn("root", F.coalesce("root", "item")), "classes")
-    # A class has the name of its least id; ids of its items meet in an aggregate with partial sums.
-    names = named.groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    first = rows.where(~blank).groupBy("hi", "lo").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")).join(
-        named.select("hi", "lo", "root"), ["hi", "lo"]).groupBy("root").agg(F.min("first").alias("first"))
-    whole = named.join(names, "root").join(first, "root").select(
-        "hi", "lo", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-        F.col("first.rid").alias("kept"))
-    full = rows.where(~blank).select("rid", "doc_id", "hi", "lo").join(whole, ["hi", "lo"]).select(
-        "rid", "doc_id", "class_id", "copy_id", "n_links", (F.col("rid") == F.col("kept")).alias("keep"))
-    return full.unionByName(rows.where(blank).select(
-        "rid", "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"),
-        F.lit(True).alias("keep")))
+    named = items.join(links, "item", "left").join(joined.withColumnRenamed("v", "item"), "item", "left").select(
+        "hi", "lo", F.coalesce("root", "item").alias("root"), "copy_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    full = scratch.store(rows.where(~blank).select("rid", "doc_id", *also, "hi", "lo").join(named, ["hi", "lo"]).drop("hi", "lo"), "classes")
+    # A class has the name of its least id; ids of its rows meet in an aggregate with partial sums. Rows without links are classes of their own.
+    names = scratch.store(full.where("n_links > 0").groupBy("root").agg(
+        F.min("doc_id").alias("class_id"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")).select(
+        "root", "class_id", F.col("first.rid").alias("kept")), "names")
+    shown = ["rid", "doc_id", *also, "class_id", "copy_id", "n_links", "keep"]
+    alone = full.where("n_links = 0").unionByName(rows.where(blank).select(
+        "rid", "doc_id", *also, F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links")))
+    return full.where("n_links > 0").join(names, "root").withColumn("keep", F.col("rid") == F.col("kept")).select(*shown).unionByName(
+        alone.withColumn("class_id", F.col("doc_id")).withColumn("keep", F.lit(True)).select(*shown))
 
 
 def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

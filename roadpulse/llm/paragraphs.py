@@ -27,7 +27,6 @@ from roadpulse.llm.common import (MIX_A, MIX_B, Scratch, hash_words, mixed, read
                                   word_places)
 from roadpulse.llm.forest import SIZE, grouped
 from roadpulse.llm.jaccard import THRESHOLD, joined_keys, signatures
-from roadpulse.llm.suffixes import _with_equal_neighbour
 
 RECALL, ROWS, SEED = 0.995, 3, 5
 PASSAGE, RUN = 24, 12
@@ -57,16 +56,14 @@ class Lines:
 
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Chosen runs: number of the text, place among its words, hash. The least of each ``PASSAGE`` words' runs, with all that are equal to it."""
-        parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
-        cuts = np.flatnonzero(np.r_[True, self.text[1:] != self.text[:-1], True]) if len(self.text) else np.zeros(1, np.int64)
-        for lo, hi in zip(cuts, cuts[1:]):
-            if hi - lo >= PASSAGE:
-                g = run_hashes(self.h[lo:hi], RUN)
-                low = sliding(g, CONTEXT + 1, True)
-                edge = np.zeros(CONTEXT, np.uint64)
-                at = np.flatnonzero(sliding(np.r_[edge, low, edge], CONTEXT + 1, False) == g)
-                parts.append((np.full(len(at), self.text[lo]), at, g[at]))
-        return tuple(np.concatenate(c) for c in zip(*parts))
+        windows = len(self.h) - PASSAGE + 1
+        if windows <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        g, edge = run_hashes(self.h, RUN), np.zeros(CONTEXT, np.uint64)
+        low = np.where(self.text[:windows] == self.text[PASSAGE - 1:], sliding(g, CONTEXT + 1, True), np.uint64(0))
+        at = np.flatnonzero(sliding(np.r_[edge, low, edge], CONTEXT + 1, False) == g)
+        text = self.text[at]
+        return text, at - np.searchsorted(self.text, text), g[at]
 
 
 def run_shingles(h: np.ndarray, first: np.ndarray, after: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -129,36 +126,74 @@ def units(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         cut, "row long, doc_id long, start long, end long, hi long, lo long, n_shingles long, keys binary")
 
 
-def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs at the given places with the words on either side, outwards, and the code points where a span that takes in 0, 1, ... of these begins and ends."""
-    steps = np.arange(CONTEXT + 1)
+def _clusters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of runs sorted by (k, none, id, row, place), those that have an equal one, with the id of their k's first, the number of others, and whether
+    they are that first. ``shape`` is equal for two k whose runs stand in the same texts at one distance from each other. Others of a batch's
+    outer two k may be in another batch, so all runs of these come, without a number."""
+    for b in batches:
+        if b.empty:
+            continue
+        k, row, place = (b[c].to_numpy() for c in ("k", "row", "place"))
+        starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        n = np.diff(np.r_[starts, len(k)])
+        links = n - 1
+        links[[0, -1]] = -1
+        head = np.repeat(starts, n)
+        shape = np.add.reduceat(mixed(mixed(row.astype(np.uint64)) * MIX_A + (place - place[head]).astype(np.uint64) * MIX_B), starts)
+        yield b.assign(shape=signed(np.repeat(shape, n)), first_none=b["none"].to_numpy()[head], first_id=b["id"].to_numpy()[head],
+                       n_links=np.repeat(links, n), keep=head == np.arange(len(k)))[np.repeat(links != 0, n)]
+
+
+def clustered(scratch: Scratch, chosen: DataFrame) -> DataFrame:
+    """k, row, doc_id, place, shape, class_id, n_links, keep of the runs that others equal. Sorted, so that a hot run lies in as many tasks as it needs."""
+    order = ["k", "none", "id", "row", "place"]
+    told = scratch.store(chosen.select(
+        F.col("hi").alias("k"), F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "row",
+        F.col("start").cast("int").alias("place")).repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
+        _clusters, "k long, none boolean, id long, row long, place int, shape long, first_none boolean, first_id long, n_links long, keep boolean"),
+        "matched")
+    told = told.select("k", "row", F.expr("if(none, NULL, id)").alias("doc_id"), "place", "shape",
+                       F.expr("if(first_none, NULL, first_id)").alias("class_id"), "n_links", "keep")
+    # Some k of each batch; their shapes are parts only, so that each has its own.
+    late = told.where("n_links < 0").select("k", "row", "doc_id", "place", F.col("k").alias("shape"))
+    sizes = late.groupBy("k").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("class_id"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "place")).alias("first")).where("n > 1")
+    return told.where("n_links > 0").unionByName(late.join(sizes, "k").select(
+        *late.columns, "class_id", (F.col("n") - 1).alias("n_links"), F.expr("row = first.row AND place = first.place").alias("keep")))
+
 
-    def words(h: np.ndarray, at: np.ndarray) -> list[bytes]:
-        inside = (at >= 0) & (at < len(h))
-        return [w.tobytes() for w in np.where(inside, h[np.clip(at, 0, len(h) - 1)], np.uint32(0))]
+def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Runs at the given places with the words on either side, outwards, where these are asked for; for ends of chains, also the code points where a span
+    that takes in 0, 1, ... of these begins or ends."""
+    steps = np.arange(CONTEXT)
 
     for b in batches:
         for part, texts in text_chunks(b["text"]):
             flat, offsets = split_words(texts)
-            hashes = hash_words(flat)
-            out: list[list] = [[] for _ in range(6)]
-            places = [np.asarray(x, np.int64) for x in b["places"].iloc[part]]
-            for at, text, lo, hi in zip(places, texts, offsets, offsets[1:]):
-                h = hashes[lo:hi]
-                short = (h >> np.uint64(32)).astype(np.uint32)
+            out: list[list] = [[] for _ in range(4)]
+            ks, places, heads, sides = ([np.asarray(x, np.int64) for x in b[c].iloc[part]] for c in ("ks", "places", "heads", "sides"))
+            wanted = []
+            for at, side, lo, hi in zip(places, sides, offsets, offsets[1:]):
+                for bit, ring in ((1, lo + at[:, None] - 1 - steps), (2, lo + at[:, None] + RUN + steps)):
+                    wanted.append(np.where((side[:, None] & bit > 0) & (ring >= lo) & (ring < hi), ring, -1))
+            used, number = np.unique(np.concatenate([w.ravel() for w in wanted]), return_inverse=True)
+            short = (hash_words([flat[i] for i in used.tolist() if i >= 0]) >> np.uint64(32)).astype(np.uint32)
+            if used[0] < 0:
+                short = np.r_[np.uint32(0), short]
+            number, past = short[number.ravel()], 0
+            for at, side, text in zip(places, sides, texts):
                 begin, end = word_places(text)
-                out[0].append(signed(run_hashes(h, RUN)[at]))
-                out[1].append(at)
-                out[2] += words(short, at[:, None] - steps[1:])
-                out[3] += words(short, at[:, None] + RUN - 1 + steps[1:])
-                out[4] += [begin[max(0, x - CONTEXT):x + 1][::-1] for x in at.tolist()]
-                out[5] += [end[x + RUN - 1:x + RUN + CONTEXT] for x in at.tolist()]
-            if texts:
-                many = [len(x) for x in places]
-                yield pd.DataFrame({
-                    "k": np.concatenate(out[0]), "row": np.repeat(b["rid"].iloc[part].to_numpy(), many),
-                    "doc_id": b["doc_id"].iloc[part].array.repeat(many), "place": np.concatenate(out[1]), "before": out[2], "behind": out[3],
-                    "starts": out[4], "ends": out[5]}).astype({"doc_id": "Int64"})
+                for x, bit in ((0, 1), (1, 2)):
+                    raw, asked = number[past:past + CONTEXT * len(at)].tobytes(), (side & bit > 0).tolist()
+                    out[x] += [raw[4 * CONTEXT * i:4 * CONTEXT * (i + 1)] if own else None for i, own in enumerate(asked)]
+                    past += CONTEXT * len(at)
+                out[2] += [begin[max(0, x - CONTEXT):x + 1][::-1] if own else None for x, own in zip(at.tolist(), (side & 4 > 0).tolist())]
+                out[3] += [end[x + RUN - 1:x + RUN + CONTEXT] if own else None for x, own in zip(at.tolist(), (side & 8 > 0).tolist())]
+            many = [len(x) for x in places]
+            yield pd.DataFrame({
+                "k": np.concatenate(ks), "row": np.repeat(b["row"].iloc[part].to_numpy(), many), "place": np.concatenate(places),
+                "head": np.concatenate(heads), "before": out[0], "behind": out[1], "starts": out[2], "ends": out[3]})
 
 
 def _equal_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -198,35 +233,46 @@ def reaches(scratch: Scratch, runs: DataFrame, words: str) -> DataFrame:
         .mapInPandas(_reach, "run long, reach int, task long, k long, words binary"), "reaches")
     # Two rows of each task.
     edge = found.where("task IS NOT NULL").orderBy("task").collect()
-    over = [(-1, -1)]
+    over = [(-1, -1)]  # bounded, as the rows above
     for a, b in zip(edge, edge[1:]):
         if a["task"] // 2 != b["task"] // 2 and a["k"] == b["k"]:
             n = int(_equal_words(*(np.frombuffer(x["words"], np.uint32)[None] for x in (a, b)))[0])
             over += [(a["run"], n), (b["run"], n)]
-    return found.select("run", "reach").unionByName(scratch.spark.createDataFrame(over, "run long, reach int"))
+    return found.select("run", "reach").unionByName(scratch.spark.createDataFrame(pd.DataFrame(over, columns=["run", "reach"]), "run long, reach int"))
+
 
+def passages(scratch: Scratch, docs: DataFrame, equal: DataFrame) -> DataFrame:
+    """row, doc_id, start, end, class_id, n_links, keep: spans of equal runs extended as far as another place has the same words.
 
-def passages(scratch: Scratch, docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """row, doc_id, start, end, class_id, n_links, keep: spans of equal runs extended as far as another place has the same words."""
-    order = ["k", "rid", "place"]
-    matched = chosen.select(F.col("hi").alias("k"), F.col("row").alias("rid"), F.col("start").cast("int").alias("place")).repartitionByRange(
-        *order).sortWithinPartitions(*order).mapInPandas(_with_equal_neighbour, "rid long, place int")
-    texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), "text")
-    runs = scratch.store(texts.join(matched.groupBy("rid").agg(F.collect_set("place").alias("places")).hint("merge"), "rid").mapInPandas(
-        _contexts, "k long, row long, doc_id long, place int, before binary, behind binary, starts array<int>, ends array<int>").withColumn(
+    Runs of one text and cluster that overlap or touch are a chain. Two neighbours in it of one shape stand in the same texts, so that the later one can
+    add nothing on the left, nor the earlier one on the right; neither can a run that begins ``CONTEXT`` words after its chain's first on the
+    left. Words are compared only for the other runs, and those that equal them.
+    """
+    cluster = ["row", "class_id", "n_links", "keep"]
+    along = Window.partitionBy(*cluster).orderBy("place")
+    chains = scratch.store(
+        equal.withColumns({"before": F.lag(F.struct("place", "shape")).over(along), "behind": F.lead(F.struct("place", "shape")).over(along)})
+        .withColumn("head", F.max(F.expr(f"if(place - before.place <= {RUN}, NULL, place)")).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("side", F.expr(f"""
+            if(place - head >= {CONTEXT} OR (shape <=> before.shape AND place - before.place <= {RUN}), 0, 1)
+            + if(shape <=> behind.shape AND behind.place - place <= {RUN}, 0, 2)""")).drop("shape", "before", "behind"), "chains")
+    scratch.drop(equal)
+    asked = chains.where("side > 0").groupBy("k").agg(F.bit_or("side").alias("asked"))
+    wanted = chains.join(asked, "k").groupBy("row").agg(F.collect_list(F.struct(
+        "k", "place", "head", F.expr("asked + 4 * side").alias("side"))).alias("runs")).select(
+        "row", F.col("runs.k").alias("ks"), F.col("runs.place").alias("places"), F.col("runs.head").alias("heads"), F.col("runs.side").alias("sides"))
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), "text")
+    runs = scratch.store(texts.join(wanted.hint("merge"), "row").mapInPandas(
+        _contexts, "k long, row long, place int, head int, before binary, behind binary, starts array<int>, ends array<int>").withColumn(
         "run", F.monotonically_increasing_id()), "runs")
-    reach = reaches(scratch, runs, "before").select("run", F.col("reach").alias("a"), F.lit(-1).alias("b")).unionByName(
-        reaches(scratch, runs, "behind").select("run", F.lit(-1).alias("a"), F.col("reach").alias("b"))).groupBy("run").agg(
-        F.max("a").alias("a"), F.max("b").alias("b"))
-    sizes = runs.groupBy("k").agg(
-        F.count("*").alias("n"), F.min("doc_id").alias("class_id"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "place")).alias("first")).where("n > 1")
-    spans = runs.drop("before", "behind").join(reach.where("a >= 0"), "run").join(sizes, "k").select(
-        "row", "doc_id", "place", "class_id", (F.col("n") - 1).alias("n_links"),
-        F.expr("row = first.row AND place = first.place").alias("keep"), "starts", "ends",
-        F.expr("least(a, size(starts) - 1)").alias("a"), F.expr("least(b, size(ends) - 1)").alias("b")).select(
-        "row", "doc_id", "class_id", "n_links", "keep", F.expr("place - a").alias("word"), F.expr(f"place + {RUN} + b").alias("after"),
-        F.expr("element_at(starts, a + 1)").alias("start"), F.expr("element_at(ends, b + 1)").alias("end"))
+    left, right = (runs.where(f"{points} IS NOT NULL").select("run", "row", "place", "head", F.col(points).alias("points")).join(
+        reaches(scratch, runs.where(f"{words} IS NOT NULL"), words).groupBy("run").agg(F.max("reach").alias("reach")), "run").withColumn(
+        "reach", F.expr("least(reach, size(points) - 1)")) for words, points in (("before", "starts"), ("behind", "ends")))
+    begins = left.groupBy("row", "head").agg(
+        F.min(F.expr("place - reach")).alias("word"), F.min(F.expr("element_at(points, reach + 1)")).alias("start"))
+    finishes = right.groupBy("row", "head").agg(
+        F.max(F.expr(f"place + {RUN} + reach")).alias("after"), F.max(F.expr("element_at(points, reach + 1)")).alias("end"))
+    spans = chains.where("place = head").select("doc_id", *cluster, "head").join(begins, ["row", "head"]).join(finishes, ["row", "head"])
     cluster = ["row", "doc_id", "class_id", "n_links", "keep"]
     along = Window.partitionBy(*cluster).orderBy("word", "after")
     cut = spans.withColumn("cut", (F.col("word") > F.max("after").over(along.rowsBetween(Window.unboundedPreceding, -1))).cast("int"))
@@ -241,7 +287,9 @@ def paragraph_clusters(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     of its runs; where these differ along a passage, each cluster has its span.
     """
     scratch = Scratch(docs.sparkSession, "paragraphs")
-    own = scratch.store(units(docs, threshold).withColumn("rid", F.monotonically_increasing_id()), "units")
+    inner = Scratch(docs.sparkSession, "lines")
+    own = scratch.store(units(docs, threshold).withColumn(
+        "rid", F.expr("if(keys IS NULL, NULL, monotonically_increasing_id())")), "units")
     lines, chosen = own.where("keys IS NOT NULL"), own.where("keys IS NULL")
 
     def sets_of(candidates: DataFrame) -> DataFrame:
@@ -259,12 +307,12 @@ def paragraph_clusters(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
         return texts.join(places, "row").select(
             *candidates.columns, F.expr("substring(text, CAST(start AS INT) + 1, CAST(end - start AS INT))").alias("line")).mapInPandas(make, schema)
 
-    inner = Scratch(docs.sparkSession, "lines")
-    of_lines = scratch.store(grouped(inner, lines, sets_of, threshold).where("n_links > 0").select(
-        "rid", F.lit("paragraph").alias("kind"), "class_id", "n_links", "keep"), "of-lines")
+    of_lines = scratch.store(grouped(inner, lines, sets_of, threshold, ("row", "start", "end")).where("n_links > 0").select(
+        "row", "doc_id", F.lit("paragraph").alias("kind"), "start", "end", "class_id", "n_links", "keep"), "of-lines")
     inner.clear()
-    return own.select("rid", "row", "doc_id", "start", "end").join(of_lines, "rid").drop("rid").unionByName(
-        passages(scratch, docs, chosen).withColumn("kind", F.lit("passage"))).select(
+    equal = clustered(scratch, chosen)
+    scratch.drop(own)
+    return of_lines.unionByName(passages(scratch, docs, equal).withColumn("kind", F.lit("passage"))).select(
         "row", "doc_id", "kind", "start", "end", F.col("class_id").alias("cluster_doc_id"), "n_links", "keep")
 
 

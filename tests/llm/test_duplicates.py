@@ -233,6 +233,99 @@ def test_set_in_passages_are_covered_whole(spark, tmp_path):
     assert all("same" not in "".join(c for i, c in enumerate(texts[d]) if i not in covered[d]) for d in (1000, 1001))
 
 
+def brute_passages(rows) -> Counter:
+    """Every chosen run extended by comparing its words with those of each equal run, one by one."""
+    size, reach = paragraphs.RUN, paragraphs.CONTEXT
+    runs = defaultdict(list)
+    for i, (doc, text, *_) in enumerate(rows):
+        for at in paragraphs.Lines([text or ""]).runs()[1].tolist():
+            runs[tuple(word_list(text)[at:at + size])].append((doc is None, doc or 0, i, at))
+    spans = defaultdict(list)
+    for places in runs.values():
+        first = min(places)
+        for place in places if len(places) > 1 else ():
+            def like(side):
+                sides = [word_list(rows[i][1])[at + size:] if side else word_list(rows[i][1])[:at][::-1] for *_, i, at in (place, *(p for p in places if p != place))]
+                own = sides[0][:reach] + ([None] * reach)[len(sides[0][:reach]):]
+                return min(len(sides[0]), max(next((n for n, w in enumerate(own) if w != (dict(enumerate(o)).get(n))), reach) for o in sides[1:]))
+
+            *_, i, at = place
+            spans[i, None if first[0] else first[1], len(places) - 1, place == first].append((at - like(0), at + size + like(1)))
+    found = Counter()
+    for (i, cluster, n, keep), own in spans.items():
+        merged = []
+        for a, b in sorted(own):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        begin, end = common.word_places(rows[i][1])
+        found.update((rows[i][0], int(begin[a]), int(end[b - 1]), cluster, n, keep) for a, b in merged)
+    return found
+
+
+def test_passages_equal_brute_force(spark, tmp_path):
+    rng = random.Random(21)
+    pool = [f"p{i}" for i in range(400)]
+    rows = []
+    for i in range(60):
+        words = [f"d{i}_{j}" for j in range(rng.randrange(0, 20))]
+        for _ in range(rng.randrange(1, 5)):  # stretches of common words of any length, at any place, next to each other or not
+            at = rng.randrange(380)
+            words += pool[at:at + rng.randrange(5, 120)] + [f"e{i}_{rng.randrange(10**6)}" for _ in range(rng.randrange(0, 6))]
+        rows.append((None if i == 20 else i, " ".join(words), "en", "s", 1))
+    rows += [(100 + i, sentence(rng, 300, 3), "en", "s", 1) for i in range(3)]
+    docs = stored(spark, frame(spark, rows, True).repartition(3), tmp_path)
+    want = brute_passages(rows)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch in ("7", before):  # equal runs over many batches, or in one
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            got = paragraphs.paragraph_clusters(docs).where("kind = 'passage'").collect()
+            assert Counter((r["doc_id"], r["start"], r["end"], r["cluster_doc_id"], r["n_links"], r["keep"]) for r in got) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_words_are_compared_at_the_ends_of_passages_only(spark, tmp_path, monkeypatch):
+    rng = random.Random(2)
+    text = sentence(rng, 3000, 10**6)
+    rows = [(i, f"own{i} {text} other{i}", "en", "s", 1) for i in range(3)]
+    docs, counts, store = stored(spark, frame(spark, rows), tmp_path), {}, common.Scratch.store
+
+    def counted(self, df, name):
+        out = store(self, df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(common.Scratch, "store", counted)
+    got = paragraphs.paragraph_clusters(docs).where("kind = 'passage'").collect()
+    assert [(r["start"], r["end"]) for r in got] == [(5, 5 + len(text))] * 3
+    assert counts["matched"] > 600 and counts["runs"] < 40
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    import gc
+    import time
+
+    def shuffles() -> set[str]:
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name for i in range(blocks.size()) if (name := blocks.apply(i).toString()).startswith("shuffle_")}
+
+    gc.disable()  # what is still in use must not be what keeps files
+    try:
+        before, mine = shuffles(), spark.range(100_000).selectExpr("hash(id) AS x")
+        scratch, setting = common.Scratch(spark, "files"), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        assert scratch.store(mine.repartition(3, "x"), "rows").count() == 100_000
+        for _ in range(50):
+            if left := {n for n in shuffles() - before if n.endswith("_0")}:
+                time.sleep(0.1)
+        assert len({n.split("_")[1] for n in left}) <= 1  # of the count, at most
+        assert spark.conf.get(setting) == "false"
+    finally:
+        gc.enable()
+
+
 @pytest.mark.parametrize("cuts", [(), (3, 3, 4), (1, 2, 5, 6)])
 def test_reach_over_batches(cuts, monkeypatch):
     import pandas as pd
