@@ -76,9 +76,9 @@ def explode_keys(items: DataFrame) -> DataFrame:
     """(k, v): each key of each item."""
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            keys = [np.frombuffer(k, np.uint64) for k in b["keys"]]
-            if keys:
-                yield pd.DataFrame({"k": signed(np.concatenate(keys)), "v": np.repeat(b["item"].to_numpy(), [len(k) for k in keys])})
+            if len(b):
+                keys = np.frombuffer(b"".join(b["keys"]), np.uint64)
+                yield pd.DataFrame({"k": signed(keys), "v": np.repeat(b["item"].to_numpy(), len(keys) // len(b))})
 
     return items.select("item", "keys").mapInPandas(spread, "k long, v long")
 

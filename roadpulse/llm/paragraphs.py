@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -85,7 +86,10 @@ def run_shingles(h: np.ndarray, first: np.ndarray, after: np.ndarray, size: int
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(len(first) + 1, np.int64)
     g, owner = np.concatenate(parts), np.concatenate(owners)
-    order = np.lexsort((g, owner))
+    # One key of both sorts faster; it leaves out low bits of the hashes.
+    order = np.argsort(owner.astype(np.uint64) << np.uint64(44) | g >> np.uint64(20)) if len(first) < 1 << 20 else np.lexsort((g, owner))
+    if ((g[order[1:]] < g[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])).any():
+        order = np.lexsort((g, owner))
     g, owner = g[order], owner[order]
     fresh = np.r_[True, (g[1:] != g[:-1]) | (owner[1:] != owner[:-1])]
     g, owner = g[fresh], owner[fresh]
@@ -163,37 +167,43 @@ def clustered(scratch: Scratch, chosen: DataFrame) -> DataFrame:
         *late.columns, "class_id", (F.col("n") - 1).alias("n_links"), F.expr("row = first.row AND place = first.place").alias("keep")))
 
 
-def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs at the given places with the words on either side, outwards, where these are asked for; for ends of chains, also the code points where a span
-    that takes in 0, 1, ... of these begins or ends."""
-    steps = np.arange(CONTEXT)
+def _binary(values: np.ndarray, given: np.ndarray) -> pa.Array:
+    """The rows of an array of 32-bit numbers as bytes, each where the next of ``given`` is true, and NULL elsewhere."""
+    offsets = np.zeros(len(given) + 1, np.int32)
+    np.cumsum(given * (4 * values.shape[1]), out=offsets[1:])
+    parts = (np.packbits(given, bitorder="little"), offsets, np.ascontiguousarray(values, np.uint32))
+    return pa.Array.from_buffers(pa.binary(), len(given), [pa.py_buffer(x.tobytes()) for x in parts])
+
 
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs at the given places with the words on either side, outwards, where these are asked for; for ends of chains, also the code points where a span
+    that takes in 0, 1, ... of these begins or ends, the last one again where the text ends."""
+    steps = np.arange(CONTEXT + 1)
     for b in batches:
-        for part, texts in text_chunks(b["text"]):
+        many = b.column("places").value_lengths().to_numpy()
+        cuts, row = np.r_[0, np.cumsum(many)], b.column("row").to_numpy()
+        k, place, head, side = (b.column(c).flatten().to_numpy() for c in ("ks", "places", "heads", "sides"))
+        for part, texts in text_chunks(b.column("text").to_pylist()):
+            own = slice(cuts[part.start], cuts[part.stop])
             flat, offsets = split_words(texts)
-            out: list[list] = [[] for _ in range(4)]
-            ks, places, heads, sides = ([np.asarray(x, np.int64) for x in b[c].iloc[part]] for c in ("ks", "places", "heads", "sides"))
-            wanted = []
-            for at, side, lo, hi in zip(places, sides, offsets, offsets[1:]):
-                for bit, ring in ((1, lo + at[:, None] - 1 - steps), (2, lo + at[:, None] + RUN + steps)):
-                    wanted.append(np.where((side[:, None] & bit > 0) & (ring >= lo) & (ring < hi), ring, -1))
-            used, number = np.unique(np.concatenate([w.ravel() for w in wanted]), return_inverse=True)
-            short = (hash_words([flat[i] for i in used.tolist() if i >= 0]) >> np.uint64(32)).astype(np.uint32)
-            if used[0] < 0:
-                short = np.r_[np.uint32(0), short]
-            number, past = short[number.ravel()], 0
-            for at, side, text in zip(places, sides, texts):
-                begin, end = word_places(text)
-                for x, bit in ((0, 1), (1, 2)):
-                    raw, asked = number[past:past + CONTEXT * len(at)].tobytes(), (side & bit > 0).tolist()
-                    out[x] += [raw[4 * CONTEXT * i:4 * CONTEXT * (i + 1)] if own else None for i, own in enumerate(asked)]
-                    past += CONTEXT * len(at)
-                out[2] += [begin[max(0, x - CONTEXT):x + 1][::-1] if own else None for x, own in zip(at.tolist(), (side & 4 > 0).tolist())]
-                out[3] += [end[x + RUN - 1:x + RUN + CONTEXT] if own else None for x, own in zip(at.tolist(), (side & 8 > 0).tolist())]
-            many = [len(x) for x in places]
-            yield pd.DataFrame({
-                "k": np.concatenate(ks), "row": np.repeat(b["row"].iloc[part].to_numpy(), many), "place": np.concatenate(places),
-                "head": np.concatenate(heads), "before": out[0], "behind": out[1], "starts": out[2], "ends": out[3]})
+            begin, end = word_places("\n".join(texts))
+            text = np.repeat(np.arange(len(texts)), many[part])
+            origin = np.cumsum([0, *(len(t) + 1 for t in texts)])[text][:, None]
+            low, high, at = offsets[text][:, None], offsets[text + 1][:, None], (offsets[text] + place[own])[:, None]
+            asks = [side[own] & bit > 0 for bit in (1, 2, 4, 8)]
+            near = [x[ask] for x, ask in zip((at - steps[1:], at + RUN - 1 + steps[1:]), asks)]
+            near = [np.where((x >= low[ask]) & (x < high[ask]), x, len(flat)) for x, ask in zip(near, asks)]
+            used, short = np.zeros(len(flat) + 1, bool), np.zeros(len(flat) + 1, np.uint32)
+            for x in near:
+                used[x] = True
+            used = np.flatnonzero(used[:-1])
+            short[used] = hash_words([flat[i] for i in used.tolist()]) >> np.uint64(32)
+            starts = (begin[np.maximum(at - steps, low)] - origin)[asks[2]]
+            ends = (end[np.minimum(at + RUN - 1 + steps, high - 1)] - origin)[asks[3]]
+            columns = {"k": pa.array(k[own]), "row": pa.array(np.repeat(row[part], many[part])), "place": pa.array(place[own]),
+                       "head": pa.array(head[own]), "before": _binary(short[near[0]], asks[0]), "behind": _binary(short[near[1]], asks[1]),
+                       "starts": _binary(starts, asks[2]), "ends": _binary(ends, asks[3])}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
 def _equal_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -202,9 +212,9 @@ def _equal_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """In rows sorted by k and words: the most words that each has like another of its k, -1 without another. The outer rows of the task
-    come once more, with the task's number, as their neighbours are not seen here."""
+    come once more, with the task's number, as their neighbours are not seen here. Other columns stay."""
     def told(rows: pd.DataFrame, reach, task=None) -> pd.DataFrame:
-        own = pd.DataFrame({"run": rows["run"], "reach": reach, "task": task, "k": None, "words": None})
+        own = rows.assign(reach=reach, task=task, k=None, words=None)
         if task is not None:
             own["k"], own["words"] = rows["k"], rows["words"]
         return own.astype({"task": "Int64", "k": "Int64"})
@@ -226,19 +236,37 @@ def _reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield told(held, -1, 2 * task + 1)
 
 
-def reaches(scratch: Scratch, runs: DataFrame, words: str) -> DataFrame:
-    """run, reach: the greatest reach of a run holds. Sorted, so that a hot run lies in as many tasks as it needs."""
+def _points(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows with points and their reach, with the code point of that; the outer rows of the task come as they are."""
+    for rows in _reach(batches):
+        rows = rows[rows["task"].notna() | (rows["points"].notna() & (rows["reach"] >= 0))]
+        if rows.empty:
+            continue
+        if rows["task"].isna().all():
+            points = np.frombuffer(b"".join(rows["points"]), np.uint32).reshape(len(rows), -1)
+            rows = rows.assign(point=points[np.arange(len(rows)), rows["reach"].to_numpy()].astype(np.int32), points=None)
+        else:
+            rows = rows.assign(point=-1)
+        yield rows
+
+
+def reaches(scratch: Scratch, runs: DataFrame, words: str, points: str) -> DataFrame:
+    """row, head, place, reach, point of runs with points: the greatest reach of a place holds. Sorted, so that a hot run lies in as many tasks as it needs."""
+    order = ["k", "words", "row", "place"]
     found = scratch.store(
-        runs.select("run", "k", F.col(words).alias("words")).repartitionByRange("k", "words", "run").sortWithinPartitions("k", "words", "run")
-        .mapInPandas(_reach, "run long, reach int, task long, k long, words binary"), "reaches")
+        runs.where(f"{words} IS NOT NULL").select("k", F.col(words).alias("words"), "row", "place", "head", F.col(points).alias("points"))
+        .repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
+            _points, "row long, place int, head int, reach int, point int, task long, k long, words binary, points binary"), "reaches")
     # Two rows of each task.
     edge = found.where("task IS NOT NULL").orderBy("task").collect()
-    over = [(-1, -1)]  # bounded, as the rows above
-    for a, b in zip(edge, edge[1:]):
-        if a["task"] // 2 != b["task"] // 2 and a["k"] == b["k"]:
-            n = int(_equal_words(*(np.frombuffer(x["words"], np.uint32)[None] for x in (a, b)))[0])
-            over += [(a["run"], n), (b["run"], n)]
-    return found.select("run", "reach").unionByName(scratch.spark.createDataFrame(pd.DataFrame(over, columns=["run", "reach"]), "run long, reach int"))
+    over = [(-1, -1, -1, 0, -1)]
+    for pair in zip(edge, edge[1:]):
+        if pair[0]["task"] // 2 != pair[1]["task"] // 2 and pair[0]["k"] == pair[1]["k"]:
+            n = int(_equal_words(*(np.frombuffer(x["words"], np.uint32)[None] for x in pair))[0])
+            over += [(x["row"], x["head"], x["place"], n, int(np.frombuffer(x["points"], np.uint32)[n])) for x in pair if x["points"] is not None]
+    names = ["row", "head", "place", "reach", "point"]
+    return found.where("task IS NULL").select(*names).unionByName(scratch.spark.createDataFrame(
+        pd.DataFrame(over, columns=names), "row long, head int, place int, reach int, point int").where("row >= 0"))
 
 
 def passages(scratch: Scratch, docs: DataFrame, equal: DataFrame) -> DataFrame:
@@ -251,28 +279,27 @@ def passages(scratch: Scratch, docs: DataFrame, equal: DataFrame) -> DataFrame:
     cluster = ["row", "class_id", "n_links", "keep"]
     along = Window.partitionBy(*cluster).orderBy("place")
     chains = scratch.store(
-        equal.withColumns({"before": F.lag(F.struct("place", "shape")).over(along), "behind": F.lead(F.struct("place", "shape")).over(along)})
-        .withColumn("head", F.max(F.expr(f"if(place - before.place <= {RUN}, NULL, place)")).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        equal.withColumns({f"{at}_{c}": f(c).over(along) for at, f in (("last", F.lag), ("next", F.lead)) for c in ("place", "shape")})
+        .withColumn("head", F.max(F.expr(f"if(place - last_place <= {RUN}, NULL, place)")).over(along.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("side", F.expr(f"""
-            if(place - head >= {CONTEXT} OR (shape <=> before.shape AND place - before.place <= {RUN}), 0, 1)
-            + if(shape <=> behind.shape AND behind.place - place <= {RUN}, 0, 2)""")).drop("shape", "before", "behind"), "chains")
+            if(place - head >= {CONTEXT} OR (shape <=> last_shape AND place - last_place <= {RUN}), 0, 1)
+            + if(shape <=> next_shape AND next_place - place <= {RUN}, 0, 2)""")).select("k", "doc_id", *cluster, "place", "head", "side"), "chains")
     scratch.drop(equal)
-    asked = chains.where("side > 0").groupBy("k").agg(F.bit_or("side").alias("asked"))
+    # Stored, so that the join of a hot run's rows is a plain one that Spark can split.
+    asked = scratch.store(chains.where("side > 0").groupBy("k").agg(F.bit_or("side").alias("asked")), "asked")
     wanted = chains.join(asked, "k").groupBy("row").agg(F.collect_list(F.struct(
         "k", "place", "head", F.expr("asked + 4 * side").alias("side"))).alias("runs")).select(
         "row", F.col("runs.k").alias("ks"), F.col("runs.place").alias("places"), F.col("runs.head").alias("heads"), F.col("runs.side").alias("sides"))
     texts = docs.select(F.monotonically_increasing_id().alias("row"), "text")
-    runs = scratch.store(texts.join(wanted.hint("merge"), "row").mapInPandas(
-        _contexts, "k long, row long, place int, head int, before binary, behind binary, starts array<int>, ends array<int>").withColumn(
-        "run", F.monotonically_increasing_id()), "runs")
-    left, right = (runs.where(f"{points} IS NOT NULL").select("run", "row", "place", "head", F.col(points).alias("points")).join(
-        reaches(scratch, runs.where(f"{words} IS NOT NULL"), words).groupBy("run").agg(F.max("reach").alias("reach")), "run").withColumn(
-        "reach", F.expr("least(reach, size(points) - 1)")) for words, points in (("before", "starts"), ("behind", "ends")))
-    begins = left.groupBy("row", "head").agg(
-        F.min(F.expr("place - reach")).alias("word"), F.min(F.expr("element_at(points, reach + 1)")).alias("start"))
-    finishes = right.groupBy("row", "head").agg(
-        F.max(F.expr(f"place + {RUN} + reach")).alias("after"), F.max(F.expr("element_at(points, reach + 1)")).alias("end"))
-    spans = chains.where("place = head").select("doc_id", *cluster, "head").join(begins, ["row", "head"]).join(finishes, ["row", "head"])
+    runs = scratch.store(texts.join(wanted.hint("merge"), "row").mapInArrow(
+        _contexts, "k long, row long, place int, head int, before binary, behind binary, starts binary, ends binary"), "runs")
+    begins = reaches(scratch, runs, "before", "starts").select("row", "head", F.expr("place - reach").alias("word"), F.col("point").alias("start"))
+    finishes = reaches(scratch, runs, "behind", "ends").select("row", "head", F.expr(f"place + {RUN} + reach").alias("after"), F.col("point").alias("end"))
+    scratch.drop(runs)
+    # One row of each chain has its cluster; those of its ends have the code points.
+    spans = chains.where("place = head").select("doc_id", *cluster, "head").unionByName(begins, True).unionByName(finishes, True).groupBy(
+        "row", "head").agg(*(F.max(c).alias(c) for c in ("doc_id", "class_id", "n_links", "keep", "after", "end")),
+                           *(F.min(c).alias(c) for c in ("word", "start")))
     cluster = ["row", "doc_id", "class_id", "n_links", "keep"]
     along = Window.partitionBy(*cluster).orderBy("word", "after")
     cut = spans.withColumn("cut", (F.col("word") > F.max("after").over(along.rowsBetween(Window.unboundedPreceding, -1))).cast("int"))
