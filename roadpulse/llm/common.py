@@ -16,6 +16,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from roadpulse.session import checkpoint_dir
 
@@ -244,30 +245,25 @@ def run_links(scratch: Scratch, rows: DataFrame) -> DataFrame:
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """Connected components of (a, b) links: one row (v, root) per linked value, root the least of its component.
 
-    Alternates large-star and small-star steps, which halve distances; the links are stored
-    after each round, and rounds end when one changes nothing.
+    Alternates large-star and small-star steps, which halve distances. Each step shuffles the links once, and the least neighbour
+    is found where they arrive; the links are stored after each round, and rounds end when one changes nothing. ``edges`` are read once.
     """
-    def oriented(df: DataFrame) -> DataFrame:
-        return df.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
     def digest(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.col("a").cast("decimal(38,0)")),
                             F.sum(F.col("b").cast("decimal(38,0)"))).first())
 
-    now = scratch.store(oriented(edges), "links")
-    seen = digest(now)
-    while seen[0]:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = scratch.store(oriented(large), "large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        after = scratch.store(oriented(small.unionByName(least.select("a", F.col("m").alias("b")))), "small")
-        scratch.drop(large)
-        scratch.drop(now)
+    least = F.min("b").over(Window.partitionBy("a"))
+    now, seen = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), None
+    while True:
+        both = now.select(F.inline(F.expr("array(struct(a, b), struct(b AS a, a AS b))")))
+        large = both.withColumn("m", F.least("a", least)).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # Both steps give links (a, b) with b < a.
+        small = large.withColumn("m", least).select(F.inline(F.expr("array(struct(a, m AS b), struct(b AS a, m AS b))"))).where("a <> b")
+        after = scratch.store(small.distinct(), "stars")
+        if seen:
+            scratch.drop(now)
         now, last, seen = after, seen, digest(after)
-        if last == seen:
+        if last == seen or not seen[0]:
             break
     return now.select(F.col("a").alias("v"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("v"), F.col("b").alias("root")).distinct())

@@ -171,12 +171,12 @@ def verified_links(scratch: Scratch, items: DataFrame, regions: DataFrame, sets_
     room = F.greatest(F.lit(2), F.least(F.lit(BLOCK_ITEMS), F.lit(BLOCK_SHINGLES) / F.pow(F.lit(1 / threshold), F.col("bin") + 1)))
     blocks = own.groupBy("root", "bin").agg(F.count("*").alias("n")).select(
         "root", "bin", F.ceil(F.col("n") / room).cast("int").alias("blocks"))
-    beside = blocks.select("root", (F.col("bin") - 1).alias("bin"), F.col("blocks").alias("above")).join(
-        blocks.select("root", "bin"), ["root", "bin"], "right").select("root", "bin", F.coalesce("above", F.lit(0)).alias("above"))
-    below = blocks.select("root", (F.col("bin") + 1).alias("bin"), F.col("blocks").alias("below")).join(
-        blocks.select("root", "bin"), ["root", "bin"], "right").select("root", "bin", F.coalesce("below", F.lit(0)).alias("below"))
+    # The bins of a region are as many as there are orders of size.
+    held = blocks.groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("bin", "blocks"))).alias("held"))
     # Stored, so that the join of a hot region's items is a plain one that Spark can split.
-    plan = scratch.store(blocks.join(beside, ["root", "bin"]).join(below, ["root", "bin"]), "blocks")
+    plan = scratch.store(held.select("root", "held", F.explode("held").alias("bin", "blocks")).select(
+        "root", "bin", "blocks", F.coalesce(F.expr("try_element_at(held, bin + 1)"), F.lit(0)).alias("above"),
+        F.coalesce(F.expr("try_element_at(held, bin - 1)"), F.lit(0)).alias("below")), "blocks")
     dealt = own.join(plan, ["root", "bin"]).withColumn("block", F.expr("pmod(xxhash64(item), blocks)"))
     # Each item goes to the pairs its block takes part in: with blocks of its bin, of the next one, and of the one before.
     pairs = sets_of(dealt).withColumn("pair", F.explode(F.expr("""

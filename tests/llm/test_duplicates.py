@@ -87,6 +87,23 @@ def test_components_of_paths_and_stars(spark, tmp_path):
     assert common.components(common.Scratch(spark, "t"), spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_round_of_components_stores_one_table(spark, monkeypatch):
+    """A round wrote two tables and shuffled five times, which is what many small partitions take their time for."""
+    rng = random.Random(5)
+    edges = [(rng.randrange(120), rng.randrange(120)) for _ in range(90)] * 2
+    names, store = [], common.Scratch.store
+    monkeypatch.setattr(common.Scratch, "store", lambda self, df, name: names.append(name) or store(self, df, name))
+    got = dict(tuple(r) for r in common.components(common.Scratch(spark, "t"), spark.createDataFrame(edges, "a long, b long")).collect())
+    root = list(range(120))
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    assert got == {v: root[v] for e in edges if e[0] != e[1] for v in e}
+    names.clear()
+    star = spark.createDataFrame([(0, i) for i in range(1, 30)], "a long, b long")
+    assert common.components(common.Scratch(spark, "t"), star).count() == 30 and len(names) <= 2
+
+
 def test_runs_over_task_borders(spark):
     rows = [(k, k * 1000 + i) for k in range(3) for i in range(400)] + [(9, 1)]
     scratch = common.Scratch(spark, "t")
