@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from struct import pack as pack_bytes
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import Scratch, keep_alone, text_chunks
+from roadpulse.llm.tokens import byte_letters
 
 SEQUENCE = 4096
 END_ID = 2
@@ -36,16 +38,21 @@ _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Token ids as little-endian 32-bit bytes; pieces between cuts are encoded once and remembered.
+    """Token ids as little-endian 32-bit bytes; words between white space are encoded once and remembered.
 
-    The cuts are the tokenizer's own, so joining the pieces' ids gives the ids of the text. Texts with other
-    letters than Latin-1's go to the tokenizer whole.
+    The tokenizer cuts at white space and again inside words, so joining the pieces' ids gives the ids of the text. A new piece goes to
+    the tokenizer's model alone. Texts with other letters than Latin-1's go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        letters = [chr(c) for c in range(256) if _PLAIN(chr(c)) and not chr(c).isspace()]
+        probe = " ".join([*letters, *(f"the{c} {c}12 it's{c * 2}they'll" for c in letters)]).lower()
+        # Whether the tokenizer cuts as ``_PIECE`` does.
+        self.by_words = b"".join(map(self._learn(probe.split()).get, probe.split())) == self._whole(probe)
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -58,29 +65,42 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-        words = np.array(found.word_ids)
-        cuts = np.r_[np.flatnonzero(np.r_[True, words[1:] != words[:-1]]), len(words)]
-        if len(cuts) - 1 != len(pieces):  # not a tokenizer of these cuts
-            return {p: self._whole(p) for p in pieces}
-        raw, cuts = np.array(found.ids, "<u4").tobytes(), (cuts * 4).tolist()
-        return dict(zip(pieces, (raw[i:j] for i, j in zip(cuts, cuts[1:]))))
+    def _piece(self, piece: str) -> bytes:
+        own = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        ids = [t.id for t in self.model.tokenize(own)]
+        return pack_bytes(f"<{len(ids)}I", *ids)
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        known, marks, out = self.known, {}, {}
+        for w in words:
+            if w.isalpha():
+                out[w] = self._piece(w)
+                continue
+            ids = []
+            for p in _PIECE(w):
+                own = known.get(p) or marks.get(p)
+                if own is None:
+                    own = self._piece(p)
+                    if not p.isalpha():
+                        marks[p] = own
+                ids.append(own)
+            out[w] = b"".join(ids)
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         low = [t.lower() for t in texts]
-        cut = [_PIECE(z) if _PLAIN(z) and "<|" not in z else None for z in low]
+        cut = [z.split() if self.by_words and _PLAIN(z) and "<|" not in z else None for z in low]
         get = self.known.get
-        own = [None if p is None else list(map(get, p)) for p in cut]
+        own = [None if w is None else list(map(get, w)) for w in cut]
         lacking = [i for i, found in enumerate(own) if found and None in found]
         if lacking:
-            new = list({p for i in lacking for p, ids in zip(cut[i], own[i]) if ids is None})
+            new = list({w for i in lacking for w, ids in zip(cut[i], own[i]) if ids is None})
             if len(self.known) + len(new) > CACHE_ENTRIES:
                 self.known.clear()
             learnt = self._learn(new)
             self.known.update(learnt)
             for i in lacking:
-                own[i] = [learnt[p] if ids is None else ids for p, ids in zip(cut[i], own[i])]
+                own[i] = [learnt[w] if ids is None else ids for w, ids in zip(cut[i], own[i])]
         return [self._whole(t) if ids is None else b"".join(ids) for t, ids in zip(texts, own)]
 
 

@@ -74,3 +74,13 @@ def test_round_trip(spark, tmp_path, sequence):
 
 def test_empty_table(spark, tmp_path):
     assert packing.pack(stored(spark, frame(spark, []), tmp_path), PATH).count() == 0
+
+
+def test_words_that_are_known_are_not_cut_again(monkeypatch):
+    texts = ["It's 12 o'clock, said the\tthird; ÀÉ ß-x", "the 12 third, <said>\r\nÀÉ's"]
+    encoder = packing.Encoder(PATH)
+    first = encoder.encode(texts)
+    assert [np.frombuffer(r, "<u4").tolist() for r in first] == [own_ids(t)[:-1] for t in texts]
+    calls, cut = [], packing._PIECE
+    monkeypatch.setattr(packing, "_PIECE", lambda z: calls.append(z) or cut(z))
+    assert encoder.encode(texts[::-1]) == first[::-1] and not calls
