@@ -68,39 +68,67 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
 
 
-class Vocabulary(dict):
-    """Numbers of tokens in the order they come, with what each is by itself; one for a worker, begun anew when it is full."""
+def _words(text: str) -> list[str]:
+    """What stands between white space, and line ends: no token reaches over white space."""
+    out = []
+    for line in text.split("\n"):
+        out += line.split()
+        out.append("\n")
+    return out[:-1]
 
-    own: Vocabulary | None = None
+
+class Numbers(dict):
+    """Numbers of texts in the order they come."""
 
     def __init__(self):
-        self.tokens, self.kind, self.h = [], np.zeros(0, np.int8), np.zeros(0, np.uint64)
-        self.first, self.parts = np.zeros(1, np.int64), np.zeros(0, np.uint64)
+        self.texts = []
 
-    def __missing__(self, token: str) -> int:
-        number = self[token] = len(self.tokens)
-        self.tokens.append(token)
+    def __missing__(self, text: str) -> int:
+        number = self[text] = len(self.texts)
+        self.texts.append(text)
         return number
 
+
+class Vocabulary:
+    """Tokens with what each is by itself, and words between white space with the tokens they are cut into; one for a worker,
+    begun anew when it is full."""
+
+    own: Vocabulary | None = None
+
+    def __init__(self):
+        self.words, self.cuts, self.codes = Numbers(), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.numbered, self.kind, self.h = Numbers(), np.zeros(0, np.int8), np.zeros(0, np.uint64)
+        self.tokens = self.numbered.texts
+        self.first, self.parts = np.zeros(1, np.int64), np.zeros(0, np.uint64)
+
     @classmethod
     def forget(cls) -> None:
         cls.own = None
 
     @classmethod
-    def numbers(cls, cut: list[list[str]]) -> tuple[Vocabulary, np.ndarray]:
+    def numbers(cls, texts: list[str]) -> tuple[Vocabulary, np.ndarray, np.ndarray]:
+        """The vocabulary, and the tokens of all texts with the number of the text of each."""
         keep_alone("templates", cls.forget)
-        if cls.own is None or len(cls.own) > VOCABULARY:
+        if cls.own is None or len(cls.own.tokens) > VOCABULARY or len(cls.own.words) > 2 * VOCABULARY:
             cls.own = cls()
+        own, cut = cls.own, [_words(t) for t in texts]
         raw = list(chain.from_iterable(cut))
-        code = np.fromiter(map(cls.own.__getitem__, raw), np.int64, len(raw))
-        cls.own._settle()
-        return cls.own, code
+        word = np.fromiter(map(own.words.__getitem__, raw), np.int64, len(raw))
+        own._settle()
+        text = np.repeat(np.arange(len(texts)), np.fromiter(map(len, cut), np.int64, len(cut)))
+        size = own.cuts[word + 1] - own.cuts[word]
+        ends = np.cumsum(size)
+        at = np.repeat(own.cuts[word] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+        return own, own.codes[at], np.repeat(text, size)
 
     def _settle(self) -> None:
-        """Classes, hashes in lower case, and the hashes of the smallest parts (words, numbers and signs) of new tokens."""
+        """Tokens of new words, and classes, hashes in lower case, and the hashes of the smallest parts (words, numbers and signs) of new tokens."""
+        cut = [[w] if w.isalpha() else _tokens(w) for w in self.words.texts[len(self.cuts) - 1:]]
+        self.cuts = np.r_[self.cuts, self.cuts[-1] + np.cumsum([len(c) for c in cut], dtype=np.int64)]
+        self.codes = np.r_[self.codes, np.fromiter(map(self.numbered.__getitem__, chain.from_iterable(cut)), np.int64)]
         new = self.tokens[len(self.kind):]
         low = [t.lower() for t in new]
-        h = [_hash(t) for t in low]
+        h = [xxhash.xxh3_64_intdigest(t) if t.isascii() else _hash(t) for t in low]
         parts = [[k] if t.isalpha() else [_hash(p) for p in _parts(t)] for t, k in zip(low, h)]
         self.kind = np.r_[self.kind, np.fromiter(map(_class, new), np.int8, len(new))]
         self.h = np.r_[self.h, np.array(h, np.uint64)]
@@ -112,10 +140,8 @@ class Tokens:
     """Tokens of several texts: number in the vocabulary and number of the text."""
 
     def __init__(self, texts: list[str]):
-        cut = [_tokens(t) for t in texts]
         self.count = len(texts)
-        self.vocabulary, self.code = Vocabulary.numbers(cut)
-        self.text = np.repeat(np.arange(len(texts)), np.fromiter(map(len, cut), np.int64, len(cut)))
+        self.vocabulary, self.code, self.text = Vocabulary.numbers(texts)
 
 
 class Templates:

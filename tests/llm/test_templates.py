@@ -140,3 +140,15 @@ def test_items_of_any_kind_are_found_where_they_stand(spark, tmp_path):
     assert got.keys() - plain == {(200, 3)} and not got[200, 3]
     kept = {r["doc_id"] for r in templates.clean_of(docs, spark.read.parquet(f"{tmp_path}/benchmark.parquet"), whole=True).collect()}
     assert kept == {r[0] for r in rows} - {d for d, _ in got}
+
+
+def test_a_word_is_cut_once(monkeypatch):
+    text = "In 5 km, Anna's team_a ran\n\n3.5% more -\x1c ﬁn x²\r\n"
+    expected = templates._tokens(text) * 30
+    calls, cut = [], templates._tokens
+    monkeypatch.setattr(templates, "_tokens", lambda t: calls.append(t) or cut(t))
+    templates.Vocabulary.forget()
+    own = templates.Tokens([text, ""] * 30)
+    assert [own.vocabulary.tokens[c] for c in own.code] == expected
+    assert own.text.tolist() == [2 * i for i in range(30) for _ in range(len(expected) // 30)]
+    assert len(calls) == len(set(calls)) and not templates.Tokens([None or ""]).code.size
