@@ -129,10 +129,10 @@ def chunks(lengths: list[int], most: int = CHUNK_CHARS) -> Iterator[slice]:
         yield slice(start, len(lengths))
 
 
-def text_chunks(texts) -> Iterator[tuple[slice, list[str]]]:
+def text_chunks(texts, most: int = CHUNK_CHARS) -> Iterator[tuple[slice, list[str]]]:
     """Runs of texts of bounded size, NULL as the empty text."""
     own = [t if isinstance(t, str) else "" for t in texts]
-    for part in chunks([len(t) for t in own]):
+    for part in chunks([len(t) for t in own], most):
         yield part, own[part]
 
 

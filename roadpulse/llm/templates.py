@@ -15,11 +15,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,11 +40,18 @@ UNITS = frozenset((
     "percent euro euros dollar dollars cent cents usd eur gbp mph kmh kph kw kwh w v a hz khz mhz ghz kb mb gb tb").split())
 
 _tokens = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,]\d+)*|[^\w\s]|_|\n").findall
-_parts = re.compile(r"\d+|[^\W\d_]+|[^\w\s]|_").findall
-VOCABULARY = 300_000
+# Characters of texts that are worked on at once.
+CHUNK = 1 << 19
 _ENDS = frozenset(".!?:\n")
 _SIGNS = frozenset("%$€£°")
 WORD, NUM, UNIT, NAME, END, UNIT_WORD, OTHER = range(7)
+# What characters make: ``_tokens`` cuts at their borders, but for marks inside words and numbers.
+SPACE, LETTER, DIGIT, SIGN, LINE = range(1, 6)
+_INSIDE = {"'": LETTER, "’": LETTER, ".": DIGIT, ",": DIGIT}
+# The one letter that has two characters in lower case; ``MARK``, a number beyond all characters, follows it for the second.
+_DOTTED, MARK = "İ", 0x110000
+# A capital among letters that are counted.
+_CAPITAL = 1 << 32
 
 
 def _class(token: str) -> int:
@@ -64,84 +69,136 @@ def _class(token: str) -> int:
     return NAME if len(token) > 1 and token[0].isupper() and token[1:].islower() else WORD
 
 
-def _hash(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+def _values(codes: list[int]) -> np.ndarray:
+    return mixed(np.array(codes, np.uint64) * MIX_A + MIX_B)
 
 
-def _words(text: str) -> list[str]:
-    """What stands between white space, and line ends: no token reaches over white space."""
-    out = []
-    for line in text.split("\n"):
-        out += line.split()
-        out.append("\n")
-    return out[:-1]
+class Characters:
+    """What characters are, told when one first occurs; one for a worker. ``part`` is 0 for those not told yet."""
 
-
-class Numbers(dict):
-    """Numbers of texts in the order they come."""
+    own: Characters | None = None
 
     def __init__(self):
-        self.texts = []
+        self.part, self.kind, self.inside = (np.zeros(MARK + 1, np.int8) for _ in range(3))
+        self.low, self.case = np.zeros(MARK + 1, np.uint64), np.zeros(MARK + 1, np.int64)
+        self.part[MARK], self.low[MARK] = SIGN, _values([0x307])[0]
+        self.units = np.zeros(0, np.uint64)
+
+    @classmethod
+    def of_worker(cls) -> Characters:
+        keep_alone("templates", cls.forget)
+        if cls.own is None:
+            cls.own = cls()
+            cls.own.units = np.sort(Tokens(sorted(UNITS)).h)
+        return cls.own
 
-    def __missing__(self, text: str) -> int:
-        number = self[text] = len(self.texts)
-        self.texts.append(text)
-        return number
+    @classmethod
+    def forget(cls) -> None:
+        cls.own = None
+
+    def parts(self, codes: np.ndarray) -> np.ndarray:
+        part = self.part[codes]
+        if part.all():
+            return part
+        new = np.unique(codes[part == 0])
+        self.low[new] = _values([ord(chr(c).lower()[0]) for c in new.tolist()])
+        for c in new.tolist():
+            t = chr(c)
+            kind = _class(t)
+            self.part[c] = LINE if t == "\n" else SPACE if t.isspace() else DIGIT if t.isdecimal() else LETTER if t.isalnum() else SIGN
+            self.kind[c], self.inside[c] = WORD if kind == UNIT_WORD else kind, _INSIDE.get(t, 0)
+            self.case[c] = _CAPITAL if t.isupper() else 2 * _CAPITAL if t.istitle() else int(t.islower())
+        return self.part[codes]
 
 
 class Vocabulary:
-    """Tokens with what each is by itself, and words between white space with the tokens they are cut into; one for a worker,
-    begun anew when it is full."""
+    """The texts of tokens by their numbers, cut out when asked for."""
 
-    own: Vocabulary | None = None
+    forget = Characters.forget
 
-    def __init__(self):
-        self.words, self.cuts, self.codes = Numbers(), np.zeros(1, np.int64), np.zeros(0, np.int64)
-        self.numbered, self.kind, self.h = Numbers(), np.zeros(0, np.int8), np.zeros(0, np.uint64)
-        self.tokens = self.numbered.texts
-        self.first, self.parts = np.zeros(1, np.int64), np.zeros(0, np.uint64)
+    def __init__(self, codes: np.ndarray, first: np.ndarray, after: np.ndarray):
+        self.codes, self.first, self.after, self.tokens = codes, first, after, self
 
-    @classmethod
-    def forget(cls) -> None:
-        cls.own = None
+    def __getitem__(self, number: int) -> str:
+        own = self.codes[self.first[number]:self.after[number]]
+        return own[own != MARK].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
 
-    @classmethod
-    def numbers(cls, texts: list[str]) -> tuple[Vocabulary, np.ndarray, np.ndarray]:
-        """The vocabulary, and the tokens of all texts with the number of the text of each."""
-        keep_alone("templates", cls.forget)
-        if cls.own is None or len(cls.own.tokens) > VOCABULARY or len(cls.own.words) > 2 * VOCABULARY:
-            cls.own = cls()
-        own, cut = cls.own, [_words(t) for t in texts]
-        raw = list(chain.from_iterable(cut))
-        word = np.fromiter(map(own.words.__getitem__, raw), np.int64, len(raw))
-        own._settle()
-        text = np.repeat(np.arange(len(texts)), np.fromiter(map(len, cut), np.int64, len(cut)))
-        size = own.cuts[word + 1] - own.cuts[word]
-        ends = np.cumsum(size)
-        at = np.repeat(own.cuts[word] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-        return own, own.codes[at], np.repeat(text, size)
-
-    def _settle(self) -> None:
-        """Tokens of new words, and classes, hashes in lower case, and the hashes of the smallest parts (words, numbers and signs) of new tokens."""
-        cut = [[w] if w.isalpha() else _tokens(w) for w in self.words.texts[len(self.cuts) - 1:]]
-        self.cuts = np.r_[self.cuts, self.cuts[-1] + np.cumsum([len(c) for c in cut], dtype=np.int64)]
-        self.codes = np.r_[self.codes, np.fromiter(map(self.numbered.__getitem__, chain.from_iterable(cut)), np.int64)]
-        new = self.tokens[len(self.kind):]
-        low = [t.lower() for t in new]
-        h = [xxhash.xxh3_64_intdigest(t) if t.isascii() else _hash(t) for t in low]
-        parts = [[k] if t.isalpha() else [_hash(p) for p in _parts(t)] for t, k in zip(low, h)]
-        self.kind = np.r_[self.kind, np.fromiter(map(_class, new), np.int8, len(new))]
-        self.h = np.r_[self.h, np.array(h, np.uint64)]
-        self.first = np.r_[self.first, self.first[-1] + np.cumsum([len(p) for p in parts], dtype=np.int64)]
-        self.parts = np.r_[self.parts, np.fromiter(chain.from_iterable(parts), np.uint64)]
+
+def _joined(codes: np.ndarray, first: np.ndarray, after: np.ndarray, part: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Whether each part is of one token with the part before: around an apostrophe inside a word, a point or comma inside a number, or MARK."""
+    out, marks = np.zeros(len(first), bool), np.flatnonzero(codes[first] == MARK)
+    part = part.copy()
+    part[marks] = LETTER
+    at = np.flatnonzero(inside[1:-1]) + 1
+    at = at[(part[at - 1] == inside[at]) & (part[at + 1] == inside[at]) & (after[at - 1] == first[at]) & (after[at] == first[at + 1])]
+    out[at] = out[at + 1] = out[marks] = True
+    marks = marks[marks < len(first) - 1]
+    out[marks[(part[marks + 1] == LETTER) & (after[marks] == first[marks + 1])] + 1] = True
+    return out
 
 
 class Tokens:
-    """Tokens of several texts: number in the vocabulary and number of the text."""
+    """Tokens of several texts, as ``_tokens`` cuts them: number (``code``), ``text`` (number of the text), ``kind`` (what each is by itself) and ``h``
+    (hash in lower case); ``part_text`` and ``part_h`` of the smallest parts (words, numbers and signs). All texts are cut at once, along their
+    characters, as most words of a corpus are rare: looking them up costs more than working them out.
+    """
 
     def __init__(self, texts: list[str]):
-        self.count = len(texts)
-        self.vocabulary, self.code, self.text = Vocabulary.numbers(texts)
+        own, line = Characters.of_worker(), " ".join(texts)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        if _DOTTED in line:
+            codes = np.insert(codes, np.flatnonzero(codes == ord(_DOTTED)) + 1, MARK)
+            sizes += np.array([t.count(_DOTTED) for t in texts])
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        part = own.parts(codes)
+        first = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (part[1:] >= SIGN)]) if len(codes) else np.zeros(0, np.int64)
+        after = np.r_[first[1:], len(codes)][:len(first)]
+        used = part[first] != SPACE
+        first, after = first[used], after[used]
+        part = part[first]
+        heads = np.flatnonzero(~_joined(codes, first, after, part, own.inside[codes[first]]))
+        ends = np.r_[heads[1:], len(first)][:len(heads)] - 1
+        begin, stop = first[heads], after[ends]
+        low = own.low[codes]
+        if "Σ" in line:
+            self._sigmas(codes, begin, stop, low)
+        powers, back = np.full(len(codes), MIX_A), np.full(len(codes), np.uint64(pow(int(MIX_A), -1, 1 << 64)))
+        powers[:1] = back[:1] = 1
+        back = np.cumprod(back, dtype=np.uint64)
+        sums = np.r_[np.uint64(0), np.cumsum(low * np.cumprod(powers, dtype=np.uint64), dtype=np.uint64)]
+
+        def hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return mixed((sums[b] - sums[a]) * back[a] + (b - a).astype(np.uint64) * MIX_B)
+
+        def texts_of(places: np.ndarray) -> np.ndarray:
+            return np.repeat(np.arange(len(texts)), np.diff(np.r_[np.searchsorted(places, starts), len(places)]))
+
+        h = hashes(first, after)
+        self.count, self.code, self.text = len(texts), np.arange(len(heads)), texts_of(begin)
+        self.vocabulary = Vocabulary(codes, begin, stop)
+        self.h, several = h[heads], ends > heads
+        self.h[several] = hashes(begin[several], stop[several])
+        shown = part != LINE
+        self.part_h, self.part_text = h[shown], texts_of(first[shown])
+        self.kind = own.kind[codes[begin]]
+        words = np.flatnonzero(self.kind == WORD)
+        cased = np.r_[0, np.cumsum(own.case[codes])]
+        rest = cased[stop[words]] - cased[begin[words] + 1]
+        self.kind[words[(own.case[codes[begin[words]]] == _CAPITAL) & (rest > 0) & (rest < _CAPITAL)]] = NAME
+        if len(own.units):
+            near = np.searchsorted(own.units, self.h[words]).clip(max=len(own.units) - 1)
+            self.kind[words[own.units[near] == self.h[words]]] = UNIT_WORD
+
+    @staticmethod
+    def _sigmas(codes: np.ndarray, begin: np.ndarray, stop: np.ndarray, low: np.ndarray) -> None:
+        """The lower case of this letter depends on its place in a word."""
+        at = np.flatnonzero(codes == ord("Σ"))
+        for token in np.unique(np.searchsorted(begin, at, "right") - 1).tolist():
+            own = codes[begin[token]:stop[token]]
+            word = "".join([chr(c) if c != MARK else "\u0307" for c in own.tolist()]).replace(_DOTTED, "I").lower()
+            places = np.flatnonzero(own == ord("Σ"))
+            low[begin[token] + places] = _values([ord(word[i]) for i in places.tolist()])
 
 
 class Templates:
@@ -152,11 +209,9 @@ class Templates:
 
     def __init__(self, tokens: Tokens, inside: bool = False):
         """``inside``: the texts' first words stand inside sentences."""
-        words = tokens.vocabulary
-        kind = words.kind[tokens.code]
-        used = kind != OTHER
-        code, kind, text = tokens.code[used], kind[used], tokens.text[used]
-        self.names, self.code = words.tokens, code
+        used = tokens.kind != OTHER
+        code, kind, text = tokens.code[used], tokens.kind[used], tokens.text[used]
+        self.names, self.code = tokens.vocabulary.tokens, code
         first = np.r_[True, text[1:] != text[:-1]] if len(text) else np.zeros(0, bool)
         before = np.where(first, WORD if inside else END, np.r_[kind[:1], kind[:-1]])
         kind = np.where((kind == NAME) & (before == END), WORD, kind)
@@ -165,7 +220,7 @@ class Templates:
         kept = (kind != END) & ~((kind == NAME) & (previous == NAME))
         self.at = np.flatnonzero(kept)
         self.kind, self.text = kind[self.at], text[self.at]
-        self.h = mixed(np.where(self.kind == WORD, words.h[code[self.at]], self.kind.astype(np.uint64)))
+        self.h = mixed(np.where(self.kind == WORD, tokens.h[code[self.at]], self.kind.astype(np.uint64)))
         self.all_kinds = kind
 
     def value(self, i: int) -> str:
@@ -221,7 +276,7 @@ def item_windows(items: DataFrame, inside: bool = False) -> DataFrame:
     """
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for part, texts in text_chunks(b["text"]):
+            for part, texts in text_chunks(b["text"], CHUNK):
                 ids = b["item_row"].iloc[part].to_numpy()
                 yield _rows("item_row", Tokens(texts), ids, None, None)
                 named = [i for i, t in enumerate(texts) if _class(next((w for w in _tokens(t) if _class(w) != OTHER), ".")) == NAME]
@@ -255,14 +310,7 @@ class Runs:
     """Hashes of runs of the smallest parts of tokens, with the values kept. Equal runs have one hash wherever they stand."""
 
     def __init__(self, tokens: Tokens):
-        words = tokens.vocabulary
-        first, size = words.first[tokens.code], words.first[tokens.code + 1] - words.first[tokens.code]
-        if len(size) and (size != 1).any():
-            ends = np.cumsum(size)
-            h = words.parts[np.repeat(first - ends + size, size) + np.arange(ends[-1])]
-            self.text = np.repeat(tokens.text, size)
-        else:
-            h, self.text = words.parts[first], tokens.text
+        h, self.text = tokens.part_h, tokens.part_text
         self.lengths = np.bincount(self.text, minlength=tokens.count)
         self.starts = np.cumsum(self.lengths) - self.lengths
         base, inverse = np.full(len(h), MIX_A), np.full(len(h), np.uint64(pow(int(MIX_A), -1, 1 << 64)))
@@ -279,7 +327,7 @@ def item_runs(numbered: DataFrame) -> DataFrame:
     """item_row, h (hash of the whole item as it stands), n (its parts), prefix (hash of its beginning)."""
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for part, texts in text_chunks(b["text"]):
+            for part, texts in text_chunks(b["text"], CHUNK):
                 own = Runs(Tokens(texts))
                 full = np.flatnonzero(own.lengths)
                 n, at = own.lengths[full], own.starts[full]
@@ -324,7 +372,7 @@ def contamination(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE,
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits, widths, starts, wholes, lengths = shared.value
         for b in batches:
-            for part, texts in text_chunks(b["text"]):
+            for part, texts in text_chunks(b["text"], CHUNK):
                 tokens, ids = Tokens(texts), b["rid"].iloc[part].to_numpy()
                 if widths:
                     yield _rows("rid", tokens, ids, widths, bits).assign(n=pd.Series(dtype="Int64"))

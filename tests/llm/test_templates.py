@@ -3,6 +3,8 @@ import re
 from collections import defaultdict
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from roadpulse.llm import templates
 from tests.llm.cases import frame, hard_rows, sentence, stored
@@ -152,3 +154,28 @@ def test_a_word_is_cut_once(monkeypatch):
     assert [own.vocabulary.tokens[c] for c in own.code] == expected
     assert own.text.tolist() == [2 * i for i in range(30) for _ in range(len(expected) // 30)]
     assert len(calls) == len(set(calls)) and not templates.Tokens([None or ""]).code.size
+
+
+PARTS = re.compile(r"\d+|[^\W\d_]+|[^\w\s]|_").findall
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(max_size=30) | st.text(alphabet="aBKm'’1²½.,: \n_İΣσςΟ\u0307ǅ٣\x1c\ud800%", max_size=30), max_size=5))
+def test_tokens_are_cut_as_by_the_pattern(texts):
+    own = templates.Tokens(texts)
+    want = [(i, t) for i, text in enumerate(texts) for t in templates._tokens(text)]
+    assert [(i, own.vocabulary.tokens[c]) for i, c in zip(own.text.tolist(), own.code.tolist())] == want
+    assert own.kind.tolist() == [templates._class(t) for _, t in want]
+    parts = [(i, p) for i, t in want for p in PARTS(t.lower())]
+    assert own.part_text.tolist() == [i for i, _ in parts]
+    hashes = [*zip([t.lower() for _, t in want], own.h.tolist()), *zip([p for _, p in parts], own.part_h.tolist())]
+    assert len(set(hashes)) == len({t for t, _ in hashes}) == len({h for _, h in hashes})
+
+
+def test_work_on_new_words_is_not_done_one_by_one(monkeypatch):
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choices("abcdeFGH", k=9)) for _ in range(5000))
+    calls, own = [], templates._class
+    monkeypatch.setattr(templates, "_class", lambda t: calls.append(t) or own(t))
+    templates.Vocabulary.forget()
+    assert len(templates.Tokens([text]).code) == 5000 and len(calls) < 200
