@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from pyspark.sql.window import Window
 from roadpulse.session import checkpoint_dir
 
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 CHUNK_CHARS = 2_000_000
 
 
@@ -112,8 +113,11 @@ def keep_alone(name: str, clear: Callable[[], None] = lambda: None) -> None:
 
     Workers serve one task after another, so without this a pipeline would add up the caches of all its stages.
     """
-    for other in [k for k in _kept if k != name]:
+    others = [k for k in _kept if k != name]
+    for other in others:
         _kept.pop(other)()
+    if others:
+        pa.default_memory_pool().release_unused()
     _kept[name] = clear
 
 

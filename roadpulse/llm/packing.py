@@ -168,6 +168,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> D
 
 
 def _running(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    keep_alone("packed")
     total = 0
     for b in batches:
         ends = b["n"].cumsum() + total
@@ -194,6 +195,7 @@ def place(scratch: Scratch, encoded: DataFrame) -> DataFrame:
 
 def _cut(sequence: int, with_ids: bool):
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_alone("packed")
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
         for b in batches:
             rows = []

@@ -84,3 +84,9 @@ def test_words_that_are_known_are_not_cut_again(monkeypatch):
     calls, cut = [], packing._PIECE
     monkeypatch.setattr(packing, "_PIECE", lambda z: calls.append(z) or cut(z))
     assert encoder.encode(texts[::-1]) == first[::-1] and not calls
+
+
+def test_words_known_are_let_go_before_pieces_are_cut():
+    for step in (packing._running, packing._cut(64, True)):
+        packing.Encoder.of(PATH)
+        assert not list(step(iter([]))) and not packing._encoders
