@@ -23,6 +23,8 @@ from roadpulse.session import checkpoint_dir
 
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 BATCH_BYTES = 4 << 20
+# Rows of a few numbers that go to Python at once.
+NARROW_ROWS = 30_000
 CHUNK_CHARS = 2_000_000
 
 
@@ -85,11 +87,20 @@ class Scratch:
         self.count = 0
         bound_batches(spark)
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
+    def store(self, df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+        """``narrow``: its making sends rows of a few numbers to Python, which are counted; Spark would ask each column for its size at each row."""
         self.count += 1
         path = f"{self.root}/{self.count}-{name}"
-        schema = df.schema
-        without_shuffles(df).write.parquet(path)
+        schema, conf = df.schema, self.spark.conf
+        limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": NARROW_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": (1 << 31) - 1}
+        before = {name: conf.get(name) for name in limits}
+        try:
+            for name, limit in limits.items() if narrow else ():
+                conf.set(name, str(limit))
+            without_shuffles(df).write.parquet(path)
+        finally:
+            for name, value in before.items():
+                conf.set(name, value)
         return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, df: DataFrame) -> None:
@@ -208,7 +219,7 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def _linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """In rows sorted by k: each row's link to the first of its run; the outer runs' heads with their key."""
+    """In rows sorted by k, in any order within it: each row's link to the first of its run; the outer runs' heads with their key."""
     key = head = None
     first_key = None
     for b in batches:
@@ -234,12 +245,12 @@ def run_links(scratch: Scratch, rows: DataFrame) -> DataFrame:
     """Links (a, b) that join all values v of each key k, found by sorting and looking at neighbours.
 
     ``rows`` (k, v: long) are read twice, so they must be stored or cheaply made from a stored table. They are range-sorted by (k, v), so a key with any share
-    of the rows lies in as many tasks as it needs; each row is linked to the first of its run in
-    that task, and runs that a task border cuts are joined through one row per border.
+    of the rows lies in as many tasks as it needs; a task sorts by k alone, which Spark does without comparing rows. Each row is linked to the
+    first of its run in that task, and runs that a task border cuts are joined through one row per border.
     """
     found = scratch.store(
-        rows.repartitionByRange("k", "v").sortWithinPartitions("k", "v")
-        .mapInPandas(_linked, "a long, b long, k long"), "runs")
+        rows.repartitionByRange("k", "v").sortWithinPartitions("k")
+        .mapInPandas(_linked, "a long, b long, k long"), "runs", narrow=True)
     edge = found.where("b IS NULL")
     first = edge.groupBy("k").agg(F.min("a").alias("b"))
     return found.where("b IS NOT NULL").select("a", "b").unionByName(

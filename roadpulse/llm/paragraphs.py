@@ -48,7 +48,7 @@ class Lines:
         begin, stop = np.flatnonzero(inside[1:-1] & ~inside[:-2]), np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
         starts = np.cumsum([0] + [len(t) + 1 for t in texts])
         text = np.searchsorted(starts, begin, "right") - 1
-        self.h = hash_words(split_words(texts)[0])
+        self.h = hash_words("\n".join(texts).encode("utf-8", "surrogatepass").split())
         self.begin, self.stop, self.text = begin - starts[text], stop - starts[text], text
         number = np.searchsorted(np.flatnonzero(codes == 10), begin)
         #: First word of each line and the word after its last.
@@ -131,31 +131,36 @@ def units(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def _clusters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of runs sorted by (k, none, id, row, place), those that have an equal one, with the id of their k's first, the number of others, and whether
+    """Of runs sorted by k, those that have an equal one, with the id of their k's first by (none, id, row, place), the number of others, and whether
     they are that first. ``shape`` is equal for two k whose runs stand in the same texts at one distance from each other. Others of a batch's
     outer two k may be in another batch, so all runs of these come, without a number."""
     for b in batches:
         if b.empty:
             continue
-        k, row, place = (b[c].to_numpy() for c in ("k", "row", "place"))
+        k = b["k"].to_numpy()
         starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
         n = np.diff(np.r_[starts, len(k)])
         links = n - 1
         links[[0, -1]] = -1
+        b, n, links = b[np.repeat(links != 0, n)], n[links != 0], links[links != 0]
+        b = b.iloc[np.lexsort([b[c].to_numpy() for c in ("place", "row", "id", "none")] + [np.repeat(np.arange(len(n)), n)])]
+        row, place = b["row"].to_numpy(), b["place"].to_numpy()
+        starts = np.cumsum(n) - n
         head = np.repeat(starts, n)
         shape = np.add.reduceat(mixed(mixed(row.astype(np.uint64)) * MIX_A + (place - place[head]).astype(np.uint64) * MIX_B), starts)
         yield b.assign(shape=signed(np.repeat(shape, n)), first_none=b["none"].to_numpy()[head], first_id=b["id"].to_numpy()[head],
-                       n_links=np.repeat(links, n), keep=head == np.arange(len(k)))[np.repeat(links != 0, n)]
+                       n_links=np.repeat(links, n), keep=head == np.arange(len(head)))
 
 
 def clustered(scratch: Scratch, chosen: DataFrame) -> DataFrame:
-    """k, row, doc_id, place, shape, class_id, n_links, keep of the runs that others equal. Sorted, so that a hot run lies in as many tasks as it needs."""
+    """k, row, doc_id, place, shape, class_id, n_links, keep of the runs that others equal. Dealt by ranges, so that a hot run lies in as many tasks
+    as it needs; a task sorts by k alone, which Spark does without comparing rows."""
     order = ["k", "none", "id", "row", "place"]
     told = scratch.store(chosen.select(
         F.col("hi").alias("k"), F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "row",
-        F.col("start").cast("int").alias("place")).repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
+        F.col("start").cast("int").alias("place")).repartitionByRange(*order).sortWithinPartitions("k").mapInPandas(
         _clusters, "k long, none boolean, id long, row long, place int, shape long, first_none boolean, first_id long, n_links long, keep boolean"),
-        "matched")
+        "matched", narrow=True)
     told = told.select("k", "row", F.expr("if(none, NULL, id)").alias("doc_id"), "place", "shape",
                        F.expr("if(first_none, NULL, first_id)").alias("class_id"), "n_links", "keep")
     # Some k of each batch; their shapes are parts only, so that each has its own.
@@ -256,7 +261,7 @@ def reaches(scratch: Scratch, runs: DataFrame, words: str, points: str) -> DataF
     found = scratch.store(
         runs.where(f"{words} IS NOT NULL").select("k", F.col(words).alias("words"), "row", "place", "head", F.col(points).alias("points"))
         .repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
-            _points, "row long, place int, head int, reach int, point int, task long, k long, words binary, points binary"), "reaches")
+            _points, "row long, place int, head int, reach int, point int, task long, k long, words binary, points binary"), "reaches", narrow=True)
     # Two rows of each task.
     edge = found.where("task IS NOT NULL").orderBy("task").collect()
     over = [(-1, -1, -1, 0, -1)]

@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from roadpulse.llm import common, forest, jaccard, paragraphs, suffixes
@@ -376,3 +377,30 @@ def test_windows_of_two_documents_are_told_over_batches_and_tasks():
         ends = df.groupby("k")["rid"].agg(["min", "max"])
         want = sorted((w, ends["min"][k]) for w, k in zip(df["word"], df["k"]) if ends["min"][k] != ends["max"][k])
         assert sorted(zip(kept["word"], first)) == want
+
+
+def test_clusters_of_rows_in_any_order_within_a_key():
+    rng = np.random.default_rng(2)
+    rows = pd.DataFrame({"k": np.sort(rng.integers(0, 60, 200)), "none": rng.random(200) < 0.2, "id": rng.integers(0, 9, 200),
+                         "row": rng.integers(0, 50, 200), "place": rng.permutation(200).astype(np.int32)})
+    order = ["k", "none", "id", "row", "place"]
+    rows["id"] = rows["id"].where(~rows["none"], 0)
+    (got,), (want,) = paragraphs._clusters(iter([rows])), paragraphs._clusters(iter([rows.sort_values(order)]))
+    inner = got[got["n_links"] > 0]
+    assert got.sort_values(order).reset_index(drop=True).equals(want.sort_values(order).reset_index(drop=True)) and len(inner) > 100
+    for _, own in inner.groupby("k"):
+        first = min(own[order].itertuples(index=False, name=None))
+        assert own[order][own["keep"]].to_numpy().tolist() == [list(first)] and (own["first_id"] == first[2]).all()
+        assert (own["n_links"] == len(own) - 1).all() and len(set(own["shape"])) == 1
+
+
+def test_narrow_rows_come_many_at_once(spark, tmp_path):
+    def sizes(batches):
+        for b in batches:
+            yield pd.DataFrame({"n": [len(b)]})
+
+    scratch, name = common.Scratch(spark, "narrow"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    rows = spark.range(0, 35_000, 1, 1).mapInPandas(sizes, "n long")
+    assert sorted(r[0] for r in scratch.store(rows, "sizes", narrow=True).collect()) == [5_000, 30_000]
+    assert spark.conf.get(name) == before and max(r[0] for r in scratch.store(rows, "plain").collect()) == int(before)
