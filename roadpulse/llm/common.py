@@ -87,21 +87,25 @@ class Scratch:
         self.count = 0
         bound_batches(spark)
 
-    def store(self, df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
-        """``narrow``: its making sends rows of a few numbers to Python, which are counted; Spark would ask each column for its size at each row."""
+    def store(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count}-{name}"
-        schema, conf = df.schema, self.spark.conf
+        schema = df.schema
+        without_shuffles(df).write.parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def store_narrow(self, df: DataFrame, name: str) -> DataFrame:
+        """As ``store``, of what sends rows of a few numbers to Python: these are counted, as Spark would ask each column for its size at each row."""
+        conf = self.spark.conf
         limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": NARROW_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": (1 << 31) - 1}
-        before = {name: conf.get(name) for name in limits}
+        before = {limit: conf.get(limit) for limit in limits}
         try:
-            for name, limit in limits.items() if narrow else ():
-                conf.set(name, str(limit))
-            without_shuffles(df).write.parquet(path)
+            for limit, value in limits.items():
+                conf.set(limit, str(value))
+            return self.store(df, name)
         finally:
-            for name, value in before.items():
-                conf.set(name, value)
-        return self.spark.read.schema(schema).parquet(path)
+            for limit, value in before.items():
+                conf.set(limit, value)
 
     def drop(self, df: DataFrame) -> None:
         jvm = self.spark.sparkContext._jvm
@@ -248,9 +252,9 @@ def run_links(scratch: Scratch, rows: DataFrame) -> DataFrame:
     of the rows lies in as many tasks as it needs; a task sorts by k alone, which Spark does without comparing rows. Each row is linked to the
     first of its run in that task, and runs that a task border cuts are joined through one row per border.
     """
-    found = scratch.store(
+    found = scratch.store_narrow(
         rows.repartitionByRange("k", "v").sortWithinPartitions("k")
-        .mapInPandas(_linked, "a long, b long, k long"), "runs", narrow=True)
+        .mapInPandas(_linked, "a long, b long, k long"), "runs")
     edge = found.where("b IS NULL")
     first = edge.groupBy("k").agg(F.min("a").alias("b"))
     return found.where("b IS NOT NULL").select("a", "b").unionByName(

@@ -156,11 +156,11 @@ def clustered(scratch: Scratch, chosen: DataFrame) -> DataFrame:
     """k, row, doc_id, place, shape, class_id, n_links, keep of the runs that others equal. Dealt by ranges, so that a hot run lies in as many tasks
     as it needs; a task sorts by k alone, which Spark does without comparing rows."""
     order = ["k", "none", "id", "row", "place"]
-    told = scratch.store(chosen.select(
+    told = scratch.store_narrow(chosen.select(
         F.col("hi").alias("k"), F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "row",
         F.col("start").cast("int").alias("place")).repartitionByRange(*order).sortWithinPartitions("k").mapInPandas(
         _clusters, "k long, none boolean, id long, row long, place int, shape long, first_none boolean, first_id long, n_links long, keep boolean"),
-        "matched", narrow=True)
+        "matched")
     told = told.select("k", "row", F.expr("if(none, NULL, id)").alias("doc_id"), "place", "shape",
                        F.expr("if(first_none, NULL, first_id)").alias("class_id"), "n_links", "keep")
     # Some k of each batch; their shapes are parts only, so that each has its own.
@@ -258,10 +258,10 @@ def _points(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def reaches(scratch: Scratch, runs: DataFrame, words: str, points: str) -> DataFrame:
     """row, head, place, reach, point of runs with points: the greatest reach of a place holds. Sorted, so that a hot run lies in as many tasks as it needs."""
     order = ["k", "words", "row", "place"]
-    found = scratch.store(
+    found = scratch.store_narrow(
         runs.where(f"{words} IS NOT NULL").select("k", F.col(words).alias("words"), "row", "place", "head", F.col(points).alias("points"))
         .repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
-            _points, "row long, place int, head int, reach int, point int, task long, k long, words binary, points binary"), "reaches", narrow=True)
+            _points, "row long, place int, head int, reach int, point int, task long, k long, words binary, points binary"), "reaches")
     # Two rows of each task.
     edge = found.where("task IS NOT NULL").orderBy("task").collect()
     over = [(-1, -1, -1, 0, -1)]

@@ -402,5 +402,5 @@ def test_narrow_rows_come_many_at_once(spark, tmp_path):
     scratch, name = common.Scratch(spark, "narrow"), "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
     rows = spark.range(0, 35_000, 1, 1).mapInPandas(sizes, "n long")
-    assert sorted(r[0] for r in scratch.store(rows, "sizes", narrow=True).collect()) == [5_000, 30_000]
+    assert sorted(r[0] for r in scratch.store_narrow(rows, "sizes").collect()) == [5_000, 30_000]
     assert spark.conf.get(name) == before and max(r[0] for r in scratch.store(rows, "plain").collect()) == int(before)
